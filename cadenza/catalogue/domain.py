@@ -62,7 +62,7 @@ def _stats_sql(table: str, key: str, days: int) -> str:
 cte("artist_stats", _stats_sql("artist_streams", "artist_id", 7))
 cte("song_stats", _stats_sql("song_streams", "song_id", YEAR))
 cte("artists", "SELECT s.s_suppkey AS artist_id, s.s_name AS artist, s.s_acctbal < 0 AS signed, st.tw_streams, st.lw_streams, st.pct_chg FROM supplier s LEFT JOIN artist_stats st ON s.s_suppkey = st.artist_id")
-cte("songs", "SELECT p.p_partkey AS song_id, p.p_name AS title, p.p_brand AS label, p.p_type AS core_genre, p.p_retailprice < 1000 AS signed, st.tw_streams, st.lw_streams, st.pct_chg FROM part p LEFT JOIN song_stats st ON p.p_partkey = st.song_id")
+cte("songs", "SELECT p.p_partkey AS song_id, p.p_name AS title, p.p_brand AS label, p.p_type AS core_genre, p.p_size < 10 AS signed, st.tw_streams, st.lw_streams, st.pct_chg FROM part p LEFT JOIN song_stats st ON p.p_partkey = st.song_id")
 
 
 def artist_stats(t: Tables) -> DataFrame:
@@ -86,7 +86,7 @@ def song_meta(t: Tables) -> DataFrame:
         F.col("p_name").alias("title"),
         F.col("p_brand").alias("label"),
         F.col("p_type").alias("core_genre"),
-        (F.col("p_retailprice") < 1000).alias("signed"),
+        (F.col("p_size") < 10).alias("signed"),
     )
 
 

@@ -47,8 +47,8 @@ def _streak_sql(key: str, weekly: str = "weekly", zero: bool = False) -> str:
         before = f"coalesce({before}, 0)"
     return (
         f"SELECT {key}, CAST(sum(CASE WHEN s > b THEN 1 ELSE 0 END) AS BIGINT) AS num_positive_weeks, "
-        f"CAST(sum(CAST(coalesce(greatest(-50, least(50, {sql_percent('s', 'b')})), 0) AS DECIMAL(12,2))) AS DOUBLE) AS rolling_pct_chg "
-        f"FROM (SELECT *, {before} AS b FROM {weekly}) GROUP BY 1"
+        "CAST(sum(CAST(CASE WHEN p IS NULL THEN 0 WHEN p < -50 THEN -50 WHEN p > 50 THEN 50 ELSE p END AS DECIMAL(12,2))) AS DOUBLE) AS rolling_pct_chg "
+        f"FROM (SELECT *, {sql_percent('s', 'b')} AS p FROM (SELECT *, {before} AS b FROM {weekly})) GROUP BY 1"
     )
 
 

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# The vectorised helpers travel with the plan, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def match_key(c: Column) -> Column:
@@ -61,7 +67,7 @@ def bare_title(c: Column) -> Column:
     return F.substring_index(F.substring_index(c, "(", 1), "   ", 1)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkd(texts: pd.Series) -> pd.Series:
     return texts.map(lambda s: unicodedata.normalize("NFKD", s), na_action="ignore")
 
@@ -86,7 +92,7 @@ def _ratio(a: str | None, b: str | None) -> float | None:
     return 2.0 * _common_length(a, b) / total if total else 1.0
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def indel_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """``2 * LCS / (len + len)``: the similarity that counts insertions and deletions only."""
     return pd.Series([_ratio(a, b) for a, b in zip(left, right)], dtype="float64")

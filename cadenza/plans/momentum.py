@@ -21,9 +21,21 @@ def _gt(c: Column | str, low: float) -> Column:
     return F.coalesce((F.col(c) if isinstance(c, str) else c) > low, F.lit(False))
 
 
+def _measured(wide: DataFrame, measures: dict[str, Column]) -> DataFrame:
+    """Add measures, each evaluated once.
+
+    They leave a one-row generator, so a rule over them stays above it. Pushed into the
+    raw columns, the rule would repeat every ratio many times and, below the renames of
+    a wide file, double the optimizer's constraint set with every renamed column.
+    """
+    values = F.struct(*[c.alias(name) for name, c in measures.items()])
+    return wide.select("*", F.inline(F.array(values)))
+
+
 def momentum_metrics(wide: DataFrame, days: list[str]) -> DataFrame:
     """Growth measures from the daily columns ``days`` (newest first) and the rolling sums."""
-    return wide.withColumns(
+    return _measured(
+        wide,
         {
             "pct_chg": change("tw_oda_streams", "lw_oda_streams"),
             "rolling_pct_chg": change("tw_rolling_oda", "lw_rolling_oda"),
@@ -31,7 +43,7 @@ def momentum_metrics(wide: DataFrame, days: list[str]) -> DataFrame:
             "3_day_chg": change(days[1], days[2]),
             "7_day_acc": acceleration(days[1], days[7], 6),
             "4_day_acc": acceleration(days[1], days[4], 3),
-        }
+        },
     )
 
 
@@ -72,14 +84,15 @@ def daily_momentum(
 
 def acceleration_metrics(wide: DataFrame, days: list[str]) -> DataFrame:
     """Rank change (null with ``is_new`` when unranked before), weekly and daily growth."""
-    return wide.withColumns(
+    return _measured(
+        wide,
         {
             "is_new": F.col("lw_rank") == 0,
             "rank_chg": F.when(F.col("lw_rank") != 0, F.col("lw_rank") - F.col("tw_rank")),
             "pct_chg": change("tw_oda_streams", "lw_oda_streams"),
             "three_wk_acc": acceleration("tw_oda_streams", "l2w_oda_streams", 2),
             "seven_day_acc": acceleration(days[0], days[6], 6),
-        }
+        },
     )
 
 
