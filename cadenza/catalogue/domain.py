@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from cadenza.catalogue.registry import cte, sql_fraction
 from cadenza.operators.binned import build_model
 from cadenza.plans.views import entity_stats
+from cadenza.session import materialise
 
 AS_OF = dt.date(2001, 6, 30)
 EVENTS_AS_OF = dt.date(2024, 1, 31)
@@ -229,7 +230,8 @@ def followers(t: Tables) -> DataFrame:
 
 
 def gain_model(t: Tables) -> DataFrame:
-    return build_model(followers(t), "followers", "gained", MODEL_EDGES)
+    """The stored model: built once, then read as a small table."""
+    return materialise(build_model(followers(t), "followers", "gained", MODEL_EDGES), "model")
 
 
 cte("dense", """

@@ -6,10 +6,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from cadenza.catalogue.domain import EVENTS_AS_OF, Tables, followers, gain_model, song_stats
+from cadenza.catalogue.domain import EVENTS_AS_OF, MODEL_EDGES, Tables, followers, gain_model, song_stats
 from cadenza.catalogue.registry import cte, oracle, query, rounded
 from cadenza.functions.dates import back
-from cadenza.operators.binned import fit_model, lookup_bin
+from cadenza.operators.binned import build_model, fit_model, lookup_bin
 from cadenza.operators.keys import rank_per_key, top_per_key
 from cadenza.plans.ranks import city_changes, city_summary, combined_ranks, genre_chart_changes, rank_changes, rank_improvement
 from cadenza.plans.social import GainRule, follower_gain_chart, long_term_growth, snapshot_growth, viral_growth
@@ -59,7 +59,8 @@ def _window(days: int, where: str = "true") -> str:
 
 @query("binned_model", oracle("SELECT count, round(mean, 6) AS mean, round(std, 6) AS std, bin_min, bin_max FROM gain_model"))
 def binned_model(spark, folder):
-    return gain_model(Tables(spark, folder)).withColumns(rounded("mean", "std"))
+    t = Tables(spark, folder)
+    return build_model(followers(t), "followers", "gained", MODEL_EDGES).withColumns(rounded("mean", "std"))
 
 
 @query("binned_fit", oracle("SELECT account, CAST(date AS VARCHAR) AS date, followers, gained, round(mean, 6) AS mean, round(z, 6) AS z_score FROM f", v="SELECT f.account, f.date, f.followers, p.gained FROM followers f JOIN points p USING (account, date)", f=_fit("followers", "gained", "v")))
@@ -92,9 +93,9 @@ def _gains(k: float, keep: str, floor: str) -> dict:
 
 
 _CHART = "SELECT h.*, o.artist_id, o.artist, o.tw_streams, o.artist_id NOT IN (SELECT artist_id FROM earlier) AS is_new FROM hot h LEFT JOIN owner o ON o.account = h.account"
-PHOTO = GainRule(16, 3, True, 1000, 9.0)
-AUDIO = GainRule(16, 4, False, 1000, 9.0)
-VIDEO = GainRule(21, 4, False, 1000, 8.0, drop_zero=True)
+PHOTO = GainRule(16, 3, True, 1000, 7.0)
+AUDIO = GainRule(16, 4, False, 1000, 7.0)
+VIDEO = GainRule(21, 4, False, 1000, 7.0, drop_zero=True)
 
 
 def _gain_chart(t: Tables, rule: GainRule, latest=None):
@@ -104,7 +105,7 @@ def _gain_chart(t: Tables, rule: GainRule, latest=None):
     return out.withColumns(rounded("growth_score"))
 
 
-@query("follower_gain_photo", oracle(_CHART, pts=_window(16), **_gains(9.0, "n > 3", "v > 1000")))
+@query("follower_gain_photo", oracle(_CHART, pts=_window(16), **_gains(7.0, "n > 3", "v > 1000")))
 def follower_gain_photo(spark, folder):
     """History is counted after filling gaps, the floor is on the last value."""
     return _gain_chart(Tables(spark, folder), PHOTO)
@@ -119,7 +120,7 @@ def latest_followers(t: Tables):
 
 @query(
     "follower_gain_audio",
-    oracle(_CHART, latest=_LATEST, raw=_window(16, "account IN (SELECT account FROM latest)"), pts="SELECT * FROM raw WHERE account IN (SELECT account FROM raw GROUP BY 1 HAVING count(*) > 4)", **_gains(9.0, "true", "true")),
+    oracle(_CHART, latest=_LATEST, raw=_window(16, "account IN (SELECT account FROM latest)"), pts="SELECT * FROM raw WHERE account IN (SELECT account FROM raw GROUP BY 1 HAVING count(*) > 4)", **_gains(7.0, "true", "true")),
 )
 def follower_gain_audio(spark, folder):
     """History is counted before filling, the floor is on the account's latest count."""
@@ -129,7 +130,7 @@ def follower_gain_audio(spark, folder):
 
 @query(
     "follower_gain_video",
-    oracle(_CHART, latest=_LATEST, raw=_window(21, "followers <> 0 AND account IN (SELECT account FROM latest)"), pts="SELECT * FROM raw WHERE account IN (SELECT account FROM raw GROUP BY 1 HAVING count(*) > 4)", **_gains(8.0, "true", "true")),
+    oracle(_CHART, latest=_LATEST, raw=_window(21, "followers <> 0 AND account IN (SELECT account FROM latest)"), pts="SELECT * FROM raw WHERE account IN (SELECT account FROM raw GROUP BY 1 HAVING count(*) > 4)", **_gains(7.0, "true", "true")),
 )
 def follower_gain_video(spark, folder):
     t = Tables(spark, folder)
