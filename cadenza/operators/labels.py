@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.operators.matching import fuzzy_best
+from cadenza.operators.matching import char_grams, fuzzy_best
 
 LITERAL_LIMIT = 256
 ANCHOR = 4
@@ -23,8 +23,9 @@ def contains_any(
     """Add ``flag``: does the lower-cased ``text`` contain any lower-cased pattern.
 
     A short list becomes a literal array tested inside the scan. A long one is joined:
-    every pattern is anchored on its first ``ANCHOR`` characters, the distinct texts are
-    cut into grams of that size, and only the pairs that share an anchor are tested.
+    every pattern is anchored on its first ``ANCHOR`` characters (a shorter one on all of
+    it), the distinct texts are cut into pieces of those few sizes, and only the pairs
+    that share an anchor are tested.
     """
     lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
     few = _small_list(patterns, pattern, literal_limit)
@@ -39,15 +40,10 @@ def contains_any(
         .distinct()
         .withColumn("__g", F.substring("__p", 1, ANCHOR))
     )
+    sizes = sorted(r.n for r in wanted.select(F.length("__g").alias("n")).distinct().collect())
     texts = df.select(lowered.alias("__t")).distinct()
-    cut = None
-    for size in range(1, ANCHOR + 1):
-        each = F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length("__t") - size + 1, F.lit(1))),
-            lambda i, s=size: F.substring(F.col("__t"), i, F.lit(s)),
-        )
-        cut = each if cut is None else F.concat(cut, each)
-    met = texts.select("__t", F.explode(F.array_distinct(cut)).alias("__g")).join(wanted, "__g")
+    pieces = F.array_distinct(F.concat(*[char_grams(F.col("__t"), n) for n in sizes]))
+    met = texts.select("__t", F.explode(pieces).alias("__g")).join(wanted, "__g")
     hits = met.filter(F.contains(F.col("__t"), F.col("__p"))).select("__t").distinct()
     hits = hits.withColumn("__hit", F.lit(True))
     return (

@@ -8,75 +8,95 @@ Both sides are reduced to distinct texts first, so copies cost nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.functions.text import bare_title, indel_ratio, match_key
+from cadenza.functions.text import bare_title, gram_cosine, indel_ratio, match_key
 from cadenza.operators.keys import first_per_key
+from cadenza.session import materialise
 
 GRAM_SIZES = (3, 2)  # fixed values: tried in this order
 
 
+def char_grams(c: Column, size: int) -> Column:
+    """All overlapping pieces of ``size`` characters, in one pass over the text."""
+    return F.regexp_extract_all(c, F.lit("(?s)(?=(.{%d}))" % size), F.lit(1))
+
+
 def _padded_grams(c: Column, size: int) -> Column:
-    padded = F.concat(F.lit("-"), c, F.lit("-"))
-    last = F.greatest(F.length(padded) - size + 1, F.lit(1))
-    return F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(padded, i, F.lit(size)))
+    return char_grams(F.concat(F.lit("-"), c, F.lit("-")), size)
 
 
-def grams(df: DataFrame, text: str, size: int) -> DataFrame:
-    """(text, gram, occ, norm2): gram counts per distinct text and the squared vector length."""
-    counted = (
-        df.select(text)
-        .distinct()
-        .withColumn("gram", F.explode(_padded_grams(F.col(text), size)))
-        .groupBy(text, "gram")
-        .agg(F.count(F.lit(1)).alias("occ"))
-    )
-    norms = counted.groupBy(text).agg(F.sum(F.col("occ") * F.col("occ")).alias("norm2"))
-    return counted.join(norms, text)
+def _cuts(floor: float) -> list[float]:
+    """Cosine levels to search at, from strict to ``floor``."""
+    return [level for level in (0.9, 0.8, 0.65) if level > floor] + [floor]
 
 
-def _ranked(grams_df: DataFrame, text: str, rarity: DataFrame, floor: float) -> DataFrame:
-    """The grams of each text that may not be skipped when looking for a cosine of ``floor``.
+def gram_counts(texts: DataFrame, text: str, size: int) -> DataFrame:
+    """(text, gram, occ) of distinct texts."""
+    each = texts.select(text).distinct().withColumn("gram", F.explode(_padded_grams(F.col(text), size)))
+    return each.groupBy(text, "gram").agg(F.count(F.lit(1)).alias("occ"))
 
-    With the grams sorted rarest first, a gram is skippable once the grams from it on
-    carry less than ``floor**2`` of the squared length.
-    """
-    from pyspark.sql import Window
 
+def gram_index(counts: DataFrame, text: str, rarity: DataFrame) -> DataFrame:
+    """(text, gram, carried): the share of the squared vector length that a gram and all
+    grams more common than it carry.
+
+    Two texts whose cosine is at least ``c`` share a gram with ``carried >= c * c`` in both.
+    """
     w = Window.partitionBy(text).orderBy(F.col("df").desc(), F.col("gram").desc())
-    tail = F.sum(F.col("occ") * F.col("occ")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    square = F.col("occ") * F.col("occ")
     return (
-        grams_df.join(rarity, "gram")
-        .withColumn("__tail", tail)
-        .filter(F.col("__tail") >= F.lit(floor * floor - 1e-9) * F.col("norm2"))
-        .select(text, "gram")
+        counts.join(rarity, "gram", "left")
+        .withColumn("df", F.coalesce("df", F.lit(0)))
+        .withColumn("__tail", F.sum(square).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("__all", F.sum(square).over(Window.partitionBy(text)))
+        .select(text, "gram", (F.col("__tail") / F.col("__all")).alias("carried"))
     )
 
 
-def cosine_pairs(left: DataFrame, right: DataFrame, size: int, floor: float) -> DataFrame:
-    """All (query, entry) pairs of distinct texts with a gram cosine of at least ``floor`` > 0.
+def index_pair(left: DataFrame, right: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """Gram indexes of ``left`` (column ``query``) and ``right`` (column ``entry``).
 
-    ``left`` has column ``query``, ``right`` has column ``entry``.
+    How common a gram is, is counted on the entries; query grams no entry has come first
+    in the order and meet nothing.
     """
-    lg, rg = grams(left, "query", size), grams(right, "entry", size)
-    rarity = (
-        lg.select("gram").unionByName(rg.select("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    )
+    entries = materialise(gram_counts(right, "entry", size), "grams")
+    rarity = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    asked = gram_index(gram_counts(left, "query", size), "query", rarity)
+    return materialise(asked, "asked"), materialise(gram_index(entries, "entry", rarity), "index")
+
+
+def cosine_pairs(asked: DataFrame, index: DataFrame, size: int, floor: float) -> DataFrame:
+    """All (query, entry, cosine) of the two indexes with a gram cosine of at least ``floor`` > 0."""
+    enough = F.col("carried") >= floor * floor - 1e-9
     met = (
-        _ranked(lg, "query", rarity, floor)
-        .join(_ranked(rg, "entry", rarity, floor), "gram")
-        .select("query", "entry")
-        .distinct()
-    )
-    dots = (
-        met.join(lg.withColumnsRenamed({"occ": "lo", "norm2": "ln"}), "query")
-        .join(rg.withColumnsRenamed({"occ": "ro", "norm2": "rn"}), ["entry", "gram"])
-        .groupBy("query", "entry")
-        .agg(F.sum(F.col("lo") * F.col("ro")).alias("dot"), F.max("ln").alias("ln"), F.max("rn").alias("rn"))
+        asked.filter(enough).join(index.filter(enough).select("entry", "gram"), "gram").select("query", "entry").distinct()
     )
-    cosine = F.col("dot") / (F.sqrt("ln") * F.sqrt("rn"))
-    return dots.select("query", "entry", cosine.alias("cosine")).filter(F.col("cosine") >= floor - 1e-9)
+    cosine = gram_cosine(F.col("query"), F.col("entry"), F.lit(size))
+    return met.withColumn("cosine", cosine).filter(F.col("cosine") >= floor - 1e-9)
+
+
+def _best(pairs: DataFrame) -> DataFrame:
+    rounded = pairs.select("query", "entry", F.round("cosine", 12).alias("ratio"))
+    return first_per_key(rounded, ["query"], [F.col("ratio").desc(), F.col("entry").asc()])
+
+
+def _search(todo: DataFrame, entries: DataFrame, size: int, floor: float) -> tuple[DataFrame, DataFrame]:
+    """Best pairs of the queries that have one at ``floor``, and the query index.
+
+    A query found at a strict level needs no look at the weaker ones, where candidates
+    are many.
+    """
+    asked, index = index_pair(todo, entries, size)
+    found, open_index = None, asked
+    for level in _cuts(floor):
+        best = materialise(_best(cosine_pairs(open_index, index, size, level)), "best")
+        found = best if found is None else found.unionByName(best)
+        open_index = open_index.join(best.select("query"), "query", "left_anti")
+        if open_index.isEmpty():
+            break
+    return found, asked
 
 
 def substring_bonus(query: Column, entry: Column, ratio: Column) -> Column:
@@ -95,28 +115,26 @@ def fuzzy_best(queries: DataFrame, query_col: str, entries: DataFrame, entry_col
     3-grams occur in no entry are searched by 2-grams. Ties go to the smallest text.
     Returns ``(query_col, match, score)``.
     """
-    floor = max(2 * cut - 1, 0.0)
+    floor = 2 * cut - 1
     if floor <= 0:
         raise ValueError("a cut of 0.5 or less matches anything that shares one gram")
     q = queries.select(F.col(query_col)).distinct().withColumn("query", match_key(F.col(query_col)))
     e = entries.select(F.col(entry_col).alias("match")).distinct().withColumn("entry", match_key(F.col("match")))
-    e = e.filter(F.length("entry") > 0).groupBy("entry").agg(F.min("match").alias("match"))
+    e = materialise(e.filter(F.length("entry") > 0).groupBy("entry").agg(F.min("match").alias("match")), "entries")
     texts = q.filter(F.length("query") > 0).select("query").distinct()
+    keys = e.select("entry")
+    equal = texts.join(keys, F.col("query") == F.col("entry")).withColumn("ratio", F.lit(1.0))
+    todo = materialise(texts.join(keys, F.col("query") == F.col("entry"), "left_anti"), "queries")
     wide, narrow = GRAM_SIZES
-    vocabulary = grams(e, "entry", wide).select("gram").distinct()
-    known = grams(texts, "query", wide).join(vocabulary, "gram", "left_semi").select("query").distinct()
-    unknown = texts.join(known, "query", "left_anti")
-    pairs = cosine_pairs(known, e, wide, floor).unionByName(cosine_pairs(unknown, e, narrow, floor))
-    same = F.col("query") == F.col("entry")
-    ratio = F.when(same, F.lit(1.0)).otherwise(F.round("cosine", 12))
-    best = first_per_key(
-        pairs.withColumn("ratio", ratio).join(e, "entry"),
-        ["query"],
-        [same.desc(), F.col("ratio").desc(), F.col("entry").asc()],
-    )
-    scored = best.withColumn(
-        "score", F.col("ratio") + substring_bonus(F.col("query"), F.col("entry"), F.col("ratio"))
-    )
+    found, asked = _search(todo, keys, wide, floor)
+    seen = gram_counts(keys, "entry", wide).select("gram").distinct()
+    strange = todo.join(asked.join(seen, "gram", "left_semi").select("query").distinct(), "query", "left_anti")
+    strange = materialise(strange, "strange")
+    found = equal.unionByName(found)
+    if not strange.isEmpty():
+        found = found.unionByName(_search(strange, keys, narrow, floor)[0])
+    bonus = substring_bonus(F.col("query"), F.col("entry"), F.col("ratio"))
+    scored = found.join(e, "entry").withColumn("score", F.col("ratio") + bonus)
     return scored.filter(F.col("score") >= cut).join(q, "query").select(query_col, "match", "score")
 
 
@@ -127,8 +145,6 @@ def _rare_prefix(texts: DataFrame, text: str, rarity: DataFrame, floor: float) -
     most ``2(n-L) + (m-L)`` of the ``n+1`` padded bigrams. ``L > floor(n+m)/2`` and
     ``m >= n * floor / (2 - floor)`` bound the survivors from below, so that many may be left out.
     """
-    from pyspark.sql import Window
-
     n = F.length(text).cast("double")
     shortest = n * F.lit(floor / (2 - floor))
     survive = F.lit(1.0) + (F.lit(1.5 * floor) - 1) * (n + shortest)
