@@ -16,6 +16,7 @@ from cadenza.operators.keys import first_per_key
 from cadenza.session import materialise
 
 GRAM_SIZES = (3, 2)  # fixed values: tried in this order
+STRICT = 0.8
 
 
 def char_grams(c: Column, size: int) -> Column:
@@ -29,7 +30,7 @@ def _padded_grams(c: Column, size: int) -> Column:
 
 def _cuts(floor: float) -> list[float]:
     """Cosine levels to search at, from strict to ``floor``."""
-    return [level for level in (0.9, 0.8, 0.65) if level > floor] + [floor]
+    return [STRICT, floor] if STRICT > floor else [floor]
 
 
 def gram_counts(texts: DataFrame, text: str, size: int) -> DataFrame:
@@ -61,7 +62,7 @@ def index_pair(left: DataFrame, right: DataFrame, size: int) -> tuple[DataFrame,
     How common a gram is, is counted on the entries; query grams no entry has come first
     in the order and meet nothing.
     """
-    entries = materialise(gram_counts(right, "entry", size), "grams")
+    entries = gram_counts(right, "entry", size)
     rarity = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     asked = gram_index(gram_counts(left, "query", size), "query", rarity)
     return materialise(asked, "asked"), materialise(gram_index(entries, "entry", rarity), "index")
@@ -94,7 +95,7 @@ def _search(todo: DataFrame, entries: DataFrame, size: int, floor: float) -> tup
         best = materialise(_best(cosine_pairs(open_index, index, size, level)), "best")
         found = best if found is None else found.unionByName(best)
         open_index = open_index.join(best.select("query"), "query", "left_anti")
-        if open_index.isEmpty():
+        if level > floor and open_index.isEmpty():
             break
     return found, asked
 
@@ -129,7 +130,6 @@ def fuzzy_best(queries: DataFrame, query_col: str, entries: DataFrame, entry_col
     found, asked = _search(todo, keys, wide, floor)
     seen = gram_counts(keys, "entry", wide).select("gram").distinct()
     strange = todo.join(asked.join(seen, "gram", "left_semi").select("query").distinct(), "query", "left_anti")
-    strange = materialise(strange, "strange")
     found = equal.unionByName(found)
     if not strange.isEmpty():
         found = found.unionByName(_search(strange, keys, narrow, floor)[0])
