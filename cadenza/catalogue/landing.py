@@ -164,61 +164,57 @@ _KIND = "CASE WHEN event_type IN ('click', 'view') THEN 'track' WHEN event_type
 @query(
     "chart_entries",
     oracle(
-        f"SELECT event_type AS category, k AS type, strftime(ts, '%d') AS chart, CASE WHEN k = 'artist' THEN '' ELSE 'n' || CAST(event_id AS VARCHAR) END AS title, CASE WHEN k = 'artist' THEN 'n' || CAST(event_id AS VARCHAR) ELSE 'a/b' END AS artist, "
-        f"CAST(user_id AS VARCHAR) AS entity_id, CAST(event_id AS INT) AS current_rank, CASE WHEN value > 10 THEN CAST(floor(value) AS BIGINT) ELSE 0 END AS streams FROM (SELECT *, {_KIND} AS k FROM events) WHERE value <= 50"
+        f"SELECT event_id, k AS type, strftime(ts, '%d') AS chart, j AS position, CASE WHEN k = 'artist' THEN '' ELSE 'n' || CAST(event_id AS VARCHAR) END AS title, CASE WHEN k = 'artist' THEN 'n' || CAST(event_id AS VARCHAR) ELSE 'a/b' END AS artist, "
+        f"CAST(user_id AS VARCHAR) AS entity_id, CAST(event_id + j AS INT) AS current_rank, CASE WHEN value > 10 THEN CAST(floor(value) AS BIGINT) ELSE 0 END AS streams FROM (SELECT *, {_KIND} AS k, CAST(unnest(range(2)) AS INT) AS j FROM events) WHERE j = 0 OR value <= 50"
     ),
 )
 def chart_entries_query(spark, folder):
-    """Chart objects, one per event type and day; entries of high value lack required fields."""
+    """A chart object of two entries per event; the second lacks required fields for high values."""
     t = Tables(spark, folder)
     kind = F.when(F.col("event_type").isin("click", "view"), "track").when(F.col("event_type") == "error", "album").otherwise("artist")
-    facts = F.struct(
-        F.col("event_id").cast("int").alias("currentRank"),
-        F.when(F.col("value") > 10, F.struct(F.floor("value").alias("value"))).alias("rankingMetric"),
-    )
 
     def about(k):
         people = F.array(F.struct(F.lit("a").alias("name")), F.struct(F.lit("b").alias("name")))
-        return F.when(
-            kind == k,
-            F.struct(
-                F.concat(F.lit("n"), F.col("event_id").cast("string")).alias(f"{k}Name"),
-                F.concat(F.lit(f"p:{k}:"), F.col("user_id").cast("string")).alias(f"{k}Uri"),
-                people.alias("artists"),
-            ),
-        ).alias(f"{k}Metadata")
-
-    entry = F.struct(about("track"), about("album"), about("artist"), facts.alias("chartEntryData"), (F.col("value") > 50).alias("missingRequiredFields"))
-    lead = F.when(kind == "track", "regional-").when(kind == "album", "album-").otherwise("artist-")
-    charts = (
-        t.events.select("event_type", lead.alias("lead"), F.date_format("ts", "dd").alias("chart"), entry.alias("e"))
-        .groupBy("event_type", "lead", "chart")
-        .agg(F.to_json(F.struct(F.collect_list("e").alias("entries"))).alias("json"))
-        .withColumn("category", F.concat("lead", "event_type"))
+        named = F.struct(
+            F.concat(F.lit("n"), F.col("event_id").cast("string")).alias(f"{k}Name"),
+            F.concat(F.lit(f"p:{k}:"), F.col("user_id").cast("string")).alias(f"{k}Uri"),
+            people.alias("artists"),
+        )
+        return F.when(kind == k, named).alias(f"{k}Metadata")
+
+    def entry(place, missing):
+        facts = F.struct(
+            (F.col("event_id") + place).cast("int").alias("currentRank"),
+            F.when(F.col("value") > 10, F.struct(F.floor("value").alias("value"))).alias("rankingMetric"),
+        )
+        return F.struct(about("track"), about("album"), about("artist"), facts.alias("chartEntryData"), missing.alias("missingRequiredFields"))
+
+    lead = F.when(kind == "track", "regional-daily").when(kind == "album", "album-daily").otherwise("artist-daily")
+    entries = F.array(entry(0, F.lit(None).cast("boolean")), entry(1, F.col("value") > 50))
+    charts = t.events.select(
+        "event_id", lead.alias("category"), F.date_format("ts", "dd").alias("chart"), F.to_json(F.struct(entries.alias("entries"))).alias("json")
     )
-    rows = chart_entries(parsed(charts.drop("lead"), "json", CHART).drop("json"))
-    return rows.select(F.col("event_type").alias("category"), "type", "chart", "title", "artist", "entity_id", "current_rank", "streams")
+    rows = chart_entries(parsed(charts, "json", CHART).drop("json"))
+    return rows.select("event_id", "type", "chart", "position", "title", "artist", "entity_id", "current_rank", "streams")
 
 
 @query(
     "genre_pages",
-    oracle("SELECT event_type AS genre, CAST(event_id AS VARCHAR) AS item_id, row_number() OVER (PARTITION BY event_type ORDER BY strftime(ts, '%d'), event_id) AS rank, user_id AS views FROM events"),
+    oracle("SELECT event_type AS genre, CAST(event_id AS VARCHAR) AS item_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id, j) AS rank, user_id + j AS views FROM (SELECT *, unnest(range(2)) AS j FROM events)"),
 )
 def genre_pages(spark, folder):
-    """Paged genre charts (a page per day) to rows ranked over all pages."""
+    """Paged genre charts, a page of two items per event, to rows ranked over all pages."""
     t = Tables(spark, folder)
-    about = F.struct(
-        F.col("event_id").alias("id"), F.lit("é t").alias("full_title"), F.lit("a").alias("artist_names"),
-        F.struct(F.lit(None).cast("bigint").alias("concurrents"), F.lit(None).cast("boolean").alias("hot"), F.col("user_id").alias("pageviews")).alias("stats"),
-    )
-    row = F.struct(F.col("event_id").alias("__o"), F.struct(about.alias("item")).alias("x"))
-    pages = (
-        t.events.select(F.col("event_type").alias("genre"), F.date_format("ts", "dd").cast("int").alias("page"), row.alias("r"))
-        .groupBy("genre", "page")
-        .agg(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["x"]).alias("items"))
-    )
-    typed = pages.withColumn("items", F.from_json(F.to_json("items"), GENRE_ITEMS))
-    return genre_chart_rows(typed).select("genre", "item_id", "rank", "views")
+
+    def item(place):
+        stats = F.struct(
+            F.lit(None).cast("bigint").alias("concurrents"), F.lit(None).cast("boolean").alias("hot"), (F.col("user_id") + place).alias("pageviews")
+        )
+        about = F.struct(F.col("event_id").alias("id"), F.lit("é t").alias("full_title"), F.lit("a").alias("artist_names"), stats.alias("stats"))
+        return F.struct(about.alias("item"))
+
+    pages = t.events.select(F.col("event_type").alias("genre"), F.col("event_id").alias("page"), F.to_json(F.array(item(0), item(1))).alias("json"))
+    return genre_chart_rows(parsed(pages, "json", GENRE_ITEMS, "items")).select("genre", "item_id", "rank", "views")
 
 
 _TEXT = "CASE WHEN o_orderpriority = '5-LOW' THEN strftime(o_orderdate, '%Y') WHEN o_orderpriority = '1-URGENT' THEN strftime(o_orderdate, '%Y-%m') ELSE strftime(o_orderdate, '%Y-%m-%d') END"

@@ -13,7 +13,7 @@ from cadenza.catalogue.registry import oracle, query
 from cadenza.functions.dates import back
 from cadenza.operators.keys import assign_ids
 from cadenza.operators.maintain import append, change_only, insert_absent, patch, replace_window, unique_delta, upsert
-from cadenza.plans.enrich import extend_cache, patch_colours, platform_ids, recache, refresh_id_map, stalest
+from cadenza.plans.enrich import extend_cache, patch_colours, recache, refresh_id_map, stalest
 from cadenza.plans.ingest import load_daily, load_territory_streams
 
 SINCE = back(AS_OF, 20)
@@ -304,24 +304,6 @@ def id_map_refresh(spark, folder):
     return refresh_id_map(current, people, directory)
 
 
-@query(
-    "id_map_fan_out",
-    oracle(
-        "SELECT b.target_id, x.a AS twitter_id, y.a AS instagram_id FROM (SELECT DISTINCT l_orderkey AS target_id FROM lineitem) b "
-        "LEFT JOIN (SELECT DISTINCT l_orderkey AS k, CAST(l_partkey AS VARCHAR) AS a FROM lineitem WHERE l_linenumber = 1) x ON x.k = b.target_id "
-        "LEFT JOIN (SELECT DISTINCT l_orderkey AS k, CAST(l_partkey AS VARCHAR) AS a FROM lineitem WHERE l_linenumber = 2) y ON y.k = b.target_id"
-    ),
-)
-def id_map_fan_out(spark, folder):
-    """All combinations where a target has several accounts of a kind."""
-    t = Tables(spark, folder)
-    rows = t.lineitem.filter(F.col("l_linenumber").isin(1, 2)).select(
-        F.col("l_orderkey").alias("target_id"), F.col("l_linenumber").alias("type"), F.col("l_partkey").cast("string").alias("account_id")
-    )
-    wanted = t.lineitem.select(F.col("l_orderkey").alias("target_id")).distinct()
-    return platform_ids(wanted, rows, fan_out=True).select("target_id", "twitter_id", "instagram_id")
-
-
 @query(
     "cache_extend",
     oracle(

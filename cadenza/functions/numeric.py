@@ -14,7 +14,7 @@ def _col(c: Column | str) -> Column:
 
 
 def safe_ratio(a: Column | str, b: Column | str) -> Column:
-    """``a / b``; a positive number over zero is infinite, zero over zero is null.
+    """``a / b``; a positive number over zero is infinite, zero over zero and nulls are null.
 
     Infinity passes every ``>=`` threshold and null passes none, which is what the
     report filters rely on.
@@ -22,8 +22,8 @@ def safe_ratio(a: Column | str, b: Column | str) -> Column:
     a, b = _col(a).cast("double"), _col(b).cast("double")
     return (
         F.when(b != 0, F.try_divide(a, b))
-        .when(a > 0, F.lit(float("inf")))
-        .when(a < 0, F.lit(float("-inf")))
+        .when((b == 0) & (a > 0), F.lit(float("inf")))
+        .when((b == 0) & (a < 0), F.lit(float("-inf")))
     )
 
 

@@ -24,16 +24,19 @@ def contains_any(
 
     A short list becomes a literal array tested inside the scan. A long one is joined:
     every pattern is anchored on its first ``ANCHOR`` characters (a shorter one on all of
-    it), the distinct texts are cut into pieces of those few sizes, and only the pairs
-    that share an anchor are tested.
+    it), the texts are cut into pieces of those few sizes, and only the pairs that share
+    an anchor are tested. The pieces travel with a digest of their text, never with the
+    text itself.
     """
     lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
     few = _small_list(patterns, pattern, literal_limit)
     if few is not None:
         if not few:
             return df.withColumn(flag, F.lit(False))
-        found = F.exists(F.array(*[F.lit(p) for p in few]), lambda p: F.contains(lowered, p))
-        return df.withColumn(flag, found)
+        listed = F.array(*[F.lit(p) for p in few])
+        # The one-element array lower-cases a text once, not once per pattern.
+        found = F.transform(F.array(lowered), lambda t: F.exists(listed, lambda p: F.contains(t, p)))
+        return df.withColumn(flag, F.get(found, F.lit(0)))
     wanted = (
         patterns.select(F.lower(pattern).alias("__p"))
         .filter(F.length("__p") > 0)
@@ -41,14 +44,13 @@ def contains_any(
         .withColumn("__g", F.substring("__p", 1, ANCHOR))
     )
     sizes = sorted(r.n for r in wanted.select(F.length("__g").alias("n")).distinct().collect())
-    texts = df.select(lowered.alias("__t")).distinct()
-    pieces = F.array_distinct(F.concat(*[char_grams(F.col("__t"), n) for n in sizes]))
-    met = texts.select("__t", F.explode(pieces).alias("__g")).join(wanted, "__g")
-    hits = met.filter(F.contains(F.col("__t"), F.col("__p"))).select("__t").distinct()
-    hits = hits.withColumn("__hit", F.lit(True))
+    pieces = F.array_distinct(F.concat(*[char_grams(lowered, n) for n in sizes]))
+    keyed = df.withColumn("__k", F.sha2(lowered, 256))
+    met = keyed.select("__k", F.explode(pieces).alias("__g")).join(wanted, "__g").select("__k", "__p").distinct()
+    hits = keyed.select("__k", lowered.alias("__t")).join(met, "__k").filter(F.contains(F.col("__t"), F.col("__p")))
+    hits = hits.select("__k", F.lit(True).alias("__hit")).distinct()
     return (
-        df.withColumn("__t", lowered)
-        .join(hits, "__t", "left")
+        keyed.join(hits, "__k", "left")
         .withColumn(flag, F.coalesce("__hit", F.lit(False)))
         .select(*[c for c in df.columns if c != flag], flag)
     )

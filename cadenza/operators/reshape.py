@@ -53,23 +53,15 @@ def pivot_dates(df: DataFrame, keys: Sequence[str], dates: Sequence[dt.date], va
 
 
 def attributes_to_columns(
-    df: DataFrame, keys: Sequence[str], kind: str, value: str, names: Mapping[int, str], fan_out: bool = False
+    df: DataFrame, keys: Sequence[str], kind: str, value: str, names: Mapping[int, str]
 ) -> DataFrame:
-    """One attribute per row to one column per kind.
+    """One attribute per row to one column per kind, one row per key.
 
-    By default one row per key with the smallest value of each kind. ``fan_out`` keeps
-    every combination, so a key with two values of one kind gets two rows.
+    Of several values of one kind the smallest is taken. (Joining one table per kind
+    would multiply such keys, and a keyed upsert could not take the result.)
     """
-    if not fan_out:
-        cells = [F.min(F.when(F.col(kind) == code, F.col(value))).alias(name) for code, name in names.items()]
-        return df.groupBy(*keys).agg(*cells)
-    lists = [
-        F.collect_set(F.when(F.col(kind) == code, F.col(value))).alias(name) for code, name in names.items()
-    ]
-    out = df.groupBy(*keys).agg(*lists)
-    for name in names.values():
-        out = out.withColumn(name, F.explode_outer(name))
-    return out
+    cells = [F.min(F.when(F.col(kind) == code, F.col(value))).alias(name) for code, name in names.items()]
+    return df.groupBy(*keys).agg(*cells)
 
 
 def unpack(df: DataFrame, column: str, name: str, sep: str = "/") -> DataFrame:

@@ -28,14 +28,13 @@ DEFAULT_COLOUR = "#000000"
 RECACHE_SIZE = 2000  # fixed value
 
 
-def platform_ids(wanted: DataFrame, directory: DataFrame, fan_out: bool = False) -> DataFrame:
+def platform_ids(wanted: DataFrame, directory: DataFrame) -> DataFrame:
     """One column per platform for every wanted target.
 
-    ``directory`` is (target_id, type, account_id). One row per target by default; with
-    ``fan_out`` a target with two accounts of a kind has two rows.
+    ``directory`` is (target_id, type, account_id).
     """
     held = directory.join(wanted.select("target_id").distinct(), "target_id", "left_semi")
-    wide = attributes_to_columns(held, ["target_id"], "type", "account_id", ACCOUNT_KINDS, fan_out)
+    wide = attributes_to_columns(held, ["target_id"], "type", "account_id", ACCOUNT_KINDS)
     return wanted.join(wide, "target_id", "left")
 
 

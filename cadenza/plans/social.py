@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.functions.dates import back
-from cadenza.functions.numeric import not_true, present
+from cadenza.functions.numeric import change, not_true, present
 from cadenza.operators.binned import above, fit_model, last_days, mean_score
 from cadenza.operators.charts import mark_new
 from cadenza.operators.keys import large_groups, top_per_key
@@ -205,8 +205,6 @@ def snapshot_growth(
     base = wide.filter((F.col(f"tw_{lead}") >= floor) & (F.col(f"lw_{lead}") != 0))
     risen = F.lit(False)
     for v in values:
-        tw, lw = F.col(f"tw_{v}").cast("double"), F.col(f"lw_{v}").cast("double")
-        pct = F.when(lw != 0, (F.try_divide(tw, lw) - 1) * 100).when(tw > 0, F.lit(float("inf")))
-        base = base.withColumn(f"{v}_pct_chg", pct)
+        base = base.withColumn(f"{v}_pct_chg", change(f"tw_{v}", f"lw_{v}") * 100)
         risen = risen | F.coalesce(F.col(f"{v}_pct_chg") > min_pct, F.lit(False))
     return base.filter(risen).join(known, key, "left").filter(not_true("signed"))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions.dates import complete_date
 from cadenza.functions.text import nfkd
+from cadenza.operators.keys import rank_per_key
 
 IMAGES = "array<struct<height:int,url:string>>"
 TRACK = (
@@ -192,22 +193,14 @@ def chart_entries(df: DataFrame, chart: str = "o") -> DataFrame:
 
 
 def genre_chart_rows(pages: DataFrame, items: str = "items") -> DataFrame:
-    """Genre-chart pages (genre, page, items) to rows with a running rank over all pages.
-
-    A page starts where the earlier pages of its genre end, so only page sizes are
-    summed, not rows.
-    """
-    w = Window.partitionBy("genre").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
-    starts = pages.select("genre", "page", F.size(items).alias("__n")).withColumn(
-        "__start", F.coalesce(F.sum("__n").over(w), F.lit(0))
-    )
-    rows = pages.select("genre", "page", F.posexplode(items).alias("__pos", "i"))
-    rows = rows.join(starts.drop("__n"), ["genre", "page"])
+    """Genre-chart pages (genre, page, items) to rows with a running rank over all pages."""
+    rows = pages.select("genre", "page", F.posexplode(items).alias("position", "i"))
+    ranked = rank_per_key(rows, ["genre"], [F.col("page").asc(), F.col("position").asc()], "rank")
     stats = F.col("i.item.stats")
-    return rows.select(
+    return ranked.select(
         "genre",
         F.col("i.item.id").cast("string").alias("item_id"),
-        (F.col("__start") + F.col("__pos") + 1).cast("int").alias("rank"),
+        "rank",
         F.coalesce(stats["concurrents"], F.lit(0)).alias("concurrents"),
         F.coalesce(stats["hot"], F.lit(False)).alias("is_hot"),
         F.coalesce(stats["pageviews"], F.lit(0)).alias("views"),
