@@ -72,11 +72,10 @@ def global_rank(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
 
 def _sorted_slots(df: DataFrame, lead: Sequence[Column], order: Sequence[Column]) -> DataFrame:
     """Range-sorted rows with their task number and their place inside it."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by = [*lead, *order]
     row = F.monotonically_increasing_id()
     sorted_rows = (
-        df.repartitionByRange(parts, *by)
+        df.repartitionByRange(*by)
         .sortWithinPartitions(*by)
         .withColumn("__row", row)
         .withColumn("__task", F.shiftright("__row", 33).cast("int"))
