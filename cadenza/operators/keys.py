@@ -85,12 +85,16 @@ def _sorted_slots(df: DataFrame, lead: Sequence[Column], order: Sequence[Column]
     return materialise(sorted_rows, "ranked")
 
 
-def mode_per_key(
-    df: DataFrame, keys: Sequence[str], value: str, count_name: str = "n", carry: Sequence[str] = ()
-) -> DataFrame:
-    """The most frequent non-null ``value`` per key; ties go to the smallest value."""
-    counts = df.groupBy(*keys, value, *carry).agg(F.count(value).alias(count_name))
-    return top_per_key(counts, keys, count_name, value, *carry)
+def mode_per_key(df: DataFrame, keys: Sequence[str], value: str, count_name: str = "n") -> DataFrame:
+    """The most frequent non-null ``value`` per key; ties go to the smallest value.
+
+    Two aggregations with map-side combine; no group is ever sorted.
+    """
+    counts = df.groupBy(*keys, value).agg(F.count(value).alias(count_name))
+    best = F.min(F.struct((-F.col(count_name)).alias("m"), F.col(value).alias("v")))
+    return counts.groupBy(*keys).agg(best.alias("__b")).select(
+        *keys, F.col("__b.v").alias(value), (-F.col("__b.m")).alias(count_name)
+    )
 
 
 def share_of_group(df: DataFrame, keys: Sequence[str], count_col: str, name: str, places: int) -> DataFrame:
@@ -114,6 +118,15 @@ def value_counts(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
+def keep_keys(df: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key is in ``wanted``.
+
+    An inner join with the distinct keys, not a semi join: Catalyst pushes a semi join
+    below an aggregation, and then the raw rows of a hot key are shuffled unsummed.
+    """
+    return df.join(wanted.select(*keys).distinct(), list(keys))
+
+
 def not_in(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is absent from ``other``; nulls in ``other`` hide nothing."""
     return df.join(other.select(*keys), list(keys), "left_anti")

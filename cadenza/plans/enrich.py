@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions.numeric import id_text, present
-from cadenza.operators.keys import mode_per_key, not_in, top_per_key, with_fallback
+from cadenza.operators.keys import keep_keys, mode_per_key, not_in, top_per_key, with_fallback
 from cadenza.operators.maintain import append, patch, upsert
 from cadenza.operators.reshape import attributes_to_columns
 
@@ -33,8 +33,7 @@ def platform_ids(wanted: DataFrame, directory: DataFrame) -> DataFrame:
 
     ``directory`` is (target_id, type, account_id).
     """
-    held = directory.join(wanted.select("target_id").distinct(), "target_id", "left_semi")
-    wide = attributes_to_columns(held, ["target_id"], "type", "account_id", ACCOUNT_KINDS)
+    wide = attributes_to_columns(directory, ["target_id"], "type", "account_id", ACCOUNT_KINDS)
     return wanted.join(wide, "target_id", "left")
 
 
@@ -51,7 +50,7 @@ def refresh_id_map(current: DataFrame, artists: DataFrame, directory: DataFrame,
 def profile_candidates(artists: DataFrame, cached: DataFrame, tracks: DataFrame, songs: DataFrame) -> DataFrame:
     """The platform id that most of an uncached, home artist's songs point to (null without songs)."""
     todo = not_in(artists.filter(F.col("is_global") == F.lit(False)), cached, ["artist_id"]).select("artist_id")
-    seen = tracks.join(todo, "artist_id", "left_semi").join(songs, "song_id")
+    seen = keep_keys(tracks, todo, ["artist_id"]).join(songs, "song_id")
     best = mode_per_key(seen.filter(F.col("platform_artist_id").isNotNull()), ["artist_id"], "platform_artist_id")
     return todo.join(best.select("artist_id", "platform_artist_id"), "artist_id", "left")
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.functions.numeric import not_true
+from cadenza.operators.keys import keep_keys
 from cadenza.operators.timegrid import calendar_weekly_sums, streaks, weekly_sums
 
 EIGHT_WEEKS = 64  # fixed value: days before the as-of date, both ends excluded
@@ -27,10 +27,11 @@ def eight_week_growth(
 
     ``entities`` is the denormalised view (``key``, ``tw_streams``, ``signed``, …); its
     columns are returned with the streak measures. Not sorted: see :func:`by_strength`.
+    Streams are summed to weeks before anything is joined, so an entity costs at most
+    one row per week and map task in the shuffle, however hot it is.
     """
     chosen = entities.filter((F.col("tw_streams") > floor) & (F.col("signed") == F.lit(False)))
-    held = streams.join(chosen.select(key), key, "left_semi")
-    strong = streaks(weekly_sums(held, [key], "streams", as_of, days), [key], "streams").filter(
+    strong = streaks(weekly_sums(streams, [key], "streams", as_of, days), [key], "streams").filter(
         (F.col("rolling_pct_chg") > 0) & (F.col("num_positive_weeks") > min_weeks)
     )
     return strong.join(chosen, key)
@@ -54,27 +55,20 @@ def genre_set_growth(
     An artist in several listed genres counts once. The first week counts when it has
     any streams.
     """
-    members = genre_artists.filter(F.col("genre").isin(list(genres))).select("artist_id").distinct()
-    chosen = entities.filter((F.col("signed") == F.lit(False)) & (F.col("tw_streams") > floor)).join(
-        members, "artist_id", "left_semi"
-    )
-    held = streams.join(chosen.select("artist_id"), "artist_id", "left_semi")
-    weeks = streaks(calendar_weekly_sums(held, ["artist_id"], "streams", since), ["artist_id"], "streams", True)
+    members = genre_artists.filter(F.col("genre").isin(list(genres)))
+    unsigned = entities.filter((F.col("signed") == F.lit(False)) & (F.col("tw_streams") > floor))
+    chosen = keep_keys(unsigned, members, ["artist_id"])
+    weeks = streaks(calendar_weekly_sums(streams, ["artist_id"], "streams", since), ["artist_id"], "streams", True)
     positive = weeks.select("artist_id", F.col("num_positive_weeks").alias("positive_weeks"))
     return positive.filter(F.col("positive_weeks") > min_weeks).join(chosen, "artist_id")
 
 
 def with_release_span(report: DataFrame, artist_tracks: DataFrame, songs: DataFrame) -> DataFrame:
     """Add the first and last release date over each artist's songs; artists without drop out."""
-    tracks = artist_tracks.join(report.select("artist_id"), "artist_id", "left_semi")
+    tracks = keep_keys(artist_tracks, report, ["artist_id"])
     span = (
         tracks.join(songs.select("song_id", "release_date"), "song_id")
         .groupBy("artist_id")
         .agg(F.min("release_date").alias("min_release_date"), F.max("release_date").alias("max_release_date"))
     )
     return report.join(span, "artist_id")
-
-
-def unsigned(df: DataFrame) -> DataFrame:
-    """Rows not known to be signed."""
-    return df.filter(not_true("signed"))

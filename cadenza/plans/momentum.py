@@ -78,8 +78,7 @@ def daily_momentum(
     known = loud.join(songs, key, "left").filter(not_true("signed"))
     picked = momentum_metrics(known, days).filter(momentum_rule(rolling_floor)).drop(*days)
     fortnight = [back(as_of, i) for i in range(14)]
-    held = streams.join(picked.select(key), key, "left_semi")
-    return picked.join(pivot_dates(held, [key], fortnight, "streams"), key, "left")
+    return picked.join(pivot_dates(streams, [key], fortnight, "streams"), key, "left")
 
 
 def acceleration_metrics(wide: DataFrame, days: list[str]) -> DataFrame:

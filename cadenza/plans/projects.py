@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cadenza.functions.dates import back
 from cadenza.functions.numeric import fraction_or_zero, lifetime_revenue, present, yearly_revenue
 from cadenza.functions.text import contains_any_word
-from cadenza.operators.keys import mode_per_key, share_of_group, top_per_key
+from cadenza.operators.keys import keep_keys, mode_per_key
 from cadenza.operators.maintain import patch
 
 # What makes an album a compilation, and what makes a project valid.
@@ -22,13 +22,22 @@ MIN_CONFIDENCE = 0.5
 def project_meta(collections: DataFrame, tracks: DataFrame, album_type: str = "Album") -> DataFrame:
     """Each collection with its dominant artist, track count, that artist's share, and validity.
 
-    ``tracks`` is the (song, artist, collection) map. Counting happens on the two ids
-    alone; the descriptive columns join afterwards.
+    ``tracks`` is the (song, artist, collection) map. Two aggregations on the ids alone
+    find the artist, its count and the total; the descriptive columns join afterwards.
     """
-    per_artist = tracks.groupBy("collection_id", "artist_id").agg(F.count(F.lit(1)).alias("num_artist_tracks"))
-    shared = share_of_group(per_artist, ["collection_id"], "num_artist_tracks", "confidence", 1)
-    main = top_per_key(shared, ["collection_id"], "num_artist_tracks", "artist_id")
-    out = main.withColumnRenamed("num_artist_tracks_total", "track_count").join(collections, "collection_id")
+    per_artist = tracks.groupBy("collection_id", "artist_id").agg(F.count(F.lit(1)).alias("n"))
+    main = per_artist.groupBy("collection_id").agg(
+        F.sum("n").alias("track_count"), F.min(F.struct((-F.col("n")).alias("n"), "artist_id")).alias("__m")
+    )
+    count = (-F.col("__m.n")).cast("decimal(18,0)")
+    main = main.select(
+        "collection_id",
+        F.col("__m.artist_id").alias("artist_id"),
+        "track_count",
+        (-F.col("__m.n")).alias("num_artist_tracks"),
+        F.round(count / F.col("track_count").cast("decimal(18,0)"), 1).cast("double").alias("confidence"),
+    )
+    out = main.join(collections, "collection_id")
     valid = (
         (F.col("num_artist_tracks") > MIN_TRACKS)
         & (F.col("confidence") > MIN_CONFIDENCE)
@@ -43,8 +52,8 @@ def project_images(projects: DataFrame, links: DataFrame, images: DataFrame) ->
 
     ``links`` is (song_id, collection_id) per track, ``images`` is (song_id, image).
     """
-    bare = projects.filter(F.col("image").isNull()).select("collection_id")
-    used = links.join(bare, "collection_id", "left_semi").join(images.filter(present("image")), "song_id")
+    bare = projects.filter(F.col("image").isNull())
+    used = keep_keys(links, bare, ["collection_id"]).join(images.filter(present("image")), "song_id")
     best = mode_per_key(used, ["collection_id"], "image")
     return patch(projects, best, ["collection_id"], ["image"])
 
@@ -87,35 +96,42 @@ def project_recent(
 ) -> DataFrame:
     """The recent album report: modal genre, artist and image, totals, enough tracks of one artist.
 
-    All three modes come from counts over the (collection, song, artist) rows.
+    The (collection, song, artist) rows are counted once per combination; the totals and
+    the three modes come from those counts.
     """
     albums = collections.filter(
         (F.col("type") == album_type) & ~contains_any_word(F.col("name"), COMPILATION_WORDS)
     )
-    base = (
-        tracks.filter(F.col("collection_id").isNotNull() & F.col("artist_id").isNotNull())
-        .join(albums.select("collection_id"), "collection_id", "left_semi")
-        .join(reports.select("song_id", "rtd_oda_streams", "tw_oda_streams"), "song_id")
+    key = "collection_id"
+    facts = (
+        reports.select("song_id", "rtd_oda_streams", "tw_oda_streams")
         .join(songs.select("song_id", "core_genre"), "song_id")
         .join(images, "song_id")
     )
-    key = ["collection_id"]
-    per_artist = base.groupBy(*key, "artist_id").agg(F.count(F.lit(1)).alias("n"))
-    totals = base.groupBy(*key).agg(
-        F.sum("rtd_oda_streams").alias("rtd_oda_streams"),
-        F.sum("tw_oda_streams").alias("tw_streams"),
-        F.count(F.lit(1)).alias("rows"),
+    base = tracks.filter(F.col(key).isNotNull() & F.col("artist_id").isNotNull()).join(facts, "song_id")
+    combos = base.groupBy(key, "artist_id", "core_genre", "image").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("rtd_oda_streams").alias("rtd"), F.sum("tw_oda_streams").alias("tw")
+    )
+
+    def mode(value: str) -> DataFrame:
+        counts = combos.groupBy(key, value).agg(F.sum(F.when(F.col(value).isNotNull(), F.col("n")).otherwise(0)).alias("n"))
+        best = counts.groupBy(key).agg(F.min(F.struct((-F.col("n")).alias("n"), value)).alias("__b"))
+        return best.select(key, F.col(f"__b.{value}").alias(value))
+
+    per_artist = combos.groupBy(key, "artist_id").agg(F.sum("n").alias("n"), F.sum("rtd").alias("rtd"), F.sum("tw").alias("tw"))
+    totals = per_artist.groupBy(key).agg(
+        F.sum("rtd").alias("rtd_oda_streams"),
+        F.sum("tw").alias("tw_streams"),
+        F.sum("n").alias("rows"),
+        F.min(F.struct((-F.col("n")).alias("n"), "artist_id")).alias("__m"),
+    )
+    share = F.try_divide((-F.col("__m.n")).cast("double"), F.col("rows").cast("double"))
+    kept = totals.filter((F.col("rows") > MIN_TRACKS) & (share > MIN_CONFIDENCE)).select(
+        key, "rtd_oda_streams", "tw_streams", F.col("__m.artist_id").alias("artist_id")
     )
-    main = top_per_key(per_artist, key, "n", "artist_id")
-    genre = mode_per_key(base, key, "core_genre", "__g").select(*key, "core_genre")
-    image = mode_per_key(base, key, "image", "__i").select(*key, "image")
-    share = F.try_divide(F.col("n").cast("double"), F.col("rows").cast("double"))
     return (
-        totals.join(main, "collection_id")
-        .filter((F.col("rows") > MIN_TRACKS) & (share > MIN_CONFIDENCE))
-        .drop("n", "rows")
-        .join(genre, "collection_id")
-        .join(image, "collection_id")
-        .join(albums, "collection_id")
+        kept.join(albums, key)
+        .join(mode("core_genre"), key)
+        .join(mode("image"), key)
         .join(artists.select("artist_id", "artist"), "artist_id")
     )

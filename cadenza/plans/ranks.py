@@ -34,7 +34,7 @@ def rank_improvement(
     Several ranks of one account on one day count as the largest number. ``latest`` is
     the last date of the rank table.
     """
-    held = ranks.filter(F.col(rank).isNotNull()).join(entities.select(account).distinct(), account, "left_semi")
+    held = ranks.filter(F.col(rank).isNotNull())
     pair = snapshots(held, [account], [rank], {"tp": 0, "lp": 7}, latest).select(
         account, F.col(f"tp_{rank}").alias("rnk"), F.col(f"lp_{rank}").alias("last_rnk")
     )

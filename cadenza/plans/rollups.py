@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.dates import back
 from cadenza.functions.numeric import percent_or_zero
-from cadenza.operators.keys import global_rank
+from cadenza.operators.keys import global_rank, keep_keys
 
 MEASURES = ("tw_streams", "lw_streams", "ytd_streams", "rtd_streams", "digital_song_sales_tw")
 
@@ -84,9 +84,6 @@ def territory_daily(streams: DataFrame, stats: DataFrame, as_of: dt.date, days:
     ``streams`` is long: (artist_id, date, global_id, streams).
     """
     recent = streams.filter(F.col("date") > F.lit(back(as_of, days)))
-    charting = stats.select("global_id", "artist_id").distinct()
-    return (
-        recent.join(charting, ["global_id", "artist_id"], "left_semi")
-        .groupBy("global_id", "date")
-        .agg(F.sum(F.coalesce("streams", F.lit(0))).alias("streams"))
-    )
+    daily = recent.groupBy("global_id", "artist_id", "date").agg(F.sum(F.coalesce("streams", F.lit(0))).alias("streams"))
+    held = keep_keys(daily, stats, ["global_id", "artist_id"])
+    return held.groupBy("global_id", "date").agg(F.sum("streams").alias("streams"))

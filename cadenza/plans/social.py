@@ -12,7 +12,7 @@ from cadenza.functions.dates import back
 from cadenza.functions.numeric import change, not_true, present
 from cadenza.operators.binned import above, fit_model, last_days, mean_score
 from cadenza.operators.charts import mark_new
-from cadenza.operators.keys import large_groups, top_per_key
+from cadenza.operators.keys import keep_keys, large_groups, top_per_key
 from cadenza.operators.timegrid import densify, lagged, snapshots, week_gain
 
 
@@ -50,24 +50,24 @@ def owners(entities: DataFrame, account: str) -> DataFrame:
 
 
 def weekly_gains(
-    stats: DataFrame, account: str, value: str, as_of: dt.date, rule: GainRule, latest: DataFrame | None = None
+    stats: DataFrame, wanted: DataFrame, account: str, value: str, as_of: dt.date, rule: GainRule, latest: DataFrame | None = None
 ) -> DataFrame:
-    """Last value and seven-day gain per account that passes the rule.
+    """Last value and seven-day gain per wanted account that passes the rule.
 
     ``latest`` (account, ``followers_latest``) carries the floor where the platform keeps
     it beside the series; otherwise the last filled value is tested.
     """
-    points = daily_points(stats, account, value, as_of, rule.days)
     if rule.drop_zero:
-        points = points.filter(F.col(value) != 0)
+        stats = stats.filter(F.col(value) != 0)
+    points = keep_keys(daily_points(stats, account, value, as_of, rule.days), wanted, [account])
     if latest is not None:
-        points = points.join(latest.filter(F.col("followers_latest") > rule.floor), account, "left_semi")
+        points = keep_keys(points, latest.filter(F.col("followers_latest") > rule.floor), [account])
     if not rule.points_after_filling:
         points = large_groups(points, [account], rule.min_points)
     dense = densify(points, account, value)
     if rule.points_after_filling:
         span = points.groupBy(account).agg((F.datediff(F.max("date"), F.min("date")) + 1).alias("__n"))
-        dense = dense.join(span.filter(F.col("__n") > rule.min_points), account, "left_semi")
+        dense = keep_keys(dense, span.filter(F.col("__n") > rule.min_points), [account])
     gains = week_gain(dense, account, value, "gain")
     return gains if latest is not None else gains.filter(F.col(value) > rule.floor)
 
@@ -89,8 +89,7 @@ def follower_gain_chart(
     owner with the most streams and flags artists missing from ``previous``.
     """
     own = owners(entities, account)
-    held = stats.join(own.select(account), account, "left_semi")
-    gains = weekly_gains(held, account, value, as_of, rule, latest)
+    gains = weekly_gains(stats, own, account, value, as_of, rule, latest)
     hot = above(fit_model(gains, model, value, "gain", "growth_score"), "gain", rule.sigmas)
     chart = hot.drop("mean", "std", "date").withColumns(
         {value: F.col(value).cast("bigint"), "gain": F.col("gain").cast("bigint")}
@@ -120,10 +119,9 @@ def long_term_growth(
     ``recent`` days, and of those the ``size`` best.
     """
     own = owners(entities, account)
-    held = stats.join(own.select(account), account, "left_semi")
-    points = daily_points(held, account, value, as_of, days)
+    points = keep_keys(daily_points(stats, account, value, as_of, days), own, [account])
     if latest is not None:
-        points = points.join(latest.filter(F.col("followers_latest") > floor), account, "left_semi")
+        points = keep_keys(points, latest.filter(F.col("followers_latest") > floor), [account])
     dense = densify(large_groups(points, [account], min_points), account, value)
     w = Window.partitionBy(account).orderBy("date")
     gained = dense.withColumn("__g", F.coalesce(F.col(value) - F.lag(value, 1).over(w), F.lit(0.0)))
@@ -132,7 +130,7 @@ def long_term_growth(
         F.sum(F.when((F.col("__g") > 0) & (F.col("__g") >= F.col("__p")), 1).otherwise(0)).alias("__rises")
     )
     keen = rises.filter(F.col("__rises") > rises.agg(F.avg("__rises")).scalar())
-    series = lagged(dense.join(keen, account, "left_semi"), account, value, 7, "followers_7_days_ago")
+    series = lagged(keep_keys(dense, keen, [account]), account, value, 7, "followers_7_days_ago")
     series = series.filter(F.col("followers_7_days_ago").isNotNull()).withColumn(
         "followers_gained", F.col(value) - F.col("followers_7_days_ago")
     )
@@ -168,8 +166,8 @@ def viral_growth(
     min_score: float = 1.0,
 ) -> DataFrame:
     """Songs whose daily counts grow faster than their size explains, over two weeks."""
-    positive = counts.filter(F.col(value) > 0).join(songs.select(key), key, "left_semi")
-    points = large_groups(daily_points(positive, key, value, as_of, days), [key], min_points - 1)
+    positive = daily_points(counts.filter(F.col(value) > 0), key, value, as_of, days)
+    points = large_groups(keep_keys(positive, songs, [key]), [key], min_points - 1)
     dense = densify(points, key, value)
     w = Window.partitionBy(key).orderBy("date")
     daily = dense.withColumn("__gain", F.coalesce(F.col(value) - F.lag(value, 1).over(w), F.lit(0.0)).cast("bigint"))
