@@ -8,7 +8,7 @@ from cadenza.catalogue.domain import AS_OF, Tables
 from cadenza.catalogue.registry import oracle, query, rounded
 from cadenza.functions.text import bare_title, clean_artist, clean_name, clean_title, match_key, nfkd
 from cadenza.operators.labels import (
-    LITERAL_LIMIT,
+    LIST_LIMIT,
     contains_any,
     mark_by_name,
     mark_by_substring,
@@ -28,8 +28,8 @@ def _documents(t: Tables, limit: int):
 
 @query("substring_flag", oracle(f"SELECT d.doc_id, {_HIT} AS found FROM documents d"))
 def substring_flag(spark, folder):
-    """Whole documents against the benchmark passages as a short list."""
-    return _documents(Tables(spark, folder), LITERAL_LIMIT)
+    """Whole documents against the benchmark passages as a list."""
+    return _documents(Tables(spark, folder), LIST_LIMIT)
 
 
 @query("substring_flag_joined", oracle(f"SELECT d.doc_id, {_HIT} AS found FROM documents d"))

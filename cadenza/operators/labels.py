@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.functions.text import any_of
 from cadenza.operators.matching import char_grams, fuzzy_best
 
-LITERAL_LIMIT = 256
+LITERAL_LIMIT = 16
+LIST_LIMIT = 20_000
 ANCHOR = 4
 
 
@@ -18,25 +20,36 @@ def _small_list(patterns: DataFrame, column: str, limit: int) -> list[str] | Non
 
 
 def contains_any(
-    df: DataFrame, text: str, patterns: DataFrame, pattern: str, flag: str, literal_limit: int = LITERAL_LIMIT
+    df: DataFrame, text: str, patterns: DataFrame, pattern: str, flag: str, list_limit: int = LIST_LIMIT
 ) -> DataFrame:
     """Add ``flag``: does the lower-cased ``text`` contain any lower-cased pattern.
 
-    A short list becomes a literal array tested inside the scan. A long one is joined:
-    every pattern is anchored on its first ``ANCHOR`` characters (a shorter one on all of
-    it), the texts are cut into pieces of those few sizes, and only the pairs that share
-    an anchor are tested. The pieces travel with a digest of their text, never with the
-    text itself.
+    A handful of patterns is tested inside the scan, a list of up to ``list_limit`` by one
+    automaton per task, and no row moves. A longer list is joined, see :func:`_joined`.
     """
     lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
-    few = _small_list(patterns, pattern, literal_limit)
-    if few is not None:
-        if not few:
-            return df.withColumn(flag, F.lit(False))
+    few = _small_list(patterns, pattern, list_limit)
+    if few is not None and not few:
+        return df.withColumn(flag, F.lit(False))
+    if few is not None and len(few) <= LITERAL_LIMIT:
         listed = F.array(*[F.lit(p) for p in few])
         # The one-element array lower-cases a text once, not once per pattern.
         found = F.transform(F.array(lowered), lambda t: F.exists(listed, lambda p: F.contains(t, p)))
         return df.withColumn(flag, F.get(found, F.lit(0)))
+    automaton = any_of(few) if few is not None else None
+    if automaton is not None:
+        return df.withColumn(flag, automaton(lowered))
+    return _joined(df, lowered, patterns, pattern, flag)
+
+
+def _joined(df: DataFrame, lowered: Column, patterns: DataFrame, pattern: str, flag: str) -> DataFrame:
+    """The flag by a join, for pattern lists of any size.
+
+    Every pattern is anchored on its first ``ANCHOR`` characters (a shorter one on all of
+    it), the texts are cut into pieces of those few sizes, and only the pairs that share
+    an anchor are tested. The pieces travel with a digest of their text, never with the
+    text itself.
+    """
     wanted = (
         patterns.select(F.lower(pattern).alias("__p"))
         .filter(F.length("__p") > 0)
