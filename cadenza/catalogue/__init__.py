@@ -7,6 +7,7 @@ from cadenza.catalogue import (  # noqa: F401
     landing,
     projects,
     shapes,
+    refresh,
     social,
     territories,
     upkeep,

@@ -92,3 +92,8 @@ def present(c: Column | str) -> Column:
 def not_true(c: Column | str) -> Column:
     """Three-valued ``is not true``: keeps false and null."""
     return ~F.coalesce(_col(c), F.lit(False))
+
+
+def any_present(*columns: Column | str) -> Column:
+    """True where at least one of the ids is not null."""
+    return F.coalesce(*[_col(c).cast("string") for c in columns]).isNotNull()

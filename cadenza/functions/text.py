@@ -46,6 +46,11 @@ def strip_quotes(c: Column) -> Column:
     return F.translate(c, "'\"", "")
 
 
+def link(base: str, c: Column) -> Column:
+    """The address of an entity under ``base``; null without an id."""
+    return F.concat(F.lit(base), c.cast("string"))
+
+
 def _collapse(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"\s+", " "))
 

@@ -11,6 +11,7 @@ from cadenza.functions.numeric import id_text, present
 from cadenza.operators.keys import keep_keys, mode_per_key, not_in, top_per_key, with_fallback
 from cadenza.operators.maintain import append, patch, upsert
 from cadenza.operators.reshape import attributes_to_columns
+from cadenza.sources.nested import with_audio_features
 
 # Account kinds of the cross-platform directory.
 ACCOUNT_KINDS = {
@@ -61,6 +62,25 @@ def extend_cache(cache: DataFrame, wanted: DataFrame, landed: DataFrame, key: st
     return append(cache, landed.join(todo, key, "left_semi").select(*[c for c in cache.columns if c in landed.columns]))
 
 
+def enriched_tracks(wanted: DataFrame, tracks: DataFrame, albums: DataFrame, features: DataFrame) -> DataFrame:
+    """Wanted songs (song_id, isrc) with flat track, album and audio columns.
+
+    ``tracks``, ``albums`` and ``features`` are the flattened landed objects. Of several
+    tracks with one code the most popular is taken; missing whole numbers are 0.
+    """
+    best = top_per_key(tracks, ["isrc"], "popularity", "track_id")
+    about = albums.select("album_id", "album_name", "copyrights", F.col("label").alias("album_label"), "upc")
+    rows = wanted.filter(present("isrc")).join(best, "isrc").join(about, "album_id", "left")
+    return with_audio_features(rows, features)
+
+
+def cache_songs(cache: DataFrame, songs: DataFrame, tracks: DataFrame, albums: DataFrame, features: DataFrame) -> DataFrame:
+    """Enrich the songs the cache lacks and append them."""
+    todo = not_in(songs, cache, ["song_id"])
+    rows = enriched_tracks(todo, tracks, albums, features)
+    return append(cache, rows.select(*[c for c in cache.columns if c in rows.columns]))
+
+
 def song_facts(wanted: DataFrame, profiles: DataFrame, extra: DataFrame, reports: DataFrame, stats: DataFrame) -> DataFrame:
     """What is known per recording code: from the song profiles, else from the extra cache.
 

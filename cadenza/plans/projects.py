@@ -85,6 +85,12 @@ def project_weekly(links: DataFrame, stats: DataFrame) -> DataFrame:
     )
 
 
+def refresh_weekly(projects: DataFrame, weekly: DataFrame) -> DataFrame:
+    """Patch the project dimension with the week's totals; projects without songs keep theirs."""
+    measures = [c for c in weekly.columns if c != "collection_id"]
+    return patch(projects, weekly, ["collection_id"], measures)
+
+
 def project_recent(
     reports: DataFrame,
     songs: DataFrame,

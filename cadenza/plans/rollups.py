@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cadenza.functions.dates import back
 from cadenza.functions.numeric import percent_or_zero
 from cadenza.operators.keys import global_rank, keep_keys
+from cadenza.operators.maintain import patch, upsert
 
 MEASURES = ("tw_streams", "lw_streams", "ytd_streams", "rtd_streams", "digital_song_sales_tw")
 
@@ -46,6 +47,21 @@ def worldwide(ex: DataFrame, home: DataFrame, key: str, world_id: int, with_rtd:
     return out
 
 
+def store_rollups(current: DataFrame, key: str, *rollups: DataFrame) -> DataFrame:
+    """Upsert rollup rows into the territory stats they were computed from."""
+    for rollup in rollups:
+        measures = [c for c in current.columns if c in rollup.columns and c not in ("global_id", key)]
+        current = upsert(current, rollup.select("global_id", key, *measures), ["global_id", key], measures)
+    return current
+
+
+def refresh_territories(territories: DataFrame, stats: DataFrame) -> DataFrame:
+    """Patch the territory dimension with its totals, growth and rank."""
+    totals = territory_totals(stats)
+    measures = [c for c in totals.columns if c in territories.columns and c != "global_id"]
+    return patch(territories, totals, ["global_id"], measures)
+
+
 def territory_totals(stats: DataFrame) -> DataFrame:
     """Totals per territory, rollup rows included, ranked by this week."""
     measures = [m for m in MEASURES[:4] if m in stats.columns]

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.functions.dates import back
-from cadenza.functions.numeric import change, not_true, present
+from cadenza.functions.numeric import any_present, change, not_true, present
 from cadenza.operators.binned import above, fit_model, last_days, mean_score
 from cadenza.operators.charts import mark_new
 from cadenza.operators.keys import keep_keys, large_groups, top_per_key
@@ -34,6 +35,14 @@ AUDIO_RULE = GainRule(16, 4, False, 2000, 2.5)
 VIDEO_RULE = GainRule(21, 4, False, 1000, 2.0, drop_zero=True)
 
 
+def chart_base(artists: DataFrame, id_map: DataFrame, stats: DataFrame, accounts: Sequence[str]) -> DataFrame:
+    """Unsigned artists with at least one platform account, and their streams."""
+    last = stats.select("artist_id", F.coalesce("lw_streams", F.lit(0)).alias("lw_streams"))
+    held = artists.filter(F.col("signed") == F.lit(False)).select("artist_id", "artist", "tw_streams", "pct_chg")
+    base = held.join(id_map.select("artist_id", *accounts), "artist_id").filter(any_present(*accounts))
+    return base.join(last, "artist_id", "left").fillna(0, ["lw_streams"])
+
+
 def daily_points(stats: DataFrame, account: str, value: str, as_of: dt.date, days: int) -> DataFrame:
     """One non-null value per account and day within the look-back; a repeated day keeps the largest."""
     return (

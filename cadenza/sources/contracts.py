@@ -109,6 +109,11 @@ def history_dates(run_date: dt.date) -> list[dt.date]:
     return [back(run_date, FEED_LAG + i) for i in range(HISTORY_DAYS)]
 
 
+def recent_date(run_date: dt.date) -> dt.date:
+    """The as-of date of a run: the newest date its files hold."""
+    return back(run_date, FEED_LAG)
+
+
 def _header(d: dt.date) -> str:
     return d.strftime("%m/%d/%Y")
 
