@@ -44,26 +44,23 @@ def upsert(
 
     Listed columns take the delta's value even when it is null; the others keep theirs.
     ``on_update`` sets further columns on updated rows. ``delta`` must have unique keys.
+    Plain key equality keeps both sides where earlier steps on the key, or bucketing, put
+    them; null keys never match and are kept as they are.
     """
     keys = list(keys)
     on_update = dict(on_update or {})
-    update = [c for c in delta.columns if c not in keys] if update is None else list(update)
-    c, d = current.alias("c"), delta.withColumn("__d", F.lit(True)).alias("d")
-    old = current.withColumn("__c", F.lit(True)).alias("c")
-    joined = old.join(d, [F.col(f"c.{k}").eqNullSafe(F.col(f"d.{k}")) for k in keys], "full")
+    values = [c for c in delta.columns if c not in keys]
+    update = values if update is None else list(update)
+    new = delta.select(*keys, *[F.col(c).alias(f"__new_{c}") for c in values], F.lit(True).alias("__d"))
+    joined = current.withColumn("__c", F.lit(True)).join(new, keys, "full")
     fresh, both = F.col("__c").isNull(), F.col("__c").isNotNull() & F.col("__d").isNotNull()
     out = []
-    for name in c.columns:
-        mine = F.col(f"c.{name}")
-        if name in keys:
-            value = F.coalesce(mine, F.col(f"d.{name}"))
-        elif name in delta.columns:
-            theirs = F.col(f"d.{name}")
-            value = F.when(fresh, theirs).otherwise(mine)
+    for name in current.columns:
+        value = F.col(name)
+        if name in values:
+            value = F.when(fresh, F.col(f"__new_{name}")).otherwise(value)
             if name in update:
-                value = F.when(both, theirs).otherwise(value)
-        else:
-            value = mine
+                value = F.when(both, F.col(f"__new_{name}")).otherwise(value)
         if name in on_update:
             value = F.when(both, on_update[name]).otherwise(value)
         out.append(value.alias(name))

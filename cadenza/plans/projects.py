@@ -12,6 +12,7 @@ from cadenza.functions.numeric import fraction_or_zero, lifetime_revenue, presen
 from cadenza.functions.text import contains_any_word
 from cadenza.operators.keys import keep_keys, mode_per_key
 from cadenza.operators.maintain import patch
+from cadenza.session import materialise
 
 # What makes an album a compilation, and what makes a project valid.
 COMPILATION_WORDS = ["best of", "the greatest", "the best"]
@@ -118,6 +119,7 @@ def project_recent(
     combos = base.groupBy(key, "artist_id", "core_genre", "image").agg(
         F.count(F.lit(1)).alias("n"), F.sum("rtd_oda_streams").alias("rtd"), F.sum("tw_oda_streams").alias("tw")
     )
+    combos = materialise(combos, "combos")
 
     def mode(value: str) -> DataFrame:
         counts = combos.groupBy(key, value).agg(F.sum(F.when(F.col(value).isNotNull(), F.col("n")).otherwise(0)).alias("n"))
