@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cadenza.catalogue.domain import AS_OF, Tables, artist_stats
+from cadenza.catalogue.domain import AS_OF, Tables, artist_stats, profiles
 from cadenza.catalogue.registry import oracle, query
-from cadenza.catalogue.territories import _DAILY, _GSUM, _TWO, _daily, genre_charts
+from cadenza.catalogue.territories import _GSUM, _TWO, _daily, genre_charts
 from cadenza.functions.dates import back
 from cadenza.operators.charts import assemble_chart, display_change, fan_out, mark_new, next_streaks
 from cadenza.plans.genres import entity_genres, genre_sparklines, genre_stats
 from cadenza.plans.ranks import new_first
 from cadenza.plans.views import reports_recent
-from cadenza.catalogue.domain import profiles
 
 _DAY = "CAST(ts AS DATE)"
 

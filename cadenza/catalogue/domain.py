@@ -126,7 +126,7 @@ cte("images", "SELECT p_partkey AS song_id, CASE WHEN p_size = 1 THEN '' ELSE 'i
 def region_tracks(t: Tables) -> DataFrame:
     """The map with supplier regions as artists, so that one artist can dominate an order."""
     where = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_regionkey")
-    lines = t.lineitem.select("l_partkey", "l_suppkey", "l_orderkey").distinct()
+    lines = t.lineitem.select("l_partkey", "l_suppkey", "l_orderkey")
     return lines.join(where, F.col("l_suppkey") == F.col("s_suppkey")).select(
         F.col("l_partkey").alias("song_id"), F.col("n_regionkey").alias("artist_id"), F.col("l_orderkey").alias("collection_id")
     ).distinct()

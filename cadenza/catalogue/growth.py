@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from cadenza.catalogue.domain import (
     AS_OF,
-    YEAR,
     Tables,
     artist_meta,
     artist_stats,

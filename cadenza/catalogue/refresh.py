@@ -157,7 +157,8 @@ def sql_parameters(spark, folder):
 def control_table(spark, folder):
     """The key/value control table with the as-of date moved to two days before the run."""
     t = Tables(spark, folder)
-    names = t.orders.select(F.col("o_orderpriority").alias("name")).distinct().union(t.orders.limit(1).select(F.lit("recent")))
+    names = t.orders.select(F.col("o_orderpriority").alias("name")).distinct()
+    names = names.union(t.orders.agg(F.lit("recent").alias("name")))
     current = names.withColumn("value", F.lit("1999-01-01"))
     now = recent_date(AS_OF + dt.timedelta(2)).isoformat()
     delta = names.filter(F.col("name") == "recent").withColumn("value", F.lit(now))

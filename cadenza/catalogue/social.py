@@ -302,7 +302,7 @@ def rank_change_country(spark, folder):
 
 
 _CITY_OUT = (
-    "SELECT c.*, length(c.city) AS market_rank, true AS national_chart, l.label, coalesce(l.label LIKE '%ring%' OR l.label LIKE '%small%', false) AS signed "
+    "SELECT c.*, length(c.city) AS market_rank, true AS national_chart, l.label, coalesce(EXISTS (SELECT 1 FROM part x WHERE x.p_size = 2 AND x.p_brand = 'Brand#3' AND contains(l.label, split_part(x.p_name, ' ', 1))), false) AS signed "
     "FROM c LEFT JOIN lab l ON l.track_id = c.track_id"
 )
 _LAB = "SELECT track_id, label FROM (SELECT CAST(p_size AS BIGINT) AS track_id, p_name AS label, row_number() OVER (PARTITION BY p_size ORDER BY p_retailprice DESC, p_name) AS k FROM part) WHERE k = 1"
@@ -314,7 +314,8 @@ def _city(t: Tables):
     now = chart.filter(F.col("date") == F.lit(back(E, 2)))
     markets = t.events.select(F.col("event_type").alias("city")).distinct().withColumn("market_rank", F.length("city"))
     labels_of = t.part.select(F.col("p_size").cast("bigint").alias("track_id"), F.col("p_name").alias("label"), F.col("p_retailprice").alias("popularity"))
-    listed = t.spark.createDataFrame([("ring",), ("SMALL",)], "label string")
+    few = (F.col("p_size") == 2) & (F.col("p_brand") == "Brand#3")
+    listed = t.part.filter(few).select(F.upper(F.substring_index("p_name", " ", 1)).alias("label"))
     return city_changes(chart, now, markets, labels_of, listed, E)
 
 

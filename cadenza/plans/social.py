@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.dates import back
 from cadenza.functions.numeric import any_present, change, not_true, present
-from cadenza.operators.binned import above, fit_model, last_days, mean_score
+from cadenza.operators.binned import above, fit_model
 from cadenza.operators.charts import mark_new
-from cadenza.operators.keys import keep_keys, large_groups, top_per_key
+from cadenza.operators.keys import keep_keys, top_per_key
 from cadenza.operators.timegrid import densify, lagged, snapshots, week_gain
 
 
@@ -52,6 +52,16 @@ def daily_points(stats: DataFrame, account: str, value: str, as_of: dt.date, day
     )
 
 
+def with_history(points: DataFrame, account: str, more_than: int) -> DataFrame:
+    """Accounts with more than ``more_than`` observed days.
+
+    A window does: after :func:`daily_points` an account has at most one row per day of
+    the look-back, and gap filling needs the rows by account anyway.
+    """
+    held = F.count(F.lit(1)).over(Window.partitionBy(account))
+    return points.withColumn("__held", held).filter(F.col("__held") > more_than).drop("__held")
+
+
 def owners(entities: DataFrame, account: str) -> DataFrame:
     """The entity with the most streams per account."""
     held = entities.filter(present(F.col(account).cast("string")))
@@ -72,11 +82,10 @@ def weekly_gains(
     if latest is not None:
         points = keep_keys(points, latest.filter(F.col("followers_latest") > rule.floor), [account])
     if not rule.points_after_filling:
-        points = large_groups(points, [account], rule.min_points)
+        points = with_history(points, account, rule.min_points)
     dense = densify(points, account, value)
     if rule.points_after_filling:
-        span = points.groupBy(account).agg((F.datediff(F.max("date"), F.min("date")) + 1).alias("__n"))
-        dense = keep_keys(dense, span.filter(F.col("__n") > rule.min_points), [account])
+        dense = with_history(dense, account, rule.min_points)
     gains = week_gain(dense, account, value, "gain")
     return gains if latest is not None else gains.filter(F.col(value) > rule.floor)
 
@@ -131,7 +140,7 @@ def long_term_growth(
     points = keep_keys(daily_points(stats, account, value, as_of, days), own, [account])
     if latest is not None:
         points = keep_keys(points, latest.filter(F.col("followers_latest") > floor), [account])
-    dense = densify(large_groups(points, [account], min_points), account, value)
+    dense = densify(with_history(points, account, min_points), account, value)
     w = Window.partitionBy(account).orderBy("date")
     gained = dense.withColumn("__g", F.coalesce(F.col(value) - F.lag(value, 1).over(w), F.lit(0.0)))
     gained = gained.withColumn("__p", F.coalesce(F.lag("__g", 1).over(w), F.lit(0.0)))
@@ -144,18 +153,19 @@ def long_term_growth(
         "followers_gained", F.col(value) - F.col("followers_7_days_ago")
     )
     scored = fit_model(series, model, value, "followers_gained", "__z")
-    scores = mean_score(scored, account, "__z", "six_month_z_score").join(
-        mean_score(last_days(scored, account, recent), account, "__z", "fourteen_day_z_score"), account, "left"
+    scored = scored.withColumn("__last", F.max("date").over(Window.partitionBy(account)))
+    late = F.when(F.col("date") > F.date_sub("__last", recent), F.col("__z"))
+    scores = scored.groupBy(account).agg(
+        F.avg("__z").alias("six_month_z_score"),
+        F.avg(late).alias("fourteen_day_z_score"),
+        F.max_by(F.struct("date", value, "followers_7_days_ago", "followers_gained"), "date").alias("__l"),
     )
     best = (
         scores.filter((F.col("fourteen_day_z_score") > 0) & (F.col("six_month_z_score") > 0))
         .orderBy(F.col("six_month_z_score").desc(), F.col(account).asc())
         .limit(size)
     )
-    last = series.groupBy(account).agg(
-        F.max_by(F.struct("date", value, "followers_7_days_ago", "followers_gained"), "date").alias("__l")
-    )
-    report = best.join(last, account).select(account, "six_month_z_score", "fourteen_day_z_score", "__l.*")
+    report = best.select(account, "six_month_z_score", "fourteen_day_z_score", "__l.*")
     pct = F.try_divide(F.col(value) - F.col("followers_7_days_ago"), F.col("followers_7_days_ago")) * 100
     report = report.withColumn("followers_pct_chg", F.bround(pct, 2)).withColumnRenamed("date", "recent_date")
     whole = {c: F.col(c).cast("bigint") for c in (value, "followers_7_days_ago", "followers_gained")}
@@ -176,18 +186,19 @@ def viral_growth(
 ) -> DataFrame:
     """Songs whose daily counts grow faster than their size explains, over two weeks."""
     positive = daily_points(counts.filter(F.col(value) > 0), key, value, as_of, days)
-    points = large_groups(keep_keys(positive, songs, [key]), [key], min_points - 1)
+    points = with_history(keep_keys(positive, songs, [key]), key, min_points - 1)
     dense = densify(points, key, value)
     w = Window.partitionBy(key).orderBy("date")
     daily = dense.withColumn("__gain", F.coalesce(F.col(value) - F.lag(value, 1).over(w), F.lit(0.0)).cast("bigint"))
     daily = daily.withColumn(value, F.col(value).cast("bigint"))
-    scored = fit_model(daily, model, value, "__gain", "__z")
-    strong = mean_score(scored, key, "__z", "z_score").filter(F.col("z_score") > min_score)
     week = lagged(daily, key, value, 7, "__then").withColumn(
         "gain_7_day", F.coalesce(F.col(value) - F.col("__then"), F.lit(0)).cast("bigint")
     )
-    last = week.groupBy(key).agg(F.max_by(F.struct("date", value, "gain_7_day"), "date").alias("__l"))
-    report = strong.join(last, key).select(key, "z_score", "__l.*").withColumnRenamed("date", "latest_date")
+    scores = fit_model(week, model, value, "__gain", "__z").groupBy(key).agg(
+        F.avg("__z").alias("z_score"), F.max_by(F.struct("date", value, "gain_7_day"), "date").alias("__l")
+    )
+    strong = scores.filter(F.col("z_score") > min_score)
+    report = strong.select(key, "z_score", "__l.*").withColumnRenamed("date", "latest_date")
     return mark_new(report.join(songs, key), previous, ["song_id"])
 
 
