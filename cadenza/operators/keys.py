@@ -34,7 +34,7 @@ def rank_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], na
 
     The table is range-sorted on key and order, so one hot key is spread over many
     tasks; each row's rank is its place in the task plus the rows of the same key in
-    earlier tasks.
+    earlier tasks. The sorted rows are written once, so pass only the columns you need.
     """
     slots = _sorted_slots(df, [F.col(k).asc_nulls_last() for k in keys], order)
     held = slots.groupBy("__task", *keys).agg(
@@ -54,7 +54,8 @@ def global_rank(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """1, 2, 3, … over the whole table without passing it through one task.
 
     Range-sort, materialise once so both uses see the same partitions, count the rows
-    of each partition (one row per partition), and add the running offset.
+    of each partition (one row per partition), and add the running offset. Pass only the
+    columns you need.
     """
     slots = _sorted_slots(df, [], order)
     sizes = slots.groupBy("__task").agg(F.count(F.lit(1)).alias("__held"))

@@ -112,12 +112,12 @@ def territory_weekly(raw: DataFrame, key: str, names: Sequence[str]) -> DataFram
     source |= {"Title": "title", "Top ISRC": "isrc", lifetime: "rtd_streams", **WEEKLY_COLUMNS}
     rows = raw.withColumnsRenamed(source).withColumn("country", territory_key(F.col("country")))
     rows = rows.withColumn(key, id_text(key))
-    rows = first_per_key(rows, ["country", key], [F.col(ORDINAL).asc()])
-    ranked = rank_per_key(rows, ["country"], [F.col(ORDINAL).asc()], "rnk")
     required = [_or_unknown(n) if n in ("artist", "title") else F.col(n) for n in names]
     whole = ["tw_streams", "lw_streams", "ytd_streams", "rtd_streams", "digital_song_sales_tw"]
     pct = F.replace("pct_chg", F.lit("%"), F.lit("")).cast("double").alias("pct_chg")
-    return ranked.select("country", key, *required, "rnk", pct, *[_whole(c) for c in whole])
+    rows = rows.select("country", key, *required, pct, *[_whole(c) for c in whole], ORDINAL)
+    unique = first_per_key(rows, ["country", key], [F.col(ORDINAL).asc()])
+    return rank_per_key(unique, ["country"], [F.col(ORDINAL).asc()], "rnk").drop(ORDINAL)
 
 
 def _mapping(raw: DataFrame, names: dict[str, str], ids: Sequence[str], unique: Sequence[str]) -> DataFrame:

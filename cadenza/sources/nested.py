@@ -195,18 +195,19 @@ def chart_entries(df: DataFrame, chart: str = "o") -> DataFrame:
 def genre_chart_rows(pages: DataFrame, items: str = "items") -> DataFrame:
     """Genre-chart pages (genre, page, items) to rows with a running rank over all pages."""
     rows = pages.select("genre", "page", F.posexplode(items).alias("position", "i"))
-    ranked = rank_per_key(rows, ["genre"], [F.col("page").asc(), F.col("position").asc()], "rank")
     stats = F.col("i.item.stats")
-    return ranked.select(
+    flat = rows.select(
         "genre",
+        "page",
+        "position",
         F.col("i.item.id").cast("string").alias("item_id"),
-        "rank",
         F.coalesce(stats["concurrents"], F.lit(0)).alias("concurrents"),
         F.coalesce(stats["hot"], F.lit(False)).alias("is_hot"),
         F.coalesce(stats["pageviews"], F.lit(0)).alias("views"),
         nfkd(F.col("i.item.full_title")).alias("title"),
         nfkd(F.col("i.item.artist_names")).alias("artist"),
     )
+    return rank_per_key(flat, ["genre"], [F.col("page").asc(), F.col("position").asc()], "rank").drop("page", "position")
 
 
 def with_audio_features(tracks: DataFrame, features: DataFrame) -> DataFrame:

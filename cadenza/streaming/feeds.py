@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,14 +47,14 @@ def apply_batch(
     touched = [r[0] for r in clean.select(date_col).distinct().collect()]
     current = _stored(spark, path, clean.schema).filter(F.col(date_col).isin(touched))
     marked = change_only(current, clean, keys, compare, date_col=date_col)
-    counts = materialise(marked.counts(), "counts")
+    marked = replace(marked, marked=materialise(marked.marked, "marked"))
     changed = marked.marked.filter(F.col("action") != "same")
     dates = [r[0] for r in changed.select(date_col).distinct().collect()]
     if dates:
         held = current.filter(F.col(date_col).isin(dates))
         merged = upsert(held, changed.drop("action"), keys, values)
         overwrite_dates(materialise(merged, "merged"), path, date_col)
-    return counts
+    return marked.counts()
 
 
 def upsert_stream(
