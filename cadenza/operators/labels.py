@@ -6,11 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions.text import any_of
-from cadenza.operators.matching import char_grams, fuzzy_best
+from cadenza.operators.matching import anchor_pieces, anchored, fuzzy_best
 
 LITERAL_LIMIT = 16
 LIST_LIMIT = 20_000
-ANCHOR = 4
 
 
 def _small_list(patterns: DataFrame, column: str, limit: int) -> list[str] | None:
@@ -45,21 +44,13 @@ def contains_any(
 def _joined(df: DataFrame, lowered: Column, patterns: DataFrame, pattern: str, flag: str) -> DataFrame:
     """The flag by a join, for pattern lists of any size.
 
-    Every pattern is anchored on its first ``ANCHOR`` characters (a shorter one on all of
-    it), the texts are cut into pieces of those few sizes, and only the pairs that share
-    an anchor are tested. The pieces travel with a digest of their text, never with the
-    text itself.
+    Every pattern is anchored on one short piece of itself, the texts are cut into pieces
+    of those sizes, and only the pairs that share an anchor are tested. The pieces travel
+    with a digest of their text, never with the text itself.
     """
-    wanted = (
-        patterns.select(F.lower(pattern).alias("__p"))
-        .filter(F.length("__p") > 0)
-        .distinct()
-        .withColumn("__g", F.substring("__p", 1, ANCHOR))
-    )
-    sizes = sorted(r.n for r in wanted.select(F.length("__g").alias("n")).distinct().collect())
-    pieces = F.array_distinct(F.concat(*[char_grams(lowered, n) for n in sizes]))
+    wanted = anchored(patterns.select(F.lower(pattern).alias("__p")), "__p", "__g")
     keyed = df.withColumn("__k", F.sha2(lowered, 256))
-    met = keyed.select("__k", F.explode(pieces).alias("__g")).join(wanted, "__g").select("__k", "__p").distinct()
+    met = keyed.select("__k", F.explode(anchor_pieces(lowered)).alias("__g")).join(wanted, "__g").select("__k", "__p").distinct()
     hits = keyed.select("__k", lowered.alias("__t")).join(met, "__k").filter(F.contains(F.col("__t"), F.col("__p")))
     hits = hits.select("__k", F.lit(True).alias("__hit")).distinct()
     return (

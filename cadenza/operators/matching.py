@@ -17,6 +17,7 @@ from cadenza.session import materialise
 
 GRAM_SIZES = (3, 2)  # fixed values: tried in this order
 STRICT = 0.8
+ANCHOR = 4
 
 
 def char_grams(c: Column, size: int) -> Column:
@@ -24,6 +25,32 @@ def char_grams(c: Column, size: int) -> Column:
     return F.regexp_extract_all(c, F.lit("(?s)(?=(.{%d}))" % size), F.lit(1))
 
 
+def anchor_pieces(c: Column) -> Column:
+    """The distinct pieces of a text that an anchor can be."""
+    return F.array_distinct(F.concat(*[char_grams(c, n) for n in range(1, ANCHOR + 1)]))
+
+
+def anchored(patterns: DataFrame, pattern: str, anchor: str) -> DataFrame:
+    """Distinct non-empty patterns with the piece they are looked up by.
+
+    That is the piece of ``ANCHOR`` characters fewest patterns have; a shorter pattern is
+    its own anchor. A text that contains a pattern contains its anchor.
+    """
+    p = patterns.select(pattern).filter(F.length(pattern) > 0).distinct()
+    own = F.when(F.length(pattern) < ANCHOR, F.array(pattern)).otherwise(F.array_distinct(char_grams(F.col(pattern), ANCHOR)))
+    each = p.select(pattern, F.explode(own).alias(anchor))
+    common = each.groupBy(anchor).agg(F.count(F.lit(1)).alias("__df"))
+    rarest = F.min(F.struct("__df", anchor)).alias("__a")
+    return each.join(common, anchor).groupBy(pattern).agg(rarest).select(pattern, F.col(f"__a.{anchor}").alias(anchor))
+
+
+def containment_pairs(parts: DataFrame, part: str, wholes: DataFrame, whole: str) -> DataFrame:
+    """All pairs of distinct texts where ``part``, not empty, occurs in ``whole``."""
+    pieces = wholes.select(whole).distinct().select(whole, F.explode(anchor_pieces(F.col(whole))).alias("__g"))
+    met = anchored(parts, part, "__g").join(pieces, "__g")
+    return met.filter(F.contains(F.col(whole), F.col(part))).select(part, whole)
+
+
 def _padded_grams(c: Column, size: int) -> Column:
     return char_grams(F.concat(F.lit("-"), c, F.lit("-")), size)
 
@@ -160,8 +187,8 @@ def _rare_prefix(texts: DataFrame, text: str, rarity: DataFrame, floor: float) -
     )
 
 
-def indel_pairs(left: DataFrame, right: DataFrame, floor: float) -> DataFrame:
-    """All (query, entry) pairs of distinct texts with an indel ratio above ``floor`` (> 2/3)."""
+def _bigram_prefixes(left: DataFrame, right: DataFrame, floor: float) -> tuple[DataFrame, DataFrame]:
+    """(query, gram) and (entry, gram): pairs with an indel ratio above ``floor`` share a gram."""
     if floor <= 2 / 3:
         raise ValueError("the bigram bound needs a floor above 2/3")
     q, e = left.select("query").distinct(), right.select("entry").distinct()
@@ -171,16 +198,31 @@ def indel_pairs(left: DataFrame, right: DataFrame, floor: float) -> DataFrame:
         .groupBy("gram")
         .agg(F.count(F.lit(1)).alias("df"))
     )
+    return _rare_prefix(q, "query", rarity, floor), _rare_prefix(e, "entry", rarity, floor)
+
+
+def _near(floor: float) -> Column:
+    """Lengths of ``query`` and ``entry`` that allow an indel ratio above ``floor``."""
     n, m = F.length("query"), F.length("entry")
-    near = 2 * F.least(n, m) > F.lit(floor) * (n + m)
-    met = (
-        _rare_prefix(q, "query", rarity, floor)
-        .join(_rare_prefix(e, "entry", rarity, floor), "gram")
-        .filter(near)
-        .select("query", "entry")
+    return 2 * F.least(n, m) > F.lit(floor) * (n + m)
+
+
+def indel_pairs(left: DataFrame, right: DataFrame, floor: float) -> DataFrame:
+    """All (query, entry) pairs of distinct texts with an indel ratio above ``floor`` (> 2/3)."""
+    asked, index = _bigram_prefixes(left, right, floor)
+    met = asked.join(index, "gram").filter(_near(floor)).select("query", "entry").distinct()
+    return met.withColumn("ratio", indel_ratio("query", "entry")).filter(F.col("ratio") > floor)
+
+
+def artist_pairs(left: DataFrame, right: DataFrame, floor: float) -> DataFrame:
+    """(a, na) of distinct names whose indel ratio exceeds ``floor``, or one contains the other."""
+    close = indel_pairs(left.select(F.col("a").alias("query")), right.select(F.col("na").alias("entry")), floor)
+    return (
+        close.select(F.col("query").alias("a"), F.col("entry").alias("na"))
+        .unionByName(containment_pairs(left, "a", right, "na"))
+        .unionByName(containment_pairs(right, "na", left, "a").select("a", "na"))
         .distinct()
     )
-    return met.withColumn("ratio", indel_ratio("query", "entry")).filter(F.col("ratio") > floor)
 
 
 def pair_match(
@@ -189,30 +231,34 @@ def pair_match(
     """(artist, title) of ``rows`` to an id of ``catalogue`` (artist, title, id, order).
 
     The title ratio must exceed ``floor``, against the catalogue title or against its
-    bare form. The artist ratio must exceed ``floor``, or one name contain the other. The
-    first hit in catalogue order wins. Titles do the blocking; the artist test runs on
-    the few pairs that are left.
+    bare form. The artist ratio must exceed ``floor``, or one (non-empty) name contain the
+    other. The first hit in catalogue order wins.
+
+    Artist names are paired first, on the few distinct names. Titles then meet on artist
+    *and* rare bigram, so neither a popular artist nor a common bigram brings many
+    candidates together.
     """
     want = rows.select(
-        "artist", "title", F.lower("artist").alias("__a"), F.lower("title").alias("query")
+        "artist", "title", F.lower("artist").alias("a"), F.lower("title").alias("query")
     ).distinct()
     have = (
         catalogue.select(
-            F.col(catalogue_id), F.col(order).alias("__order"), F.lower("artist").alias("__na"), F.lower("title").alias("__nt")
+            F.col(catalogue_id), F.col(order).alias("__order"), F.lower("artist").alias("na"), F.lower("title").alias("__nt")
         )
-        .groupBy("__na", "__nt")
+        .groupBy("na", "__nt")
         .agg(F.min(F.struct("__order", catalogue_id)).alias("__first"))
     )
     spelled = have.withColumn("entry", F.explode(F.array_distinct(F.array("__nt", bare_title(F.col("__nt"))))))
-    titles = indel_pairs(want, spelled, floor).select("query", "entry")
-    met = want.join(titles, "query").join(spelled, "entry")
-    a, na = F.col("__a"), F.col("__na")
-    inside = F.contains(na, a) | F.contains(a, na)
-    close = met.withColumn("__inside", inside)
-    hit = close.filter(F.col("__inside")).unionByName(
-        close.filter(~F.col("__inside")).filter(indel_ratio("__a", "__na") > floor)
-    )
-    return hit.groupBy("artist", "title").agg(F.min("__first").alias("__f")).select(
+    spelled = spelled.groupBy("na", "entry").agg(F.min("__first").alias("__first"))
+    known = artist_pairs(want.select("a").distinct(), spelled.select("na").distinct(), floor)
+    asked, index = _bigram_prefixes(want, spelled, floor)
+    left = want.select("a", "query").distinct().join(known, "a").join(asked, "query")
+    right = spelled.select("na", "entry").join(index, "entry")
+    met = left.join(right, ["na", "gram"]).filter(_near(floor)).select("a", "na", "query", "entry").distinct()
+    alike = met.select("query", "entry").distinct().filter(indel_ratio("query", "entry") > floor)
+    hits = met.join(alike, ["query", "entry"]).join(spelled, ["na", "entry"])
+    first = hits.groupBy("a", "query").agg(F.min("__first").alias("__f"))
+    return want.join(first, ["a", "query"]).select(
         "artist", "title", F.col(f"__f.{catalogue_id}").alias(catalogue_id)
     )
 

@@ -49,6 +49,7 @@ def momentum_metrics(wide: DataFrame, days: list[str]) -> DataFrame:
 
 def momentum_rule(rolling_floor: int = 100_000) -> Column:
     """Rolling growth is not negative and one of five short-term signs holds."""
+    # All thresholds of this rule.
     signs = (
         (_ge("2_day_chg", 0.15) & _gt("3_day_chg", 0))
         | _ge("3_day_chg", 0.25)
@@ -97,6 +98,7 @@ def acceleration_metrics(wide: DataFrame, days: list[str]) -> DataFrame:
 
 def acceleration_rule(oldest_day: str, unit: int = 1_000) -> Column:
     """Eight alternative signs; stream thresholds are multiples of ``unit``."""
+    # All thresholds of this rule.
     tw, lw, l2w = "tw_oda_streams", "lw_oda_streams", "l2w_oda_streams"
     mid = _ge(tw, 50 * unit) & F.coalesce(F.col(tw) <= 100 * unit, F.lit(False))
     big = _ge(tw, 100 * unit)

@@ -90,13 +90,18 @@ PRIOR_DAY_COLUMN = "Streaming On-Demand Total - Prior Day"
 
 # The territories of the feed, by region.
 TERRITORIES = {
-    "eu": "austria belgium croatia czech_republic denmark finland france germany iceland ireland italy "
-    "luxembourg netherlands norway poland portugal spain sweden switzerland united_kingdom".split(),
+    "eu": [
+        "austria", "belgium", "croatia", "czech_republic", "denmark", "finland", "france", "germany", "iceland",
+        "ireland", "italy", "luxembourg", "netherlands", "norway", "poland", "portugal", "spain", "sweden",
+        "switzerland", "united_kingdom",
+    ],
     "ne_asia": ["japan", "korea"],
-    "se_asia": "australia hong_kong indonesia malaysia new_zealand philippines singapore taiwan thailand "
-    "vietnam".split(),
-    "lat_am": "argentina bolivia brazil chile colombia ecuador mexico peru".split(),
-    "emerging": "greece hungary india romania slovakia south_africa turkey".split(),
+    "se_asia": [
+        "australia", "hong_kong", "indonesia", "malaysia", "new_zealand", "philippines", "singapore", "taiwan",
+        "thailand", "vietnam",
+    ],
+    "lat_am": ["argentina", "bolivia", "brazil", "chile", "colombia", "ecuador", "mexico", "peru"],
+    "emerging": ["greece", "hungary", "india", "romania", "slovakia", "south_africa", "turkey"],
 }
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.text import clean_artist, clean_name, clean_title, contains_any_word, indel_ratio, match_key, nfkd
 from cadenza.operators.labels import contains_any, mark_by_name, newly_signed, signed_cascade, signed_cascade_songs, signed_patch
-from cadenza.operators.matching import cosine_pairs, first_stage, fuzzy_best, index_pair, indel_pairs, pair_match, resolve_names
+from cadenza.operators.matching import containment_pairs, cosine_pairs, first_stage, fuzzy_best, index_pair, indel_pairs, pair_match, resolve_names
 from tests.conftest import rows
 
 
@@ -100,6 +100,34 @@ def test_pair_match_takes_the_first_row_too(spark):
     assert got == [("abba", 4), ("adele & friends", 1)]
 
 
+def test_pair_match_against_brute_force(spark):
+    rng = random.Random(9)
+    names, titles = words(10, 25, "abc", 1, 6), words(11, 40, "abcd", 3, 9)
+    catalogue = [(rng.choice(names), rng.choice(titles) + rng.choice(["", " (x)", "   y"]), i) for i in range(300)]
+    want = sorted({(rng.choice(names) + rng.choice(["", "c"]), rng.choice(titles) + rng.choice(["", "d"])) for _ in range(80)})
+
+    def ratio(a, b):
+        return 2 * lcs(a, b) / (len(a) + len(b))
+
+    best = {}
+    for a, t in want:
+        for na, nt, i in catalogue:
+            bare = nt.split("(")[0].split("   ")[0]
+            if (ratio(a, na) > 0.75 or a in na or na in a) and max(ratio(t, nt), ratio(t, bare)) > 0.75:
+                best[a, t] = i
+                break
+    df = spark.createDataFrame(want, "artist string, title string")
+    held = spark.createDataFrame(catalogue, "artist string, title string, id int").withColumn("place", F.col("id"))
+    got = {(r.artist, r.title): r.id for r in pair_match(df, held, "id", "place").collect()}
+    assert got == best and len(best) > 20
+
+
+def test_containment_pairs(spark):
+    parts, wholes = words(12, 60, "ab", 1, 8), words(13, 60, "ab", 1, 12)
+    got = {tuple(r) for r in containment_pairs(column(spark, parts + [""], "p"), "p", column(spark, wholes, "w"), "w").collect()}
+    assert got == {(p, w) for p in parts for w in wholes if p in w}
+
+
 def test_first_stage_wins(spark):
     one = spark.createDataFrame([("a", 5)], "k string, id int")
     two = spark.createDataFrame([("a", 1), ("b", 2), ("b", 1)], "k string, id int")
