@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import calendar
 import datetime as dt
 
 from pyspark.sql import Column
@@ -19,6 +20,13 @@ def back(as_of: dt.date | str, days: int) -> dt.date:
     return day(as_of) - dt.timedelta(days=days)
 
 
+def months_back(as_of: dt.date | str, months: int) -> dt.date:
+    """The same day some months earlier, or the last day of a shorter month."""
+    d = day(as_of)
+    year, month = divmod(d.year * 12 + d.month - 1 - months, 12)
+    return dt.date(year, month + 1, min(d.day, calendar.monthrange(year, month + 1)[1]))
+
+
 def aligned_week(date: Column, as_of: dt.date | str) -> Column:
     """Start of the 7-day bucket of ``date`` when buckets end on the day before ``as_of``."""
     shift = (back(as_of, 1).weekday() + 1) % 7

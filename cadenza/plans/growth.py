@@ -8,11 +8,34 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.functions.dates import months_back
 from cadenza.operators.keys import keep_keys
 from cadenza.operators.timegrid import calendar_weekly_sums, streaks, weekly_sums
 
 EIGHT_WEEKS = 64  # fixed value: days before the as-of date, both ends excluded
 
+# The genre sets of the two long-term reports, their stream floors and months.
+ROOTS_GENRES = [
+    "alternative americana", "alternative country", "american folk revival", "bluegrass", "canadian americana",
+    "canadian contemporary country", "canadian country", "canadian singer-songwriter", "classic texas country",
+    "cosmic american", "denton tx indie", "folk", "jam band", "jamgrass", "kentucky indie", "kentucky roots",
+    "mississippi indie", "modern country pop", "modern southern rock", "nashville singer-songwriter",
+    "neo-traditional bluegrass", "new americana", "ok indie", "outlaw country", "progressive bluegrass", "red dirt",
+    "roots americana", "roots rock", "saskatchewan indie", "singer-songwriter", "southern americana",
+    "southern rock", "texas country", "tulsa indie", "west virginia indie",
+]
+INDIE_GENRES = [
+    "alternative country", "alt z", "art pop", "classic country pop", "contemporary country", "country",
+    "country dawn", "country pop", "country road", "country rock", "deep new americana", "dream pop", "electropop",
+    "folk", "freak folk", "garage pop", "garage psych", "indiecoustica", "indie electropop", "indie folk",
+    "modern alternative rock", "modern country rock", "modern rock", "neo-psychedelic", "new americana",
+    "outlaw country", "post-punk", "red dirt", "roots americana", "vapor soul", "classic oklahoma country",
+    "stomp and holler", "texas country", "oklahoma country", "pov: indie",
+]
+ROOTS_FLOOR = 50_000
+INDIE_FLOOR = 100_000
+LONG_TERM_MONTHS = 6
+
 
 def eight_week_growth(
     streams: DataFrame,
@@ -63,6 +86,21 @@ def genre_set_growth(
     return positive.filter(F.col("positive_weeks") > min_weeks).join(chosen, "artist_id")
 
 
+def indie_long_term(streams: DataFrame, genre_artists: DataFrame, entities: DataFrame, as_of: dt.date) -> DataFrame:
+    """Half a year of rising weeks among indie genres."""
+    since = months_back(as_of, LONG_TERM_MONTHS)
+    return genre_set_growth(streams, genre_artists, entities, INDIE_GENRES, since, INDIE_FLOOR)
+
+
+def roots_long_term(
+    streams: DataFrame, genre_artists: DataFrame, entities: DataFrame, artist_tracks: DataFrame, songs: DataFrame, as_of: dt.date
+) -> DataFrame:
+    """The same among roots genres, with each artist's first and last release."""
+    since = months_back(as_of, LONG_TERM_MONTHS)
+    report = genre_set_growth(streams, genre_artists, entities, ROOTS_GENRES, since, ROOTS_FLOOR)
+    return with_release_span(report, artist_tracks, songs)
+
+
 def with_release_span(report: DataFrame, artist_tracks: DataFrame, songs: DataFrame) -> DataFrame:
     """Add the first and last release date over each artist's songs; artists without drop out."""
     tracks = keep_keys(artist_tracks, report, ["artist_id"])

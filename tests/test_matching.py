@@ -135,8 +135,8 @@ def test_first_stage_wins(spark):
 
 
 def test_substring_forms_agree(spark):
-    texts = words(7, 150, "ab ", 0, 30) + [None, "", "SONY music", "xx"]
-    patterns = words(8, 25, "ab ", 1, 7) + ["Sony", "x"]
+    texts = words(7, 150, "ab ", 0, 30) + [None, "", "ACME music", "xx"]
+    patterns = words(8, 25, "ab ", 1, 7) + ["Acme", "x"]
     df = column(spark, texts, "t")
     for some in (patterns, patterns[-5:]):
         want = {t: any(p.lower() in (t or "").lower() for p in some) for t in texts}
@@ -152,13 +152,13 @@ def test_empty_label_list(spark):
 
 def artists(spark):
     return spark.createDataFrame(
-        [("Drake", None, False), ("Drakee", "2024 Sony Music", False), ("New", "own", None), ("Old", "own", True), ("Known!", "x", False)],
+        [("Drake", None, False), ("Drakee", "2024 Acme Music", False), ("New", "own", None), ("Old", "own", True), ("Known!", "x", False)],
         "artist string, copyrights string, signed boolean",
     )
 
 
 def test_signed_cascade(spark):
-    labels, listed = column(spark, ["sony"], "label"), column(spark, ["known", "Somebody"], "artist")
+    labels, listed = column(spark, ["acme"], "label"), column(spark, ["known", "Somebody"], "artist")
     got = {r.artist: r.signed for r in signed_cascade(artists(spark), labels, listed).collect()}
     assert got == {"Drake": False, "Drakee": True, "New": False, "Old": True, "Known!": True}
 
@@ -182,8 +182,8 @@ def test_signed_patch_touches_the_latest_report_only(spark):
 
     day, before = dt.date(2024, 1, 2), dt.date(2024, 1, 1)
     reports = spark.createDataFrame([(1, day, False), (1, before, False), (2, day, False)], "id int, report_date date, signed boolean")
-    texts = spark.createDataFrame([(1, "Sony"), (2, "own")], "id int, copyrights string")
-    got = rows(signed_patch(reports, texts, column(spark, ["sony"], "label"), "id", day))
+    texts = spark.createDataFrame([(1, "Acme"), (2, "own")], "id int, copyrights string")
+    got = rows(signed_patch(reports, texts, column(spark, ["acme"], "label"), "id", day))
     assert got == [(1, before, False), (1, day, True), (2, day, False)]
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from cadenza.plans.enrich import cache_songs, patch_colours, profile_candidates, recache, song_facts, stalest
 from cadenza.plans.genres import entity_genres, genre_stats, long_term_genre_ranks, refresh_genre_streams
-from cadenza.plans.growth import eight_week_growth, genre_set_growth
+from cadenza.functions.dates import months_back
+from cadenza.plans.growth import eight_week_growth, genre_set_growth, indie_long_term, roots_long_term
 from cadenza.plans.momentum import acceleration_metrics, acceleration_rule, momentum_metrics, momentum_rule
 from cadenza.plans.ranks import rank_improvement
 from cadenza.plans.rollups import ex_home, territory_daily, worldwide
@@ -106,6 +107,19 @@ def test_genre_set_counts_an_artist_once(spark):
     assert [r.artist_id for r in got.collect()] == ["a"] and got.first().positive_weeks >= 12
 
 
+def test_named_genre_reports(spark):
+    weeks = [x for i in range(13) for x in [100 + i] * 7]
+    streams = daily(spark, {"a": weeks, "b": weeks}, end=NOW)
+    genres = spark.createDataFrame([("a", "folk"), ("b", "dream pop")], "artist_id string, genre string")
+    people = spark.createDataFrame([("a", 60_000, False), ("b", 200_000, False)], "artist_id string, tw_streams bigint, signed boolean")
+    tracks = spark.createDataFrame([("a", 1), ("a", 2)], "artist_id string, song_id int")
+    songs = spark.createDataFrame([(1, D(2020, 1, 1)), (2, D(2021, 1, 1))], "song_id int, release_date date")
+    assert rows(indie_long_term(streams, genres, people, NOW), "artist_id") == [("b",)]
+    got = rows(roots_long_term(streams, genres, people, tracks, songs, NOW), "artist_id", "min_release_date", "max_release_date")
+    assert got == [("a", D(2020, 1, 1), D(2021, 1, 1))]
+    assert months_back(D(2024, 8, 31), 6) == D(2024, 2, 29) and months_back(D(2024, 3, 1), 6) == D(2023, 9, 1)
+
+
 def followers(spark, series):
     data = [(k, NOW - dt.timedelta(n), v) for k, points in series.items() for n, v in points]
     return spark.createDataFrame(data, "account string, date date, followers bigint")
