@@ -252,12 +252,14 @@ def pair_match(
     spelled = spelled.groupBy("na", "entry").agg(F.min("__first").alias("__first"))
     known = artist_pairs(want.select("a").distinct(), spelled.select("na").distinct(), floor)
     asked, index = _bigram_prefixes(want, spelled, floor)
-    left = want.select("a", "query").distinct().join(known, "a").join(asked, "query")
+    sought = want.select("a", "query").distinct().join(known, "a")
+    left = sought.select("na", "query").distinct().join(asked, "query")
     right = spelled.select("na", "entry").join(index, "entry")
-    met = left.join(right, ["na", "gram"]).filter(_near(floor)).select("a", "na", "query", "entry").distinct()
+    met = left.join(right, ["na", "gram"]).filter(_near(floor)).select("na", "query", "entry").distinct()
     alike = met.select("query", "entry").distinct().filter(indel_ratio("query", "entry") > floor)
     hits = met.join(alike, ["query", "entry"]).join(spelled, ["na", "entry"])
-    first = hits.groupBy("a", "query").agg(F.min("__first").alias("__f"))
+    per_name = hits.groupBy("na", "query").agg(F.min("__first").alias("__f"))
+    first = sought.join(per_name, ["na", "query"]).groupBy("a", "query").agg(F.min("__f").alias("__f"))
     return want.join(first, ["a", "query"]).select(
         "artist", "title", F.col(f"__f.{catalogue_id}").alias(catalogue_id)
     )
