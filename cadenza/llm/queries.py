@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import exact, lines, rules, shards
+import public_tokenizers
+
+from cadenza.llm import bpe, exact, langid, lines, rules, shards
 from cadenza.llm.common import ascii_lower, text_or_empty
 
 QUERIES: dict = {}
@@ -85,6 +87,30 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.drop_boilerplate(documents(spark, folder)).select("doc_id", "n_removed_lines", "text")
 
 
+@query("op7_byte_bpe")
+def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return token_digests(documents(spark, folder))
+
+
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+def token_digests(docs: DataFrame) -> DataFrame:
+    vocabulary = public_tokenizers.path(VOCABULARY)
+    both = bpe.decode(bpe.encode(docs, vocabulary, public_tokenizers.PATTERN), vocabulary)
+    return both.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query("op9_quality_rules")
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.quality_rules(documents(spark, folder))
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(documents(spark, folder))
