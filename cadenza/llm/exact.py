@@ -56,7 +56,7 @@ def radix_dedup(
         same = [F.col(f"a.{c}").eqNullSafe(F.col(f"g.{c}")) for c in (_GROUP, _LEN, _DIGIT)]
         single = F.col(f"g.{_NEXT}").isNull()
         open_ = ~single & (F.col(f"a.{_LEN}") > at + width)
-        level = a.join(g, same, "left").select(
+        level = a.join(g.hint("merge"), same, "left").select(
             *[F.col(f"a.{c}").alias(c) for c in names],
             F.when(single, F.col(f"a.{id_col}")).otherwise(F.col("g.keep_id")).alias("keep_id"),
             F.coalesce("g.group_size", F.lit(1).cast("long")).alias("group_size"),
