@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from cadenza.llm import bpe, exact, langid, lines, rules, shards
+from cadenza.llm import bpe, exact, langid, lines, rules, shards, weak
 from cadenza.llm.common import ascii_lower, text_or_empty
 
 QUERIES: dict = {}
@@ -42,6 +42,11 @@ def op2_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op3_quality_classifier")
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return weak.classify(documents(spark, folder))
+
+
 @query(
     "op5_exact_dedup",
     """
