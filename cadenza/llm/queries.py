@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from cadenza.llm import bpe, exact, langid, lines, rules, shards, weak
+from cadenza.llm import bpe, exact, langid, lines, mixing, rules, shards, weak
 from cadenza.llm.common import ascii_lower, text_or_empty
 
 QUERIES: dict = {}
@@ -92,6 +92,28 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.drop_boilerplate(documents(spark, folder)).select("doc_id", "n_removed_lines", "text")
 
 
+#: Domains of the labelled table, and the share of tokens that each is to have.
+WEIGHTS = {"clean": 0.93, "toxic": 0.02, "low": 0.05}
+
+
+def label_domains(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    low, toxic = F.col("quality") == 0, F.col("toxic") == 1
+    return labels.select("doc_id", F.when(low, "low").when(toxic, "toxic").otherwise("clean").alias("domain"))
+
+
+@query("op6_source_mixing")
+def op6_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, folder), label_domains(spark, folder), WEIGHTS)
+    return mixed.select(
+        F.col("id").alias("doc_id"),
+        "n_tokens",
+        *[F.col("posterior")[d].alias(f"p_{d}") for d in WEIGHTS],
+        "rate",
+        "copies",
+    )
+
+
 @query("op7_byte_bpe")
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(documents(spark, folder))
