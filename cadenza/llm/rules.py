@@ -103,8 +103,9 @@ def limits(measured: DataFrame, lang_col: str, source_col: str, fences: Fences)
     )
     merged = lambda prefix: [F.kll_merge_agg_double(r, k).alias(f"{prefix}_{r}") for r in RATIOS]
     per_lang = per_group.groupBy(F.col(lang_col).alias("__lang")).agg(F.sum("rows").alias("lang_rows"), *merged("lang"))
-    corpus = per_group.agg(*merged("all")).withColumn("__one", F.lit(1))
-    g = per_group.withColumn("__one", F.lit(1)).join(per_lang, F.col(lang_col).eqNullSafe(F.col("__lang"))).join(corpus, "__one")
+    corpus = per_group.agg(*merged("all")).first()  # four sketches of a few kilobytes
+    g = per_group.join(per_lang, F.col(lang_col).eqNullSafe(F.col("__lang")))
+    g = g.withColumns({f"all_{r}": F.lit(corpus[f"all_{r}"]) for r in RATIOS})
     out = [F.col(lang_col), F.col(source_col)]
     for r in RATIOS:
         sketch = (
