@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from cadenza.llm import bpe, exact, langid, lines, mixing, rules, shards, weak
+from cadenza.llm import bpe, exact, jaccard, langid, lines, mixing, rules, shards, weak
 from cadenza.llm.common import ascii_lower, text_or_empty
 
 QUERIES: dict = {}
@@ -47,6 +47,11 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return weak.classify(documents(spark, folder))
 
 
+@query("op4_ngram_jaccard")
+def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_components(documents(spark, folder)).withColumnRenamed("id", "doc_id")
+
+
 @query(
     "op5_exact_dedup",
     """
