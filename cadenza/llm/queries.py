@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from cadenza.llm import bpe, exact, jaccard, langid, lines, mixing, rules, shards, weak
+from cadenza.llm import bpe, exact, jaccard, langid, lines, mixing, rules, shards, suffixes, weak
 from cadenza.llm.common import ascii_lower, text_or_empty
 
 QUERIES: dict = {}
@@ -28,6 +28,13 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    out = suffixes.drop_repeats(documents(spark, folder))
+    size = F.octet_length("kept").cast("long") + F.col("n_removed")
+    return out.select(F.col("id").alias("doc_id"), size.alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op2_kd_shards")
 def op2_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     placed = shards.kd_shards(documents(spark, folder), 24)
