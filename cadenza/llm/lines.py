@@ -78,7 +78,8 @@ def drop_boilerplate(
     the input must not have ``n_removed_lines``. An empty table gives an empty table.
     """
     tag = F.xxhash64(F.col(text_col))
-    lines = text_lines(docs.select(F.col(id_col).alias("id"), tag.alias("tag"), F.col(text_col).alias("t"), F.col(site_col).alias("s")), "t", "s", "id", "tag")
+    named = docs.select(F.col(id_col).alias("id"), tag.alias("tag"), F.col(text_col).alias("t"), F.col(site_col).alias("s"))
+    lines = text_lines(named, "t", "s", "id", "tag")
     spread_lines = stored(boilerplate(lines, spread), "line-boilerplate")
     at = F.struct("id", "tag", "place")
     hits = stored(lines.drop("site").join(spread_lines, list(HASH), "left_semi"), "line-hits")
@@ -86,13 +87,13 @@ def drop_boilerplate(
     gone = (
         hits.join(first, list(HASH))
         .filter(~at.eqNullSafe(F.col("first")))
-        .groupBy("id", "tag")
-        .agg(F.array_sort(F.collect_set("place")).alias("gone"))
+        .groupBy(F.col("id").alias("__id"), F.col("tag").alias("__of"))
+        .agg(F.array_sort(F.collect_set("place")).alias("__gone"))
     )
     mark = docs.withColumn("__tag", tag)
-    same = F.col(id_col).eqNullSafe(F.col("id")) & F.col("__tag").eqNullSafe(F.col("tag"))
-    joined = mark.join(gone, same, "left")
-    lost = F.coalesce("gone", F.array().cast("array<int>"))
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & F.col("__tag").eqNullSafe(F.col("__of"))
+    joined = mark.join(gone.hint("merge"), same, "left")
+    lost = F.coalesce("__gone", F.array().cast("array<int>"))
     # line 0 is item 1; a removed place is matched by its number, in one hashed set operation
     every = F.split(F.col(text_col), "\n")
     keep = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), lost)

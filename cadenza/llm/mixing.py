@@ -35,7 +35,7 @@ class Settings:
     rows_per_domain: int = 800
     steps: int = 60
     tolerance: float = 1e-4
-    pull: float = 1e-3
+    pull: float = 1e-5
 
 
 @dataclass

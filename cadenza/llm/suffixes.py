@@ -122,10 +122,10 @@ def _runs(*sorted_columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sort a bucket; keep suffixes whose head is repeated in it, or may be beyond its ends."""
-    rows = pa.Table.from_batches(batches)
-    if not rows.num_rows:
+    held = [b for b in batches if b.num_rows]
+    if not held:
         return
-    rows = rows.combine_chunks()
+    rows = pa.Table.from_batches(held).combine_chunks()
     tokens = [rows.column(c).to_numpy() for c in ("t0", "t1", "t2")]
     order = multikey_quicksort(tokens)
     t0, t1, t2 = (t[order] for t in tokens)
@@ -216,10 +216,12 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by head: each group is compared once it is complete."""
     held = None
     for batch in batches:
+        if not batch.num_rows:
+            continue
         table = pa.Table.from_batches([batch])
         held = pa.concat_tables([held, table]) if held is not None else table
         head = held.column("t0").to_numpy()
-        done = int(np.searchsorted(head, head[-1])) if len(head) else 0
+        done = int(np.searchsorted(head, head[-1]))
         if done:
             yield _one_by_one(held.slice(0, done))
             held = held.slice(done)
