@@ -8,7 +8,6 @@ from cadenza.catalogue.domain import AS_OF, Tables
 from cadenza.catalogue.registry import oracle, query, rounded
 from cadenza.functions.text import bare_title, clean_artist, clean_name, clean_title, match_key, nfkd
 from cadenza.operators.labels import (
-    LIST_LIMIT,
     contains_any,
     mark_by_name,
     mark_by_substring,
@@ -22,20 +21,11 @@ from cadenza.operators.matching import fuzzy_best, pair_match, resolve_names, re
 _HIT = "EXISTS (SELECT 1 FROM benchmark b WHERE length(b.text) > 0 AND contains(lower(d.text), lower(b.text)))"
 
 
-def _documents(t: Tables, limit: int):
-    return contains_any(t.documents.select("doc_id", "text"), "text", t.benchmark, "text", "found", limit).select("doc_id", "found")
-
-
 @query("substring_flag", oracle(f"SELECT d.doc_id, {_HIT} AS found FROM documents d"))
 def substring_flag(spark, folder):
     """Whole documents against the benchmark passages as a list."""
-    return _documents(Tables(spark, folder), LIST_LIMIT)
-
-
-@query("substring_flag_joined", oracle(f"SELECT d.doc_id, {_HIT} AS found FROM documents d"))
-def substring_flag_joined(spark, folder):
-    """The same by the joined form that a long list takes."""
-    return _documents(Tables(spark, folder), 0)
+    t = Tables(spark, folder)
+    return contains_any(t.documents.select("doc_id", "text"), "text", t.benchmark, "text", "found").select("doc_id", "found")
 
 
 _LABELS = "SELECT DISTINCT split_part(p_name, ' ', 1) AS label FROM part WHERE p_size < 5"

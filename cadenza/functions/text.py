@@ -6,14 +6,9 @@ import math
 import sys
 import unicodedata
 from collections import Counter
-from collections.abc import Callable, Iterator
 
 import pandas as pd
 
-try:
-    import ahocorasick
-except ImportError:
-    ahocorasick = None
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -132,21 +127,3 @@ def gram_cosine(left: pd.Series, right: pd.Series, size: pd.Series) -> pd.Series
         return sum(k * y[g] for g, k in x.items() if g in y) / (nx * ny) if nx and ny else 0.0
 
     return pd.Series([cosine(a, b, int(n)) for a, b, n in zip(left, right, size)], dtype="float64")
-
-
-def any_of(patterns: list[str]) -> Callable[[Column], Column] | None:
-    """A test for texts that contain any of ``patterns``, one pass per text whatever their
-    number. None where the automaton library is missing."""
-    if ahocorasick is None:
-        return None
-
-    @F.pandas_udf(T.BooleanType())
-    def found(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        machine = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-        for p in patterns:
-            machine.add_word(p)
-        machine.make_automaton()
-        for texts in parts:
-            yield texts.map(lambda t: next(machine.iter(t), None) is not None).astype(bool)
-
-    return found

@@ -5,56 +5,58 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.functions.text import any_of
-from cadenza.operators.matching import anchor_pieces, anchored, fuzzy_best
+from cadenza.operators.matching import anchored, char_grams, fuzzy_best
 
-LITERAL_LIMIT = 16
-LIST_LIMIT = 20_000
+#: Lengths of anchors: a pattern is found by a piece of the largest of these that fits in it.
+ANCHORS = (8, 4, 2, 1)
+#: Bits of the anchor filter that every task holds, whatever the number of patterns.
+FILTER_BITS = 1 << 20
 
 
-def _small_list(patterns: DataFrame, column: str, limit: int) -> list[str] | None:
-    """The distinct patterns when there are at most ``limit``, else None."""
-    rows = patterns.select(F.lower(column).alias("p")).filter(F.length("p") > 0).distinct().limit(limit + 1).collect()
-    return None if len(rows) > limit else sorted(r.p for r in rows)
+def _slot(anchor: Column) -> Column:
+    return F.pmod(F.xxhash64(anchor), F.lit(FILTER_BITS))
 
 
-def contains_any(
-    df: DataFrame, text: str, patterns: DataFrame, pattern: str, flag: str, list_limit: int = LIST_LIMIT
-) -> DataFrame:
+def _anchor_filter(wanted: DataFrame) -> Column:
+    """A bit for the hash of every anchor, as an array of fixed size that the plan looks up once."""
+    bits = wanted.select(_slot(F.col("__g")).alias("slot"))
+    words = bits.groupBy((F.shiftright("slot", 6)).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(slot % 64))")).alias("bits"))
+    every = wanted.sparkSession.range(FILTER_BITS // 64).withColumnRenamed("id", "word").join(words, "word", "left")
+    pairs = F.sort_array(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
+    return every.agg(F.transform(pairs, lambda p: p["bits"]).alias("bits")).scalar()
+
+
+def listed_pieces(texts: DataFrame, text: str, wanted: DataFrame, *keys: Column) -> DataFrame:
+    """``keys`` and ``__g``, the pieces of a text whose bit is set: its anchors, and a few chance ones.
+
+    The pieces are cut and sifted within the map task; only what passes leaves it.
+    """
+    pieces = texts.select(*keys, F.explode(F.array_distinct(F.concat(*[char_grams(F.col(text), n) for n in ANCHORS]))).alias("__g"))
+    slot = _slot(F.col("__g"))
+    held = F.get(_anchor_filter(wanted), F.shiftright(slot, 6).cast("int"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
+    return pieces.filter(held.bitwiseAND(one) != 0)
+
+
+def contains_any(df: DataFrame, text: str, patterns: DataFrame, pattern: str, flag: str) -> DataFrame:
     """Add ``flag``: does the lower-cased ``text`` contain any lower-cased pattern.
 
-    A handful of patterns is tested inside the scan, a list of up to ``list_limit`` by one
-    automaton per task, and no row moves. A longer list is joined, see :func:`_joined`.
+    One plan for lists and texts of any size. Every pattern is anchored on one piece of
+    itself, the one that fewest patterns have. A text emits only those of its pieces that a
+    fixed-size filter of all anchors lets through, as a 16-byte key with the piece; they
+    meet the patterns in a join on the anchor, which adaptive execution splits where an
+    anchor is common. Candidates are tested on the text itself. Equal texts are one.
     """
     lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
-    few = _small_list(patterns, pattern, list_limit)
-    if few is not None and not few:
-        return df.withColumn(flag, F.lit(False))
-    if few is not None and len(few) <= LITERAL_LIMIT:
-        listed = F.array(*[F.lit(p) for p in few])
-        # The one-element array lower-cases a text once, not once per pattern.
-        found = F.transform(F.array(lowered), lambda t: F.exists(listed, lambda p: F.contains(t, p)))
-        return df.withColumn(flag, F.get(found, F.lit(0)))
-    automaton = any_of(few) if few is not None else None
-    if automaton is not None:
-        return df.withColumn(flag, automaton(lowered))
-    return _joined(df, lowered, patterns, pattern, flag)
-
-
-def _joined(df: DataFrame, lowered: Column, patterns: DataFrame, pattern: str, flag: str) -> DataFrame:
-    """The flag by a join, for pattern lists of any size.
-
-    Every pattern is anchored on one short piece of itself, the texts are cut into pieces
-    of those sizes, and only the pairs that share an anchor are tested. The pieces travel
-    with a digest of their text, never with the text itself.
-    """
-    wanted = anchored(patterns.select(F.lower(pattern).alias("__p")), "__p", "__g")
-    keyed = df.withColumn("__k", F.sha2(lowered, 256))
-    met = keyed.select("__k", F.explode(anchor_pieces(lowered)).alias("__g")).join(wanted, "__g").select("__k", "__p").distinct()
-    hits = keyed.select("__k", lowered.alias("__t")).join(met, "__k").filter(F.contains(F.col("__t"), F.col("__p")))
-    hits = hits.select("__k", F.lit(True).alias("__hit")).distinct()
+    wanted = anchored(patterns.select(F.lower(pattern).alias("__p")), "__p", "__g", ANCHORS)
+    key = [F.xxhash64("__t").alias("__k1"), F.xxhash64(F.lit(1), "__t").alias("__k2")]
+    texts = df.select(lowered.alias("__t"))
+    met = listed_pieces(texts, "__t", wanted, *key).join(wanted, "__g").select("__k1", "__k2", "__p").distinct()
+    tested = texts.select(*key, "__t").join(met, ["__k1", "__k2"]).filter(F.contains("__t", "__p"))
+    hits = tested.select("__k1", "__k2", F.lit(True).alias("__hit")).distinct()
+    keyed = df.withColumns({"__k1": F.xxhash64(lowered), "__k2": F.xxhash64(F.lit(1), lowered)})
     return (
-        keyed.join(hits, "__k", "left")
+        keyed.join(hits, ["__k1", "__k2"], "left")
         .withColumn(flag, F.coalesce("__hit", F.lit(False)))
         .select(*[c for c in df.columns if c != flag], flag)
     )
@@ -112,8 +114,10 @@ def signed_patch(reports: DataFrame, texts: DataFrame, labels: DataFrame, key: s
 
     ``texts`` holds one copyright text per ``key``.
     """
-    latest = reports.filter((F.col("report_date") == F.lit(as_of)) & ~F.col("signed"))
+    today = F.col("report_date").eqNullSafe(F.lit(as_of))
+    latest = reports.filter(today & ~F.col("signed"))
     checked = contains_any(latest.select(key).join(texts, key), text, labels, "label", "__hit")
-    hits = checked.filter("__hit").select(key, F.lit(as_of).alias("report_date"), F.lit(True).alias("__hit"))
-    out = reports.join(hits, [key, "report_date"], "left")
-    return out.withColumn("signed", F.coalesce("__hit", F.col("signed"))).select(*reports.columns)
+    hits = checked.filter("__hit").select(key, F.lit(True).alias("__hit")).distinct()
+    # only the report of the day takes part in the join; earlier ones pass without a shuffle
+    day = reports.filter(today).join(hits, key, "left").withColumn("signed", F.coalesce("__hit", F.col("signed")))
+    return reports.filter(~today).unionByName(day.select(*reports.columns))

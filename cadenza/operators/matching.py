@@ -8,6 +8,8 @@ Both sides are reduced to distinct texts first, so copies cost nothing.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from cadenza.session import materialise
 
 GRAM_SIZES = (3, 2)  # fixed values: tried in this order
 STRICT = 0.8
-ANCHOR = 4
+ANCHORS = (4, 2, 1)
 
 
 def char_grams(c: Column, size: int) -> Column:
@@ -27,17 +29,20 @@ def char_grams(c: Column, size: int) -> Column:
 
 def anchor_pieces(c: Column) -> Column:
     """The distinct pieces of a text that an anchor can be."""
-    return F.array_distinct(F.concat(*[char_grams(c, n) for n in range(1, ANCHOR + 1)]))
+    return F.array_distinct(F.concat(*[char_grams(c, n) for n in ANCHORS]))
 
 
-def anchored(patterns: DataFrame, pattern: str, anchor: str) -> DataFrame:
+def anchored(patterns: DataFrame, pattern: str, anchor: str, sizes: Sequence[int] | None = None) -> DataFrame:
     """Distinct non-empty patterns with the piece they are looked up by.
 
-    That is the piece of ``ANCHOR`` characters fewest patterns have; a shorter pattern is
-    its own anchor. A text that contains a pattern contains its anchor.
+    Of the pieces of the largest of ``sizes`` that fits, the one that fewest patterns have.
+    A text that contains a pattern contains its anchor. The smallest size must be 1.
     """
     p = patterns.select(pattern).filter(F.length(pattern) > 0).distinct()
-    own = F.when(F.length(pattern) < ANCHOR, F.array(pattern)).otherwise(F.array_distinct(char_grams(F.col(pattern), ANCHOR)))
+    own = None
+    for n in sorted(sizes or ANCHORS, reverse=True):
+        fits, pieces = F.length(pattern) >= n, F.array_distinct(char_grams(F.col(pattern), n))
+        own = F.when(fits, pieces) if own is None else own.when(fits, pieces)
     each = p.select(pattern, F.explode(own).alias(anchor))
     common = each.groupBy(anchor).agg(F.count(F.lit(1)).alias("__df"))
     rarest = F.min(F.struct("__df", anchor)).alias("__a")

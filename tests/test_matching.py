@@ -134,15 +134,28 @@ def test_first_stage_wins(spark):
     assert rows(first_stage(one, two, keys=["k"], ties=[F.col("id")]), "k", "id", "stage") == [("a", 5, 1), ("b", 1, 2)]
 
 
-def test_substring_forms_agree(spark):
+def test_substring_flag(spark):
     texts = words(7, 150, "ab ", 0, 30) + [None, "", "ACME music", "xx"]
     patterns = words(8, 25, "ab ", 1, 7) + ["Acme", "x"]
     df = column(spark, texts, "t")
     for some in (patterns, patterns[-5:]):
         want = {t: any(p.lower() in (t or "").lower() for p in some) for t in texts}
-        for limit in (0, 1000):
-            got = contains_any(df, "t", column(spark, some, "label"), "label", "f", limit)
-            assert {r.t: r.f for r in got.collect()} == want
+        got = contains_any(df, "t", column(spark, some, "label"), "label", "f")
+        assert {r.t: r.f for r in got.collect()} == want
+
+
+def test_a_text_emits_its_anchors_only(spark):
+    """What leaves a text is bounded by the anchors in it, and a common one is met in a plain equi-join."""
+    from cadenza.operators.labels import ANCHORS, listed_pieces
+    from cadenza.operators.matching import anchored
+
+    patterns = column(spark, ["one long passage of a book", "tiny", "ab"], "__p")
+    wanted = anchored(patterns, "__p", "__g", ANCHORS).cache()
+    texts = column(spark, ["nothing here is on the list " * 40, "so tiny, ab, tiny", "one long passage of a book"], "t")
+    listed = listed_pieces(texts, "t", wanted, F.length("t").alias("n")).groupBy("n").count()
+    assert rows(listed) == [(17, 2), (26, 1)]
+    plan = contains_any(texts, "t", patterns, "__p", "f")._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Python" not in plan
 
 
 def test_empty_label_list(spark):
