@@ -40,26 +40,35 @@ def read_tab_feed(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return read_feed(spark, paths, sep="\t")
 
 
-def read_mapping(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def read_mapping(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Tab-separated text with backslashes and double quotes removed before the split.
 
-    Lines with more fields than the header are dropped, shorter ones padded with nulls;
-    all files share the header of the first.
+    Every file has its own header; the named columns are found by it in each.
     """
     lines = spark.read.text(paths if isinstance(paths, str) else list(paths))
-    clean = F.translate("value", '\\"', "")
-    header = lines.select(clean.alias("h")).first().h
-    names = header.split("\t")
+    return parse_mapping(lines.select("value", F.col("_metadata.file_path").alias("file"), _file_order().alias(ORDINAL)), columns)
+
+
+def parse_mapping(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Lines (``value``, ``file``, ordinal) as the named columns, aligned by each file's header.
+
+    Lines with more fields than their header are dropped, shorter ones padded with nulls,
+    repeats of the header left out. A file that lacks a column is an error.
+    """
+    clean = lines.select("file", ORDINAL, F.translate("value", '\\"', "").alias("line")).filter(F.length("line") > 0)
+    headers = clean.groupBy("file").agg(F.min_by("line", ORDINAL).alias("header"))
+    names = F.split("header", "\t")
+    places = [F.array_position(names, F.lit(c)) for c in columns]
+    missing = F.concat_ws(", ", *[F.when(p == 0, F.lit(c)) for c, p in zip(columns, places)])
+    checked = F.when(missing == "", F.array(*places)).otherwise(F.raise_error(F.concat(F.lit("missing in "), "file", F.lit(": "), missing)))
+    known = headers.select("file", "header", F.size(names).alias("width"), checked.alias("places"))
     fields = F.split("line", "\t")
-    return (
-        lines.select(clean.alias("line"), _file_order().alias(ORDINAL))
-        .filter((F.col("line") != header) & (F.length("line") > 0) & (F.size(fields) <= len(names)))
-        .select(*[_field(fields, i).alias(n) for i, n in enumerate(names)], ORDINAL)
-    )
+    held = clean.join(known, "file").filter((F.col("line") != F.col("header")) & (F.size(fields) <= F.col("width")))
+    return held.select(*[_field(fields, F.col("places")[i] - 1).alias(c) for i, c in enumerate(columns)], ORDINAL)
 
 
-def _field(fields: Column, i: int) -> Column:
-    value = F.get(fields, F.lit(i))
+def _field(fields: Column, i: Column) -> Column:
+    value = F.get(fields, i.cast("int"))
     return F.when(F.length(value) > 0, value)
 
 

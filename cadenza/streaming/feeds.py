@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,10 +25,11 @@ def watch_feed(
 
 
 def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    """The table with all of its columns; an empty one where nothing is stored yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         return spark.createDataFrame([], schema)
+    return spark.read.option("mergeSchema", True).parquet(path)
 
 
 def apply_batch(
@@ -38,21 +38,26 @@ def apply_batch(
     """Change-only upsert of one batch into a table kept by date. Returns the two counts.
 
     Only the date partitions that change are read and rewritten, through a copy in the
-    shared scratch folder, so a batch that is run again writes the same table.
+    shared scratch folder, with all the columns that the table has; columns that the batch
+    lacks keep their values, and are null in new rows. Spark moves the finished partitions
+    into place when the job commits; a batch that is run again writes the same table.
     """
     spark = delta.sparkSession
     values = [c for c in delta.columns if c not in keys and c != "filename"]
     clean = unique_delta(delta, keys, newest).select(*keys, *values)
     clean = materialise(clean, "delta")
     touched = [r[0] for r in clean.select(date_col).distinct().collect()]
-    current = _stored(spark, path, clean.schema).filter(F.col(date_col).isin(touched))
-    marked = change_only(current, clean, keys, compare, date_col=date_col)
+    current = _stored(spark, path, clean.schema)
+    fresh = {c: F.lit(None).cast(clean.schema[c].dataType) for c in values if c not in current.columns}
+    current = current.withColumns(fresh).filter(F.col(date_col).isin(touched))
+    marked = change_only(current.select(*keys, *values), clean, keys, compare, date_col=date_col)
     marked = replace(marked, marked=materialise(marked.marked, "marked"))
     changed = marked.marked.filter(F.col("action") != "same")
     dates = [r[0] for r in changed.select(date_col).distinct().collect()]
     if dates:
         held = current.filter(F.col(date_col).isin(dates))
-        merged = upsert(held, changed.drop("action"), keys, values)
+        others = [F.lit(None).cast(held.schema[c].dataType).alias(c) for c in held.columns if c not in clean.columns]
+        merged = upsert(held, changed.drop("action").select("*", *others), keys, values)
         overwrite_dates(materialise(merged, "merged"), path, date_col)
     return marked.counts()
 

@@ -105,15 +105,25 @@ def test_territory_files(spark, tmp_path):
 def test_mapping_files(spark, tmp_path):
     (tmp_path / "us.txt").write_text('UnifiedSongID\tUnified Artist ID\tUnified Collection ID\n1\t"2"\t3\\\n1\t2\t3\n4\t5\n6\t7\t8\t9\n\n')
     (tmp_path / "can.txt").write_text("UnifiedSongID\tUnified Artist ID\tUnified Collection ID\n1050.0\t2.0\t\n")
-    raw = union_variants(read_mapping(spark, str(tmp_path / "us.txt")), read_mapping(spark, str(tmp_path / "can.txt")))
+    ids = ["UnifiedSongID", "Unified Artist ID", "Unified Collection ID"]
+    raw = union_variants(read_mapping(spark, str(tmp_path / "us.txt"), ids), read_mapping(spark, str(tmp_path / "can.txt"), ids))
     assert rows(mapping_links(raw)) == [("1", "2", "3"), ("1050", "2", None), ("4", "5", None)]
     (tmp_path / "a.txt").write_text("Unified Artist ID\tPrimary Artist ID\tUnified Artist Name\tPrimary Artist Name\n1\t2\tfirst\tp\n1\t2\tsecond\tp\n")
-    assert rows(mapping_artists(read_mapping(spark, str(tmp_path / "a.txt"))), "unified_artist_name") == [("first",)]
+    assert rows(mapping_artists(read_mapping(spark, str(tmp_path / "a.txt"), ["Unified Artist ID", "Primary Artist ID", "Unified Artist Name", "Primary Artist Name"])), "unified_artist_name") == [("first",)]
     (tmp_path / "c.txt").write_text("Unified Collection ID\tBarcodes\tUnified Collection Name\tBarcode Release Date\tCollection Type\n1\tb\tn\t02/03/2020\tAlbum\n2\tb\tm\t\tSingle\n")
-    got = rows(mapping_collections(read_mapping(spark, str(tmp_path / "c.txt")), RUN))
+    got = rows(mapping_collections(read_mapping(spark, str(tmp_path / "c.txt"), ["Unified Collection ID", "Barcodes", "Unified Collection Name", "Barcode Release Date", "Collection Type"]), RUN))
     assert got == [("1", "n", D(2020, 2, 3), "Album"), ("2", "m", RUN, "Single")]
     (tmp_path / "s.txt").write_text("UnifiedSongid\tISRC\tUnifiedSong Title\tISRC Release Date\n1\tX\t\t\n2\tX\tt\t01/01/2020\n")
-    assert rows(mapping_songs(read_mapping(spark, str(tmp_path / "s.txt")), RUN)) == [("1", "X", "", RUN)]
+    assert rows(mapping_songs(read_mapping(spark, str(tmp_path / "s.txt"), ["UnifiedSongid", "ISRC", "UnifiedSong Title", "ISRC Release Date"]), RUN)) == [("1", "X", "", RUN)]
+
+
+def test_mapping_files_follow_their_own_headers(spark, tmp_path):
+    (tmp_path / "1.txt").write_text("A\tB\n1\t2\n")
+    (tmp_path / "2.txt").write_text("B\tC\tA\n4\tx\t3\n5\n")
+    both = [str(tmp_path / "1.txt"), str(tmp_path / "2.txt")]
+    assert rows(read_mapping(spark, both, ["A", "B"]), "A", "B") == [("1", "2"), ("3", "4"), (None, "5")]
+    with pytest.raises(Exception, match="missing in .*1.txt: C"):
+        read_mapping(spark, both, ["A", "C"]).collect()
 
 
 def test_daily_load_twice_changes_nothing(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from cadenza.operators.charts import GENRE_RULE
 from cadenza.streaming.chart_state import reentry_stream
-from cadenza.streaming.feeds import upsert_stream, watch_feed
+from cadenza.streaming.feeds import apply_batch, upsert_stream, watch_feed
 from tests.conftest import rows
 
 D = dt.date
@@ -36,6 +36,18 @@ def test_feed_folder_to_table(spark, tmp_path):
     assert run() == [(1, D(2024, 1, 1), 5), (1, D(2024, 1, 2), 10), (2, D(2024, 1, 1), 6), (3, D(2024, 1, 2), 9)]
 
 
+def test_a_batch_keeps_columns_it_does_not_have(spark, tmp_path):
+    table = str(tmp_path / "table")
+    full = "id int, streams bigint, premium bigint, date date"
+    days = D(2024, 1, 1), D(2024, 1, 2)
+    spark.createDataFrame([(1, 5, 50, days[0]), (2, 6, 60, days[0]), (1, 7, 70, days[1])], full).write.partitionBy("date").parquet(table)
+    delta = spark.createDataFrame([(1, 9, days[0]), (3, 4, days[0])], "id int, streams bigint, date date")
+    for counts in ([("inserts", 1), ("updates", 1)], [("inserts", 0), ("updates", 0)]):
+        assert rows(apply_batch(delta, table, ["id", "date"], ["streams"], [F.col("streams").desc()])) == counts
+        got = rows(spark.read.parquet(table), "id", "streams", "premium", "date")
+        assert got == [(1, 7, 70, days[1]), (1, 9, 50, days[0]), (2, 6, 60, days[0]), (3, 4, None, days[0])]
+
+
 def test_reentry_as_a_stream(spark, tmp_path):
     folder, ckpt = tmp_path / "ranks", str(tmp_path / "ckpt")
     folder.mkdir()
