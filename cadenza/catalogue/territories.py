@@ -21,7 +21,7 @@ from cadenza.catalogue.domain import (
 from cadenza.catalogue.growth import _streak_sql
 from cadenza.catalogue.registry import oracle, query, sql_percent
 from cadenza.functions.dates import back
-from cadenza.operators.charts import ARTIST_IN_GENRE_RULE, GENRE_RULE, ReentryRule, next_reentry
+from cadenza.operators.charts import ARTIST_IN_GENRE_RULE, GENRE_RULE, ReentryRule, next_edition
 from cadenza.plans.genres import (
     entity_genres,
     extend_genres,
@@ -327,12 +327,17 @@ def growing_genres_query(spark, folder):
 
 _PREV = (
     "SELECT genre, artist_id, CAST(CASE WHEN artist_id IN (SELECT artist_id FROM artists WHERE signed) THEN 2 ELSE 0 END AS INT) AS should_notify, "
-    f"DATE '{back(AS_OF, 30)}' AS last_appearance_in_top_1, DATE '{back(AS_OF, 500)}' AS last_appearance_in_top_3 FROM artist_genres"
+    f"DATE '{back(AS_OF, 30)}' AS last_appearance_in_top_1, DATE '{back(AS_OF, 500)}' AS last_appearance_in_top_3 FROM "
+    "(SELECT genre, artist_id FROM artist_genres UNION ALL SELECT 'old ' || genre, artist_id FROM artist_genres)"
+)
+_CARRIED = (
+    "SELECT * FROM state UNION ALL BY NAME SELECT genre, artist_id, should_notify, false AS is_top_1, false AS is_top_3, last_appearance_in_top_1, last_appearance_in_top_3 "
+    "FROM prev p WHERE NOT EXISTS (SELECT 1 FROM ranked r WHERE r.genre = p.genre AND r.artist_id = p.artist_id)"
 )
 
 
 def artist_genre_chart(t: Tables):
-    """A stored edition with running notices for signed artists, then today's ranks."""
+    """A stored edition with running notices for signed artists and genres that are gone today, then today's ranks."""
     stored = entity_genres(profiles(t)).join(t.supplier.select(F.col("s_suppkey").alias("artist_id"), "s_acctbal"), "artist_id").select(
         "genre",
         "artist_id",
@@ -340,10 +345,11 @@ def artist_genre_chart(t: Tables):
         F.lit(back(AS_OF, 30)).alias("last_appearance_in_top_1"),
         F.lit(back(AS_OF, 500)).alias("last_appearance_in_top_3"),
     )
-    return next_reentry(_ranked_artists(t), stored, ["genre", "artist_id"], SMALL_ARTIST, AS_OF)
+    left = stored.withColumn("genre", F.concat(F.lit("old "), "genre"))
+    return next_edition(_ranked_artists(t), stored.unionByName(left), ["genre", "artist_id"], SMALL_ARTIST, AS_OF)
 
 
-_ARTIST_CHART = {"ranked": _RANKED, "prev": _PREV, "chart": _state("ranked", "prev", ["genre", "artist_id"], SMALL_ARTIST, AS_OF)}
+_ARTIST_CHART = {"ranked": _RANKED, "prev": _PREV, "state": _state("ranked", "prev", ["genre", "artist_id"], SMALL_ARTIST, AS_OF), "chart": _CARRIED}
 
 
 @query("chart_reentry_artist_genre", oracle(f"SELECT * {_DATES % (1, 3, 1, 1, 3, 3)} FROM chart", **_ARTIST_CHART))
@@ -355,7 +361,7 @@ def chart_reentry_artist_genre(spark, folder):
     "new_artists_in_genres",
     oracle(
         "SELECT c.artist_id, c.genre, a.artist, a.tw_streams, a.pct_chg, c.rnk AS genre_rnk, c.is_top_1, c.is_top_3, a.signed, p.genres AS copyrights "
-        "FROM chart c JOIN artists a ON a.artist_id = c.artist_id LEFT JOIN profiles p ON p.artist_id = c.artist_id WHERE c.should_notify > 0 AND a.tw_streams > 0",
+        "FROM chart c JOIN artists a ON a.artist_id = c.artist_id LEFT JOIN profiles p ON p.artist_id = c.artist_id WHERE c.should_notify > 0 AND c.rnk IS NOT NULL AND a.tw_streams > 0",
         **_ARTIST_CHART,
     ),
 )

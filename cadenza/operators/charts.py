@@ -102,6 +102,21 @@ def carry_absent(state: DataFrame, previous: DataFrame, keys: Sequence[str]) ->
     return state.unionByName(kept, allowMissingColumns=True)
 
 
+def next_edition(ranks: DataFrame, previous: DataFrame | None, keys: Sequence[str], rule: ReentryRule, as_of: dt.date) -> DataFrame:
+    """The stored chart after an edition: the new state, and the last one of keys without a rank today.
+
+    A kept row has no rank and is in neither cut; its last appearances stay, so that a later
+    return is known as one. Its notice rests until then.
+    """
+    state = next_reentry(ranks, previous, keys, rule, as_of)
+    if previous is None:
+        return state
+    is_in, is_out, *_ = rule.names()
+    out = F.lit(False)
+    gone = previous.drop(*[c for c in ranks.columns if c not in keys], is_in, is_out).withColumns({is_in: out, is_out: out})
+    return carry_absent(state, gone, keys)
+
+
 def assemble_chart(entries: Sequence[DataFrame], order: Sequence[Column], entity: str = "entity_id") -> DataFrame:
     """Union of chart kinds, one row per (entity, chart), with the number of charts per entity."""
     union = entries[0]

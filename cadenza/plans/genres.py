@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.dates import back
 from cadenza.functions.numeric import percent_or_zero
-from cadenza.operators.charts import ReentryRule, next_reentry, sparkline
+from cadenza.operators.charts import ReentryRule, next_edition, sparkline
 from cadenza.operators.keys import assign_ids, global_rank, not_in, rank_per_key
 from cadenza.operators.maintain import replace_window
 from cadenza.operators.reshape import unpack
@@ -104,7 +104,7 @@ def long_term_genre_ranks(daily: DataFrame, dimension: DataFrame, as_of: dt.date
 
 
 def genre_chart(daily: DataFrame, dimension: DataFrame, previous: DataFrame | None, rule: ReentryRule, as_of: dt.date) -> DataFrame:
-    return next_reentry(long_term_genre_ranks(daily, dimension, as_of), previous, ["genre"], rule, as_of)
+    return next_edition(long_term_genre_ranks(daily, dimension, as_of), previous, ["genre"], rule, as_of)
 
 
 def growing_genres(chart: DataFrame, stats: DataFrame) -> DataFrame:
@@ -115,7 +115,7 @@ def growing_genres(chart: DataFrame, stats: DataFrame) -> DataFrame:
 
 
 def new_artists_in_genres(chart: DataFrame, artists: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Artists whose notice is up in some genre and who have streams."""
-    noted = chart.filter(F.col("should_notify") > 0).withColumnRenamed("rnk", "genre_rnk").drop("tw_streams")
+    """Artists whose notice is up in some genre, ranked there today, and who have streams."""
+    noted = chart.filter((F.col("should_notify") > 0) & F.col("rnk").isNotNull()).withColumnRenamed("rnk", "genre_rnk").drop("tw_streams")
     held = noted.join(artists.filter(F.col("tw_streams") > 0), "artist_id")
     return held.join(profiles.select("artist_id", "copyrights"), "artist_id", "left")
