@@ -34,6 +34,8 @@ REACH = SPAN - HEAD
 SHORT = 2048
 #: Different surroundings of one suffix that a task compares; more are dealt out by string.
 GROUP = 20_000
+#: Groups of so few are compared pair by pair, larger ones by the hashes of their strings.
+FEW = 32
 
 _U = np.uint64
 
@@ -63,11 +65,22 @@ def chosen_starts(data: np.ndarray, offsets: np.ndarray, spans: Spans) -> np.nda
     return np.unique(least[inside] & ((_U(1) << bits) - _U(1))).astype(np.int64)
 
 
+def _member_type(id_type: T.DataType) -> T.StructType:
+    return T.StructType().add("id", id_type).add("tag", "integer").add("pos", "long")
+
+
 def _suffix_rows(id_type: pa.DataType):
-    names = ["id", "tag", "pos", "t0", "t1", "t2"]
+    """Suffixes with their tokens. Those that a batch holds several times are one row, the
+    first place and ``more``, so copies are few rows before they are shuffled."""
+    member = pa.struct([("id", id_type), ("tag", pa.int32()), ("pos", pa.int64())])
+
+    def places(ids: pa.Array, tags: pa.Array, doc: np.ndarray, pos: np.ndarray) -> pa.Array:
+        at = pa.array(doc)
+        return pa.StructArray.from_arrays([ids.take(at), tags.take(at), pa.array(pos)], fields=list(member))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            found, done = [], 0
             for piece, data, offsets in chunks(batch, "text"):
                 spans = Spans(data, BYTE_EXACT)
                 start = chosen_starts(data, offsets, spans)
@@ -76,15 +89,21 @@ def _suffix_rows(id_type: pa.DataType):
                 head = spans.hash(start, start + HEAD)
                 after = spans.hash(start + HEAD, np.minimum(start + SPAN, high))
                 before = spans.hash(np.maximum(start - REACH, low), start)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        piece.column(0).take(pa.array(doc)),
-                        piece.column(1).take(pa.array(doc)),
-                        pa.array((start - low).astype(np.int64)),
-                        *[pa.array(t.view(np.int64)) for t in (head, after, before)],
-                    ],
-                    names,
-                )
+                found.append((doc + done, start - low, *(t.view(np.int64) for t in (head, after, before))))
+                done += piece.num_rows
+            doc, pos, *tokens = (np.concatenate(x) for x in zip(*found)) if found else [np.zeros(0, np.int64)] * 5
+            order = np.lexsort(tokens[::-1])
+            doc, pos, tokens = doc[order], pos[order], [t[order] for t in tokens]
+            first = np.ones(len(order), bool)
+            first[1:] = np.any([t[1:] != t[:-1] for t in tokens], axis=0)
+            at = np.flatnonzero(first)
+            held = np.diff(np.append(at, len(order)))
+            ids, tags = batch.column(0), batch.column(1)
+            more = pa.ListArray.from_arrays(
+                pa.array(np.append(0, np.cumsum(held - 1)), pa.int32()), places(ids, tags, doc[~first], pos[~first]), mask=pa.array(held == 1)
+            )
+            one = places(ids, tags, doc[at], pos[at])
+            yield pa.RecordBatch.from_arrays([one, more, pa.array(held), *[pa.array(t[at]) for t in tokens]], ["one", "more", "held", "t0", "t1", "t2"])
 
     return run
 
@@ -111,26 +130,27 @@ def multikey_quicksort(columns: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _runs(*sorted_columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Number of the run of each row, and the length of that run."""
-    change = np.zeros(len(sorted_columns[0]), bool)
+def _runs(held: np.ndarray, *sorted_columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the run of each row, and the suffixes in that run."""
+    change = np.zeros(len(held), bool)
     for c in sorted_columns:
         change[1:] |= c[1:] != c[:-1]
     number = np.cumsum(change)
-    return number, np.bincount(number)[number]
+    return number, np.bincount(number, held).astype(np.int64)[number]
 
 
 def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sort a bucket; keep suffixes whose head is repeated in it, or may be beyond its ends."""
-    held = [b for b in batches if b.num_rows]
-    if not held:
+    some = [b for b in batches if b.num_rows]
+    if not some:
         return
-    rows = pa.Table.from_batches(held).combine_chunks()
+    rows = pa.Table.from_batches(some).combine_chunks()
     tokens = [rows.column(c).to_numpy() for c in ("t0", "t1", "t2")]
     order = multikey_quicksort(tokens)
     t0, t1, t2 = (t[order] for t in tokens)
-    run, same_head = _runs(t0)
-    _, same_all = _runs(t0, t1, t2)
+    held = rows.column("held").to_numpy()[order]
+    run, same_head = _runs(held, t0)
+    _, same_all = _runs(held, t0, t1, t2)
     open_ = (run == run[0]) | (run == run[-1])
     keep = np.flatnonzero(open_ | (same_head > 1))
     kept = rows.take(pa.array(order[keep]))
@@ -142,18 +162,20 @@ def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_suffixes(docs: DataFrame) -> DataFrame:
     """Suffixes whose head occurs more than once, with ``heads`` and ``wholes``, how often."""
     id_type = docs.schema["id"].dataType
-    shape = T.StructType().add("id", id_type).add("tag", "integer").add("pos", "long").add("t0", "long").add("t1", "long").add("t2", "long")
+    member = _member_type(id_type)
+    shape = T.StructType().add("one", member).add("more", T.ArrayType(member)).add("held", "long").add("t0", "long").add("t1", "long").add("t2", "long")
     suffixes = docs.mapInArrow(_suffix_rows(to_arrow_type(id_type)), shape)
     found = T.StructType([*shape.fields]).add("heads", "long").add("wholes", "long").add("open", "boolean")
     sorted_ = stored(suffixes.repartitionByRange("t0", "t1", "t2").mapInArrow(_bucket, found), "suffix-runs")
     closed = sorted_.filter(~F.col("open")).drop("open")
     # across boundaries: runs at the ends of buckets are counted together, by partial sums
     ends = sorted_.filter("open").select(*shape.names)
-    wholes = ends.groupBy("t0", "t1", "t2").agg(F.count(F.lit(1)).alias("wholes"))
+    wholes = ends.groupBy("t0", "t1", "t2").agg(F.sum("held").alias("wholes"))
     heads = wholes.groupBy("t0").agg(F.sum("wholes").alias("heads")).filter("heads > 1")
-    both = wholes.join(heads, "t0")
-    joined = ends.join(both, ["t0", "t1", "t2"]).select(*shape.names, "heads", "wholes")
-    return closed.unionByName(joined)
+    joined = ends.join(wholes.join(heads, "t0"), ["t0", "t1", "t2"]).select(*shape.names, "heads", "wholes")
+    places = F.concat(F.array("one"), F.coalesce("more", F.array().cast(shape["more"].dataType)))
+    each = closed.unionByName(joined).withColumn("place", F.explode(places))
+    return each.select("place.id", "place.tag", "place.pos", "t0", "t1", "t2", "heads", "wholes")
 
 
 def _surroundings(id_type: pa.DataType):
@@ -177,17 +199,23 @@ def _surroundings(id_type: pa.DataType):
     return run
 
 
+def _table(own: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of bytes, padded with zeros, and their lengths."""
+    size = np.array([len(b) for b in own])
+    table = np.zeros((len(own), REACH), np.uint8)
+    flat = np.frombuffer(b"".join(own), np.uint8)
+    row = np.repeat(np.arange(len(own)), size)
+    table[row, np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)] = flat
+    return table, size
+
+
 def _ladder(before: list[bytes], after: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """For each row and each number of bytes before the head, the hash of the string that
     reaches so far back; and whether the row has as many bytes."""
     n = len(before)
     sides, sizes = [], []
     for own in ([b[::-1] for b in before], after):
-        size = np.array([len(b) for b in own])
-        table = np.zeros((n, REACH), np.uint8)
-        flat = np.frombuffer(b"".join(own), np.uint8)
-        row = np.repeat(np.arange(n), size)
-        table[row, np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)] = flat
+        table, size = _table(own)
         with np.errstate(over="ignore"):
             step = _U(0x9E3779B97F4A7C15 | 1) ** np.arange(REACH, dtype=_U)
             sums = np.zeros((n, REACH + 1), _U)
@@ -199,8 +227,22 @@ def _ladder(before: list[bytes], after: list[bytes]) -> tuple[np.ndarray, np.nda
     return key, (back <= sizes[0][:, None]) & (REACH - back <= sizes[1][:, None])
 
 
+def _by_pairs(before: list[bytes], after: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The reach in a small group, by comparing its rows."""
+    common = []
+    for own in ([b[::-1] for b in before], after):
+        table, size = _table(own)
+        same = np.logical_and.accumulate(table[:, None] == table[None], axis=2).sum(axis=2)
+        common.append(np.minimum(same, np.minimum(size[:, None], size)))
+    enough = common[0] + common[1] >= REACH
+    np.fill_diagonal(enough, False)
+    return (np.where(enough, c, -1).max(axis=1) for c in common)
+
+
 def _agreement(before: list[bytes], after: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The furthest reach, back and on, of a repeated string around each row's head; -1 for none."""
+    if len(before) <= FEW:
+        return _by_pairs(before, after)
     key, there = _ladder(before, after)
     back, on = np.full(len(before), -1), np.full(len(before), -1)
     for k in range(REACH + 1):
