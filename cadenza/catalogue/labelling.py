@@ -92,13 +92,8 @@ def _key(c: str) -> str:
 
 def fuzzy_sql(tag: str, queries: str, entries: str, cut: float) -> dict[str, str]:
     """Brute-force SQL of the fuzzy match between two one-column sources (column ``t``)."""
-    gram = (
-        "SELECT {c}, g, count(*) AS o FROM (SELECT {c}, unnest(list_transform(range(1, length({c}) + 4 - {n}), lambda i: substr('-' || {c} || '-', CAST(i AS INT), {n}))) AS g FROM (SELECT DISTINCT {c} FROM {s})) GROUP BY 1, 2"
-    )
-    dot = (
-        "SELECT d.q, d.e, d.dot / (sqrt(x.s) * sqrt(y.s)) AS cosine FROM (SELECT a.q, b.e, sum(a.o * b.o) AS dot FROM {a} a JOIN {b} b ON a.g = b.g GROUP BY 1, 2) d "
-        "JOIN (SELECT q, sum(o * o) AS s FROM {a} GROUP BY 1) x ON x.q = d.q JOIN (SELECT e, sum(o * o) AS s FROM {b} GROUP BY 1) y ON y.e = d.e"
-    )
+    gram = "SELECT {c}, unnest(list_distinct(list_transform(range(1, length({c}) + 4 - {n}), lambda i: substr('-' || {c} || '-', CAST(i AS INT), {n})))) AS g FROM (SELECT DISTINCT {c} FROM {s})"
+    pairs = "SELECT DISTINCT a.q, b.e FROM {a} a JOIN {b} b ON a.g = b.g"
     p = tag
     return {
         f"{p}_q": f"SELECT DISTINCT t, {_key('t')} AS q FROM ({queries})",
@@ -108,11 +103,12 @@ def fuzzy_sql(tag: str, queries: str, entries: str, cut: float) -> dict[str, str
         f"{p}_e3": gram.format(c="e", n=3, s=f"{p}_e"),
         f"{p}_q2": gram.format(c="q", n=2, s=f"{p}_qn"),
         f"{p}_e2": gram.format(c="e", n=2, s=f"{p}_e"),
-        f"{p}_p3": dot.format(a=f"{p}_q3", b=f"{p}_e3"),
-        f"{p}_p2": dot.format(a=f"{p}_q2", b=f"{p}_e2"),
+        f"{p}_p3": pairs.format(a=f"{p}_q3", b=f"{p}_e3"),
+        f"{p}_p2": pairs.format(a=f"{p}_q2", b=f"{p}_e2"),
         f"{p}_all": f"SELECT * FROM {p}_p3 UNION ALL SELECT * FROM {p}_p2 WHERE q NOT IN (SELECT q FROM {p}_p3)",
         f"{p}_best": (
-            f"SELECT q, e, ratio FROM (SELECT q, e, ratio, row_number() OVER (PARTITION BY q ORDER BY (q = e) DESC, ratio DESC, e) AS k FROM (SELECT q, e, CASE WHEN q = e THEN 1e0 ELSE round(cosine, 12) END AS ratio FROM {p}_all)) WHERE k = 1"
+            "SELECT q, e, ratio FROM (SELECT q, e, ratio, row_number() OVER (PARTITION BY q ORDER BY (q = e) DESC, ratio DESC, e) AS k FROM "
+            f"(SELECT q, e, round(1 - levenshtein(q, e) / CAST(greatest(length(q), length(e)) AS DOUBLE), 12) AS ratio FROM {p}_all)) WHERE k = 1"
         ),
         f"{p}_hit": (
             f"SELECT z.t, n.m AS match, b.ratio + CASE WHEN contains(b.e, b.q) THEN least((1 - b.ratio) * (exp(length(b.q) / 10e0) - 1), (1 - b.ratio) / 2) ELSE 0e0 END AS score "

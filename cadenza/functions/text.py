@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import math
 import sys
 import unicodedata
-from collections import Counter
 
 import pandas as pd
 
@@ -104,26 +102,3 @@ def _ratio(a: str | None, b: str | None) -> float | None:
 def indel_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """``2 * LCS / (len + len)``: the similarity that counts insertions and deletions only."""
     return pd.Series([_ratio(a, b) for a, b in zip(left, right)], dtype="float64")
-
-
-def _grams(text: str, size: int) -> tuple[Counter, float]:
-    padded = f"-{text}-"
-    counts = Counter(padded[i : i + size] for i in range(len(padded) - size + 1))
-    return counts, math.sqrt(sum(n * n for n in counts.values()))
-
-
-@F.pandas_udf(T.DoubleType())
-def gram_cosine(left: pd.Series, right: pd.Series, size: pd.Series) -> pd.Series:
-    """Cosine of the n-gram counts of two texts, each padded by one dash."""
-    known: dict[tuple[str, int], tuple[Counter, float]] = {}
-
-    def of(text, n):
-        if (text, n) not in known:
-            known[text, n] = _grams(text, n)
-        return known[text, n]
-
-    def cosine(a, b, n):
-        (x, nx), (y, ny) = of(a, n), of(b, n)
-        return sum(k * y[g] for g, k in x.items() if g in y) / (nx * ny) if nx and ny else 0.0
-
-    return pd.Series([cosine(a, b, int(n)) for a, b, n in zip(left, right, size)], dtype="float64")

@@ -13,12 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.functions.text import bare_title, gram_cosine, indel_ratio, match_key
+from cadenza.functions.text import bare_title, indel_ratio, match_key
 from cadenza.operators.keys import first_per_key
-from cadenza.session import materialise
 
 GRAM_SIZES = (3, 2)  # fixed values: tried in this order
-STRICT = 0.8
 ANCHORS = (4, 2, 1)
 
 
@@ -60,76 +58,57 @@ def _padded_grams(c: Column, size: int) -> Column:
     return char_grams(F.concat(F.lit("-"), c, F.lit("-")), size)
 
 
-def _cuts(floor: float) -> list[float]:
-    """Cosine levels to search at, from strict to ``floor``."""
-    return [STRICT, floor] if STRICT > floor else [floor]
+def edit_ratio(a: Column, b: Column) -> Column:
+    """One minus the edit distance over the longer length, at twelve places."""
+    return F.round(1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1)), 12)
 
 
-def gram_counts(texts: DataFrame, text: str, size: int) -> DataFrame:
-    """(text, gram, occ) of distinct texts."""
-    each = texts.select(text).distinct().withColumn("gram", F.explode(_padded_grams(F.col(text), size)))
-    return each.groupBy(text, "gram").agg(F.count(F.lit(1)).alias("occ"))
+def _gram_prefix(texts: DataFrame, text: str, size: int, floor: float, rarity: DataFrame) -> DataFrame:
+    """The rarest grams of each text, enough to meet every text of edit ratio ``floor`` or more
+    that shares a gram at all.
 
-
-def gram_index(counts: DataFrame, text: str, rarity: DataFrame) -> DataFrame:
-    """(text, gram, carried): the share of the squared vector length that a gram and all
-    grams more common than it carry.
-
-    Two texts whose cosine is at least ``c`` share a gram with ``carried >= c * c`` in both.
+    A text of ``n`` characters is within ``(1 - floor) * n / floor`` edits of any such text,
+    and an edit takes ``size`` grams away at most: all others are shared, so of its rarest
+    ones ``size * edits + 1`` hold one of them.
     """
-    w = Window.partitionBy(text).orderBy(F.col("df").desc(), F.col("gram").desc())
-    square = F.col("occ") * F.col("occ")
-    return (
-        counts.join(rarity, "gram", "left")
-        .withColumn("df", F.coalesce("df", F.lit(0)))
-        .withColumn("__tail", F.sum(square).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("__all", F.sum(square).over(Window.partitionBy(text)))
-        .select(text, "gram", (F.col("__tail") / F.col("__all")).alias("carried"))
+    n = F.length(text)
+    edits = F.floor(F.lit(1 - floor) * F.floor(n / F.lit(floor) + 1e-9) + 1e-9)
+    each = texts.select(text, n.alias("__len"), edits.alias("__edits"), F.explode(F.array_distinct(_padded_grams(F.col(text), size))).alias("gram"))
+    ranked = each.join(rarity, "gram", "left").withColumn(
+        "__nth", F.row_number().over(Window.partitionBy(text).orderBy(F.coalesce("df", F.lit(0)), "gram"))
     )
+    return ranked.filter(F.col("__nth") <= size * F.col("__edits") + 1).select(text, "gram")
 
 
-def index_pair(left: DataFrame, right: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
-    """Gram indexes of ``left`` (column ``query``) and ``right`` (column ``entry``).
+def _gram_rarity(entries: DataFrame, size: int) -> DataFrame:
+    grams = entries.select(F.explode(F.array_distinct(_padded_grams(F.col("entry"), size))).alias("gram"))
+    return grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
 
-    How common a gram is, is counted on the entries; query grams no entry has come first
-    in the order and meet nothing.
-    """
-    entries = gram_counts(right, "entry", size)
-    rarity = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    asked = gram_index(gram_counts(left, "query", size), "query", rarity)
-    return materialise(asked, "asked"), materialise(gram_index(entries, "entry", rarity), "index")
 
-
-def cosine_pairs(asked: DataFrame, index: DataFrame, size: int, floor: float) -> DataFrame:
-    """All (query, entry, cosine) of the two indexes with a gram cosine of at least ``floor`` > 0."""
-    enough = F.col("carried") >= floor * floor - 1e-9
-    met = (
-        asked.filter(enough).join(index.filter(enough).select("entry", "gram"), "gram").select("query", "entry").distinct()
-    )
-    cosine = gram_cosine(F.col("query"), F.col("entry"), F.lit(size))
-    return met.withColumn("cosine", cosine).filter(F.col("cosine") >= floor - 1e-9)
+def edit_pairs(queries: DataFrame, entries: DataFrame, size: int, floor: float) -> DataFrame:
+    """All (query, entry, ratio) of distinct texts that share a gram and have an edit ratio of ``floor`` or more."""
+    rarity = _gram_rarity(entries, size)
+    asked, index = _gram_prefix(queries, "query", size, floor, rarity), _gram_prefix(entries, "entry", size, floor, rarity)
+    n, m = F.length("query"), F.length("entry")
+    met = asked.join(index, "gram").filter(F.least(n, m) >= F.lit(floor) * F.greatest(n, m) - 1e-9).select("query", "entry").distinct()
+    return met.withColumn("ratio", edit_ratio(F.col("query"), F.col("entry"))).filter(F.col("ratio") >= floor)
 
 
 def _best(pairs: DataFrame) -> DataFrame:
-    rounded = pairs.select("query", "entry", F.round("cosine", 12).alias("ratio"))
-    return first_per_key(rounded, ["query"], [F.col("ratio").desc(), F.col("entry").asc()])
+    return first_per_key(pairs.select("query", "entry", "ratio"), ["query"], [F.col("ratio").desc(), F.col("entry").asc()])
 
 
-def _search(todo: DataFrame, entries: DataFrame, size: int, floor: float) -> tuple[DataFrame, DataFrame]:
-    """Best pairs of the queries that have one at ``floor``, and the query index.
+def _search(todo: DataFrame, entries: DataFrame, size: int, cut: float, floor: float) -> DataFrame:
+    """The best entry of every query that can reach ``cut`` with its bonus.
 
-    A query found at a strict level needs no look at the weaker ones, where candidates
-    are many.
+    Pairs at ``cut`` itself need few grams. Only a query without one, but inside some entry,
+    can get there by the bonus: for those few the search goes down to ``floor``.
     """
-    asked, index = index_pair(todo, entries, size)
-    found, open_index = None, asked
-    for level in _cuts(floor):
-        best = materialise(_best(cosine_pairs(open_index, index, size, level)), "best")
-        found = best if found is None else found.unionByName(best)
-        open_index = open_index.join(best.select("query"), "query", "left_anti")
-        if level > floor and open_index.isEmpty():
-            break
-    return found, asked
+    near = _best(edit_pairs(todo, entries, size, cut))
+    shared = F.arrays_overlap(_padded_grams(F.col("query"), size), _padded_grams(F.col("entry"), size))
+    inside = containment_pairs(todo, "query", entries, "entry").filter(shared & (F.length("query") >= F.lit(floor) * F.length("entry") - 1e-9))
+    low = inside.select("query").distinct().join(near.select("query"), "query", "left_anti")
+    return near.unionByName(_best(edit_pairs(low, entries, size, floor)))
 
 
 def substring_bonus(query: Column, entry: Column, ratio: Column) -> Column:
@@ -142,10 +121,10 @@ def substring_bonus(query: Column, entry: Column, ratio: Column) -> Column:
 def fuzzy_best(queries: DataFrame, query_col: str, entries: DataFrame, entry_col: str, cut: float) -> DataFrame:
     """The best entry for every distinct query that scores at least ``cut``.
 
-    Score = gram cosine of the best hit plus the substring bonus; an equal text scores
-    1. The bonus gives at most half of what is missing, so only cosines of
-    ``2 * cut - 1`` and more can get there and only those are searched. Queries whose
-    3-grams occur in no entry are searched by 2-grams. Ties go to the smallest text.
+    Score = edit ratio of the best entry plus the substring bonus. The best entry is the one
+    of largest ratio among those that share a 3-gram; queries whose 3-grams occur in no entry
+    are searched by 2-grams. The bonus gives at most half of what is missing, so only ratios
+    of ``2 * cut - 1`` and more can get there. Ties go to the smallest text.
     Returns ``(query_col, match, score)``.
     """
     floor = 2 * cut - 1
@@ -153,18 +132,16 @@ def fuzzy_best(queries: DataFrame, query_col: str, entries: DataFrame, entry_col
         raise ValueError("a cut of 0.5 or less matches anything that shares one gram")
     q = queries.select(F.col(query_col)).distinct().withColumn("query", match_key(F.col(query_col)))
     e = entries.select(F.col(entry_col).alias("match")).distinct().withColumn("entry", match_key(F.col("match")))
-    e = materialise(e.filter(F.length("entry") > 0).groupBy("entry").agg(F.min("match").alias("match")), "entries")
+    e = e.filter(F.length("entry") > 0).groupBy("entry").agg(F.min("match").alias("match"))
     texts = q.filter(F.length("query") > 0).select("query").distinct()
     keys = e.select("entry")
     equal = texts.join(keys, F.col("query") == F.col("entry")).withColumn("ratio", F.lit(1.0))
-    todo = materialise(texts.join(keys, F.col("query") == F.col("entry"), "left_anti"), "queries")
+    todo = texts.join(keys, F.col("query") == F.col("entry"), "left_anti")
     wide, narrow = GRAM_SIZES
-    found, asked = _search(todo, keys, wide, floor)
-    seen = gram_counts(keys, "entry", wide).select("gram").distinct()
-    strange = todo.join(asked.join(seen, "gram", "left_semi").select("query").distinct(), "query", "left_anti")
-    found = equal.unionByName(found)
-    if not strange.isEmpty():
-        found = found.unionByName(_search(strange, keys, narrow, floor)[0])
+    grams = todo.select("query", F.explode(F.array_distinct(_padded_grams(F.col("query"), wide))).alias("gram"))
+    known = grams.join(_gram_rarity(keys, wide).select("gram"), "gram", "left_semi").select("query").distinct()
+    strange = todo.join(known, "query", "left_anti")
+    found = equal.unionByName(_search(known, keys, wide, cut, floor)).unionByName(_search(strange, keys, narrow, cut, floor))
     bonus = substring_bonus(F.col("query"), F.col("entry"), F.col("ratio"))
     scored = found.join(e, "entry").withColumn("score", F.col("ratio") + bonus)
     return scored.filter(F.col("score") >= cut).join(q, "query").select(query_col, "match", "score")

@@ -1,12 +1,11 @@
 import math
 import random
-from collections import Counter
 
 from pyspark.sql import functions as F
 
 from cadenza.functions.text import clean_artist, clean_name, clean_title, contains_any_word, indel_ratio, match_key, nfkd
 from cadenza.operators.labels import contains_any, mark_by_name, newly_signed, signed_cascade, signed_cascade_songs, signed_patch
-from cadenza.operators.matching import containment_pairs, cosine_pairs, first_stage, fuzzy_best, index_pair, indel_pairs, pair_match, resolve_names
+from cadenza.operators.matching import containment_pairs, edit_pairs, first_stage, fuzzy_best, indel_pairs, pair_match, resolve_names
 from tests.conftest import rows
 
 
@@ -15,13 +14,22 @@ def words(seed, n, alphabet="abcde", low=1, high=12):
     return sorted({"".join(rng.choice(alphabet) for _ in range(rng.randint(low, high))) for _ in range(n)})
 
 
-def cosine(a, b, n):
-    def grams(t):
-        t = f"-{t}-"
-        return Counter(t[i : i + n] for i in range(len(t) - n + 1))
+def grams(t, n):
+    t = f"-{t}-"
+    return {t[i : i + n] for i in range(len(t) - n + 1)}
 
-    x, y = grams(a), grams(b)
-    return sum(k * y[g] for g, k in x.items()) / math.sqrt(sum(k * k for k in x.values()) * sum(k * k for k in y.values()))
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def ratio_of(a, b):
+    return round(1 - edit_distance(a, b) / max(len(a), len(b)), 12)
 
 
 def lcs(a, b):
@@ -38,13 +46,17 @@ def column(spark, values, name):
     return spark.createDataFrame([(v,) for v in values], f"{name} string")
 
 
-def test_cosine_pairs_lose_nothing(spark):
+def test_edit_pairs_lose_nothing(spark):
     left, right = words(1, 60), words(2, 60)
     for size in (3, 2):
-        asked, index = index_pair(column(spark, left, "query"), column(spark, right, "entry"), size)
-        for floor in (0.9, 0.6, 0.4):
-            got = {(r.query, r.entry) for r in cosine_pairs(asked, index, size, floor).collect()}
-            assert got == {(a, b) for a in left for b in right if cosine(a, b, size) >= floor - 1e-9}
+        for floor in (0.9, 0.75, 0.5):
+            got = {(r.query, r.entry) for r in edit_pairs(column(spark, left, "query"), column(spark, right, "entry"), size, floor).collect()}
+            assert got == {(a, b) for a in left for b in right if ratio_of(a, b) >= floor and grams(a, size) & grams(b, size)}
+
+
+def test_misspelt_names(spark):
+    got = rows(fuzzy_best(column(spark, ["kendrik lamar", "the weekend"], "q"), "q", column(spark, ["kendrick lamar", "the weeknd"], "e"), "e", 0.75))
+    assert [(q, m, round(s, 2)) for q, m, s in got] == [("kendrik lamar", "kendrick lamar", 0.92), ("the weekend", "the weeknd", 0.9)]
 
 
 def test_indel_pairs_lose_nothing(spark):
@@ -69,9 +81,12 @@ def test_fuzzy_best_against_brute_force(spark):
         if a in right:
             want[a] = (a, 1.0)
             continue
-        size = 3 if any(cosine(a, b, 3) > 0 for b in right) else 2
-        best = min(right, key=lambda b: (-round(cosine(a, b, size), 12), b))
-        ratio = cosine(a, best, size)
+        size = 3 if any(grams(a, 3) & grams(b, 3) for b in right) else 2
+        near = [b for b in right if grams(a, size) & grams(b, size)]
+        if not near:
+            continue
+        best = min(near, key=lambda b: (-ratio_of(a, b), b))
+        ratio = ratio_of(a, best)
         bonus = min((1 - ratio) * (math.exp(len(a) / 10) - 1), (1 - ratio) / 2) if a in best else 0
         if ratio + bonus >= 0.75:
             want[a] = (best, round(ratio + bonus, 9))
