@@ -10,10 +10,11 @@ those of any similar set. Features that a sample shows to be frequent are partit
 their own at the end of the order, where most sets never get; the sample decides the
 layout, never the result.
 
-Signatures that two sets share give candidates. Each bucket is compared with its first
-member; what these links leave apart is then compared pair by pair, in buckets of at most
-``BUCKET`` members. Larger buckets serve only sets that have too few signatures outside of
-them. Candidates are verified on whole texts.
+Signatures that two sets share give candidates. Every set is first compared with the first
+member of its buckets; what these links leave apart is then compared pair by pair, in
+buckets of at most ``BUCKET`` members. Larger buckets serve only sets that have too few
+signatures outside of them. A candidate must pass a bound on its differences, taken from
+counts of features by range; those that do are verified on whole texts.
 """
 
 from __future__ import annotations
@@ -34,11 +35,18 @@ SHINGLE = 5
 BUCKET = 64
 #: Documents of the layout sample; features in more than one of SHARE are frequent; most kept.
 SAMPLE, SHARE, FREQUENT = 4000, 1000, 1 << 17
+#: Of the signatures that decide, one in SPARE is enumerated beyond them.
+SPARE = 16
 #: A frequent feature's bucket is dealt to so many tasks.
 SALTS = 256
 
+#: Bits of the filter that picks the texts to verify, whatever their number.
+FILTER_BITS = 1 << 23
+
 _U = np.uint64
 _FIRST_BAND = 32
+#: Signatures are cut to 48 bits; a chance meeting is one more candidate.
+_CUT = _U(16)
 
 
 def node_of(own: np.ndarray) -> np.uint64:
@@ -70,7 +78,7 @@ def signatures(own: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.nd
     common = frequent[at] == own if len(frequent) else np.zeros(len(own), bool)
     rare, hot = own[~common], own[common]
     need = allowed(len(own)) + 1
-    most = need + 2 + need // 8
+    most = need + 2 + need // SPARE
     found, flags = [], []
     with np.errstate(over="ignore"):
         for band in bands(len(own)):
@@ -81,19 +89,37 @@ def signatures(own: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.nd
             held = np.add.reduceat(_mixed(rare[:stop]), first) if len(first) else np.zeros(0, _U)
             rest = hot[: most - len(first)]
             salt = _U(band + 1) * _U(0xD6E8FEB86659FD93)
-            found += [_mixed(held ^ salt), _mixed(_mixed(rest ^ salt) + _U(7))]
+            found += [_mixed(held ^ salt) >> _CUT, _mixed(_mixed(rest ^ salt) + _U(7)) >> _CUT]
             flags += [np.zeros(len(held), bool), np.ones(len(rest), bool)]
     return np.concatenate(found), np.concatenate(flags), need
 
 
+def sketch_of(own: np.ndarray) -> np.ndarray:
+    """How many features are in each of equal ranges, about one range for two features."""
+    bits = min(12, max(6, int(len(own)).bit_length() - 1))
+    return np.minimum(np.bincount((own >> _U(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8)
+
+
+def may_be_similar(a: np.ndarray, b: np.ndarray, n: int, m: int) -> bool:
+    """False where the counts alone differ by more than similar sets can."""
+    a, b = a.astype(np.int64), b.astype(np.int64)
+    while len(a) > len(b):
+        a = a[::2] + a[1::2]
+    while len(b) > len(a):
+        b = b[::2] + b[1::2]
+    return 4 * min(n, m) >= 3 * max(n, m) and 7 * int(np.abs(a - b).sum()) <= n + m
+
+
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece, data, offsets in chunks(batch, "text"):
             sets = shingle_sets(data, offsets, SHINGLE)
-            node = np.array([node_of(s) if len(s) else 0 for s in sets], _U).view(np.int64)
             size = np.array([len(s) for s in sets], np.int64)
+            node = np.array([node_of(s) if len(s) else 0 for s in sets], _U).view(np.int64)
+            sketches = pa.array([sketch_of(s).tobytes() if len(s) else None for s in sets], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [piece.column(0), piece.column(1), pa.array(size), pa.array(node, mask=size == 0)], ["id", "tag", "n_shingles", "node"]
+                [piece.column(0), piece.column(1), pa.array(size), pa.array(node, mask=size == 0), sketches],
+                ["id", "tag", "n_shingles", "node", "sketch"],
             )
 
 
@@ -137,29 +163,45 @@ def _signature_rows(frequent: np.ndarray):
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by signature and node: one of each, where two nodes share the signature.
+    """Of rows sorted by signature and node: one of each, where two nodes share the signature,
+    with the first node of its bucket.
 
-    Buckets of frequent features are dealt to several tasks and pass whole.
+    Buckets of frequent features are dealt to several tasks, pass whole and have a first
+    node in each.
     """
-    held = None  # the last row, and whether it belongs to the signature before it
+    names = ["sig", "node", "leader", "hot"]
+    held = None  # the last row: whether it belongs to the signature before it, and its leader
     for batch in batches:
         sig, salt, node = (batch.column(i).to_numpy() for i in range(3))
         if not len(sig):
             continue
-        joined = False
         if held is not None:
-            joined = held[3]
             sig, salt, node = (np.concatenate([[h], x]) for h, x in zip(held, (sig, salt, node)))
         fresh = np.concatenate([[True], (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])])
         sig, salt, node = sig[fresh], salt[fresh], node[fresh]
         same = sig[1:] == sig[:-1]
-        before = np.concatenate([[joined], same])
+        before = np.concatenate([[held is not None and held[3]], same])
+        first = np.concatenate([[True], ~same])
+        leader = node[first]
+        if held is not None:
+            leader[0] = held[4]
+        leader = leader[np.cumsum(first) - 1]
         keep = before | np.concatenate([same, [False]]) | (salt >= 0)
-        held = sig[-1], salt[-1], node[-1], bool(before[-1])
+        held = sig[-1], salt[-1], node[-1], bool(before[-1]), leader[-1]
         keep[-1] = False
-        yield pa.RecordBatch.from_arrays([pa.array(sig[keep]), pa.array(node[keep])], ["sig", "node"])
+        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (sig, node, leader, salt >= 0)], names)
     if held is not None and (held[3] or held[1] >= 0):
-        yield pa.RecordBatch.from_arrays([pa.array([held[0]], pa.int64()), pa.array([held[2]], pa.int64())], ["sig", "node"])
+        last = [pa.array([int(x)], pa.int64()) for x in (held[0], held[2], held[4])]
+        yield pa.RecordBatch.from_arrays([*last, pa.array([bool(held[1] >= 0)])], names)
+
+
+def _unlike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs that their counts do not rule out."""
+    for batch in batches:
+        n, m = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+        a, b = ([np.frombuffer(x.as_py(), np.uint8) for x in batch.column(k)] for k in (4, 5))
+        keep = pa.array([may_be_similar(*row) for row in zip(a, b, n.tolist(), m.tolist())], pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column(k).filter(keep) for k in (0, 1)], ["u", "v"])
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,12 +223,43 @@ def _set_of(text: str) -> np.ndarray:
     return shingle_sets(data, np.array([0, len(data)]), SHINGLE)[0]
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    a, b = (texts.select(F.col("node").alias(c), F.col("text").alias(f"{c}_text"), F.col("n_shingles").alias(f"{c}_n")) for c in "uv")
-    fits = (4 * F.least("u_n", "v_n") >= 3 * F.greatest("u_n", "v_n"))
-    sizes = pairs.join(a.drop("u_text"), "u").join(b.drop("v_text"), "v").filter(fits).select("u", "v")
-    sizes = stored(sizes, "jaccard-pairs")
-    both = sizes.join(a.drop("u_n").hint("merge"), "u").join(b.drop("v_n").hint("merge"), "v").select("u", "v", "u_text", "v_text")
+def _plausible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    a, b = (sketches.select(F.col("node").alias(c), F.col("n_shingles").alias(f"{c}_n"), F.col("sketch").alias(f"{c}_s")) for c in "uv")
+    fits = 4 * F.least("u_n", "v_n") >= 3 * F.greatest("u_n", "v_n")
+    sizes = pairs.join(a.drop("u_s").hint("merge"), "u").join(b.hint("merge"), "v").filter(fits)
+    both = sizes.join(a.select("u", "u_s").hint("merge"), "u").select("u", "v", "u_n", "v_n", "u_s", "v_s")
+    return stored(both.mapInArrow(_unlike, "u long, v long"), "jaccard-pairs")
+
+
+def _texts_of(pairs: DataFrame, of: DataFrame, rows: DataFrame) -> DataFrame:
+    """One text for each node in ``pairs``.
+
+    Texts are picked in the scan by a filter of fixed size over their hashes; few others
+    pass it, and those that do are joined away.
+    """
+    nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+    reps = stored(of.join(nodes, "node").groupBy("node").agg(F.min("tag").alias("tag")), "jaccard-reps")
+    slot = F.pmod("tag", F.lit(FILTER_BITS))
+    words = reps.select(F.shiftright(slot, 3).cast("int").alias("byte"), slot.alias("slot"))
+    words = words.groupBy("byte").agg(F.bit_or(F.expr("shiftleft(1, int(slot % 8))")).alias("bits")).collect()
+    table = np.zeros(FILTER_BITS >> 3, np.uint8)
+    for w in words:
+        table[w["byte"]] = w["bits"]
+    held = rows.sparkSession.sparkContext.broadcast(table)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = np.mod(batch.column(0).to_numpy(), FILTER_BITS)
+            yield batch.filter(pa.array((held.value[slot >> 3] >> (slot & 7) & 1).astype(bool)))
+
+    picked = rows.select("tag", "text").mapInArrow(pick, "tag long, text string").groupBy("tag").agg(F.min("text").alias("text"))
+    return stored(picked.join(reps.hint("merge"), "tag").select("node", "text"), "jaccard-texts")
+
+
+def _verified(pairs: DataFrame, of: DataFrame, rows: DataFrame) -> DataFrame:
+    texts = _texts_of(pairs, of, rows)
+    a, b = (texts.select(F.col("node").alias(c), F.col("text").alias(f"{c}_text")) for c in "uv")
+    both = pairs.join(a.hint("merge"), "u").join(b.hint("merge"), "v").select("u", "v", "u_text", "v_text")
     return stored(both.sortWithinPartitions("u").mapInArrow(_similar, "u long, v long"), "jaccard-links")
 
 
@@ -213,73 +286,76 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``id``, ``n_shingles``, ``component_id``, ``links``.
+    """One row per document: ``id``, ``n_shingles``, ``component_id``.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased. ``component_id`` is
-    the smallest id that links of similarity 3/4 or more reach. ``links`` counts the
-    different sets that a set was compared with and found similar to; equal sets are one.
-    Documents without words link with nothing. Shingles are 64-bit hashes. Rows that repeat
+    the smallest id that links of similarity 3/4 or more reach. Documents without words link with nothing. Shingles are 64-bit hashes. Rows that repeat
     are copies of each other; where all ids of a component are null, so is its id. An
     empty table gives an empty table.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tag"), F.col(text_col).alias("text"))
     id_type = rows.schema["id"].dataType
-    shape = T.StructType().add("id", id_type).add("tag", "long").add("n_shingles", "long").add("node", "long")
+    shape = T.StructType().add("id", id_type).add("tag", "long").add("n_shingles", "long").add("node", "long").add("sketch", "binary")
     of = stored(rows.mapInArrow(_nodes, shape), "jaccard-sets")
     frequent = frequent_features(rows)
     emitted = rows.select("text").mapInArrow(_signature_rows(frequent), "sig long, salt int, node long")
     dealt = emitted.repartition("sig", "salt").sortWithinPartitions("sig", "node")
-    shared = stored(dealt.mapInArrow(_shared, "sig long, node long"), "jaccard-shared")
+    shared = stored(dealt.mapInArrow(_shared, "sig long, node long, leader long, hot boolean"), "jaccard-shared")
     links = _links(shared, of, rows)
     root = components(links)
-    degree = links.select(F.col("u").alias("node")).unionByName(links.select(F.col("v").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
     least = of.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("id").alias("least"))
-    place = least.join(root, "node", "left").join(degree, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    place = least.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = place.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = place.join(first, "root").select(F.col("node").alias("of"), "component_id", "links")
-    out = of.join(named, F.col("node") == F.col("of"), "left")
-    return out.select(
-        "id",
-        "n_shingles",
-        F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce("links", F.lit(0).cast("long")).alias("links"),
-    )
+    named = place.join(first, "root").select(F.col("node").alias("of"), "component_id")
+    out = of.drop("sketch").join(named, F.col("node") == F.col("of"), "left")
+    own = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
+    return out.select("id", "n_shingles", own.alias("component_id"))
 
 
 def _links(shared: DataFrame, of: DataFrame, rows: DataFrame) -> DataFrame:
     """The verified links among sets that share a signature, enough to connect all that are similar."""
-    nodes = shared.select("node").distinct()
-    reps = of.join(nodes, "node").groupBy("node", "n_shingles").agg(F.min(F.struct("id", "tag")).alias("rep"))
-    reps = reps.select("node", "n_shingles", F.col("rep.id").alias("rid"), F.col("rep.tag").alias("rtag"))
-    found = rows.join(reps.hint("merge"), F.col("id").eqNullSafe(F.col("rid")) & (F.col("tag") == F.col("rtag")))
-    texts = stored(found.groupBy("node", "n_shingles").agg(F.min("text").alias("text")), "jaccard-texts")
-    sizes = shared.groupBy("sig").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("members"))
-    buckets = stored(shared.join(sizes, "sig"), "jaccard-buckets")
-    star = buckets.filter("leader <> node").select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct()
-    first = _verified(star, texts)
+    sketches = of.filter(F.col("node").isNotNull()).groupBy("node").agg(F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch"))
+    sketches = stored(sketches, "jaccard-sketches")
+    # a bucket of a frequent feature has several first members: they meet the smallest of them
+    firsts = shared.filter("hot").select("sig", "leader").distinct()
+    lowest = firsts.groupBy("sig").agg(F.min("leader").alias("u"))
+    across = firsts.join(lowest, "sig").select("u", F.col("leader").alias("v"))
+    star = shared.select(F.col("leader").alias("u"), F.col("node").alias("v")).unionByName(across).filter("u <> v").distinct()
+    star = stored(star, "jaccard-star")
+    likely = _plausible(star, sketches)
+    one = likely.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
+    first = _verified(stored(one, "jaccard-first"), of, rows)
     root = components(first)
-    apart = buckets.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    def rooted(df: DataFrame, column: str, name: str) -> DataFrame:
+        known = root.select(F.col("node").alias(column), F.col("root").alias("__r"))
+        return df.join(known, column, "left").withColumn(name, F.coalesce("__r", column)).drop("__r")
+
+    rest = rooted(rooted(likely, "u", "ru"), "v", "rv").filter("ru <> rv").select("u", "v")
+    apart = rooted(shared.select("sig", "node"), "node", "root")
+    spans = apart.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members"))
+    open_ = stored(apart.join(spans.filter("lo <> hi").select("sig", "members"), "sig"), "jaccard-open")
     # a set is safe when its signatures in small or single buckets alone are as many as decide
-    large = F.col("members") > BUCKET
-    spans = apart.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("sig")
-    open_ = stored(apart.join(spans, "sig"), "jaccard-open")
-    crowded = open_.filter(large)
+    small, crowded = open_.filter(F.col("members") <= BUCKET), open_.filter(F.col("members") > BUCKET)
     held = crowded.groupBy("node").agg(F.count(F.lit(1)).alias("hot"))
-    lacking = held.join(texts.select("node", "n_shingles"), "node").filter(F.col("hot") > _spare("n_shingles")).select(F.col("node").alias("lack"))
-    a = open_.filter(~large).select("sig", F.col("node").alias("u"), F.col("root").alias("ru"))
-    b = open_.filter(~large).select("sig", F.col("node").alias("v"), F.col("root").alias("rv"))
-    near = a.join(b, "sig").filter((F.col("u") < F.col("v")) & (F.col("ru") != F.col("rv"))).select("u", "v")
-    c = crowded.join(lacking, F.col("node") == F.col("lack")).select("sig", F.col("node").alias("u"), F.col("root").alias("ru"))
-    d = crowded.select("sig", F.col("node").alias("v"), F.col("root").alias("rv"))
-    rest = c.join(d, "sig").filter((F.col("u") != F.col("v")) & (F.col("ru") != F.col("rv")))
-    rest = rest.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    todo = near.unionByName(rest).distinct().join(star.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), ["u", "v"], "left_anti")
-    second = _verified(todo, texts)
-    return first.unionByName(second)
+    lacking = held.join(sketches, "node").filter(F.col("hot") > _spare("n_shingles")).select(F.col("node").alias("lack"))
+    near = _sides(small, small).filter("u < v and ru <> rv").select("u", "v")
+    far = _sides(crowded.join(lacking, F.col("node") == F.col("lack")), crowded).filter("u <> v and ru <> rv")
+    far = far.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    tested = star.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    cross = stored(near.unionByName(far).distinct().join(tested, ["u", "v"], "left_anti"), "jaccard-cross")
+    todo = stored(rest.unionByName(_plausible(cross, sketches)).distinct(), "jaccard-second")
+    return first.unionByName(_verified(todo, of, rows))
+
+
+def _sides(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Members of the same bucket beside each other, with the components that they are in."""
+    a = left.select("sig", F.col("node").alias("u"), F.col("root").alias("ru"))
+    return a.join(right.select("sig", F.col("node").alias("v"), F.col("root").alias("rv")), "sig")
 
 
 def _spare(size: str):
     """Signatures that a set enumerates beyond those that decide; a small one has few features."""
     n = F.col(size)
     need = F.floor((n + F.floor(4 * n / 3)) / 7) + 1
-    return F.least(2 + F.floor(need / 8), n - need)
+    return F.least(2 + F.floor(need / SPARE), n - need)
