@@ -46,7 +46,7 @@ def rank_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], na
     same = [F.col(f"s.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
     place = F.col("__before") + F.col(f"s.{_SLOT}") - F.col("__first") + 1
     return s.join(t, [F.col("s.__task") == F.col("t.__task"), *same]).select(
-        *[F.col(f"s.{c}").alias(c) for c in df.columns], place.cast("int").alias(name)
+        *[F.col(f"s.{c}").alias(c) for c in df.columns], place.cast("bigint").alias(name)
     )
 
 
@@ -67,7 +67,7 @@ def global_rank(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
         ).alias("__before"),
     )
     return slots.join(offsets, "__task").select(
-        *df.columns, (F.col("__before") + F.col(_SLOT) + 1).cast("int").alias(name)
+        *df.columns, (F.col("__before") + F.col(_SLOT) + 1).cast("bigint").alias(name)
     )
 
 

@@ -39,6 +39,7 @@ def upsert(
     keys: Sequence[str],
     update: Sequence[str] | None = None,
     on_update: Mapping[str, Column] | None = None,
+    among: Column | None = None,
 ) -> DataFrame:
     """Insert the new keys of ``delta`` and update only the listed columns of the old ones.
 
@@ -46,7 +47,16 @@ def upsert(
     ``on_update`` sets further columns on updated rows. ``delta`` must have unique keys.
     Plain key equality keeps both sides where earlier steps on the key, or bucketing, put
     them; null keys never match and are kept as they are.
+
+    ``among`` is a condition on stored columns that holds for every row of the delta, such
+    as its dates: only stored rows that meet it take part in the join, the others pass by
+    without a shuffle. A delta row that does not meet it is an error.
     """
+    if among is not None:
+        inside = F.coalesce(among, F.lit(False))
+        checked = delta.filter(F.when(~inside, F.raise_error(F.lit("delta row outside of the given part"))).otherwise(F.lit(True)))
+        merged = upsert(current.filter(inside), checked, keys, update, on_update)
+        return current.filter(~inside).unionByName(merged)
     keys = list(keys)
     on_update = dict(on_update or {})
     values = [c for c in delta.columns if c not in keys]
@@ -80,6 +90,7 @@ class Changes:
     marked: DataFrame
     keys: tuple[str, ...]
     values: tuple[str, ...]
+    among: Column | None = None
 
     def rows(self, action: str) -> DataFrame:
         return self.marked.filter(F.col("action") == action).select(*self.keys, *self.values)
@@ -93,8 +104,9 @@ class Changes:
         return total.select(F.expr("stack(2, 'updates', updates, 'inserts', inserts) as (name, value)"))
 
     def apply(self, current: DataFrame) -> DataFrame:
+        """The table with the changes; dates before the look-back pass by without a shuffle."""
         changed = self.marked.filter(F.col("action") != "same").select(*self.keys, *self.values)
-        return upsert(current, changed, self.keys, self.values)
+        return upsert(current, changed, self.keys, self.values, among=self.among)
 
 
 def change_only(
@@ -111,8 +123,9 @@ def change_only(
     kept by date). A delta row that old would look new, so it is an error instead.
     """
     keys, values = list(keys), [c for c in delta.columns if c not in keys]
-    if since is not None:
-        current = current.filter(F.col(date_col) > F.lit(since))
+    among = None if since is None else F.col(date_col) > F.lit(since)
+    if among is not None:
+        current = current.filter(among)
         too_old = F.concat(F.lit("delta row before the look-back: "), F.col(date_col).cast("string"))
         delta = delta.filter(
             F.when(F.col(date_col) <= F.lit(since), F.raise_error(too_old)).otherwise(F.lit(True))
@@ -123,7 +136,7 @@ def change_only(
         differs = differs | ~F.col(c).eqNullSafe(F.col(f"__old_{c}"))
     action = F.when(F.col("__known").isNull(), "insert").when(differs, "update").otherwise("same")
     marked = delta.join(kept, keys, "left").select(*keys, *values, action.alias("action"))
-    return Changes(marked, tuple(keys), tuple(values))
+    return Changes(marked, tuple(keys), tuple(values), among)
 
 
 def replace_window(current: DataFrame, fresh: DataFrame, since: dt.date, date_col: str = "date") -> DataFrame:
@@ -133,12 +146,22 @@ def replace_window(current: DataFrame, fresh: DataFrame, since: dt.date, date_co
 
 
 def patch(
-    current: DataFrame, delta: DataFrame, keys: Sequence[str], columns: Sequence[str], keep_on_null: bool = False
+    current: DataFrame,
+    delta: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    keep_on_null: bool = False,
+    among: Column | None = None,
 ) -> DataFrame:
     """Set ``columns`` of the rows that ``delta`` (unique keys) matches; no row is added.
 
-    ``keep_on_null`` leaves the stored value where the delta's is null.
+    ``keep_on_null`` leaves the stored value where the delta's is null. Stored rows that do
+    not meet ``among`` pass by without a shuffle.
     """
+    if among is not None:
+        inside = F.coalesce(among, F.lit(False))
+        changed = patch(current.filter(inside), delta, keys, columns, keep_on_null)
+        return current.filter(~inside).unionByName(changed)
     keys = list(keys)
     new = delta.select(*keys, *[F.col(c).alias(f"__new_{c}") for c in columns], F.lit(True).alias("__hit"))
     out = []

@@ -212,7 +212,9 @@ def load_daily(
     delta = streams.join(ids, natural).drop(natural)
     delta = unique_delta(delta.select(key, "date", *[c for c in delta.columns if c not in (key, "date")]), [key, "date"])
     changes = change_only(tables["streams"], delta, [key, "date"], compare, back(as_of, LOOK_BACK))
-    return Load(next_meta, append(tables["reports"], report), changes, changes.apply(tables["streams"]))
+    # the report of a day that is loaded again takes the place of the first one
+    others = tables["reports"].filter(~F.col("report_date").eqNullSafe(F.lit(as_of)))
+    return Load(next_meta, append(others, report), changes, changes.apply(tables["streams"]))
 
 
 def patch_ids(meta: DataFrame, ids: DataFrame, natural: str, key: str) -> DataFrame:
@@ -240,14 +242,15 @@ def load_global_entities(current: DataFrame, stats: DataFrame, natural: str, des
     return insert_absent(current, rows, [natural], [F.col(c).asc_nulls_last() for c in described])
 
 
-def load_territory_streams(current: DataFrame, files: DataFrame, key: str) -> DataFrame:
+def load_territory_streams(current: DataFrame, files: DataFrame, key: str, since: dt.date | None = None) -> DataFrame:
     """Upsert (entity, date, territory) streams; the newest file's restatement wins.
 
-    ``files`` carries ``file_date`` beside the key columns and streams.
+    ``files`` carries ``file_date`` beside the key columns and streams. Files restate dates
+    after ``since`` only; earlier ones pass by.
     """
     keys = [key, "date", "territory"]
     delta = unique_delta(files, keys, [F.col("file_date").desc()]).drop("file_date")
-    return upsert(current, delta, keys, ["streams"])
+    return upsert(current, delta, keys, ["streams"], among=None if since is None else F.col("date") > F.lit(since))
 
 
 def refresh_track_counts(artists: DataFrame, tracks: DataFrame) -> DataFrame:

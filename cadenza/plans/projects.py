@@ -115,7 +115,8 @@ def project_recent(
         .join(songs.select("song_id", "core_genre"), "song_id")
         .join(images, "song_id")
     )
-    base = tracks.filter(F.col(key).isNotNull() & F.col("artist_id").isNotNull()).join(facts, "song_id")
+    wanted = tracks.filter(F.col(key).isNotNull() & F.col("artist_id").isNotNull()).join(albums.select(key), key, "left_semi")
+    base = wanted.join(facts, "song_id")
     combos = base.groupBy(key, "artist_id", "core_genre", "image").agg(
         F.count(F.lit(1)).alias("n"), F.sum("rtd_oda_streams").alias("rtd"), F.sum("tw_oda_streams").alias("tw")
     )

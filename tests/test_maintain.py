@@ -88,3 +88,24 @@ def test_patch_with_and_without_nulls(spark):
     delta = spark.createDataFrame([("a", None), ("c", "z")], "k string, v string")
     assert rows(patch(current, delta, ["k"], ["v"])) == [("a", None), ("b", "y")]
     assert rows(patch(current, delta, ["k"], ["v"], keep_on_null=True)) == [("a", "x"), ("b", "y")]
+
+
+def test_only_the_given_part_is_joined(spark, tmp_path):
+    days = [D(2024, 1, d) for d in (1, 2, 3)]
+    stored = [(k, d, k) for k in (1, 2) for d in days]
+    path = str(tmp_path / "t")
+    spark.createDataFrame(stored, "id int, date date, v int").write.partitionBy("date").parquet(path)
+    current = spark.read.parquet(path).select("id", "date", "v")
+    delta = spark.createDataFrame([(1, days[2], 9), (3, days[2], 7)], "id int, date date, v int")
+    late = F.col("date") > F.lit(days[1])
+    out = upsert(current, delta, ["id", "date"], among=late)
+    assert rows(out) == sorted([r for r in stored if r != (1, days[2], 1)] + [(1, days[2], 9), (3, days[2], 7)], key=str)
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    passing = plan.split("Union")[1].split("FileScan")[0]
+    assert "Exchange" not in passing and "Join" not in passing
+    assert plan.count("PartitionFilters: [") == 2 and "PartitionFilters: []" not in plan
+    assert plan.count("Exchange hashpartitioning") == 2
+    patched = patch(current, delta.select("id", "date", "v"), ["id", "date"], ["v"], among=late)
+    assert rows(patched) == sorted([r for r in stored if r != (1, days[2], 1)] + [(1, days[2], 9)], key=str)
+    with pytest.raises(Exception, match="outside of the given part"):
+        upsert(current, delta.withColumn("date", F.lit(days[0])), ["id", "date"], among=late).collect()
