@@ -12,9 +12,9 @@ from cadenza.functions.dates import back, complete_date, parse_date, year_week_s
 from cadenza.functions.numeric import id_text
 from cadenza.operators.reshape import pivot_dates
 from cadenza.plans.enrich import artist_facts, profile_candidates, song_facts
-from cadenza.plans.ingest import daily_artists, load_territory_stats, mapping_links, territory_daily, territory_weekly
+from cadenza.plans.ingest import daily_artists, load_territory_stats, mapping_artists, mapping_collections, mapping_links, mapping_songs, territory_daily, territory_weekly
 from cadenza.sources.contracts import ARTIST_COLUMNS, DAY_COLUMN, LIFETIME_PREFIX, PRIOR_DAY_COLUMN, WEEKLY_COLUMNS
-from cadenza.sources.files import ORDINAL, advance_marks, beyond_mark, daily_files, latest_per_territory, unprocessed, weekly_files
+from cadenza.sources.files import ORDINAL, advance_marks, beyond_mark, daily_files, latest_per_territory, parse_mapping, unprocessed, weekly_files
 from cadenza.sources.nested import (
     ALBUM,
     ARTIST,
@@ -463,6 +463,62 @@ def ingest_mapping(spark, folder):
     return mapping_links(raw)
 
 
+def _ordinal(file, part, row):
+    return F.struct(F.lit(file).alias("file"), F.lit(part).alias("part"), row.cast("bigint").alias("row")).alias(ORDINAL)
+
+
+def _mapping_lines(rows, columns, *cells):
+    """Two mapping files with the same rows, the second with its columns the other way round."""
+    place = rows.columns[0]
+    files = []
+    for name, order in (("a.txt", 1), ("b.txt", -1)):
+        head = "\t".join(columns[::order])
+        lines = rows.select(F.lit(name).alias("file"), _ordinal(name, 1, F.col(place)), F.concat_ws("\t", *cells[::order]).alias("value"))
+        first = _ordinal(name, 0, F.lit(0))
+        files.append(rows.sparkSession.range(1).select(F.lit(name).alias("file"), first, F.lit(head).alias("value")).unionByName(lines))
+    return parse_mapping(files[0].unionByName(files[1]), columns)
+
+
+@query("ingest_mapping_artists", oracle("SELECT CAST(s_suppkey AS VARCHAR) AS unified_artist_id, CAST(s_nationkey AS VARCHAR) AS primary_artist_id, s_name AS unified_artist_name, 'no. ' || CAST(s_suppkey AS VARCHAR) AS primary_artist_name FROM supplier"))
+def ingest_mapping_artists(spark, folder):
+    """Quoted names and ids as floats, in two files whose headers differ in order."""
+    t = Tables(spark, folder)
+    columns = ["Unified Artist ID", "Primary Artist ID", "Unified Artist Name", "Primary Artist Name"]
+    ids = [F.col(c).cast("double").cast("string") for c in ("s_suppkey", "s_nationkey")]
+    names = [F.concat(F.lit('"'), "s_name", F.lit('"')), F.concat(F.lit("no.\\ "), F.col("s_suppkey").cast("string"))]
+    return mapping_artists(_mapping_lines(t.supplier.select("s_suppkey", "s_nationkey", "s_name"), columns, *ids, *names))
+
+
+@query(
+    "ingest_mapping_collections",
+    oracle(
+        "SELECT CAST(o_orderkey AS VARCHAR) AS unified_collection_id, o_orderpriority AS name, "
+        f"CASE WHEN o_orderkey % 3 = 0 THEN '{AS_OF}' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS release_date, o_orderstatus AS type FROM orders"
+    ),
+)
+def ingest_mapping_collections(spark, folder):
+    """Collections; a third have no release date and take the day of the run."""
+    t = Tables(spark, folder)
+    columns = ["Unified Collection ID", "Unified Collection Name", "Barcode Release Date", "Collection Type"]
+    day = F.when(F.col("o_orderkey") % 3 == 0, "").otherwise(F.date_format(F.to_date("o_orderdate"), "MM/dd/yyyy"))
+    rows = t.orders.select("o_orderkey", "o_orderpriority", "o_orderdate", "o_orderstatus")
+    return mapping_collections(_mapping_lines(rows, columns, F.col("o_orderkey").cast("string"), F.col("o_orderpriority"), day, F.col("o_orderstatus")), AS_OF)
+
+
+@query(
+    "ingest_mapping_songs",
+    oracle(f"SELECT CAST(p_partkey AS VARCHAR) AS unified_song_id, 'I' || CAST(p_partkey AS VARCHAR) AS isrc, CASE WHEN p_size < 10 THEN '' ELSE p_name END AS title, '{AS_OF}' AS release_date FROM part"),
+)
+def ingest_mapping_songs(spark, folder):
+    """One row per recording code, some without a title."""
+    t = Tables(spark, folder)
+    columns = ["UnifiedSongid", "ISRC", "UnifiedSong Title", "ISRC Release Date"]
+    code = F.concat(F.lit("I"), F.col("p_partkey").cast("string"))
+    title = F.when(F.col("p_size") < 10, "").otherwise(F.col("p_name"))
+    rows = t.part.select("p_partkey", "p_size", "p_name")
+    return mapping_songs(_mapping_lines(rows, columns, F.col("p_partkey").cast("double").cast("string"), code, title, F.lit("")), AS_OF)
+
+
 @query("id_text", oracle("SELECT l_orderkey, l_linenumber, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS id, CAST(l_suppkey AS VARCHAR) AS id2 FROM lineitem"))
 def id_text_query(spark, folder):
     t = Tables(spark, folder)

@@ -14,7 +14,7 @@ from cadenza.functions.dates import back
 from cadenza.operators.keys import assign_ids
 from cadenza.operators.maintain import append, change_only, insert_absent, patch, replace_window, unique_delta, upsert
 from cadenza.plans.enrich import extend_cache, patch_colours, recache, refresh_id_map, stalest
-from cadenza.plans.ingest import load_daily, load_territory_streams
+from cadenza.plans.ingest import load_daily, load_global_entities, load_territory_streams
 
 SINCE = back(AS_OF, 20)
 KEYS = ["song_id", "date"]
@@ -224,6 +224,56 @@ def load_daily_counts(spark, folder):
     return _load(Tables(spark, folder)).changes.counts()
 
 
+_NUMBERED = (
+    "SELECT s.s_suppkey, s.s_name AS natural_key, coalesce(m.entity_id, (SELECT max(entity_id) FROM meta) + n.k) AS entity_id "
+    "FROM supplier s LEFT JOIN meta m ON m.natural_key = s.s_name LEFT JOIN fresh n ON n.s_name = s.s_name"
+)
+_FRESH = "SELECT s_name, row_number() OVER (ORDER BY s_name) AS k FROM supplier WHERE s_name NOT IN (SELECT natural_key FROM meta)"
+
+
+@query(
+    "load_daily_reports",
+    oracle(
+        f"SELECT entity_id, 0 AS tw_rank, '{back(AS_OF, 1)}' AS report_date FROM meta UNION ALL SELECT entity_id, 1, '{AS_OF}' FROM numbered",
+        meta=_META, fresh=_FRESH, numbered=_NUMBERED,
+    ),
+)
+def load_daily_reports(spark, folder):
+    """The report after a daily load: the day before, and the day of the file."""
+    return _load(Tables(spark, folder)).reports
+
+
+@query(
+    "load_daily_streams",
+    oracle(
+        "SELECT coalesce(d.entity_id, h.entity_id) AS entity_id, CAST(coalesce(d.date, h.date) AS VARCHAR) AS date, coalesce(d.streams, h.streams) AS streams "
+        "FROM d FULL JOIN h ON h.entity_id = d.entity_id AND h.date = d.date",
+        meta=_META, fresh=_FRESH, everyone=_NUMBERED,
+        h=_LOADED % ("l_returnflag <> 'R'", "meta"),
+        d=_LOADED % (f"CAST(l_shipdate AS DATE) > DATE '{SINCE}'", "everyone"),
+    ),
+)
+def load_daily_streams(spark, folder):
+    """The stored streams after a daily load: restated days take the file's values."""
+    return _load(Tables(spark, folder)).streams.select("entity_id", "date", "streams")
+
+
+@query(
+    "load_global_entities",
+    oracle(
+        "SELECT s_name AS natural_key, CASE WHEN s_acctbal > 2000 THEN 'known ' || s_name ELSE s_name END AS artist, s_acctbal <= 2000 AS is_global FROM supplier"
+    ),
+)
+def load_global_entities_query(spark, folder):
+    """Artists that only territory files name join the dimension; known ones stay as they are."""
+    t = Tables(spark, folder)
+    known = t.supplier.filter(F.col("s_acctbal") > 2000).select(
+        F.col("s_name").alias("natural_key"), F.concat(F.lit("known "), "s_name").alias("artist"), F.lit(False).alias("is_global")
+    )
+    each = t.supplier.select(F.col("s_name").alias("natural_key"), F.col("s_name").alias("artist"))
+    return load_global_entities(known, each.unionByName(each), "natural_key", ["artist"])
+
+
 _PROFILE = "SELECT c_custkey AS profile_id, c_mktsegment AS genres, CAST(round(c_acctbal) AS BIGINT) AS followers, DATE '2001-01-01' + CAST(c_nationkey AS INT) AS last_updated FROM customer"
 
 
