@@ -6,9 +6,9 @@ partitions, all but that many of a set's partitions hold the same elements in bo
 partitions are those of a size band; sets near the upper end of a band also enumerate those
 of the next. Signatures are the contents of single partitions, taken in one order of all
 partitions; the first k + 1 of them, k being the number of differences allowed, must meet
-those of any similar set. Features that a sample shows to be frequent are partitions of
-their own at the end of the order, where most sets never get; the sample decides the
-layout, never the result.
+those of any similar set. Frequent features are partitions of their own at the end of the order,
+where most sets never get; which ones count as frequent decides the layout, never the
+result.
 
 Signatures that two sets share give candidates. Every set is first compared with the first
 member of its buckets; what these links leave apart is then compared pair by pair, in
@@ -32,9 +32,10 @@ from cadenza.llm.grams import _mixed, chunks, shingle_sets
 
 SHINGLE = 5
 #: Members that a bucket may have to be compared pair by pair.
-BUCKET = 64
-#: Documents of the layout sample; features in more than one of SHARE are frequent; most kept.
-SAMPLE, SHARE, FREQUENT = 4000, 1000, 1 << 17
+BUCKET = 32
+#: A feature is counted where a batch of documents has it so often, and frequent from FREQUENT
+#: on; the most frequent ones are told to all tasks, at most MOST_FREQUENT.
+OFTEN, FREQUENT, MOST_FREQUENT = 3, 24, 1 << 19
 #: Of the signatures that decide, one in SPARE is enumerated beyond them.
 SPARE = 16
 #: A frequent feature's bucket is dealt to so many tasks.
@@ -111,34 +112,41 @@ def may_be_similar(a: np.ndarray, b: np.ndarray, n: int, m: int) -> bool:
 
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Identity and counts of each set; on the first row of a batch, the features that it has often."""
     for batch in batches:
-        for piece, data, offsets in chunks(batch, "text"):
-            sets = shingle_sets(data, offsets, SHINGLE)
-            size = np.array([len(s) for s in sets], np.int64)
-            node = np.array([node_of(s) if len(s) else 0 for s in sets], _U).view(np.int64)
-            sketches = pa.array([sketch_of(s).tobytes() if len(s) else None for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [piece.column(0), piece.column(1), pa.array(size), pa.array(node, mask=size == 0), sketches],
-                ["id", "tag", "n_shingles", "node", "sketch"],
-            )
-
-
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+        if not batch.num_rows:
+            continue
+        size, node, sketches, fresh = [], [], [], {}
         for _, data, offsets in chunks(batch, "text"):
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingle_sets(data, offsets, SHINGLE)).view(np.int64))], ["feature"])
-
-
-def frequent_features(docs: DataFrame) -> np.ndarray:
-    """Features that more than one in ``SHARE`` of a bounded sample of documents has."""
-    narrow = docs.select(F.xxhash64("id", "tag").alias("draw")).orderBy("draw").limit(SAMPLE)
-    last = narrow.agg(F.max("draw")).first()[0]
-    if last is None:
-        return np.zeros(0, _U)
-    some = docs.filter(F.xxhash64("id", "tag") <= last).dropDuplicates(["id", "tag"])
-    counted = some.select("text").mapInArrow(_features, "feature long").groupBy("feature").count()
-    often = counted.filter(F.col("count") > SAMPLE // SHARE).orderBy(F.desc("count"), "feature").limit(FREQUENT).collect()
-    return np.sort(np.array([r["feature"] for r in often], np.int64).view(_U))
+            for own in shingle_sets(data, offsets, SHINGLE):
+                size.append(len(own))
+                node.append(node_of(own) if len(own) else _U(0))
+                sketches.append(sketch_of(own).tobytes() if len(own) else None)
+                fresh.setdefault(int(node[-1]), own)  # copies count once
+        feature, times = np.unique(np.concatenate(list(fresh.values())), return_counts=True)
+        often = times >= OFTEN
+        listed = pa.StructArray.from_arrays([pa.array(feature[often].view(np.int64)), pa.array(times[often].astype(np.int64))], ["feature", "times"])
+        ends = np.full(len(size) + 1, len(listed), np.int32)
+        ends[0] = 0
+        size = np.array(size, np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0),
+                batch.column(1),
+                pa.array(size),
+                pa.array(np.array(node, _U).view(np.int64), mask=size == 0),
+                pa.array(sketches, pa.binary()),
+                pa.ListArray.from_arrays(pa.array(ends), listed),
+            ],
+            ["id", "tag", "n_shingles", "node", "sketch", "often"],
+        )
+
+
+def frequent_features(of: DataFrame) -> np.ndarray:
+    """Features that are frequent by the counts of the batches, ascending; a bounded number."""
+    counted = of.select(F.explode("often").alias("o")).groupBy("o.feature").agg(F.sum("o.times").alias("times"))
+    most = counted.filter(F.col("times") >= FREQUENT).orderBy(F.desc("times"), "feature").limit(MOST_FREQUENT).select("feature")
+    return np.sort(most.toPandas()["feature"].to_numpy(np.int64).view(_U))
 
 
 def _signature_rows(frequent: np.ndarray):
@@ -296,8 +304,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tag"), F.col(text_col).alias("text"))
     id_type = rows.schema["id"].dataType
     shape = T.StructType().add("id", id_type).add("tag", "long").add("n_shingles", "long").add("node", "long").add("sketch", "binary")
+    shape.add("often", T.ArrayType(T.StructType().add("feature", "long").add("times", "long")))
     of = stored(rows.mapInArrow(_nodes, shape), "jaccard-sets")
-    frequent = frequent_features(rows)
+    frequent = frequent_features(of)
     emitted = rows.select("text").mapInArrow(_signature_rows(frequent), "sig long, salt int, node long")
     dealt = emitted.repartition("sig", "salt").sortWithinPartitions("sig", "node")
     shared = stored(dealt.mapInArrow(_shared, "sig long, node long, leader long, hot boolean"), "jaccard-shared")
@@ -307,7 +316,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     place = least.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = place.groupBy("root").agg(F.min("least").alias("component_id"))
     named = place.join(first, "root").select(F.col("node").alias("of"), "component_id")
-    out = of.drop("sketch").join(named, F.col("node") == F.col("of"), "left")
+    out = of.select("id", "n_shingles", "node").join(named, F.col("node") == F.col("of"), "left")
     own = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return out.select("id", "n_shingles", own.alias("component_id"))
 
@@ -339,8 +348,8 @@ def _links(shared: DataFrame, of: DataFrame, rows: DataFrame) -> DataFrame:
     small, crowded = open_.filter(F.col("members") <= BUCKET), open_.filter(F.col("members") > BUCKET)
     held = crowded.groupBy("node").agg(F.count(F.lit(1)).alias("hot"))
     lacking = held.join(sketches, "node").filter(F.col("hot") > _spare("n_shingles")).select(F.col("node").alias("lack"))
-    near = _sides(small, small).filter("u < v and ru <> rv").select("u", "v")
-    far = _sides(crowded.join(lacking, F.col("node") == F.col("lack")), crowded).filter("u <> v and ru <> rv")
+    near = _across(small, small).filter("u < v").select("u", "v")
+    far = _across(crowded.join(lacking, F.col("node") == F.col("lack")), crowded)
     far = far.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     tested = star.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     cross = stored(near.unionByName(far).distinct().join(tested, ["u", "v"], "left_anti"), "jaccard-cross")
@@ -348,10 +357,14 @@ def _links(shared: DataFrame, of: DataFrame, rows: DataFrame) -> DataFrame:
     return first.unionByName(_verified(todo, of, rows))
 
 
-def _sides(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Members of the same bucket beside each other, with the components that they are in."""
+def _across(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Members of a bucket beside those that are in another component; components meet first,
+    so members of one never do."""
+    r, q = (x.select("sig", F.col("root").alias(c)).distinct() for x, c in ((left, "ru"), (right, "rv")))
+    apart = r.join(q, "sig").filter("ru <> rv")
     a = left.select("sig", F.col("node").alias("u"), F.col("root").alias("ru"))
-    return a.join(right.select("sig", F.col("node").alias("v"), F.col("root").alias("rv")), "sig")
+    b = right.select("sig", F.col("node").alias("v"), F.col("root").alias("rv"))
+    return a.join(apart, ["sig", "ru"]).join(b, ["sig", "rv"]).select("u", "v")
 
 
 def _spare(size: str):

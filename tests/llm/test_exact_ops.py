@@ -135,7 +135,7 @@ def test_jaccard_components_in_large_buckets(spark, monkeypatch):
     for i in range(30):
         rows.append([300 + i, " ".join(f"s{rng.randrange(3)}" for _ in range(rng.randrange(1, 9)))])
     monkeypatch.setattr(jaccard, "BUCKET", 4)
-    monkeypatch.setattr(jaccard, "SHARE", 1000)
+    monkeypatch.setattr(jaccard, "FREQUENT", 10)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert as_rows(jaccard.jaccard_components(df), "id", "n_shingles", "component_id") == brute_components(rows)
 
