@@ -54,7 +54,28 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return weak.classify(documents(spark, folder))
 
 
-@query("op4_ngram_jaccard")
+@query(
+    "op4_ngram_jaccard",
+    """
+    WITH RECURSIVE words AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+      FROM documents
+    ),
+    shingles AS (
+      SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                          WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+      FROM words
+    ),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+    common AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    links AS (
+      SELECT u, v FROM common c JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v WHERE 100 * c.n >= 75 * (x.n + y.n - c.n)
+    ),
+    reach AS (SELECT doc_id AS u, doc_id AS v FROM documents UNION SELECT r.u, l.v FROM reach r JOIN links l ON l.u = r.v)
+    SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
+    FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN (SELECT u, min(v) AS component_id FROM reach GROUP BY 1) r ON r.u = d.doc_id
+    """,
+)
 def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(documents(spark, folder)).withColumnRenamed("id", "doc_id")
 
