@@ -79,11 +79,6 @@ def id_text(c: Column | str) -> Column:
     return F.coalesce(whole, c.cast("string"))
 
 
-def null_if_blank(c: Column | str) -> Column:
-    c = _col(c)
-    return F.when(F.length(c) > 0, c)
-
-
 def present(c: Column | str) -> Column:
     """True for a value that is neither null nor empty."""
     return F.coalesce(F.length(_col(c)) > 0, F.lit(False))

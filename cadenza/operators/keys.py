@@ -105,10 +105,6 @@ def share_of_group(df: DataFrame, keys: Sequence[str], count_col: str, name: str
     return df.join(totals, list(keys)).withColumn(name, F.round(share, places).cast("double"))
 
 
-def distinct_pairs(df: DataFrame, *columns: str) -> DataFrame:
-    return df.select(*columns).distinct()
-
-
 def large_groups(df: DataFrame, keys: Sequence[str], more_than: int) -> DataFrame:
     """Rows of the groups that hold more than ``more_than`` rows."""
     big = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > more_than)

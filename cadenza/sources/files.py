@@ -123,11 +123,6 @@ def unprocessed(files: DataFrame, ledger: DataFrame) -> DataFrame:
     return not_in(files, ledger, ["filename"])
 
 
-def record(ledger: DataFrame, done: DataFrame) -> DataFrame:
-    """The ledger with the processed files appended."""
-    return ledger.unionByName(done.select(*[c for c in ledger.columns if c in done.columns]), allowMissingColumns=True)
-
-
 def latest_per_territory(files: DataFrame) -> DataFrame:
     """The newest file of every territory and kind."""
     return first_per_key(files, ["territory", "kind"], [F.col("date").desc(), F.col("filename").asc()])

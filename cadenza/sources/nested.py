@@ -216,8 +216,3 @@ def with_audio_features(tracks: DataFrame, features: DataFrame) -> DataFrame:
     out = tracks.join(f, "track_id", "left")
     whole = ["disc_number", "duration_ms", "popularity", "track_number", "total_tracks", "key", "mode", "time_signature"]
     return out.fillna(0, [c for c in whole if c in out.columns])
-
-
-def prefer(columns: Mapping[str, str], given: str = "isrc") -> Column:
-    """The caller's value, else the one found in the object."""
-    return F.coalesce(F.col(given), F.col(columns[given]))

@@ -37,30 +37,35 @@ def step(state: State | None, rank: int, as_of: dt.date, inner: int, outer: int,
 def reentry_stream(ranks: DataFrame, key: str, rule: ReentryRule) -> DataFrame:
     """Chart rows from a stream of (key, edition date ``as_of``, ``rnk``).
 
-    State per key is three values. Editions that arrive together are taken in date order.
+    State per key is four values. Editions that arrive together are taken in date order; one
+    that is not newer than the last one of its key is late or repeated, and is left out.
     """
     inner, outer, limit = rule.inner, rule.outer, rule.limit
 
     def advance(k: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         now: State | None = None
+        last = dt.date.min
         if state.exists:
-            notify, last_in, last_out = state.get
+            notify, last_in, last_out, last = state.get
             now = (notify, last_in, last_out)
         rows = []
         for part in parts:
             rows.extend(zip(part["as_of"], part["rnk"]))
         out = []
         for as_of, rank in sorted(rows):
+            if as_of <= last:
+                continue
+            last = as_of
             now = step(now, int(rank), as_of, inner, outer, limit)
             out.append((k[0], as_of, int(rank), *now))
-        state.update(now)
+        state.update((*now, last))
         yield pd.DataFrame(out, columns=[key, "as_of", "rnk", "should_notify", "last_in", "last_out"])
 
     kind = dict(ranks.dtypes)[key]
     return ranks.groupBy(key).applyInPandasWithState(
         advance,
         f"{key} {kind}, as_of date, rnk int, should_notify int, last_in date, last_out date",
-        "should_notify int, last_in date, last_out date",
+        "should_notify int, last_in date, last_out date, edition date",
         "append",
         GroupStateTimeout.NoTimeout,
     )

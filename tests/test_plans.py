@@ -1,4 +1,6 @@
 import datetime as dt
+
+import pytest
 import math
 import random
 
@@ -9,9 +11,9 @@ from cadenza.plans.genres import entity_genres, genre_stats, long_term_genre_ran
 from cadenza.functions.dates import months_back
 from cadenza.plans.growth import eight_week_growth, genre_set_growth, indie_long_term, roots_long_term
 from cadenza.plans.momentum import acceleration_metrics, acceleration_rule, momentum_metrics, momentum_rule
-from cadenza.plans.ranks import rank_improvement
+from cadenza.plans.ranks import RANK_CAPS, rank_improvement
 from cadenza.plans.rollups import ex_home, territory_daily, worldwide
-from cadenza.plans.social import GainRule, follower_gain_chart, snapshot_growth, weekly_gains
+from cadenza.plans.social import AUDIO_RULE, PHOTO_RULE, VIDEO_RULE, GainRule, follower_gain_chart, snapshot_growth, weekly_gains
 from cadenza.plans.views import entity_stats
 from tests.conftest import rows
 
@@ -134,6 +136,38 @@ def test_history_before_and_after_filling(spark):
     assert rows(before, "account") == [("dense",)]
 
 
+@pytest.mark.parametrize(
+    ("rule", "days", "points", "filled", "floor", "zero"),
+    [(PHOTO_RULE, 16, 3, True, 5000, False), (AUDIO_RULE, 16, 4, False, 2000, False), (VIDEO_RULE, 21, 4, False, 1000, True)],
+)
+def test_platform_rules_at_their_limits(spark, rule, days, points, filled, floor, zero):
+    """The last value must exceed the floor, the history the number of points, within the look-back."""
+    past = [(days - 1, floor - 7), *[(i, floor - i) for i in range(2, points + 1)]]
+    series = {
+        "above": [*past, (1, floor + 1)],
+        "at": [*past, (1, floor)],
+        "short": [(i, floor + 9) for i in range(1, points + 1)],
+        "early": [(days, floor + 9), *[(i, floor + 9) for i in range(1, points + 1)]],
+        "gap": [(1, floor + 9), (9, floor + 5)],
+        "zeros": [(1, floor + 9), *[(i, 0) for i in range(2, 10)]],
+    }
+    wanted = spark.createDataFrame([(k,) for k in series], "account string")
+    got = {r.account for r in weekly_gains(followers(spark, series), wanted, "account", "followers", NOW, rule).collect()}
+    assert got == {"above"} | ({"gap"} if filled else set()) | (set() if zero else {"zeros"})
+    assert rule.sigmas == (2.5 if rule is AUDIO_RULE else 2.0)
+
+
+@pytest.mark.parametrize(("kind", "cap"), [("rank_25_75", 50_000), ("rank_fb", 150_000), ("rank_eg", 50_000)])
+def test_rank_caps(spark, kind, cap):
+    week = NOW - dt.timedelta(7)
+    data = [("in", NOW, cap - 1), ("in", week, cap + 1000), ("out", NOW, cap), ("out", week, cap + 5000), ("slow", NOW, cap - 2), ("slow", week, cap + 998)]
+    ranks = spark.createDataFrame(data, f"account string, date date, {kind} int")
+    people = spark.createDataFrame([(1, "in"), (2, "out"), (3, "slow")], "artist_id int, account string")
+    none = spark.createDataFrame([], "artist_id int")
+    got = rank_improvement(ranks, people, none, "account", kind, RANK_CAPS[kind], NOW)
+    assert rows(got, "account") == [("in",)]
+
+
 def test_gain_chart_names_the_biggest_owner(spark):
     stats = followers(spark, {"x": [(i, 10_000 - 100 * i) for i in range(1, 10)], "y": [(i, 10_000 - i) for i in range(1, 10)]})
     people = [("a", 5, "x"), ("b", 50, "x"), ("c", None, "x"), ("d", 1, "y"), ("e", 1, "")]

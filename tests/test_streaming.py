@@ -70,3 +70,32 @@ def test_reentry_as_a_stream(spark, tmp_path):
     edition("2.json", [{"k": "g", "as_of": "2024-01-03", "rnk": 400}])
     run()
     assert sorted(got) == [("g", D(2024, 1, 1), 1), ("g", D(2024, 1, 2), 2), ("g", D(2024, 1, 3), 3), ("h", D(2024, 1, 1), 0)]
+
+
+def test_stream_and_batch_follow_the_same_rule_and_late_editions_are_left_out(spark, tmp_path):
+    from cadenza.operators.charts import next_reentry
+
+    folder, ckpt, got = tmp_path / "ranks", str(tmp_path / "ckpt"), {}
+    folder.mkdir()
+    ranks = [9, 400, 15, 90, 101, 3]
+    days = [D(2022, 1, 1) + dt.timedelta(n) for n in (0, 1, 500, 501, 502, 990)]
+
+    def run(name, lines):
+        (folder / name).write_text("\n".join(json.dumps({"k": "g", "as_of": str(d), "rnk": r}) for d, r in lines))
+        out = reentry_stream(spark.readStream.schema("k string, as_of date, rnk int").json(str(folder)), "k", GENRE_RULE)
+
+        def keep(df, _):
+            got.update({r.as_of: (r.should_notify, r.last_in, r.last_out) for r in df.collect()})
+
+        out.writeStream.foreachBatch(keep).option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+
+    run("1.json", list(zip(days, ranks))[:4])
+    run("2.json", [(days[1], 1), (days[0] - dt.timedelta(9), 1)])
+    run("3.json", list(zip(days, ranks))[4:])
+    state, want = None, {}
+    for day, rank in zip(days, ranks):
+        state = next_reentry(spark.createDataFrame([("g", rank)], "k string, rnk int"), state, ["k"], GENRE_RULE, day)
+        r = state.first()
+        want[day] = (r.should_notify, r.last_appearance_in_top_20, r.last_appearance_in_top_100)
+        state = spark.createDataFrame([r], state.schema)
+    assert got == want
