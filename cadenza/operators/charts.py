@@ -134,12 +134,14 @@ def sparkline(daily: DataFrame, keys: Sequence[str], value: str, name: str = "sp
     return points.groupBy(*keys).agg(F.to_json(F.array_sort(F.collect_list(point))).alias(name))
 
 
-def fan_out(users: DataFrame, items: DataFrame, spread: int = 16) -> DataFrame:
+def fan_out(users: DataFrame, items: DataFrame, spread: int | None = None) -> DataFrame:
     """Every user with every item, as an equi-join on a spread key.
 
-    The users are dealt over ``spread`` slots and the (few) items repeated in each, so
-    the product is built by many tasks and Spark picks the join by size.
+    The users are dealt over ``spread`` slots, the shuffle partitions of the session unless
+    given, and the (few) items repeated in each, so the product is built by many tasks and
+    Spark picks the join by size.
     """
+    spread = spread or int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = users.withColumn("__slot", F.pmod(F.xxhash64(*users.columns), F.lit(spread)).cast("int"))
     each = items.withColumn("__slot", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
     return dealt.join(each, "__slot").drop("__slot")

@@ -42,12 +42,13 @@ def read_latest(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/v{versions[-1]:06d}")
 
 
-def overwrite_dates(df: DataFrame, path: str, date_col: str = "date", files_per_date: int = 8) -> None:
+def overwrite_dates(df: DataFrame, path: str, date_col: str = "date") -> None:
     """Replace exactly the date partitions that ``df`` holds; the others stay untouched.
 
-    A date is written by up to ``files_per_date`` tasks, so one big day is no bottleneck.
+    Rows are gathered by date into tasks of the advised size: small dates share no file, a big
+    date is written by as many tasks as its bytes ask for.
     """
-    out = df.repartition(date_col, F.pmod(F.xxhash64(*df.columns), F.lit(files_per_date)))
+    out = df.hint("rebalance", F.col(date_col))
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path)
 
 
