@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -278,6 +278,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = links.select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b")).filter("a <> b").distinct()
     edges = stored(edges, "component-edges")
+    before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
@@ -286,11 +287,11 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b")))
-        fresh = stored(small.filter("a <> b").distinct(), "component-edges")
-        settled = fresh.exceptAll(edges).isEmpty() and edges.exceptAll(fresh).isEmpty()
-        edges = fresh
-        if settled:
+        edges = stored(small.filter("a <> b").distinct(), "component-edges")
+        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
+        if now == before or not now[0]:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        before = now
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -341,15 +342,23 @@ def _links(shared: DataFrame, of: DataFrame, rows: DataFrame) -> DataFrame:
         return df.join(known, column, "left").withColumn(name, F.coalesce("__r", column)).drop("__r")
 
     rest = rooted(rooted(likely, "u", "ru"), "v", "rv").filter("ru <> rv").select("u", "v")
-    apart = rooted(shared.select("sig", "node"), "node", "root")
-    spans = apart.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members"))
-    open_ = stored(apart.join(spans.filter("lo <> hi").select("sig", "members"), "sig"), "jaccard-open")
-    # a set is safe when its signatures in small or single buckets alone are as many as decide
+    # a set whose signatures in large buckets are no more than its spare ones is found without
+    # them, and shares as many others with any similar set as are left over, and one
+    members = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("members"))
+    crowd = (F.col("members") > BUCKET).cast("long")
+    placed = shared.select("sig", "node").join(members, "sig").withColumn("hot", F.sum(crowd).over(Window.partitionBy("node")))
+    spare = sketches.select("node", _spare("n_shingles").alias("spare"))
+    placed = rooted(placed.join(spare.hint("merge"), "node"), "node", "root")
+    left = F.greatest(F.col("spare") - F.col("hot"), F.lit(0))
+    placed = stored(placed.select("sig", "node", "root", "members", left.alias("slack"), (F.col("hot") > F.col("spare")).alias("lacks")), "jaccard-placed")
+    spans = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("sig")
+    open_ = placed.join(spans, "sig")
     small, crowded = open_.filter(F.col("members") <= BUCKET), open_.filter(F.col("members") > BUCKET)
-    held = crowded.groupBy("node").agg(F.count(F.lit(1)).alias("hot"))
-    lacking = held.join(sketches, "node").filter(F.col("hot") > _spare("n_shingles")).select(F.col("node").alias("lack"))
-    near = _across(small, small).filter("u < v").select("u", "v")
-    far = _across(crowded.join(lacking, F.col("node") == F.col("lack")), crowded)
+    a = small.select("sig", F.col("node").alias("u"), F.col("root").alias("ru"), F.col("slack").alias("su"))
+    b = small.select("sig", F.col("node").alias("v"), F.col("root").alias("rv"), F.col("slack").alias("sv"))
+    met = a.join(b, "sig").filter("u < v and ru <> rv").groupBy("u", "v").agg(F.count(F.lit(1)).alias("n"), F.max(F.least("su", "sv")).alias("x"))
+    near = met.filter("n > x").select("u", "v")
+    far = _across(crowded.filter("lacks"), crowded)
     far = far.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     tested = star.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     cross = stored(near.unionByName(far).distinct().join(tested, ["u", "v"], "left_anti"), "jaccard-cross")
