@@ -43,6 +43,11 @@ HEADLINE = [
     "signed_patch",
     "pair_match",
     "ingest_mapping",
+    "fuzzy_best",
+    "name_resolution",
+    "staged_match",
+    "signed_cascade",
+    "signed_cascade_songs",
 ]
 
 
