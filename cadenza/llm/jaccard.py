@@ -347,16 +347,17 @@ def _links(shared: DataFrame, of: DataFrame, rows: DataFrame) -> DataFrame:
     members = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("members"))
     crowd = (F.col("members") > BUCKET).cast("long")
     placed = shared.select("sig", "node").join(members, "sig").withColumn("hot", F.sum(crowd).over(Window.partitionBy("node")))
-    spare = sketches.select("node", _spare("n_shingles").alias("spare"))
+    spare = sketches.select("node", F.col("n_shingles").alias("size"), _spare("n_shingles").alias("spare"))
     placed = rooted(placed.join(spare.hint("merge"), "node"), "node", "root")
     left = F.greatest(F.col("spare") - F.col("hot"), F.lit(0))
-    placed = stored(placed.select("sig", "node", "root", "members", left.alias("slack"), (F.col("hot") > F.col("spare")).alias("lacks")), "jaccard-placed")
+    placed = stored(placed.select("sig", "node", "root", "size", "members", left.alias("slack"), (F.col("hot") > F.col("spare")).alias("lacks")), "jaccard-placed")
     spans = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("sig")
     open_ = placed.join(spans, "sig")
     small, crowded = open_.filter(F.col("members") <= BUCKET), open_.filter(F.col("members") > BUCKET)
-    a = small.select("sig", F.col("node").alias("u"), F.col("root").alias("ru"), F.col("slack").alias("su"))
-    b = small.select("sig", F.col("node").alias("v"), F.col("root").alias("rv"), F.col("slack").alias("sv"))
-    met = a.join(b, "sig").filter("u < v and ru <> rv").groupBy("u", "v").agg(F.count(F.lit(1)).alias("n"), F.max(F.least("su", "sv")).alias("x"))
+    a = small.select("sig", F.col("node").alias("u"), F.col("root").alias("ru"), F.col("size").alias("nu"), F.col("slack").alias("su"))
+    b = small.select("sig", F.col("node").alias("v"), F.col("root").alias("rv"), F.col("size").alias("nv"), F.col("slack").alias("sv"))
+    met = a.join(b, "sig").filter("u < v and ru <> rv and 4 * nu >= 3 * nv and 4 * nv >= 3 * nu")
+    met = met.groupBy("u", "v").agg(F.count(F.lit(1)).alias("n"), F.max(F.least("su", "sv")).alias("x"))
     near = met.filter("n > x").select("u", "v")
     far = _across(crowded.filter("lacks"), crowded)
     far = far.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
@@ -367,13 +368,17 @@ def _links(shared: DataFrame, of: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def _across(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Members of a bucket beside those that are in another component; components meet first,
-    so members of one never do."""
-    r, q = (x.select("sig", F.col("root").alias(c)).distinct() for x, c in ((left, "ru"), (right, "rv")))
-    apart = r.join(q, "sig").filter("ru <> rv")
-    a = left.select("sig", F.col("node").alias("u"), F.col("root").alias("ru"))
-    b = right.select("sig", F.col("node").alias("v"), F.col("root").alias("rv"))
-    return a.join(apart, ["sig", "ru"]).join(b, ["sig", "rv"]).select("u", "v")
+    """Members of a bucket beside those of about their size in another component; components
+    meet first, so members of one never do."""
+
+    def parts(df: DataFrame, c: str) -> DataFrame:
+        return df.groupBy("sig", F.col("root").alias(f"r{c}")).agg(F.min("size").alias(f"lo_{c}"), F.max("size").alias(f"hi_{c}"))
+
+    apart = parts(left, "u").join(parts(right, "v"), "sig").filter("ru <> rv and 4 * hi_u >= 3 * lo_v and 4 * hi_v >= 3 * lo_u")
+    a = left.select("sig", F.col("node").alias("u"), F.col("root").alias("ru"), F.col("size").alias("nu"))
+    b = right.select("sig", F.col("node").alias("v"), F.col("root").alias("rv"), F.col("size").alias("nv"))
+    met = a.join(apart.select("sig", "ru", "rv"), ["sig", "ru"]).join(b, ["sig", "rv"])
+    return met.filter("4 * nu >= 3 * nv and 4 * nv >= 3 * nu").select("u", "v")
 
 
 def _spare(size: str):
