@@ -1,15 +1,17 @@
 """Byte-level BPE over a corpus: every distinct word is merged once.
 
-Documents are cut into blocks of a few megabytes. A block explodes into its distinct
-pre-tokens, each with a number, and its documents' sequences of those numbers, which are
-the positions. The distinct words of all blocks meet in one shuffle, are encoded once each,
-and their ids go back to the blocks by a join, where the documents are put together by
-position. Decoding joins ids with the token-byte table.
+Documents are cut into blocks of some megabytes. A block explodes into its distinct
+pre-tokens, numbered by how often they occur, and its documents' sequences of those numbers,
+which are the positions. The words of all blocks meet in one shuffle, by ranges of their
+hashes; there each distinct word is encoded once, and its ids go back to every block that
+holds it, where the documents are put together by position. Words, ids and sequences travel
+as compressed runs, one for a block and range. Decoding joins ids with the token-byte table.
 """
 
 from __future__ import annotations
 
 import base64
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
@@ -25,7 +27,10 @@ from pyspark.sql import types as T
 
 from cadenza.llm.common import stored, text_or_empty
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 24 << 20
+#: Ranges of word hashes: one task holds the distinct words of some of them at a time. Give
+#: more for more blocks; a range should stay below some hundred megabytes.
+RANGES = 256
 #: Tokens decoded at a time.
 DECODE_TOKENS = 1 << 18
 
@@ -60,48 +65,90 @@ def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : end[i]]] for i in range(n) if end[i]]
 
 
-def _blocks(id_type: T.DataType, pattern: str):
+def _packed(data: bytes) -> bytes:
+    return zlib.compress(data, 1)
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers by byte planes: small ones leave the upper planes empty."""
+    return _packed(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    flat = np.frombuffer(zlib.decompress(planes), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(flat.T).view("<u4").ravel()
+
+
+def _join_words(words: list[bytes]) -> bytes:
+    sizes = np.array([len(w) for w in words], np.uint32)
+    head = np.array([len(words)], np.uint32).tobytes()
+    return _packed(head + sizes.tobytes() + b"".join(words))
+
+
+def _split_words(packed: bytes) -> list[bytes]:
+    data = zlib.decompress(packed)
+    n = int(np.frombuffer(data, np.uint32, 1)[0])
+    ends = np.cumsum(np.frombuffer(data, np.uint32, n, 4), dtype=np.int64) + 4 + 4 * n
+    return [data[a:b] for a, b in zip([4 + 4 * n, *ends[:-1].tolist()], ends.tolist())]
+
+
+def _blocks(id_type: T.DataType, pattern: str, ranges: int):
     from pyspark.sql.pandas.types import to_arrow_type
 
-    schema = pa.schema(
-        [("block", pa.int64()), ("number", pa.int32()), ("id", to_arrow_type(id_type)), ("word", pa.binary()), ("codes", pa.binary())]
-    )
+    schema = pa.schema([("block", pa.int64()), ("number", pa.int32()), ("id", to_arrow_type(id_type)), ("words", pa.binary()), ("codes", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
         part, block = TaskContext.get().partitionId() << 32, 0
+        held, size = [], 0
         for batch in batches:
             sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
             at = 0
             while at < batch.num_rows:
-                upto = (sizes[at - 1] if at else 0) + BLOCK_BYTES
-                to = max(at + 1, int(np.searchsorted(sizes, upto, side="right")))
-                yield from one_block(part + block, batch.slice(at, to - at), find)
-                at, block = to, block + 1
-
-    def one_block(block: int, rows: pa.RecordBatch, find) -> Iterator[pa.RecordBatch]:
+                before = int(sizes[at - 1]) if at else 0
+                to = max(at + (not held), int(np.searchsorted(sizes, before + BLOCK_BYTES - size, side="right")))
+                if to > at:
+                    held.append(batch.slice(at, to - at))
+                    size += int(sizes[to - 1]) - before
+                at = to
+                if at < batch.num_rows:
+                    yield from one_block(part + block, held, find)
+                    held, size, block = [], 0, block + 1
+        if held:
+            yield from one_block(part + block, held, find)
+
+    def one_block(block: int, rows: list[pa.RecordBatch], find) -> Iterator[pa.RecordBatch]:
         numbers: dict[str, int] = defaultdict()
         numbers.default_factory = numbers.__len__
-        sequences = [np.fromiter(map(numbers.__getitem__, find(t.as_py() or "")), np.uint32) for t in rows.column(1)]
-        narrow = np.uint16 if len(numbers) <= 1 << 16 else np.uint32
-        n, m = len(sequences), len(numbers)
+        texts = (t.as_py() or "" for r in rows for t in r.column(1))
+        sequences = [np.fromiter(map(numbers.__getitem__, find(t)), np.uint32) for t in texts]
+        words = [w.encode() for w in numbers]
+        hashed = np.array([zlib.crc32(w) % ranges for w in words], np.int64)
+        often = np.bincount(np.concatenate([np.zeros(0, np.uint32), *sequences]), minlength=len(words))
+        rank = np.empty(len(words), np.uint32)
+        rank[np.argsort(-often, kind="stable")] = np.arange(len(words), dtype=np.uint32)
+        ids = pa.concat_arrays([r.column(0) for r in rows])
+        n = len(sequences)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.full(n, block)),
                 pa.array(np.arange(n, dtype=np.int32)),
-                rows.column(0),
+                ids,
                 pa.nulls(n, pa.binary()),
-                pa.array([s.astype(narrow).tobytes() for s in sequences], pa.binary()),
+                pa.array([_planes(rank[s]) for s in sequences], pa.binary()),
             ],
             schema=schema,
         )
+        order = np.argsort(hashed, kind="stable")
+        at = np.searchsorted(hashed[order], np.arange(ranges + 1))
+        some = [k for k in range(ranges) if at[k + 1] > at[k]]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(np.full(m, block)),
-                pa.array(np.arange(m, dtype=np.int32)),
-                pa.nulls(m, schema.field("id").type),
-                pa.array([w.encode() for w in numbers], pa.binary()),
-                pa.nulls(m, pa.binary()),
+                pa.array(np.full(len(some), block)),
+                pa.array(some, pa.int32()),
+                pa.nulls(len(some), schema.field("id").type),
+                pa.array([_join_words([words[i] for i in order[at[k] : at[k + 1]]]) for k in some], pa.binary()),
+                pa.array([_planes(rank[order[at[k] : at[k + 1]]]) for k in some], pa.binary()),
             ],
             schema=schema,
         )
@@ -110,37 +157,59 @@ def _blocks(id_type: T.DataType, pattern: str):
 
 
 def encode(
-    docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", ranges: int = RANGES
 ) -> DataFrame:
     """One row per document: ``id`` and ``ids``, the token ids of its whole text.
 
     ``pattern`` cuts the text into pre-tokens, each is encoded by itself and there are no
     special tokens. Null and empty texts have no ids. Rows that repeat an id come out as
-    often. An empty table gives an empty table.
+    often. An empty table gives an empty table. ``vocabulary`` must be readable at that path
+    on every executor.
     """
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     id_type = rows.schema["id"].dataType
-    shape = T.StructType().add("block", "long").add("number", "integer").add("id", id_type).add("word", "binary").add("codes", "binary")
-    blocks = stored(rows.mapInArrow(_blocks(id_type, pattern), shape), "bpe-blocks")
-    sequences = blocks.filter(F.col("word").isNull()).select(F.col("block").alias("of"), F.col("number").alias("place"), "id", "codes")
-    uses = blocks.filter(F.col("word").isNotNull()).select("block", "number", "word")
-    ids = uses.select("word").distinct().mapInArrow(_encoder(vocabulary), "word binary, ids binary")
-    back = uses.join(ids, "word").select(F.col("block").alias("part"), F.col("number").alias("code"), "ids")
+    shape = T.StructType().add("block", "long").add("number", "integer").add("id", id_type).add("words", "binary").add("codes", "binary")
+    blocks = stored(rows.mapInArrow(_blocks(id_type, pattern, ranges), shape), "bpe-blocks")
+    sequences = blocks.filter(F.col("words").isNull()).select(F.col("block").alias("of"), F.col("number").alias("place"), "id", "codes")
+    uses = blocks.filter(F.col("words").isNotNull()).select(F.col("block").alias("part"), F.col("number").alias("range"), "words", "codes")
+    back = uses.repartition("range").sortWithinPartitions("range").mapInArrow(_encoder(vocabulary), "part long, codes binary, ids binary")
     out = T.StructType().add("id", id_type).add("ids", T.ArrayType(T.IntegerType()))
     return sequences.groupBy("of").cogroup(back.groupBy("part")).applyInArrow(_assemble, out)
 
 
 def _encoder(vocabulary: str):
+    """Encode the words of each range once; their ids go back to every block that holds them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = None
+        ranks, now, known = None, None, {}
         for batch in batches:
             ranks = ranks or read_ranks(vocabulary)
-            ids = [np.array(merge_word(w.as_py(), ranks), np.int32).tobytes() for w in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["word", "ids"])
+            for i in range(batch.num_rows):
+                if (own := batch.column(1)[i].as_py()) != now:
+                    now, known = own, {}
+                ids, sizes = [], []
+                for word in _split_words(batch.column(2)[i].as_py()):
+                    if (found := known.get(word)) is None:
+                        found = known[word] = merge_word(word, ranks)
+                    ids += found
+                    sizes.append(len(found))
+                n = np.array([len(sizes)], np.uint32).tobytes()
+                packed = _packed(n + np.array(sizes, np.uint32).tobytes()) , _planes(np.array(ids, np.uint32))
+                joined = np.array([len(packed[0])], np.uint32).tobytes() + packed[0] + packed[1]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, 1), batch.column(3).slice(i, 1), pa.array([joined], pa.binary())], ["part", "codes", "ids"]
+                )
 
     return run
 
 
+def _word_ids(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes and ids of the words of one block and range."""
+    cut = 4 + int(np.frombuffer(packed, np.uint32, 1)[0])
+    sizes = np.frombuffer(zlib.decompress(packed[4:cut]), np.uint32)[1:]
+    return sizes.astype(np.int64), _numbers(packed[cut:]).astype(np.int32)
+
+
 def _gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The runs ``values[start : start + length]`` one after the other."""
     ends = np.cumsum(lengths)
@@ -150,23 +219,20 @@ def _gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.n
 
 def _assemble(sequences: pa.Table, words: pa.Table) -> pa.Table:
     """The documents of one block from their word numbers and the words' ids."""
-    number = words.column("code").to_numpy()
-    ids = [b.as_py() for b in words.column("ids")]
-    size = np.zeros(len(ids), np.int64)
-    size[number] = [len(b) // 4 for b in ids]
-    flat = np.zeros(int(size.sum()), np.int32)
-    starts = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64) if len(ids) else np.zeros(0, np.int64)
-    for n, b in zip(number, ids, strict=True):
-        flat[starts[n] : starts[n] + len(b) // 4] = np.frombuffer(b, np.int32)
-    narrow = np.uint16 if len(ids) <= 1 << 16 else np.uint32
-    values, ends = [], [0]
+    numbers, sizes, ids = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+    for codes, packed in zip(words.column("codes"), words.column("ids")):
+        numbers.append(_numbers(codes.as_py()))
+        own = _word_ids(packed.as_py())
+        sizes.append(own[0]), ids.append(own[1])
+    number, size, flat = (np.concatenate(x) for x in (numbers, sizes, ids))
+    starts, lengths = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
+    starts[number], lengths[number] = np.cumsum(size) - size, size
+    values, ends = [np.zeros(0, np.int32)], [0]
     for codes in sequences.column("codes"):
-        own = np.frombuffer(codes.as_py(), narrow)
-        got = _gather(flat, starts[own], size[own]) if len(own) else np.zeros(0, np.int32)
-        values.append(got)
-        ends.append(ends[-1] + len(got))
-    body = np.concatenate(values) if values else np.zeros(0, np.int32)
-    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(body, pa.int32()))
+        own = _numbers(codes.as_py())
+        values.append(_gather(flat, starts[own], lengths[own]))
+        ends.append(ends[-1] + len(values[-1]))
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(values), pa.int32()))
     return pa.table({"id": sequences.column("id"), "ids": lists})
 
 
