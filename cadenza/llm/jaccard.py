@@ -336,19 +336,16 @@ def _links(shared: DataFrame, of: DataFrame, rows: DataFrame) -> DataFrame:
     one = likely.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
     first = _verified(stored(one, "jaccard-first"), of, rows)
     root = components(first)
-
-    def rooted(df: DataFrame, column: str, name: str) -> DataFrame:
-        known = root.select(F.col("node").alias(column), F.col("root").alias("__r"))
-        return df.join(known, column, "left").withColumn(name, F.coalesce("__r", column)).drop("__r")
-
-    rest = rooted(rooted(likely, "u", "ru"), "v", "rv").filter("ru <> rv").select("u", "v")
+    rest = _rooted(_rooted(likely, root, "u", "ru"), root, "v", "rv").filter("ru <> rv").select("u", "v")
+    linked = first.unionByName(_verified(stored(rest, "jaccard-rest"), of, rows))
+    root = components(linked)
     # a set whose signatures in large buckets are no more than its spare ones is found without
     # them, and shares as many others with any similar set as are left over, and one
     members = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("members"))
     crowd = (F.col("members") > BUCKET).cast("long")
     placed = shared.select("sig", "node").join(members, "sig").withColumn("hot", F.sum(crowd).over(Window.partitionBy("node")))
     spare = sketches.select("node", F.col("n_shingles").alias("size"), _spare("n_shingles").alias("spare"))
-    placed = rooted(placed.join(spare.hint("merge"), "node"), "node", "root")
+    placed = _rooted(placed.join(spare.hint("merge"), "node"), root, "node", "root")
     left = F.greatest(F.col("spare") - F.col("hot"), F.lit(0))
     placed = stored(placed.select("sig", "node", "root", "size", "members", left.alias("slack"), (F.col("hot") > F.col("spare")).alias("lacks")), "jaccard-placed")
     spans = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("sig")
@@ -363,8 +360,13 @@ def _links(shared: DataFrame, of: DataFrame, rows: DataFrame) -> DataFrame:
     far = far.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     tested = star.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     cross = stored(near.unionByName(far).distinct().join(tested, ["u", "v"], "left_anti"), "jaccard-cross")
-    todo = stored(rest.unionByName(_plausible(cross, sketches)).distinct(), "jaccard-second")
-    return first.unionByName(_verified(todo, of, rows))
+    return linked.unionByName(_verified(_plausible(cross, sketches), of, rows))
+
+
+def _rooted(df: DataFrame, root: DataFrame, column: str, name: str) -> DataFrame:
+    """``df`` with the component of a node, itself where no link reaches it."""
+    known = root.select(F.col("node").alias(column), F.col("root").alias("__r"))
+    return df.join(known, column, "left").withColumn(name, F.coalesce("__r", column)).drop("__r")
 
 
 def _across(left: DataFrame, right: DataFrame) -> DataFrame:
