@@ -131,6 +131,30 @@ def test_mixing_edge_cases(spark, docs, empty, crowded):
     assert as_rows(out, "id", "tag", "copies") == as_rows(again, "id", "tag", "copies")
 
 
+def test_domains_of_weight_zero_go(spark):
+    """No coin: what mostly belongs to a domain of weight 0 goes, all else stays."""
+    rng = random.Random(5)
+    texts = [prose(rng, rng.choice([30, 90, 400])).split(" ") for _ in range(240)]
+    for t in texts[::6]:
+        t.insert(rng.randrange(len(t)), rng.choice(["Scumbag,", "vermin."]))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    # the last documents are not labelled
+    labelled = docs.filter("doc_id < 180").select("doc_id", F.when(F.col("doc_id") % 6 == 0, "toxic").otherwise("clean").alias("domain"))
+    out = mixing.mix(docs, labelled, corpus_pipeline.WEIGHTS).collect()
+    assert {r.id for r in out if not r.copies} == set(range(0, 240, 6))
+    assert {(r.rate, r.copies) for r in out if r.id % 6} == {(1.0, 1)}
+
+
+@needs_tables
+def test_toxic_documents_leave_the_pipeline(spark):
+    folder = FOLDER.replace("0.001", "0.01")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    left = corpus_pipeline.mixture(spark, docs, folder).join(labels.filter("quality = 1"), "doc_id")
+    assert left.filter("toxic = 1").count() == 0
+    clean = labels.filter("quality = 1 and toxic = 0").count()
+    assert left.filter("toxic = 0").select("doc_id").distinct().count() >= 0.99 * clean
+
+
 def test_stages_handle_odd_tables(spark, docs, empty, crowded, tmp_path):
     docs.select("doc_id").filter("doc_id is not null").select("doc_id", F.lit(1).alias("quality"), (F.col("doc_id") % 2).cast("int").alias("toxic")).write.parquet(f"{tmp_path}/labels.parquet")
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
