@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import stored
@@ -25,39 +25,61 @@ class Spread:
     Estimates within ``margin`` of the threshold are counted again exactly; at 2^lg_k
     registers the sketch's standard error is 1.04 / sqrt(2^lg_k), here 1.6 %, and below a
     few hundred sites it counts exactly.
+
+    With ``long_sites``, lines of ``long_words`` words or more are boilerplate from so many
+    sites on, and lines of fewer than ``least_words`` words never are. A letter of a script
+    that writes no spaces counts as a word.
     """
 
     min_sites: int = 12
     margin: float = 0.25
     lg_k: int = 12
+    long_sites: int | None = None
+    long_words: int = 5
+    least_words: int = 3
+
+
+_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}"
+_WORD = rf"[{_UNSPACED}]|[^\s{_UNSPACED}]+"
 
 
-def text_lines(docs: DataFrame, text_col: str, site_col: str, *keys: str) -> DataFrame:
-    """The lines that have more than white space: keys, place, hash, site."""
+def sites_needed(line: Column, spread: Spread) -> Column:
+    """From how many sites on a line is boilerplate; null for never."""
+    if spread.long_sites is None:
+        return F.lit(spread.min_sites)
+    words = F.regexp_count(line, F.lit(_WORD))
+    return F.when(words >= spread.long_words, spread.long_sites).when(words >= spread.least_words, spread.min_sites)
+
+
+def text_lines(docs: DataFrame, text_col: str, site_col: str, *keys: str, spread: Spread = Spread()) -> DataFrame:
+    """The lines that can be boilerplate, with more than white space: keys, place, hash, site, sites needed."""
     pieces = docs.select(*keys, F.col(site_col).alias("site"), F.posexplode(F.split(F.col(text_col), "\n")).alias("place", "line"))
     line = F.regexp_replace("line", r"^\s+|\s+$", "")
-    return pieces.select(*keys, "site", "place", line.alias("line")).filter(F.length("line") > 0).select(
-        *keys, "site", "place", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")
+    full = pieces.select(*keys, "site", "place", line.alias("line")).filter(F.length("line") > 0)
+    return full.withColumn("need", sites_needed(F.col("line"), spread)).filter("need is not null").select(
+        *keys, "site", "place", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), "need"
     )
 
 
 def boilerplate(lines: DataFrame, spread: Spread = Spread()) -> DataFrame:
-    """Hashes of the lines on ``min_sites`` distinct sites or more; null sites are no site."""
-    sketched = lines.groupBy(*HASH).agg(F.hll_sketch_agg("site", F.lit(spread.lg_k)).alias("sketch"), F.count(F.lit(1)).alias("rows"))
+    """Hashes of the lines on as many distinct sites as they need or more; null sites are no site."""
+    sketched = lines.groupBy(*HASH).agg(
+        F.hll_sketch_agg("site", F.lit(spread.lg_k)).alias("sketch"), F.count(F.lit(1)).alias("rows"), F.max("need").alias("need")
+    )
     # a line on n sites has n rows at least: rare lines need no estimate
-    often = sketched.filter(F.col("rows") >= spread.min_sites)
-    sites = often.select(*HASH, F.hll_sketch_estimate("sketch").alias("sites"))
+    often = sketched.filter(F.col("rows") >= F.col("need"))
+    sites = often.select(*HASH, "need", F.hll_sketch_estimate("sketch").alias("sites"))
     judged = stored(sites, "line-sites")
-    high = spread.min_sites * (1 + spread.margin)
-    low = spread.min_sites * (1 - spread.margin)
+    high = F.col("need") * (1 + spread.margin)
+    low = F.col("need") * (1 - spread.margin)
     near = judged.filter((F.col("sites") >= low) & (F.col("sites") <= high)).select(*HASH)
     exact = (
         lines.join(near, list(HASH), "left_semi")
-        .select(*HASH, "site")
+        .select(*HASH, "need", "site")
         .distinct()
         .groupBy(*HASH)
-        .agg(F.count("site").alias("sites"))
-        .filter(F.col("sites") >= spread.min_sites)
+        .agg(F.count("site").alias("sites"), F.max("need").alias("need"))
+        .filter(F.col("sites") >= F.col("need"))
     )
     return judged.filter(F.col("sites") > high).select(*HASH).unionByName(exact.select(*HASH))
 
@@ -79,10 +101,10 @@ def drop_boilerplate(
     """
     tag = F.xxhash64(F.col(text_col))
     named = docs.select(F.col(id_col).alias("id"), tag.alias("tag"), F.col(text_col).alias("t"), F.col(site_col).alias("s"))
-    lines = text_lines(named, "t", "s", "id", "tag")
+    lines = text_lines(named, "t", "s", "id", "tag", spread=spread)
     spread_lines = stored(boilerplate(lines, spread), "line-boilerplate")
     at = F.struct("id", "tag", "place")
-    hits = stored(lines.drop("site").join(spread_lines, list(HASH), "left_semi"), "line-hits")
+    hits = stored(lines.drop("site", "need").join(spread_lines, list(HASH), "left_semi"), "line-hits")
     first = hits.groupBy(*HASH).agg(F.min(at).alias("first"))
     gone = (
         hits.join(first, list(HASH))

@@ -185,6 +185,21 @@ def test_line_stage_against_brute_force(spark):
     assert all("shared notice here" not in out[i].text and out[i].n_chars == len(out[i].text) for i in range(1, 45))
 
 
+def test_line_stage_finds_passages_on_few_sources(spark):
+    """A passage on 3 to 5 of 20 sources goes but once; short lines, and what two sources share, stay."""
+    passages = {n: f"this passage is planted on {n} sources" for n in (2, 3, 4, 5)}
+    passages[6] = "本作品采用知识共享许可"
+    held = lambda i: [p for n, p in passages.items() if i % 20 < n]
+    rows = []
+    for i in range(40):
+        text = "\n".join([f"own words of the document {i}", "The end.", *(["Of this house"] if i % 20 < 8 else []), *held(i)])
+        rows.append((i, text, "en", f"s{i % 20}", len(text)))
+    out = {r.doc_id: r.text.split("\n") for r in corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, SCHEMA), "").collect()}
+    assert len(out) == 40 and all("The end." in t for t in out.values())
+    assert sum("Of this house" in t for t in out.values()) == 16
+    assert [sum(p in t for t in out.values()) for p in passages.values()] == [4, 1, 1, 1, 1]
+
+
 @needs_tables
 def test_pipeline_follows_its_stages(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
