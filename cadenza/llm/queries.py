@@ -1,4 +1,4 @@
-"""The ten operators and the pipeline as named queries over the given tables, with SQL where it can say them."""
+"""The operators and the pipeline as named queries over the given tables, with SQL where it can say them."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from cadenza.llm import bpe, exact, jaccard, langid, lines, mixing, rules, shards, suffixes, weak
+from cadenza.llm import bpe, exact, jaccard, langid, lines, mixing, rules, shards, suffixes, weak, whiten
 from cadenza.llm.common import ascii_lower, text_or_empty
 
 QUERIES: dict = {}
@@ -174,3 +174,8 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_language_id")
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(documents(spark, folder))
+
+
+@query("op13_embedding_whitening")
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten.whiten(spark.read.parquet(f"{folder}/embeddings.parquet"))
