@@ -7,26 +7,26 @@ template's start at ``p - q``, and postings that agree on a start are one place.
 counts where the weights of its words reach the template's share and every mandatory key
 phrase stands in the text where the template has it.
 
-All of that happens where the text is read: the index is a broadcast table whose size the
-templates bound, and only postings that were found are shuffled, summed by place first.
+A task holds the index, whose size the templates bound, and one text at a time. What it finds
+are rows of (document, template, start): Spark sums them by place, and places by document.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cadenza.llm.common import ascii_lower, text_or_empty
+from cadenza.llm.common import text_or_empty
 
-#: Letters, digits and everything beyond ASCII, once A-Z are lower-cased.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Words by which a clause is looked up, the rarest first.
 RARE = 6
-#: Words of all templates together; the index is broadcast, so it has a bound.
+#: Words of all templates together; every task holds the index, so it has a bound.
 MOST_WORDS = 50_000
 
 
@@ -128,10 +128,6 @@ CLAUSES = (
 TEMPLATES = BASE + CLAUSES
 
 
-def words_of(column: str) -> Column:
-    return F.regexp_extract_all(ascii_lower(text_or_empty(column)), F.lit(WORD), F.lit(0))
-
-
 def find_licences(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -152,51 +148,89 @@ def find_licences(
     held = sum(len(t.words()) for t in templates)
     if held > MOST_WORDS:
         raise ValueError(f"the templates have {held} words, more than {MOST_WORDS}")
-    index = F.broadcast(_index(docs, text_col, templates, rare))
-    # the empty word in front stands for the document itself, so that it is kept without places
-    words = F.concat(F.array(F.lit("")), words_of(text_col))
-    texts = docs.select(F.col(id_col).alias("__id"), F.monotonically_increasing_id().alias("__row"), words.alias("__words"))
-    spots = texts.select("*", F.posexplode("__words").alias("__at", "__word"))
-    start = F.col("__at") - 1 - F.col("__place")
-    stands = lambda k: F.slice("__words", start + k["place"] + 2, F.size(k["words"])) == k["words"]
-    verified = F.when(F.col("__template") < 0, True).when(start < 0, False).otherwise(F.forall("__keys", stands))
-    n_words = (F.size("__words") - 1).cast("long")
-    found = (
-        spots.join(index, "__word")
-        .filter(verified)
-        .groupBy("__id", "__row", n_words.alias("n_words"), "__template", "__of", start.cast("long").alias("__start"))
-        .agg(F.sum("__weight").alias("__got"))
-    )
-    of, got = F.col("__of"), F.col("__got")
-    place = F.struct(
-        F.col("__start").alias("start"), of["label"].alias("label"), of["base"].alias("base"), of["n_words"].alias("n_words"), (got / of["total"]).alias("share")
-    )
-    counted = (F.col("__template") >= 0) & (got * 1000 >= of["total"] * of["share"])
-    per_document = found.groupBy("__id", "__row", "n_words").agg(F.sort_array(F.collect_list(F.when(counted, place))).alias("places"))
-    return per_document.select(F.col("__id").alias(id_col), "n_words", "places")
-
-
-def _index(docs: DataFrame, text_col: str, templates: Sequence[Template], rare: int) -> DataFrame:
-    """The places of the rare words of each template, with what makes a place count."""
-    vocabulary = sorted({w for t in templates for w in t.words()})
-    own = F.array_intersect(words_of(text_col), F.array(*[F.lit(w) for w in vocabulary]))
-    counts = docs.select(F.explode(F.concat(F.array(F.lit("")), own)).alias("word")).groupBy("word").count().collect()
-    held = {r["word"]: r["count"] for r in counts}  # no more rows than the templates have words
-    rows: list[tuple] = [("", -1, 0, 0, None, [])]
+    lookup, of = _index(docs, text_col, templates, rare)
+    rows = docs.select(F.col(id_col).alias("__id"), F.monotonically_increasing_id().alias("__row"), text_or_empty(text_col).alias("__text"))
+    field = T.StructField("__id", docs.schema[id_col].dataType)
+    postings = rows.mapInArrow(_postings(lookup, templates), T.StructType([field, *_POSTING]))
+    agreed = postings.groupBy("__id", "__row", "n_words", "template", "start").agg(F.sum("weight").alias("got"))
+    known = F.broadcast(docs.sparkSession.createDataFrame(of, "template int, label string, base boolean, length int, total long, share int"))
+    place = F.struct("start", "label", "base", F.col("length").alias("n_words"), (F.col("got") / F.col("total")).alias("share"))
+    counted = F.col("got") * 1000 >= F.col("total") * F.col("share")
+    places = agreed.join(known, "template", "left").groupBy("__id", "__row", "n_words").agg(F.sort_array(F.collect_list(F.when(counted, place))).alias("places"))
+    return places.select(F.col("__id").alias(id_col), "n_words", "places")
+
+
+_POSTING = [T.StructField(c, T.LongType()) for c in ("__row", "n_words", "start", "weight")] + [T.StructField("template", T.IntegerType())]
+
+#: Bytes of words as they are or lower-cased, all others as blanks: what lies beyond ASCII is part of a word.
+_FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
+
+
+def _words(text: pa.Scalar) -> list[bytes]:
+    return text.as_buffer().to_pybytes().translate(_FOLD).split()
+
+
+def _postings(lookup: dict[bytes, list[tuple[int, int, int]]], templates: Sequence[Template]):
+    """A row for each rare word of a template at a start whose key phrases stand in the text, and
+    one without a template for each document."""
+    keys = [[(k, [w.encode() for w in p]) for k, p in t.keys()] for t in templates]
+    rare = set(lookup)
+
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, n_words, starts, weights, of = [], [], [], [], []
+            for k, text in enumerate(batch.column(2)):
+                words = _words(text)
+                found = [(-1, None, 0)]
+                if not rare.isdisjoint(words):
+                    for p, w in enumerate(words):
+                        for template, place, weight in lookup.get(w, ()):
+                            s = p - place
+                            if s >= 0 and all(words[s + q : s + q + len(phrase)] == phrase for q, phrase in keys[template]):
+                                found.append((template, s, weight))
+                for template, s, weight in found:
+                    at.append(k)
+                    n_words.append(len(words))
+                    starts.append(s)
+                    weights.append(weight)
+                    of.append(template)
+            ids, row = batch.column(0).take(pa.array(at, pa.int64())), batch.column(1).take(pa.array(at, pa.int64()))
+            longs = [pa.array(c, pa.int64()) for c in (n_words, starts, weights)]
+            yield pa.RecordBatch.from_arrays([ids, row, *longs, pa.array(of, pa.int32())], ["__id", *(f.name for f in _POSTING)])
+
+    return rows
+
+
+def _index(docs: DataFrame, text_col: str, templates: Sequence[Template], rare: int) -> tuple[dict, list[tuple]]:
+    """Places and weights of the rare words of each template, by word; and what makes a place count.
+
+    Counts cover all documents: each task sends one row for each word of the templates.
+    """
+    vocabulary = {w.encode() for t in templates for w in t.words()}
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = dict.fromkeys([b"", *vocabulary], 0)
+        for batch in batches:
+            held[b""] += batch.num_rows
+            for text in batch.column(0):
+                for w in vocabulary.intersection(_words(text)):
+                    held[w] += 1
+        yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in held]), pa.array(list(held.values()), pa.int64())], ["word", "n"])
+
+    counts = docs.select(text_or_empty(text_col)).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    held = {r["word"]: r["n"] for r in counts.collect()}  # as many rows as the templates have words
+    lookup: dict[bytes, list[tuple[int, int, int]]] = {}
+    of = []
     for i, t in enumerate(templates):
         words = t.words()
         first = {w: words.index(w) for w in words}
         chosen = set(sorted(first, key=lambda w: (held.get(w, 0), first[w]))[: 1 if t.base else rare])
         weights = {w: _weight(held.get("", 0), held.get(w, 0)) for w in chosen}
-        total = sum(weights[w] for w in words if w in chosen)
-        of, keys = (t.label, t.base, len(words), total, t.share), t.keys()
-        rows += [(w, i, q, weights[w], of, keys) for q, w in enumerate(words) if w in chosen]
-    return docs.sparkSession.createDataFrame(
-        rows,
-        "__word string, __template int, __place int, __weight long, "
-        "__of struct<label string, base boolean, n_words int, total long, share int>, "
-        "__keys array<struct<place int, words array<string>>>",
-    )
+        for place, w in enumerate(words):
+            if w in chosen:
+                lookup.setdefault(w.encode(), []).append((i, place, weights[w]))
+        of.append((i, t.label, t.base, len(words), sum(weights[w] for w in words if w in chosen), t.share))
+    return lookup, of
 
 
 def _weight(documents: int, having: int) -> int:

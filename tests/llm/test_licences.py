@@ -75,15 +75,15 @@ def test_rare_words_follow_the_table(spark):
     rows = [[i, "common common word", None, None, None] for i in range(30)]
     rows += [[50, "common alpha common beta something gamma delta", None, None, None], [51, "alpha common beta", None, None, None], [52, "common alpha beta", None, None, None]]
     docs = spark.createDataFrame(rows, SCHEMA)
-    index = licences._index(docs, "text", [clause], 3).filter("__template >= 0").collect()
-    assert sorted(r["__word"] for r in index) == ["alpha", "delta", "gamma"]
+    lookup, _ = licences._index(docs, "text", [clause], 3)
+    assert sorted(lookup) == [b"alpha", b"delta", b"gamma"]
     for rare in (1, 3, 9):
         assert found(licences.find_licences(docs, templates=[clause], rare=rare)) == brute(rows, [clause], rare)
 
 
 def test_empty_table_and_clashing_names(spark, docs, empty, rows):
     assert licences.find_licences(empty).count() == 0
-    crowded = docs.withColumns({c: F.lit(1) for c in ("word", "words", "n_words", "places", "__word", "__at", "__row", "__template", "__id")})
+    crowded = docs.withColumns({c: F.lit(1) for c in ("word", "n_words", "places", "start", "template", "weight", "label", "__row", "__text", "__id")})
     assert found(licences.find_licences(crowded)) == brute(rows)
 
 
@@ -96,4 +96,4 @@ def test_templates_are_bounded(docs):
 def test_no_text_is_shuffled(docs):
     plan = licences.find_licences(docs)._jdf.queryExecution().executedPlan().toString()
     exchanged = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    assert exchanged and not any("__words" in line for line in exchanged)
+    assert exchanged and not any("__text" in line for line in exchanged)
