@@ -9,6 +9,7 @@ from cadenza.catalogue import (  # noqa: F401
     shapes,
     refresh,
     social,
+    songs,
     territories,
     upkeep,
 )

@@ -38,6 +38,12 @@ def chart_is_new(spark, folder):
     return mark_new(today, before, ["entity_id"])
 
 
+def chart_kinds(t: Tables):
+    """Two kinds of charts whose rows have the same columns."""
+    rows, first = _entries(t), F.col("type").isin("click", "view")
+    return [rows.filter(first), rows.filter(~first)]
+
+
 _UNIQUE = "SELECT user_id AS entity_id, strftime(ts, '%d') AS chart, min(event_type) AS type FROM events GROUP BY 1, 2"
 
 
@@ -47,9 +53,7 @@ _UNIQUE = "SELECT user_id AS entity_id, strftime(ts, '%d') AS chart, min(event_t
 )
 def chart_count(spark, folder):
     """One row per account and chart, whatever the number of events, with the number of charts."""
-    rows = _entries(Tables(spark, folder))
-    kinds = [rows.filter(F.col("type").isin("click", "view")), rows.filter(~F.col("type").isin("click", "view"))]
-    return assemble_chart(kinds, [F.col("type").asc(), F.col("event_id").asc()]).select("entity_id", "chart", "type", "chart_count")
+    return assemble_chart(chart_kinds(Tables(spark, folder)), [F.col("type").asc(), F.col("event_id").asc()]).select("entity_id", "chart", "type", "chart_count")
 
 
 _COUNT = "SELECT event_type AS type, user_id AS entity_id, count(DISTINCT strftime(ts, '%d')) AS chart_count FROM events GROUP BY 1, 2"

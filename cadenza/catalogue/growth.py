@@ -28,7 +28,8 @@ from cadenza.operators.timegrid import calendar_weekly_sums, streaks, weekly_sum
 from cadenza.plans.genres import entity_genres
 from cadenza.plans.growth import eight_week_growth, genre_set_growth, with_release_span
 from cadenza.plans.momentum import daily_momentum, weekly_acceleration
-from cadenza.plans.views import artist_tracks, daily_report, denormalise, track_counts
+from cadenza.plans.views import artist_tracks, daily_report, denormalise, move_stats, stats_of, stats_state, track_counts
+from cadenza.session import materialise
 
 DOW = int(back(AS_OF, 1).isoweekday() % 7)
 
@@ -152,6 +153,23 @@ def entity_stats_query(spark, folder):
     return artist_stats(Tables(spark, folder))
 
 
+def moved_stats(t: Tables):
+    """The stats of a week ago, from an edition without the returned lines, and as moved to today."""
+    rows = t.lineitem.select(
+        F.col("l_suppkey").alias("artist_id"), F.to_date("l_shipdate").alias("date"), F.col("l_returnflag") != "R", F.col("l_quantity").cast("bigint").alias("q")
+    ).toDF("artist_id", "date", "early", "q")
+    edition = lambda df: df.groupBy("artist_id", "date").agg(F.sum("q").alias("streams"))
+    held, was = edition(rows.filter("early")), back(AS_OF, 7)
+    state = materialise(stats_state(held, "artist_id", was), "stats-state")
+    return state, move_stats(state, held, edition(rows), "artist_id", was, AS_OF)
+
+
+@query("entity_stats_moved", oracle("SELECT * FROM artist_stats"))
+def entity_stats_moved(spark, folder):
+    """Last week's view brought to today by what a load and seven days have changed."""
+    return stats_of(moved_stats(Tables(spark, folder))[1], "artist_id")
+
+
 @query("entity_stats_song", oracle("SELECT * FROM song_stats"))
 def entity_stats_song(spark, folder):
     return song_stats(Tables(spark, folder))

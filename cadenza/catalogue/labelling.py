@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from cadenza.catalogue.domain import AS_OF, Tables
 from cadenza.catalogue.registry import oracle, query, rounded
 from cadenza.functions.text import bare_title, clean_artist, clean_name, clean_title, match_key, nfkd
+from cadenza.operators.editjoin import fuzzy_best
 from cadenza.operators.labels import (
-    contains_any,
     mark_by_name,
     mark_by_substring,
     newly_signed,
@@ -16,7 +16,8 @@ from cadenza.operators.labels import (
     signed_cascade_songs,
     signed_patch,
 )
-from cadenza.operators.matching import fuzzy_best, pair_match, resolve_names, resolve_tracks
+from cadenza.operators.matching import pair_match, resolve_names, resolve_tracks
+from cadenza.operators.winnow import contains_any
 
 _HIT = "EXISTS (SELECT 1 FROM benchmark b WHERE length(b.text) > 0 AND contains(lower(d.text), lower(b.text)))"
 

@@ -18,7 +18,7 @@ from cadenza.catalogue.domain import (
     sales,
     territory_stats,
 )
-from cadenza.catalogue.growth import _streak_sql
+from cadenza.catalogue.growth import _streak_sql, moved_stats
 from cadenza.catalogue.registry import oracle, query, sql_percent
 from cadenza.functions.dates import back
 from cadenza.operators.charts import ARTIST_IN_GENRE_RULE, GENRE_RULE, ReentryRule, next_edition
@@ -30,13 +30,17 @@ from cadenza.plans.genres import (
     genre_daily,
     genre_overlap,
     genre_sparklines,
+    genre_figures,
+    genre_state,
     genre_stats,
     growing_genres,
+    move_genres,
     new_artists_in_genres,
     new_genres,
     refresh_genre_streams,
 )
 from cadenza.plans.rollups import ex_home, overlap, territory_daily, territory_totals, worldwide
+from cadenza.session import materialise
 
 WORLD_ID, EX_HOME_ID = 67, 68
 _PCT = f"CASE WHEN lw_streams = 0 THEN 0e0 ELSE {sql_percent('tw_streams', 'lw_streams')} END AS pct_chg"
@@ -232,6 +236,15 @@ def genre_stats_query(spark, folder):
     return genre_stats(entity_genres(profiles(t)), artist_stats(t))
 
 
+@query("genre_stats_moved", oracle(_GSTATS, gsum=_GSUM))
+def genre_stats_moved(spark, folder):
+    """The genre sums of a week ago, moved by the artists whose numbers differ."""
+    t = Tables(spark, folder)
+    genres, (held, fresh) = entity_genres(profiles(t)), moved_stats(t)
+    state = materialise(genre_state(genres.join(held, "artist_id")), "genre-state")
+    return genre_figures(move_genres(state, genres, held, materialise(fresh, "stats-state")))
+
+
 @query("genre_overlap", _overlap_sql("genre", "artist_id", "c_genre", "artist_genres"))
 def genre_overlap_query(spark, folder):
     return genre_overlap(entity_genres(profiles(Tables(spark, folder))))

@@ -6,15 +6,19 @@ missing); the delta is the full edition of the newest part.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cadenza.catalogue.domain import AS_OF, Tables
 from cadenza.catalogue.registry import oracle, query
 from cadenza.functions.dates import back
 from cadenza.operators.keys import assign_ids
-from cadenza.operators.maintain import append, change_only, insert_absent, patch, replace_window, unique_delta, upsert
+from cadenza.operators.maintain import append, change_only, insert_absent, replace_window, unique_delta
 from cadenza.plans.enrich import extend_cache, patch_colours, recache, refresh_id_map, stalest
-from cadenza.plans.ingest import load_daily, load_global_entities, load_territory_streams
+from cadenza.plans.ingest import load_daily, load_global_entities, restate_territory_streams
+from cadenza.session import scratch_dir
+from cadenza.sources.buckets import BucketedTable, patch_buckets, upsert_buckets
 
 SINCE = back(AS_OF, 20)
 KEYS = ["song_id", "date"]
@@ -43,6 +47,12 @@ def stored(t: Tables):
     return _edition(_lines(t).filter(F.col("l_returnflag") != "R"))
 
 
+def kept(t: Tables) -> BucketedTable:
+    """The stored edition as a table of 128 buckets of dates."""
+    path = f"{scratch_dir(t.spark).rstrip('/')}/kept-{uuid.uuid4().hex}"
+    return BucketedTable(path, ("date",), 128).write(stored(t))
+
+
 def delta(t: Tables):
     return _edition(_lines(t).filter(F.col("date") > F.lit(SINCE)))
 
@@ -59,9 +69,10 @@ _KEY = "coalesce(s.song_id, d.song_id) AS song_id, CAST(coalesce(s.date, d.date)
     ),
 )
 def upsert_keyed(spark, folder):
-    """Only the streams column is updated; premium is written for new keys alone."""
+    """Only the streams column is updated; premium is written for new keys alone. The table is
+    kept by buckets of its date, and only those of the delta's dates are joined."""
     t = Tables(spark, folder)
-    return upsert(stored(t), unique_delta(delta(t), KEYS), KEYS, ["streams"])
+    return upsert_buckets(kept(t), unique_delta(delta(t), KEYS), KEYS, ["streams"]).rows()
 
 
 @query(
@@ -123,7 +134,7 @@ def replace_window_query(spark, folder):
 )
 def patch_from(spark, folder):
     t = Tables(spark, folder)
-    return patch(stored(t), delta(t), KEYS, ["streams"])
+    return patch_buckets(kept(t), delta(t), KEYS, ["streams"]).rows()
 
 
 @query("append_rows", oracle(f"SELECT {_OUT} FROM stored UNION ALL SELECT {_OUT} FROM delta", stored=_STORED, delta=_DELTA))
@@ -132,23 +143,33 @@ def append_rows(spark, folder):
     return append(stored(t), delta(t))
 
 
+_RESTATED = "SELECT l_suppkey AS artist_id, CAST(l_shipdate AS DATE) AS date, l_returnflag AS territory, CAST(l_quantity AS BIGINT) AS streams, l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem"
+_NEWEST = "SELECT artist_id, date, territory, streams FROM (SELECT *, row_number() OVER (PARTITION BY artist_id, date, territory ORDER BY l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_quantity DESC) AS k FROM restated WHERE %s) WHERE k = 1"
+
+
 @query(
     "newest_restatement",
     oracle(
-        "SELECT song_id AS artist_id, CAST(date AS VARCHAR) AS date, territory, streams FROM (SELECT l_suppkey AS song_id, CAST(l_shipdate AS DATE) AS date, l_returnflag AS territory, CAST(l_quantity AS BIGINT) AS streams, "
-        "row_number() OVER (PARTITION BY l_suppkey, CAST(l_shipdate AS DATE), l_returnflag ORDER BY l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_quantity DESC) AS k FROM lineitem) WHERE k = 1"
+        "SELECT coalesce(n.artist_id, h.artist_id) AS artist_id, CAST(coalesce(n.date, h.date) AS VARCHAR) AS date, coalesce(n.territory, h.territory) AS territory, "
+        "coalesce(n.streams, h.streams) AS streams, CASE WHEN h.artist_id IS NULL THEN NULL ELSE 100 * h.streams + 1 END AS premium FROM h FULL JOIN n ON n.artist_id = h.artist_id AND n.date = h.date AND n.territory = h.territory",
+        restated=_RESTATED, h=_NEWEST % "l_linenumber = 1", n=_NEWEST % f"date > DATE '{SINCE}'",
     ),
 )
 def newest_restatement(spark, folder):
-    """Several rows restate one (artist, day, territory); the one of the highest order stays."""
+    """Files restate one (artist, day, territory) several times; the one of the highest order
+    replaces the streams of a filled table, whose other column stays."""
     t = Tables(spark, folder)
     rows = t.lineitem.select(
         F.col("l_suppkey").alias("artist_id"), F.to_date("l_shipdate").alias("date"), F.col("l_returnflag").alias("territory"),
-        F.col("l_quantity").cast("bigint").alias("streams"),
+        F.col("l_quantity").cast("bigint").alias("streams"), "l_linenumber",
         F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_quantity").alias("file_date"),
     )
-    empty = rows.drop("file_date").filter("false")
-    return load_territory_streams(empty, rows, "artist_id")
+    keys, newest = ["artist_id", "date", "territory"], [F.col("file_date").desc()]
+    first = unique_delta(rows.filter("l_linenumber = 1").drop("l_linenumber"), keys, newest).drop("file_date")
+    path = f"{scratch_dir(spark).rstrip('/')}/restated-{uuid.uuid4().hex}"
+    table = BucketedTable(path, ("date",), 128).write(first.withColumn("premium", F.col("streams") * 100 + 1))
+    files = rows.filter(F.col("date") > F.lit(SINCE)).drop("l_linenumber")
+    return restate_territory_streams(table, files, "artist_id").rows()
 
 
 @query(

@@ -5,61 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.operators.matching import anchored, char_grams, fuzzy_best
-
-#: Lengths of anchors: a pattern is found by a piece of the largest of these that fits in it.
-ANCHORS = (8, 4, 2, 1)
-#: Bits of the anchor filter that every task holds, whatever the number of patterns.
-FILTER_BITS = 1 << 20
-
-
-def _slot(anchor: Column) -> Column:
-    return F.pmod(F.xxhash64(anchor), F.lit(FILTER_BITS))
-
-
-def _anchor_filter(wanted: DataFrame) -> Column:
-    """A bit for the hash of every anchor, as an array of fixed size that the plan looks up once."""
-    bits = wanted.select(_slot(F.col("__g")).alias("slot"))
-    words = bits.groupBy((F.shiftright("slot", 6)).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(slot % 64))")).alias("bits"))
-    every = wanted.sparkSession.range(FILTER_BITS // 64).withColumnRenamed("id", "word").join(words, "word", "left")
-    pairs = F.sort_array(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
-    return every.agg(F.transform(pairs, lambda p: p["bits"]).alias("bits")).scalar()
-
-
-def listed_pieces(texts: DataFrame, text: str, wanted: DataFrame, *keys: Column) -> DataFrame:
-    """``keys`` and ``__g``, the pieces of a text whose bit is set: its anchors, and a few chance ones.
-
-    The pieces are cut and sifted within the map task; only what passes leaves it.
-    """
-    pieces = texts.select(*keys, F.explode(F.array_distinct(F.concat(*[char_grams(F.col(text), n) for n in ANCHORS]))).alias("__g"))
-    slot = _slot(F.col("__g"))
-    held = F.get(_anchor_filter(wanted), F.shiftright(slot, 6).cast("int"))
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
-    return pieces.filter(held.bitwiseAND(one) != 0)
-
-
-def contains_any(df: DataFrame, text: str, patterns: DataFrame, pattern: str, flag: str) -> DataFrame:
-    """Add ``flag``: does the lower-cased ``text`` contain any lower-cased pattern.
-
-    One plan for lists and texts of any size. Every pattern is anchored on one piece of
-    itself, the one that fewest patterns have. A text emits only those of its pieces that a
-    fixed-size filter of all anchors lets through, as a 16-byte key with the piece; they
-    meet the patterns in a join on the anchor, which adaptive execution splits where an
-    anchor is common. Candidates are tested on the text itself. Equal texts are one.
-    """
-    lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
-    wanted = anchored(patterns.select(F.lower(pattern).alias("__p")), "__p", "__g", ANCHORS)
-    key = [F.xxhash64("__t").alias("__k1"), F.xxhash64(F.lit(1), "__t").alias("__k2")]
-    texts = df.select(lowered.alias("__t"))
-    met = listed_pieces(texts, "__t", wanted, *key).join(wanted, "__g").select("__k1", "__k2", "__p").distinct()
-    tested = texts.select(*key, "__t").join(met, ["__k1", "__k2"]).filter(F.contains("__t", "__p"))
-    hits = tested.select("__k1", "__k2", F.lit(True).alias("__hit")).distinct()
-    keyed = df.withColumns({"__k1": F.xxhash64(lowered), "__k2": F.xxhash64(F.lit(1), lowered)})
-    return (
-        keyed.join(hits, ["__k1", "__k2"], "left")
-        .withColumn(flag, F.coalesce("__hit", F.lit(False)))
-        .select(*[c for c in df.columns if c != flag], flag)
-    )
+from cadenza.operators.editjoin import fuzzy_best
+from cadenza.operators.winnow import contains_any
+from cadenza.session import materialise
 
 
 def mark_by_substring(df: DataFrame, text: str, labels: DataFrame, label: str = "label") -> DataFrame:
@@ -79,7 +27,8 @@ def mark_by_name(df: DataFrame, signed_artists: DataFrame, artist: str = "artist
 
 
 def _mark_by_score(df: DataFrame, column: str, entries: DataFrame, entry: str, cut: float, strict: bool) -> DataFrame:
-    hits = fuzzy_best(df, column, entries, entry, cut)
+    """Only texts of rows that are still unsigned are searched; ``df`` is read more than once."""
+    hits = fuzzy_best(df.filter(~F.coalesce("signed", F.lit(False))), column, entries, entry, cut)
     if strict:
         hits = hits.filter(F.col("score") > cut)
     hits = hits.select(F.col(column), F.lit(True).alias("__fuzzy"))
@@ -92,13 +41,13 @@ def _mark_by_score(df: DataFrame, column: str, entries: DataFrame, entry: str, c
 
 def signed_cascade(df: DataFrame, labels: DataFrame, signed_artists: DataFrame, text: str = "copyrights") -> DataFrame:
     """Already signed, else a label in the copyright text, else an artist score of 0.95."""
-    marked = mark_by_substring(df, text, labels)
+    marked = materialise(mark_by_substring(df, text, labels), "signed-marked")
     return _mark_by_score(marked, "artist", signed_artists, "artist", 0.95, strict=False)
 
 
 def signed_cascade_songs(df: DataFrame, labels: DataFrame, signed_artists: DataFrame) -> DataFrame:
     """A listed label inside the song's label, else a label score above 0.9, else a listed artist."""
-    marked = mark_by_substring(df, "label", labels)
+    marked = materialise(mark_by_substring(df, "label", labels), "signed-marked")
     scored = _mark_by_score(marked, "label", labels, "label", 0.9, strict=True)
     return mark_by_name(scored, signed_artists)
 

@@ -1,186 +1,54 @@
 """Entity matching by blocked joins that lose no match above the asked-for score.
 
-Candidates share a rare n-gram. Each side only indexes its rarest grams, as many as
-are needed so that two strings above the threshold must have one of them in common
-(prefix filtering). Common grams thus never meet, and no candidate list is cut short.
-Both sides are reduced to distinct texts first, so copies cost nothing.
+Names and titles are scored by edit distance against a stored index (``editjoin``), whose
+searches see only what the stage before left over. (artist, title) pairs are scored by
+insertions and deletions: candidates share one of their rarest bigrams, as many as are
+needed so that two texts above the threshold must have one of them in common.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.functions.text import bare_title, indel_ratio, match_key
+from cadenza.operators.editjoin import index_entries, padded_grams, search
 from cadenza.operators.keys import first_per_key
-
-GRAM_SIZES = (3, 2)  # fixed values: tried in this order
-ANCHORS = (4, 2, 1)
-
-
-def char_grams(c: Column, size: int) -> Column:
-    """All overlapping pieces of ``size`` characters, in one pass over the text."""
-    return F.regexp_extract_all(c, F.lit("(?s)(?=(.{%d}))" % size), F.lit(1))
-
-
-def anchor_pieces(c: Column) -> Column:
-    """The distinct pieces of a text that an anchor can be."""
-    return F.array_distinct(F.concat(*[char_grams(c, n) for n in ANCHORS]))
-
-
-def anchored(patterns: DataFrame, pattern: str, anchor: str, sizes: Sequence[int] | None = None) -> DataFrame:
-    """Distinct non-empty patterns with the piece they are looked up by.
-
-    Of the pieces of the largest of ``sizes`` that fits, the one that fewest patterns have.
-    A text that contains a pattern contains its anchor. The smallest size must be 1.
-    """
-    p = patterns.select(pattern).filter(F.length(pattern) > 0).distinct()
-    own = None
-    for n in sorted(sizes or ANCHORS, reverse=True):
-        fits, pieces = F.length(pattern) >= n, F.array_distinct(char_grams(F.col(pattern), n))
-        own = F.when(fits, pieces) if own is None else own.when(fits, pieces)
-    each = p.select(pattern, F.explode(own).alias(anchor))
-    common = each.groupBy(anchor).agg(F.count(F.lit(1)).alias("__df"))
-    rarest = F.min(F.struct("__df", anchor)).alias("__a")
-    return each.join(common, anchor).groupBy(pattern).agg(rarest).select(pattern, F.col(f"__a.{anchor}").alias(anchor))
-
-
-def containment_pairs(parts: DataFrame, part: str, wholes: DataFrame, whole: str) -> DataFrame:
-    """All pairs of distinct texts where ``part``, not empty, occurs in ``whole``."""
-    pieces = wholes.select(whole).distinct().select(whole, F.explode(anchor_pieces(F.col(whole))).alias("__g"))
-    met = anchored(parts, part, "__g").join(pieces, "__g")
-    return met.filter(F.contains(F.col(whole), F.col(part))).select(part, whole)
-
-
-def _padded_grams(c: Column, size: int) -> Column:
-    return char_grams(F.concat(F.lit("-"), c, F.lit("-")), size)
-
-
-def edit_ratio(a: Column, b: Column) -> Column:
-    """One minus the edit distance over the longer length, at twelve places."""
-    return F.round(1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1)), 12)
-
-
-def _gram_prefix(texts: DataFrame, text: str, size: int, floor: float, rarity: DataFrame) -> DataFrame:
-    """The rarest grams of each text, enough to meet every text of edit ratio ``floor`` or more
-    that shares a gram at all.
-
-    A text of ``n`` characters is within ``(1 - floor) * n / floor`` edits of any such text,
-    and an edit takes ``size`` grams away at most: all others are shared, so of its rarest
-    ones ``size * edits + 1`` hold one of them.
-    """
-    n = F.length(text)
-    edits = F.floor(F.lit(1 - floor) * F.floor(n / F.lit(floor) + 1e-9) + 1e-9)
-    each = texts.select(text, n.alias("__len"), edits.alias("__edits"), F.explode(F.array_distinct(_padded_grams(F.col(text), size))).alias("gram"))
-    ranked = each.join(rarity, "gram", "left").withColumn(
-        "__nth", F.row_number().over(Window.partitionBy(text).orderBy(F.coalesce("df", F.lit(0)), "gram"))
-    )
-    return ranked.filter(F.col("__nth") <= size * F.col("__edits") + 1).select(text, "gram")
-
-
-def _gram_rarity(entries: DataFrame, size: int) -> DataFrame:
-    grams = entries.select(F.explode(F.array_distinct(_padded_grams(F.col("entry"), size))).alias("gram"))
-    return grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-
-
-def edit_pairs(queries: DataFrame, entries: DataFrame, size: int, floor: float) -> DataFrame:
-    """All (query, entry, ratio) of distinct texts that share a gram and have an edit ratio of ``floor`` or more."""
-    rarity = _gram_rarity(entries, size)
-    asked, index = _gram_prefix(queries, "query", size, floor, rarity), _gram_prefix(entries, "entry", size, floor, rarity)
-    n, m = F.length("query"), F.length("entry")
-    met = asked.join(index, "gram").filter(F.least(n, m) >= F.lit(floor) * F.greatest(n, m) - 1e-9).select("query", "entry").distinct()
-    return met.withColumn("ratio", edit_ratio(F.col("query"), F.col("entry"))).filter(F.col("ratio") >= floor)
+from cadenza.operators.winnow import containment_pairs
+from cadenza.session import materialise
 
 
-def _best(pairs: DataFrame) -> DataFrame:
-    return first_per_key(pairs.select("query", "entry", "ratio"), ["query"], [F.col("ratio").desc(), F.col("entry").asc()])
-
-
-def _search(todo: DataFrame, entries: DataFrame, size: int, cut: float, floor: float) -> DataFrame:
-    """The best entry of every query that can reach ``cut`` with its bonus.
-
-    Pairs at ``cut`` itself need few grams. Only a query without one, but inside some entry,
-    can get there by the bonus: for those few the search goes down to ``floor``.
-    """
-    near = _best(edit_pairs(todo, entries, size, cut))
-    shared = F.arrays_overlap(_padded_grams(F.col("query"), size), _padded_grams(F.col("entry"), size))
-    inside = containment_pairs(todo, "query", entries, "entry").filter(shared & (F.length("query") >= F.lit(floor) * F.length("entry") - 1e-9))
-    low = inside.select("query").distinct().join(near.select("query"), "query", "left_anti")
-    return near.unionByName(_best(edit_pairs(low, entries, size, floor)))
-
-
-def substring_bonus(query: Column, entry: Column, ratio: Column) -> Column:
-    """Extra score when the whole query occurs in the entry: at most half the missing rest."""
-    rest = F.lit(1.0) - ratio
-    weight = F.exp(F.length(query) / F.lit(10.0)) - 1
-    return F.when(F.contains(entry, query), F.least(rest * weight, rest / 2)).otherwise(F.lit(0.0))
-
-
-def fuzzy_best(queries: DataFrame, query_col: str, entries: DataFrame, entry_col: str, cut: float) -> DataFrame:
-    """The best entry for every distinct query that scores at least ``cut``.
-
-    Score = edit ratio of the best entry plus the substring bonus. The best entry is the one
-    of largest ratio among those that share a 3-gram; queries whose 3-grams occur in no entry
-    are searched by 2-grams. The bonus gives at most half of what is missing, so only ratios
-    of ``2 * cut - 1`` and more can get there. Ties go to the smallest text.
-    Returns ``(query_col, match, score)``.
-    """
-    floor = 2 * cut - 1
-    if floor <= 0:
-        raise ValueError("a cut of 0.5 or less matches anything that shares one gram")
-    q = queries.select(F.col(query_col)).distinct().withColumn("query", match_key(F.col(query_col)))
-    e = entries.select(F.col(entry_col).alias("match")).distinct().withColumn("entry", match_key(F.col("match")))
-    e = e.filter(F.length("entry") > 0).groupBy("entry").agg(F.min("match").alias("match"))
-    texts = q.filter(F.length("query") > 0).select("query").distinct()
-    keys = e.select("entry")
-    equal = texts.join(keys, F.col("query") == F.col("entry")).withColumn("ratio", F.lit(1.0))
-    todo = texts.join(keys, F.col("query") == F.col("entry"), "left_anti")
-    wide, narrow = GRAM_SIZES
-    grams = todo.select("query", F.explode(F.array_distinct(_padded_grams(F.col("query"), wide))).alias("gram"))
-    known = grams.join(_gram_rarity(keys, wide).select("gram"), "gram", "left_semi").select("query").distinct()
-    strange = todo.join(known, "query", "left_anti")
-    found = equal.unionByName(_search(known, keys, wide, cut, floor)).unionByName(_search(strange, keys, narrow, cut, floor))
-    bonus = substring_bonus(F.col("query"), F.col("entry"), F.col("ratio"))
-    scored = found.join(e, "entry").withColumn("score", F.col("ratio") + bonus)
-    return scored.filter(F.col("score") >= cut).join(q, "query").select(query_col, "match", "score")
-
-
-def _rare_prefix(texts: DataFrame, text: str, rarity: DataFrame, floor: float) -> DataFrame:
-    """The rarest bigrams of each text, enough to meet every text of indel ratio > ``floor``.
+def _rare_prefix(texts: DataFrame, floor: float) -> DataFrame:
+    """The rarest bigrams of each text ``t``, enough to meet every text of indel ratio > ``floor``.
 
     With ``n`` and ``m`` characters and a common subsequence of ``L``, the edits destroy at
     most ``2(n-L) + (m-L)`` of the ``n+1`` padded bigrams. ``L > floor(n+m)/2`` and
     ``m >= n * floor / (2 - floor)`` bound the survivors from below, so that many may be left out.
     """
-    n = F.length(text).cast("double")
+    n = F.length("t").cast("double")
     shortest = n * F.lit(floor / (2 - floor))
     survive = F.lit(1.0) + (F.lit(1.5 * floor) - 1) * (n + shortest)
     keep = n + 1 - F.greatest(F.floor(survive + F.lit(1e-9)), F.lit(1)) + 1
-    w = Window.partitionBy(text).orderBy("df", "gram", "nth")
-    each = texts.select(text, F.posexplode(_padded_grams(F.col(text), 2)).alias("nth", "gram"))
-    return (
-        each.join(rarity, "gram")
-        .withColumn("__nth", F.row_number().over(w))
-        .filter(F.col("__nth") <= keep)
-        .select(text, "gram")
-        .distinct()
-    )
+    each = texts.withColumn("gram", F.explode(padded_grams(F.col("t"), 2)))
+    rarity = each.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    ranked = F.row_number().over(Window.partitionBy("t").orderBy("df", "gram"))
+    return each.join(rarity, "gram").withColumn("__nth", ranked).filter(F.col("__nth") <= keep).drop("df", "__nth").distinct()
 
 
 def _bigram_prefixes(left: DataFrame, right: DataFrame, floor: float) -> tuple[DataFrame, DataFrame]:
-    """(query, gram) and (entry, gram): pairs with an indel ratio above ``floor`` share a gram."""
+    """(query, gram) and (entry, gram): pairs with an indel ratio above ``floor`` share a gram.
+
+    One table of the distinct texts of both sides holds the prefixes, written once.
+    """
     if floor <= 2 / 3:
         raise ValueError("the bigram bound needs a floor above 2/3")
-    q, e = left.select("query").distinct(), right.select("entry").distinct()
-    seen = q.select(F.col("query").alias("t")).unionByName(e.select(F.col("entry").alias("t")))
-    rarity = (
-        seen.select(F.explode(F.array_distinct(_padded_grams(F.col("t"), 2))).alias("gram"))
-        .groupBy("gram")
-        .agg(F.count(F.lit(1)).alias("df"))
+    sides = left.select(F.col("query").alias("t"), F.lit(True).alias("asked")).unionByName(right.select(F.col("entry").alias("t"), F.lit(False).alias("asked")))
+    texts = sides.groupBy("t").agg(F.max("asked").alias("asked"), F.max(~F.col("asked")).alias("held"))
+    prefixes = materialise(_rare_prefix(texts, floor), "bigram-prefixes")
+    return (
+        prefixes.filter("asked").select(F.col("t").alias("query"), "gram"),
+        prefixes.filter("held").select(F.col("t").alias("entry"), "gram"),
     )
-    return _rare_prefix(q, "query", rarity, floor), _rare_prefix(e, "entry", rarity, floor)
 
 
 def _near(floor: float) -> Column:
@@ -218,11 +86,12 @@ def pair_match(
 
     Artist names are paired first, on the few distinct names. Titles then meet on artist
     *and* rare bigram, so neither a popular artist nor a common bigram brings many
-    candidates together.
+    candidates together. Names, titles and their prefixes are written once.
     """
     want = rows.select(
         "artist", "title", F.lower("artist").alias("a"), F.lower("title").alias("query")
     ).distinct()
+    want = materialise(want.filter(F.col("a").isNotNull() & F.col("query").isNotNull()), "pair-wanted")
     have = (
         catalogue.select(
             F.col(catalogue_id), F.col(order).alias("__order"), F.lower("artist").alias("na"), F.lower("title").alias("__nt")
@@ -231,13 +100,14 @@ def pair_match(
         .agg(F.min(F.struct("__order", catalogue_id)).alias("__first"))
     )
     spelled = have.withColumn("entry", F.explode(F.array_distinct(F.array("__nt", bare_title(F.col("__nt"))))))
-    spelled = spelled.groupBy("na", "entry").agg(F.min("__first").alias("__first"))
-    known = artist_pairs(want.select("a").distinct(), spelled.select("na").distinct(), floor)
+    spelled = materialise(spelled.groupBy("na", "entry").agg(F.min("__first").alias("__first")), "pair-spelled")
+    known = materialise(artist_pairs(want.select("a").distinct(), spelled.select("na").distinct(), floor), "pair-artists")
     asked, index = _bigram_prefixes(want, spelled, floor)
     sought = want.select("a", "query").distinct().join(known, "a")
     left = sought.select("na", "query").distinct().join(asked, "query")
     right = spelled.select("na", "entry").join(index, "entry")
     met = left.join(right, ["na", "gram"]).filter(_near(floor)).select("na", "query", "entry").distinct()
+    met = materialise(met, "pair-met")
     alike = met.select("query", "entry").distinct().filter(indel_ratio("query", "entry") > floor)
     hits = met.join(alike, ["query", "entry"]).join(spelled, ["na", "entry"])
     per_name = hits.groupBy("na", "query").agg(F.min("__first").alias("__f"))
@@ -257,52 +127,57 @@ def first_stage(*stages: DataFrame, keys: list[str], ties: list[Column]) -> Data
 
 
 def resolve_names(queries: DataFrame, query_col: str, entries: DataFrame, entry_col: str, cut: float = 0.9) -> DataFrame:
-    """Exact name, else fuzzy at ``cut``, else the same with "The " in front."""
-    names = queries.select(query_col).distinct()
-    exact = names.join(
-        entries.select(F.col(entry_col).alias("match")).distinct(), F.col(query_col) == F.col("match")
-    ).withColumn("score", F.lit(1.0))
-    fuzzy = fuzzy_best(names, query_col, entries, entry_col, cut)
-    the = names.withColumn("__the", F.concat(F.lit("The "), F.col(query_col)))
-    retry = the.join(fuzzy_best(the, "__the", entries, entry_col, cut), "__the").drop("__the")
-    return first_stage(exact, fuzzy, retry, keys=[query_col], ties=[F.col("score").desc(), F.col("match").asc()])
+    """Exact name, else fuzzy at ``cut``, else the same with "The " in front.
+
+    One index of the entries serves both searches; each stage sees what the one before left.
+    """
+    index = index_entries(entries, entry_col, cut)
+    names = materialise(queries.select(query_col).filter(F.col(query_col).isNotNull()).distinct(), "resolve-names")
+    listed = entries.select(F.col(entry_col).alias("match")).distinct()
+    exact = names.join(listed, F.col(query_col) == F.col("match")).select(query_col, "match", F.lit(1.0).alias("score"))
+    left = names.join(exact.select(query_col), query_col, "left_anti")
+    fuzzy = materialise(search(index, left, query_col), "resolve-fuzzy")
+    the = left.join(fuzzy.select(query_col), query_col, "left_anti").withColumn("__the", F.concat(F.lit("The "), F.col(query_col)))
+    retry = the.join(materialise(search(index, the, "__the"), "resolve-retry"), "__the").select(query_col, "match", "score")
+    staged = [part.withColumn("stage", F.lit(k)) for k, part in enumerate((exact, fuzzy, retry), 1)]
+    return staged[0].unionByName(staged[1]).unionByName(staged[2])
 
 
 def resolve_tracks(wanted: DataFrame, tracks: DataFrame) -> DataFrame:
     """(isrc, artist, title) to a landed track (track_id, isrc, name, artist).
 
     Stages: equal isrc; title score of 0.75 among tracks of the same artist name; title
-    and artist both 0.8; artist score of 0.75 among tracks of the same title.
+    and artist both 0.8; artist score of 0.75 among tracks of the same title. Each stage
+    searches for what the one before left; each index is built once.
     """
-    key = ["artist", "title"]
-    w = wanted.select("isrc", *key).distinct()
-    t = tracks.select("track_id", F.col("isrc").alias("t_isrc"), F.col("name").alias("t_name"), F.col("artist").alias("t_artist"))
-    by_isrc = w.join(t, F.col("isrc") == F.col("t_isrc")).withColumn("score", F.lit(1.0))
-    title_hits = fuzzy_best(w, "title", tracks, "name", 0.75).withColumnsRenamed({"match": "m_name", "score": "title_score"})
-    artist_hits = fuzzy_best(w, "artist", tracks, "artist", 0.75).withColumnsRenamed(
-        {"match": "m_artist", "score": "artist_score"}
-    )
-    tk = t.withColumn("__n", match_key(F.col("t_name"))).withColumn("__a", match_key(F.col("t_artist")))
-    titled = w.join(title_hits, "title").withColumn("__n", match_key(F.col("m_name")))
-    both = titled.join(artist_hits, "artist").withColumn("__ma", match_key(F.col("m_artist")))
-    by_title = (
-        titled.withColumn("__a", match_key(F.col("artist"))).join(tk, ["__n", "__a"]).withColumn("score", F.col("title_score"))
-    )
-    by_both = (
-        both.filter((F.col("title_score") >= 0.8) & (F.col("artist_score") >= 0.8))
-        .join(tk.withColumnRenamed("__a", "__ma"), ["__n", "__ma"])
-        .withColumn("score", F.least("title_score", "artist_score"))
-    )
-    by_artist = (
-        w.withColumn("__n", match_key(F.col("title")))
-        .join(artist_hits, "artist")
-        .withColumn("__ma", match_key(F.col("m_artist")))
-        .join(tk.withColumnRenamed("__a", "__ma"), ["__n", "__ma"])
-        .withColumn("score", F.col("artist_score"))
-    )
-    keep = ["isrc", *key, "track_id", "score"]
-    return first_stage(
-        *[s.select(*keep) for s in (by_isrc, by_title, by_both, by_artist)],
-        keys=["isrc", *key],
-        ties=[F.col("score").desc(), F.col("track_id").asc()],
-    )
+    key = ["isrc", "artist", "title"]
+    w = wanted.select(*key).distinct().withColumn("__w", F.monotonically_increasing_id())
+    w = materialise(w.withColumns({"__n": match_key(F.col("title")), "__a": match_key(F.col("artist"))}), "tracks-wanted")
+    names = {"__tn": match_key(F.col("name")), "__ta": match_key(F.col("artist"))}
+    t = materialise(tracks.withColumns(names).select("track_id", F.col("isrc").alias("__isrc"), "name", F.col("artist").alias("__artist"), "__tn", "__ta"), "tracks-landed")
+
+    def stage(number: int, hits: DataFrame) -> DataFrame:
+        """Per wanted row the best score, ties by id; written, as the next stage leaves these out."""
+        hits = first_per_key(hits.select("__w", "track_id", "score"), ["__w"], [F.col("score").desc(), F.col("track_id").asc()])
+        return materialise(hits.withColumn("stage", F.lit(number)), "tracks-stage")
+
+    def matched(index, texts: DataFrame, column: str, of: str) -> DataFrame:
+        found = search(index, texts, column)
+        return materialise(found.select(column, match_key(F.col("match")).alias(of), F.col("score").alias(f"{of}_score")), "tracks-scores")
+
+    same_name, same_artist = F.col("__mn") == F.col("__tn"), F.col("__ma") == F.col("__ta")
+    done = [stage(1, w.join(t, F.col("isrc") == F.col("__isrc")).withColumn("score", F.lit(1.0)))]
+    left = w.join(done[0], "__w", "left_anti")
+    titled = left.join(matched(index_entries(t, "name", 0.75), left, "title", "__mn"), "title")
+    done.append(stage(2, titled.join(t, same_name & (F.col("__a") == F.col("__ta"))).withColumn("score", F.col("__mn_score"))))
+    left = left.join(done[1], "__w", "left_anti")
+    artists = matched(index_entries(t, "__artist", 0.75), left, "artist", "__ma")
+    both = titled.join(done[1], "__w", "left_anti").join(artists, "artist").filter("__mn_score >= 0.8 AND __ma_score >= 0.8")
+    done.append(stage(3, both.join(t, same_name & same_artist).withColumn("score", F.least("__mn_score", "__ma_score"))))
+    left = left.join(done[2], "__w", "left_anti")
+    by_artist = left.join(artists, "artist").join(t, (F.col("__n") == F.col("__tn")) & same_artist)
+    done.append(stage(4, by_artist.withColumn("score", F.col("__ma_score"))))
+    union = done[0]
+    for part in done[1:]:
+        union = union.unionByName(part)
+    return w.join(union, "__w").select(*key, "track_id", "score", "stage")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions.dates import back
@@ -12,6 +12,7 @@ from cadenza.functions.numeric import percent_or_zero
 from cadenza.operators.charts import ReentryRule, next_edition, sparkline
 from cadenza.operators.keys import assign_ids, global_rank, not_in, rank_per_key
 from cadenza.operators.maintain import replace_window
+from cadenza.operators.moving import COUNT, build_view, move_view, row_changes
 from cadenza.operators.reshape import unpack
 from cadenza.operators.timegrid import streaks, weekly_sums
 from cadenza.plans.rollups import overlap
@@ -65,15 +66,30 @@ def genre_stats(genres_of: DataFrame, stats: DataFrame, key: str = "artist_id")
     The reference leaves the last two undefined. Here volume is the genre's share of all
     genre streams in percent and growth the percent change on last week.
     """
-    sums = (
-        genres_of.join(stats.select(key, "tw_streams", "lw_streams"), key)
-        .groupBy("genre")
-        .agg(
-            F.sum("tw_streams").alias("tw_streams"),
-            F.sum("lw_streams").alias("lw_streams"),
-            F.count(F.lit(1)).alias("artists_count"),
-        )
-    )
+    joined = genres_of.join(stats.select(key, "tw_streams", "lw_streams"), key)
+    return genre_figures(genre_state(joined))
+
+
+def genre_state(rows: DataFrame) -> DataFrame:
+    """The sums and row counts by genre of (genre, tw_streams, lw_streams)."""
+    return build_view(rows, ["genre"], _genre_sums())
+
+
+def _genre_sums() -> dict[str, Column]:
+    return {c: F.col(c) for c in ("tw_streams", "lw_streams")}
+
+
+def move_genres(state: DataFrame, genres_of: DataFrame, held: DataFrame, fresh: DataFrame, key: str = "artist_id") -> DataFrame:
+    """The genre sums after artists' stats went from ``held`` to ``fresh``: only artists whose
+    numbers differ are joined with their genres. ``state`` is that of ``genre_state``."""
+    columns = [key, "tw_streams", "lw_streams"]
+    changes = row_changes(held.select(*columns), fresh.select(*columns), [key])
+    return move_view(state, changes.join(genres_of, key), ["genre"], _genre_sums())
+
+
+def genre_figures(sums: DataFrame) -> DataFrame:
+    """The figures of ``genre_stats`` from the sums and row counts by genre."""
+    sums = sums.withColumnRenamed(COUNT, "artists_count")
     total = sums.agg(F.sum("tw_streams")).scalar()
     return sums.withColumns(
         {

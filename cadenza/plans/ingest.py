@@ -17,6 +17,8 @@ from cadenza.operators.keys import assign_ids, first_per_key, rank_per_key
 from cadenza.operators.maintain import Changes, append, change_only, insert_absent, patch, unique_delta, upsert
 from cadenza.operators.reshape import melt_dates, melt_series
 from cadenza.plans.views import track_collections, track_counts
+from cadenza.session import materialise
+from cadenza.sources.buckets import BucketedTable, Merge, upsert_buckets
 from cadenza.sources.contracts import (
     ARTIST_COLUMNS,
     DAY_COLUMN,
@@ -253,6 +255,16 @@ def load_territory_streams(current: DataFrame, files: DataFrame, key: str, since
     return upsert(current, delta, keys, ["streams"], among=None if since is None else F.col("date") > F.lit(since))
 
 
+def restate_territory_streams(table: BucketedTable, files: DataFrame, key: str) -> Merge:
+    """The same on a table kept by buckets of its date: only those of restated dates take part.
+
+    Columns that the files lack keep their values, and are null in new rows.
+    """
+    keys = [key, "date", "territory"]
+    delta = materialise(unique_delta(files, keys, [F.col("file_date").desc()]).drop("file_date"), "restated")
+    return upsert_buckets(table, delta, keys, ["streams"])
+
+
 def refresh_track_counts(artists: DataFrame, tracks: DataFrame) -> DataFrame:
     """Set the distinct song count of every mapped artist."""
     return patch(artists, track_counts(tracks), ["artist_id"], ["track_count"])

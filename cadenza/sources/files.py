@@ -152,5 +152,10 @@ def head_rows(df: DataFrame, n: int = 100) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int = 1000, seed: int = 42) -> DataFrame:
-    """A repeatable random sample for a dry run."""
-    return df.orderBy(F.xxhash64(F.to_json(F.struct(*df.columns)), F.lit(seed))).limit(n)
+    """A repeatable random sample for a dry run: the rows whose text has the least digests.
+
+    Ties, which only equal texts have, are broken by the columns; only ``n`` rows of each task are sorted.
+    """
+    told = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns if c != ORDINAL]
+    digest = F.md5(F.concat_ws("|", *told, F.lit(str(seed))).cast("binary"))
+    return df.orderBy(digest, *[F.col(c).asc() for c in df.columns if c != ORDINAL]).limit(n)

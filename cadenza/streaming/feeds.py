@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -15,6 +14,10 @@ from cadenza.session import materialise
 from cadenza.sources.tables import overwrite_dates
 
 
+#: The counts of a batch and the actions that they count.
+COUNTS = {"updates": "update", "inserts": "insert"}
+
+
 def watch_feed(
     spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.tsv", sep: str = "\t", encoding: str = "UTF-16"
 ) -> DataFrame:
@@ -51,15 +54,17 @@ def apply_batch(
     fresh = {c: F.lit(None).cast(clean.schema[c].dataType) for c in values if c not in current.columns}
     current = current.withColumns(fresh).filter(F.col(date_col).isin(touched))
     marked = change_only(current.select(*keys, *values), clean, keys, compare, date_col=date_col)
-    marked = replace(marked, marked=materialise(marked.marked, "marked"))
-    changed = marked.marked.filter(F.col("action") != "same")
+    # the write of what changes counts it too, so the tables are compared once
+    seen, action = Observation(), F.col("action")
+    counted = [F.count(F.when(action == kind, 1)).alias(name) for name, kind in COUNTS.items()]
+    changed = materialise(marked.marked.observe(seen, *counted).filter(action != "same"), "changed")
     dates = [r[0] for r in changed.select(date_col).distinct().collect()]
     if dates:
         held = current.filter(F.col(date_col).isin(dates))
         others = [F.lit(None).cast(held.schema[c].dataType).alias(c) for c in held.columns if c not in clean.columns]
         merged = upsert(held, changed.drop("action").select("*", *others), keys, values)
         overwrite_dates(materialise(merged, "merged"), path, date_col)
-    return marked.counts()
+    return spark.createDataFrame([(name, seen.get[name]) for name in COUNTS], "name string, value long")
 
 
 def upsert_stream(

@@ -1,9 +1,13 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from cadenza.operators.maintain import change_only, insert_absent, patch, replace_window, unique_delta, upsert
+from cadenza.operators.moving import build_view, move_view, row_changes
+from cadenza.plans.views import entity_stats, move_stats, stats_of, stats_state
+from cadenza.sources.buckets import BucketedTable, insert_buckets, patch_buckets, upsert_buckets
 from tests.conftest import rows
 
 D = dt.date
@@ -109,3 +113,91 @@ def test_only_the_given_part_is_joined(spark, tmp_path):
     assert rows(patched) == sorted([r for r in stored if r != (1, days[2], 1)] + [(1, days[2], 9)], key=str)
     with pytest.raises(Exception, match="outside of the given part"):
         upsert(current, delta.withColumn("date", F.lit(days[0])), ["id", "date"], among=late).collect()
+
+
+def kept(spark, tmp_path, rows, by=("k",), buckets=16, name="t"):
+    df = spark.createDataFrame(rows, "k int, v int, w string")
+    return BucketedTable(str(tmp_path / name), by, buckets).write(df)
+
+
+def test_bucketed_merge_is_an_upsert(spark, tmp_path):
+    held = [(i, i, "old") for i in range(300)] + [(None, 1, "old")]
+    table = kept(spark, tmp_path, held)
+    delta = spark.createDataFrame([(3, -3), (4, None), (1000, 7)], "k int, v int")
+    merge = upsert_buckets(table, delta, ["k"])
+    want = rows(upsert(spark.createDataFrame(held, "k int, v int, w string"), delta, ["k"]))
+    assert rows(merge.rows()) == want and 1 <= len(merge.buckets) <= 3
+    merge.apply()
+    assert rows(table.read(spark).drop("bucket")) == want
+    upsert_buckets(table, delta, ["k"]).apply()  # the same delta once more
+    assert rows(table.read(spark).drop("bucket")) == want
+    patched = patch_buckets(table, spark.createDataFrame([(5, "new"), (2000, "new")], "k int, w string"), ["k"], ["w"])
+    assert [r for r in rows(patched.rows()) if r[2] == "new"] == [(5, 5, "new")] and patched.rows().count() == len(want)
+    more = insert_buckets(table, spark.createDataFrame([(5, 0, "x"), (2001, 0, "x")], "k int, v int, w string"), ["k"], [F.col("v")])
+    assert [r for r in rows(more.rows()) if r[2] == "x"] == [(2001, 0, "x")]
+
+
+def test_untouched_buckets_are_neither_shuffled_nor_written(spark, tmp_path):
+    table = kept(spark, tmp_path, [(i, i, "old") for i in range(300)])
+    merge = upsert_buckets(table, spark.createDataFrame([(3, -3)], "k int, v int"), ["k"])
+    plan = merge.untouched._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and f"NOT (bucket#" in plan.split("PartitionFilters")[1] and merge.buckets == table.touched(spark.createDataFrame([(3,)], "k int"))
+    changed = merge.changed._jdf.queryExecution().executedPlan().toString()
+    assert f"= {merge.buckets[0]})" in changed.split("PartitionFilters")[1]
+    def files():
+        return {str(p) for p in (tmp_path / "t").rglob("*.parquet")}
+    before = files()
+    merge.apply()
+    gone = before - files()
+    assert gone and all(f"bucket={merge.buckets[0]}/" in f for f in gone)
+
+
+def test_buckets_must_follow_the_key(spark, tmp_path):
+    table = kept(spark, tmp_path, [(1, 1, "a")], by=("w",))
+    with pytest.raises(ValueError):
+        upsert_buckets(table, spark.createDataFrame([(1, 2)], "k int, v int"), ["k"])
+
+
+def test_a_moved_view_is_the_view_computed_again(spark):
+    rng = random.Random(6)
+    schema = "k int, g string, date int, v int"
+
+    def some(n):
+        return {k: (rng.choice(["a", "b", "c", None]), rng.randrange(10), rng.choice([None, *range(-5, 9)])) for k in rng.sample(range(60), n)}
+
+    def frame(state):
+        return spark.createDataFrame([(k, *r) for k, r in state.items()], schema)
+
+    sums = {"total": F.col("v"), "late": F.when(F.col("date") > 4, F.col("v"))}
+    state = some(40)
+    view = build_view(frame(state), ["g"], sums)
+    for _ in range(3):
+        new = {k: r for k, r in state.items() if rng.random() > 0.2} | some(12)
+        changes = row_changes(frame(state), frame(new), ["k"])
+        assert changes.count() == sum((k in state) + (k in new) for k in {*state, *new} if state.get(k) != new.get(k))
+        view = spark.createDataFrame(move_view(view, changes, ["g"], sums).collect(), view.schema)
+        assert rows(view) == rows(build_view(frame(new), ["g"], sums))
+        state = new
+    gone = move_view(view, row_changes(frame(state), frame(state).filter("false"), ["k"]), ["g"], sums)
+    assert gone.count() == 0
+    with pytest.raises(ValueError):
+        move_view(view.withColumn("total", F.col("total") / 2), changes, ["g"], sums)
+
+
+def test_moved_stats(spark):
+    rng = random.Random(8)
+    start = dt.date(2024, 1, 1)
+    days = [start + dt.timedelta(k) for k in range(40)]
+    table = {(a, d): rng.randrange(1, 50) for a in range(8) for d in days if rng.random() < 0.5 and not (a == 7 and d > days[15])}
+
+    def frame(state):
+        return spark.createDataFrame([(a, d, n) for (a, d), n in state.items()], "artist_id int, date date, streams bigint")
+
+    was = days[20]
+    state = stats_state(frame(table), "artist_id", was)
+    for as_of in (days[20], days[23], days[33], days[39]):
+        fresh = {k: n for k, n in table.items() if rng.random() > 0.1} | {(a, rng.choice(days)): 1 for a in range(9)}
+        state = move_stats(state, frame(table), frame(fresh), "artist_id", was, as_of)
+        state = spark.createDataFrame(state.collect(), state.schema)
+        assert rows(stats_of(state, "artist_id")) == rows(entity_stats(frame(fresh), "artist_id", as_of))
+        table, was = fresh, as_of

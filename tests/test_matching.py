@@ -4,8 +4,11 @@ import random
 from pyspark.sql import functions as F
 
 from cadenza.functions.text import clean_artist, clean_name, clean_title, contains_any_word, indel_ratio, match_key, nfkd
-from cadenza.operators.labels import contains_any, mark_by_name, newly_signed, signed_cascade, signed_cascade_songs, signed_patch
-from cadenza.operators.matching import containment_pairs, edit_pairs, first_stage, fuzzy_best, indel_pairs, pair_match, resolve_names
+from cadenza.operators import editjoin, winnow
+from cadenza.operators.editjoin import edit_pairs, extend_index, fuzzy_best, index_entries, search
+from cadenza.operators.labels import mark_by_name, newly_signed, signed_cascade, signed_cascade_songs, signed_patch
+from cadenza.operators.matching import first_stage, indel_pairs, pair_match, resolve_names, resolve_tracks
+from cadenza.operators.winnow import contains_any, containment_pairs
 from tests.conftest import rows
 
 
@@ -47,11 +50,42 @@ def column(spark, values, name):
 
 
 def test_edit_pairs_lose_nothing(spark):
-    left, right = words(1, 60), words(2, 60)
-    for size in (3, 2):
-        for floor in (0.9, 0.75, 0.5):
-            got = {(r.query, r.entry) for r in edit_pairs(column(spark, left, "query"), column(spark, right, "entry"), size, floor).collect()}
-            assert got == {(a, b) for a in left for b in right if ratio_of(a, b) >= floor and grams(a, size) & grams(b, size)}
+    left, right = words(1, 90) + ["", "naïve", "ééé", "漢字kana", "a" * 40], words(2, 90) + ["naive", "eee", "漢字kan", "a" * 37 + "bcd"]
+    for floor in (0.9, 0.75, 0.6, 0.51):
+        got = {(r.query, r.entry): r.ratio for r in edit_pairs(column(spark, left, "query"), column(spark, right, "entry"), floor).collect()}
+        assert got == {(a, b): ratio_of(a, b) for a in left for b in right if a and b and ratio_of(a, b) >= floor}
+
+
+def test_bits_bound_the_edits(spark):
+    rng = random.Random(3)
+    pairs = [(a, "".join(rng.choice(["", c, c, c, c + "x", "é", "😀"]) for c in a)) for a in words(20, 200, "aab😀", 1, 30)]
+    df = spark.createDataFrame(pairs, "a string, b string").withColumns({"ma": editjoin.marks(F.col("a")), "mb": editjoin.marks(F.col("b"))})
+    for r in df.select("a", "b", editjoin.fewest_edits(F.col("ma"), F.col("mb")).alias("least")).collect():
+        assert r.least <= edit_distance(r.a, r.b)
+
+
+def test_few_pairs_meet(spark):
+    """On page addresses, which are much alike, a search rates few of all pairs, over all its ratios."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url")
+    key = match_key(F.col("url"))
+    todo = editjoin._with_marks(pages.filter(F.col("url").startswith("https")).select(key.alias("query")), "query").cache()
+    index = index_entries(pages.filter(F.col("url").startswith("http:")), "url", 0.75)
+    every, met = todo.count() * index.entries.count(), 0
+    for floor, segments in index.segments:
+        pairs = editjoin.met_pairs(todo, segments, floor).cache()
+        met += pairs.count()
+        todo = todo.join(editjoin._rated(pairs, floor).select("query").distinct(), "query", "left_anti").cache()
+    assert met < 0.05 * every and todo.count() < 20
+
+
+def test_an_index_takes_more_entries(spark):
+    left, right = words(5, 60, "abcd", 3, 10), words(6, 200, "abcd", 3, 10)
+    whole = index_entries(column(spark, right, "e"), "e", 0.75)
+    grown = extend_index(index_entries(column(spark, right[::2], "e"), "e", 0.75), column(spark, right[1::2] + right[:9], "e"), "e")
+    asked = column(spark, left, "q")
+    assert rows(search(grown, asked, "q")) == rows(search(whole, asked, "q"))
+    held = {r.entry: r.n for r in grown.segments[-1][1].groupBy("entry").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert sorted(held) == right and all(n <= len(t) for t, n in held.items())
 
 
 def test_misspelt_names(spark):
@@ -105,6 +139,31 @@ def test_name_resolution_stages(spark):
     assert "nobody" not in got
 
 
+def test_track_stages(spark):
+    tracks = spark.createDataFrame(
+        [(1, "I1", "Hello", "Adele"), (2, "I1", "Hello", "Adele"), (3, "I3", "Waterloo", "ABBA"), (4, None, "Fernando", "ABBA"), (5, "I5", "Yesterday", "The Beatles")],
+        "track_id int, isrc string, name string, artist string",
+    )
+    wanted = spark.createDataFrame(
+        [("I1", "x", "y"), (None, "abba", "Waterlo"), ("I9", "abbba", "Fernandos"), (None, "The Beatle", "yesterday"), (None, None, "Hello"), (None, "nobody", None)],
+        "isrc string, artist string, title string",
+    )
+    got = {(r.isrc, r.artist, r.title): (r.track_id, r.stage) for r in resolve_tracks(wanted, tracks).collect()}
+    assert got == {("I1", "x", "y"): (1, 1), (None, "abba", "Waterlo"): (3, 2), ("I9", "abbba", "Fernandos"): (4, 3), (None, "The Beatle", "yesterday"): (5, 3)}
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_stages_are_not_planned_again(spark):
+    """What a stage found is a table for the next one, so plans stay small."""
+    from cadenza.catalogue import QUERIES
+
+    for name, most in (("staged_match", 40), ("name_resolution", 40), ("pair_match", 40), ("fuzzy_best", 40)):
+        assert exchanges(QUERIES[name](spark, "/root/testdata/sf0.001")) <= most
+
+
 def test_pair_match_takes_the_first_row_too(spark):
     catalogue = spark.createDataFrame(
         [("Adele", "Hello (Live)", 1, 0), ("Adele", "Hello", 2, 1), ("Other", "Hello", 3, 2), ("ABBA", "Waterloo", 4, 3)],
@@ -159,18 +218,29 @@ def test_substring_flag(spark):
         assert {r.t: r.f for r in got.collect()} == want
 
 
-def test_a_text_emits_its_anchors_only(spark):
-    """What leaves a text is bounded by the anchors in it, and a common one is met in a plain equi-join."""
-    from cadenza.operators.labels import ANCHORS, listed_pieces
-    from cadenza.operators.matching import anchored
-
-    patterns = column(spark, ["one long passage of a book", "tiny", "ab"], "__p")
-    wanted = anchored(patterns, "__p", "__g", ANCHORS).cache()
-    texts = column(spark, ["nothing here is on the list " * 40, "so tiny, ab, tiny", "one long passage of a book"], "t")
-    listed = listed_pieces(texts, "t", wanted, F.length("t").alias("n")).groupBy("n").count()
-    assert rows(listed) == [(17, 2), (26, 1)]
-    plan = contains_any(texts, "t", patterns, "__p", "f")._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Python" not in plan
+def test_substring_flag_of_long_patterns(spark):
+    """Patterns of all classes, cut out of texts at random places, some of them changed."""
+    rng = random.Random(4)
+    alphabet = "abcdefgh é漢"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 400))) for _ in range(60)] + ["ab" * 90, "a" * 100]
+    cut = [t[i : i + n] for t in texts[:40] for n in (1, 2, 3, 5, 6, 9, 14, 30, 70, 120) for i in [rng.randrange(len(t) + 1)]]
+    some = [p if k % 3 else p[: len(p) // 2] + "z" + p[len(p) // 2 :] for k, p in enumerate(cut)]
+    long_ = [p for p in some if len(p) > 8] + ["ba" * 40, "a" * 99 + "b"]
+    for patterns in (long_, ["ab" * 32, "a" * 64], [p for p in some if len(p) > 60]):
+        want = [any(p and p in t for p in patterns) for t in texts]
+        got = contains_any(column(spark, texts, "t").withColumn("k", F.monotonically_increasing_id()), "t", column(spark, patterns, "label"), "label", "f")
+        assert {r.t: r.f for r in got.collect()} == dict(zip(texts, want))
+
+
+def test_a_text_emits_its_window_minima_only(spark):
+    rng = random.Random(5)
+    text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(50_000))
+    df = column(spark, [text, "short"], "t").withColumn("n", F.length("t"))
+    for number, (piece, window) in enumerate(winnow.CLASSES[:4]):
+        held = winnow.window_minima(df, "t", ["n"], [number]).groupBy("n").count().collect()
+        assert all(r["count"] <= 1.1 * 2 / (window + 1) * r.n + 1 for r in held) and max(r.n for r in held) == 50_000
+    plan = contains_any(df, "t", column(spark, ["tiny", "ab"], "p"), "p", "f")._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_empty_label_list(spark):
