@@ -12,7 +12,9 @@ The index is a table in the shared folder. More entries extend it; all searches
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +25,8 @@ from cadenza.operators.winnow import containment_pairs
 from cadenza.session import materialise
 
 GRAM_SIZES = (3, 2)  # fixed values: tried in this order
-#: Ratios that are tried before the asked-for one: most texts have a nearer entry, at less cost.
-NEARER = (0.9, 0.8)
+#: Ratios that are tried before an asked-for one well below: most texts have a nearer entry, at less cost.
+NEARER = (0.82,)
 #: Segments beyond ``d + 1``, so that the most common ones need not be looked up.
 SPARE = 2
 #: 64-bit words of the bits of a text.
@@ -41,51 +43,48 @@ def padded_grams(c: Column, size: int) -> Column:
     return char_grams(F.concat(F.lit("-"), c, F.lit("-")), size)
 
 
-def edit_ratio(a: Column, b: Column) -> Column:
-    """One minus the edit distance over the longer length, at twelve places."""
-    return F.round(1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1)), 12)
-
-
-def marks(c: Column) -> Column:
-    """The bits of a text: one, by hash, for each character and number of its occurrence.
+def marks(text: str) -> Column:
+    """The bits of a text column: one, by hash, for each character and number of its occurrence.
 
     An inserted or a deleted character sets or clears one of them at most, a replaced one both.
     """
-    ordered = F.array_join(F.array_sort(F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0))), "")
-    runs = F.regexp_extract_all(ordered, F.lit(r"(?s)(.)\1*"), F.lit(0))
-    each = F.flatten(F.transform(runs, lambda r: F.transform(F.sequence(F.lit(1), F.length(r)), lambda k: F.xxhash64(r.substr(F.lit(1), k)))))
-    place = F.transform(each, lambda h: F.pmod(h, F.lit(64 * WORDS)).cast("int"))
-    one = lambda p: F.call_function("shiftleft", F.lit(1).cast("long"), p % 64)
-    word = lambda w: F.filter(place, lambda p: (p >= 64 * w) & (p < 64 * w + 64))
-    return F.array(*[F.aggregate(word(w), F.lit(0).cast("long"), lambda held, p: held.bitwiseOR(one(p))) for w in range(WORDS)])
+    ordered = f"array_join(array_sort(regexp_extract_all({text}, '(?s).', 0)), '')"
+    runs = rf"regexp_extract_all({ordered}, '(?s)(.)\\1*', 0)"
+    each = f"flatten(transform({runs}, r -> transform(sequence(1, length(r)), k -> pmod(xxhash64(substr(r, 1, k)), {64 * WORDS}))))"
+    word = "aggregate(filter({each}, p -> p div 64 = {w}), 0L, (held, p) -> held | shiftleft(1L, int(p % 64)))"
+    return F.expr("array(" + ", ".join(word.format(each=each, w=w) for w in range(WORDS)) + ")")
 
 
-def fewest_edits(a: Column, b: Column) -> Column:
+def fewest_edits(a: str, b: str) -> str:
     """A lower bound of the edit distance, by the bits of two texts."""
-    gone = [F.bit_count(a[w].bitwiseAND(F.bitwise_not(b[w]))) for w in range(WORDS)]
-    come = [F.bit_count(b[w].bitwiseAND(F.bitwise_not(a[w]))) for w in range(WORDS)]
-    return F.greatest(sum(gone[1:], gone[0]), sum(come[1:], come[0]))
+    gone = " + ".join(f"bit_count({a}[{w}] & ~{b}[{w}])" for w in range(WORDS))
+    come = " + ".join(f"bit_count({b}[{w}] & ~{a}[{w}])" for w in range(WORDS))
+    return f"greatest({gone}, {come})"
 
 
-def most_edits(n: Column, m: Column, floor: float | Column) -> Column:
+def most_edits(n: str, m: str, floor: float | str) -> str:
     """Edits between texts of ``n`` and ``m`` characters that leave a ratio of ``floor``."""
-    rest = F.lit(1) - floor if isinstance(floor, Column) else F.lit(1 - floor)
-    return F.floor(rest * F.greatest(n, m) + _EPS)
+    return f"int(floor((1 - double({floor})) * greatest({n}, {m}) + {_EPS}))"
+
 
+def _may_be_near(n: str, m: str, a: str, b: str, floor: float | str) -> str:
+    """What lengths and bits tell of two texts, as a join condition."""
+    allowed = most_edits(n, m, floor)
+    return f"abs({n} - {m}) <= {allowed} AND {fewest_edits(a, b)} <= {allowed}"
 
-def _segments(m: Column, floor: float) -> tuple[Column, Column]:
-    """How many segments an entry is cut into, and how many of them it keeps."""
-    longest = F.floor(m / F.lit(floor) + _EPS)
-    kept = F.floor(F.lit(1 - floor) * longest + _EPS) + 1
-    return F.least(m, kept + SPARE).cast("int"), kept.cast("int")
 
+def _kept(m: str, floor: float) -> str:
+    """How many segments an entry keeps: one more than the edits that it may be away from any text."""
+    return f"int(floor((1 - double({floor})) * floor({m} / double({floor}) + {_EPS}) + {_EPS}) + 1)"
 
-def _start(number: Column, m: Column, of: Column) -> Column:
-    return F.floor(number * m / of).cast("int")
 
+def _cut(m: str, floor: float) -> str:
+    """How many segments it is cut into."""
+    return f"least({m}, {_kept(m, floor)} + {SPARE})"
 
-def _key(floor: float, m: Column, number: Column, piece: Column) -> Column:
-    return F.xxhash64(F.lit(floor), m, number, piece)
+
+def _start(number: str) -> str:
+    return f"int({number} * m div of)"
 
 
 def entry_segments(entries: DataFrame, floor: float) -> DataFrame:
@@ -94,18 +93,14 @@ def entry_segments(entries: DataFrame, floor: float) -> DataFrame:
     ``entries`` has distinct ``entry`` texts with their ``marks``. Which segments are kept is
     free; the rarest ones among these entries meet the fewest texts.
     """
-    m = F.length("entry")
-    of, kept = _segments(m, floor)
-    each = entries.select("entry", "marks", m.alias("m"), of.alias("__of"), kept.alias("__kept")).withColumn("__i", F.explode(F.sequence(F.lit(0), F.col("__of") - 1)))
-    start = _start(F.col("__i"), F.col("m"), F.col("__of"))
-    size = _start(F.col("__i") + 1, F.col("m"), F.col("__of")) - start
-    piece = F.col("entry").substr(start + 1, size)
-    keyed = each.select("entry", "marks", "m", "__kept", _key(floor, F.col("m"), F.col("__i"), piece).alias("key"))
-    common = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("__df"))
+    each = entries.selectExpr("entry", "marks", "length(entry) AS m").selectExpr("*", f"{_cut('m', floor)} AS of", f"{_kept('m', floor)} AS kept")
+    each = each.selectExpr("*", "explode(sequence(0, of - 1)) AS i")
+    piece = f"substr(entry, {_start('i')} + 1, {_start('(i + 1)')} - {_start('i')})"
+    keyed = each.selectExpr("entry", "marks", "m", "kept", f"xxhash64(double({floor}), m, i, {piece}) AS key")
+    common = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("df"))
     # an entry has few segments, so they fit one array
-    ordered = F.sort_array(F.collect_list(F.struct("__df", "key")))
-    own = keyed.join(common, "key").groupBy("entry", "marks", "m", "__kept").agg(ordered.alias("__s"))
-    return own.select(F.explode(F.slice("__s", F.lit(1), F.col("__kept"))["key"]).alias("key"), "entry", "m", "marks")
+    own = keyed.join(common.hint("merge"), "key").groupBy("entry", "marks", "m", "kept").agg(F.expr("sort_array(collect_list(struct(df, key))) AS s"))
+    return own.selectExpr("explode(slice(s, 1, kept).key) AS key", "entry", "m", "marks")
 
 
 def asked_segments(texts: DataFrame, floor: float) -> DataFrame:
@@ -114,29 +109,25 @@ def asked_segments(texts: DataFrame, floor: float) -> DataFrame:
     With ``d`` edits in all, of which ``n - m`` only change the length, what stands before a
     segment moves it by half the others at most.
     """
-    n = F.length("query")
-    lengths = F.sequence(F.greatest(F.ceil(F.lit(floor) * n - _EPS), F.lit(1)).cast("int"), F.floor(n / F.lit(floor) + _EPS).cast("int"))
-    each = texts.select("query", "marks", n.alias("n"), F.explode(lengths).alias("m"))
-    m, n = F.col("m"), F.col("n")
-    each = each.withColumn("__d", most_edits(n, m, floor).cast("int")).withColumn("__of", _segments(m, floor)[0])
-    each = each.withColumn("__i", F.explode(F.sequence(F.lit(0), F.col("__of") - 1)))
-    at = _start(F.col("__i"), m, F.col("__of"))
-    each = each.withColumn("__size", _start(F.col("__i") + 1, m, F.col("__of")) - at)
-    low = F.greatest(at - F.floor((F.col("__d") - n + m) / 2), F.lit(0)).cast("int")
-    high = F.least(at + F.floor((F.col("__d") + n - m) / 2), n - F.col("__size")).cast("int")
-    each = each.withColumn("__low", low).withColumn("__high", high).filter("__low <= __high")
-    each = each.withColumn("__at", F.explode(F.sequence(F.col("__low"), F.col("__high"))))
-    piece = F.col("query").substr(F.col("__at") + 1, F.col("__size"))
-    return each.select(_key(floor, m, F.col("__i"), piece).alias("key"), "query", "n", "marks")
+    lengths = f"sequence(int(greatest(ceil(double({floor}) * length(query) - {_EPS}), 1)), int(floor(length(query) / double({floor}) + {_EPS})))"
+    each = texts.selectExpr("query", "marks", "length(query) AS n", f"explode({lengths}) AS m")
+    each = each.selectExpr("*", f"{most_edits('n', 'm', floor)} AS d", f"{_cut('m', floor)} AS of")
+    each = each.selectExpr("*", "explode(sequence(0, of - 1)) AS i")
+    each = each.selectExpr("*", f"{_start('i')} AS at", f"{_start('(i + 1)')} - {_start('i')} AS size")
+    low, high = "greatest(at - (d - n + m) div 2, 0)", "least(at + (d + n - m) div 2, n - size)"
+    each = each.selectExpr("query", "marks", "n", "m", "i", "size", f"int({low}) AS low", f"int({high}) AS high").filter("low <= high")
+    each = each.selectExpr("query", "marks", "n", "m", "i", "size", "explode(sequence(low, high)) AS at")
+    return each.selectExpr(f"xxhash64(double({floor}), m, i, substr(query, at + 1, size)) AS key", "query", "n", "marks")
 
 
 def met_pairs(texts: DataFrame, segments: DataFrame, floor: float) -> DataFrame:
     """(query, entry) that share a segment and may have a ratio of ``floor``, as far as bits and lengths tell."""
     q, e = asked_segments(texts, floor).alias("q"), segments.alias("e")
-    allowed = most_edits(F.col("q.n"), F.col("e.m"), floor)
-    may = (F.col("q.key") == F.col("e.key")) & (F.abs(F.col("q.n") - F.col("e.m")) <= allowed)
-    may = may & (fewest_edits(F.col("q.marks"), F.col("e.marks")) <= allowed)
-    return q.join(e, may).select("query", "entry").distinct()
+    may = F.expr("q.key = e.key AND " + _may_be_near("q.n", "e.m", "q.marks", "e.marks", floor))
+    # pairs are few bytes but much work to rate, so they are dealt over all tasks
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the size of a file says little about what its texts ask for: never broadcast that
+    return q.join(e.hint("merge"), may).select("query", "entry").repartition(tasks, "query", "entry").distinct()
 
 
 def edit_pairs(queries: DataFrame, entries: DataFrame, floor: float) -> DataFrame:
@@ -148,11 +139,14 @@ def edit_pairs(queries: DataFrame, entries: DataFrame, floor: float) -> DataFram
 
 
 def _with_marks(texts: DataFrame, column: str) -> DataFrame:
-    return texts.select(column).filter(F.length(column) > 0).distinct().withColumn("marks", marks(F.col(column)))
+    return texts.select(column).filter(F.length(column) > 0).distinct().withColumn("marks", marks(column))
 
 
-def _rated(pairs: DataFrame, floor: float | Column) -> DataFrame:
-    return pairs.withColumn("ratio", edit_ratio(F.col("query"), F.col("entry"))).filter(F.col("ratio") >= floor)
+def _rated(pairs: DataFrame, floor: float | str) -> DataFrame:
+    """The ratio of each pair that reaches ``floor``; the distance is only followed as far as that allows."""
+    longer = "greatest(length(query), length(entry))"
+    near = pairs.selectExpr("*", f"levenshtein(query, entry, {most_edits(longer, longer, floor)} + 1) AS edits").filter("edits >= 0")
+    return near.selectExpr("*", f"round(1 - edits / {longer}, 12) AS ratio").filter(f"ratio >= double({floor})").drop("edits")
 
 
 # --- the index --------------------------------------------------------------------------
@@ -161,16 +155,31 @@ def _rated(pairs: DataFrame, floor: float | Column) -> DataFrame:
 @dataclass(frozen=True)
 class EntryIndex:
     """``entries`` has (entry, match, marks): match keys with the smallest text of each.
-    ``segments`` has a table of kept segments for each ratio, the asked-for one last."""
+    ``segments`` has the kept segments by ``floor``, for each ratio of ``floors``; ``grams`` the
+    3-grams that occur in entries."""
 
     cut: float
+    floors: tuple[float, ...]
     entries: DataFrame
-    segments: tuple[tuple[float, DataFrame], ...]
+    segments: DataFrame
+    grams: DataFrame
+
+    def at(self, floor: float) -> DataFrame:
+        return self.segments.filter(F.col("floor") == floor).drop("floor")
 
 
 def _keyed_entries(entries: DataFrame, column: str) -> DataFrame:
     texts = entries.select(F.col(column).alias("match")).distinct().withColumn("entry", match_key(F.col("match")))
-    return texts.filter(F.length("entry") > 0).groupBy("entry").agg(F.min("match").alias("match")).withColumn("marks", marks(F.col("entry")))
+    return texts.filter(F.length("entry") > 0).groupBy("entry").agg(F.min("match").alias("match")).withColumn("marks", marks("entry"))
+
+
+def _all_segments(entries: DataFrame, floors: Sequence[float]) -> DataFrame:
+    each = [entry_segments(entries, f).withColumn("floor", F.lit(f)) for f in floors]
+    return materialise(reduce(DataFrame.unionByName, each), "edit-segments")
+
+
+def _entry_grams(entries: DataFrame) -> DataFrame:
+    return materialise(entries.select(F.explode(padded_grams(F.col("entry"), GRAM_SIZES[0])).alias("gram")).distinct(), "edit-grams")
 
 
 def index_entries(entries: DataFrame, column: str, cut: float) -> EntryIndex:
@@ -178,8 +187,8 @@ def index_entries(entries: DataFrame, column: str, cut: float) -> EntryIndex:
     if 2 * cut - 1 <= 0:
         raise ValueError("a cut of 0.5 or less matches anything that shares one gram")
     held = materialise(_keyed_entries(entries, column), "edit-entries")
-    floors = [*(f for f in NEARER if f > cut), cut]
-    return EntryIndex(cut, held, tuple((f, materialise(entry_segments(held, f), "edit-segments")) for f in floors))
+    floors = (*(f for f in NEARER if f > cut + 0.05), cut)
+    return EntryIndex(cut, floors, held, _all_segments(held, floors), _entry_grams(held))
 
 
 def extend_index(index: EntryIndex, entries: DataFrame, column: str) -> EntryIndex:
@@ -188,8 +197,12 @@ def extend_index(index: EntryIndex, entries: DataFrame, column: str) -> EntryInd
     more = materialise(_keyed_entries(entries, column), "edit-entries")
     new = more.join(index.entries, "entry", "left_anti")
     both = index.entries.unionByName(more).groupBy("entry").agg(F.min("match").alias("match"), F.first("marks").alias("marks"))
-    segments = tuple((f, s.unionByName(materialise(entry_segments(new, f), "edit-segments"))) for f, s in index.segments)
-    return replace(index, entries=materialise(both, "edit-entries"), segments=segments)
+    return replace(
+        index,
+        entries=materialise(both, "edit-entries"),
+        segments=index.segments.unionByName(_all_segments(new, index.floors)),
+        grams=index.grams.unionByName(_entry_grams(new)),
+    )
 
 
 # --- the best entry -----------------------------------------------------------------------
@@ -206,19 +219,10 @@ def _share_a_gram(size: int) -> Column:
     return F.arrays_overlap(padded_grams(F.col("query"), size), padded_grams(F.col("entry"), size))
 
 
-def _valid(pairs: DataFrame, entries: DataFrame) -> DataFrame:
-    """Pairs that share a 3-gram, or a 2-gram where the query's 3-grams occur in no entry."""
+def _valid(pairs: DataFrame) -> DataFrame:
+    """Pairs that share a 3-gram, or a 2-gram where the query's 3-grams occur in no entry (``strange``)."""
     wide, narrow = GRAM_SIZES
-    judged = pairs.withColumn("__wide", _share_a_gram(wide))
-    other = judged.filter(~F.col("__wide")).filter(_share_a_gram(narrow))
-    known = _known(other.select("query").distinct(), entries)
-    return judged.filter("__wide").unionByName(other.join(known, "query", "left_anti")).drop("__wide")
-
-
-def _known(queries: DataFrame, entries: DataFrame) -> DataFrame:
-    """Queries with a 3-gram that some entry has."""
-    grams = lambda df, c: df.select(*([c] if c == "query" else []), F.explode(F.array_distinct(padded_grams(F.col(c), GRAM_SIZES[0]))).alias("gram"))
-    return grams(queries, "query").join(grams(entries, "entry").distinct(), "gram", "left_semi").select("query").distinct()
+    return pairs.filter(_share_a_gram(wide) | (F.col("strange") & _share_a_gram(narrow)))
 
 
 def _best(pairs: DataFrame) -> DataFrame:
@@ -232,22 +236,16 @@ def _by_bonus(todo: DataFrame, index: EntryIndex) -> DataFrame:
     least: only pairs at that ratio are rated. What shares a gram meets in a join on it.
     """
     floor = 2 * index.cut - 1
-    inside = containment_pairs(todo, "query", index.entries, "entry").filter(F.length("query") >= F.lit(floor) * F.length("entry") - _EPS)
-    shortest = _valid(inside, index.entries).groupBy("query").agg(F.min(F.length("entry")).alias("__m"))
-    least = F.round(F.length("query") / F.col("__m"), 12)
-    asked = materialise(todo.join(shortest, "query").select("query", "marks", least.alias("least")), "edit-inside")
-    if asked.isEmpty():
-        return asked.select("query", F.col("query").alias("entry"), "least").withColumnRenamed("least", "ratio")
-    known = _known(asked.select("query"), index.entries)
+    inside = containment_pairs(todo, "query", index.entries, "entry").filter(f"length(query) >= double({floor}) * length(entry) - {_EPS}")
+    shortest = _valid(inside.join(todo, "query")).groupBy("query", "marks", "strange").agg(F.min(F.length("entry")).alias("m"))
+    asked = materialise(shortest.selectExpr("query", "marks", "strange", "round(length(query) / m, 12) AS least"), "edit-inside")
     parts = []
-    for size, some in ((GRAM_SIZES[0], asked.join(known, "query", "left_semi")), (GRAM_SIZES[1], asked.join(known, "query", "left_anti"))):
-        q = some.withColumn("gram", F.explode(F.array_distinct(padded_grams(F.col("query"), size)))).alias("q")
+    for size, some in zip(GRAM_SIZES, (~F.col("strange"), F.col("strange")), strict=True):
+        q = asked.filter(some).withColumn("gram", F.explode(F.array_distinct(padded_grams(F.col("query"), size)))).alias("q")
         e = index.entries.select("entry", "marks", F.explode(F.array_distinct(padded_grams(F.col("entry"), size))).alias("gram")).alias("e")
-        allowed = most_edits(F.length("query"), F.length("entry"), F.col("least"))
-        may = (F.col("q.gram") == F.col("e.gram")) & (F.abs(F.length("query") - F.length("entry")) <= allowed)
-        may = may & (fewest_edits(F.col("q.marks"), F.col("e.marks")) <= allowed)
-        parts.append(q.join(e, may).select("query", "entry", "least").distinct())
-    return _best(_rated(parts[0].unionByName(parts[1]), F.col("least")))
+        may = F.expr("q.gram = e.gram AND " + _may_be_near("length(query)", "length(entry)", "q.marks", "e.marks", "least"))
+        parts.append(q.join(e.hint("merge"), may).select("query", "entry", "least"))
+    return _best(_rated(parts[0].unionByName(parts[1]).distinct(), "least"))
 
 
 def search(index: EntryIndex, queries: DataFrame, column: str) -> DataFrame:
@@ -258,23 +256,23 @@ def search(index: EntryIndex, queries: DataFrame, column: str) -> DataFrame:
     At last come queries that are part of an entry: only they can reach the cut by the bonus.
     """
     texts = queries.select(F.col(column)).distinct().withColumn("query", match_key(F.col(column))).filter(F.length("query") > 0)
-    texts = materialise(texts.withColumn("marks", marks(F.col("query"))), "edit-queries")
-    todo = texts.select("query", "marks").dropDuplicates(["query"])
-    equal = todo.join(index.entries.select("entry"), F.col("query") == F.col("entry"), "left_semi")
-    found = [equal.select("query", F.col("query").alias("entry"), F.lit(1.0).alias("ratio"))]
-    todo = todo.join(index.entries.select("entry"), F.col("query") == F.col("entry"), "left_anti")
-    for floor, segments in index.segments:
-        pairs = _rated(met_pairs(todo, segments, floor), floor)
-        best = materialise(_best(_valid(pairs, index.entries)), "edit-best")
+    grams = texts.select("query", F.explode(padded_grams(F.col("query"), GRAM_SIZES[0])).alias("gram")).distinct()
+    known = grams.join(index.grams, "gram", "left_semi").select("query").distinct().withColumn("known", F.lit(True))
+    asked = texts.join(known, "query", "left").select(column, "query", marks("query").alias("marks"), F.col("known").isNull().alias("strange"))
+    asked = materialise(asked, "edit-queries")
+    todo = asked.select("query", "marks", "strange").dropDuplicates(["query"])
+    same = F.col("query") == F.col("entry")
+    found = [todo.join(index.entries.select("entry"), same).select("query", "entry", F.lit(1.0).alias("ratio"))]
+    todo = todo.join(index.entries.select("entry"), same, "left_anti")
+    for floor in index.floors:
+        pairs = _rated(met_pairs(todo, index.at(floor), floor), floor).join(todo.select("query", "strange"), "query")
+        best = materialise(_best(_valid(pairs)), "edit-best")
         found.append(best)
         todo = todo.join(best.select("query"), "query", "left_anti")
     found.append(_by_bonus(todo, index))
-    union = found[0]
-    for part in found[1:]:
-        union = union.unionByName(part)
     score = F.col("ratio") + substring_bonus(F.col("query"), F.col("entry"), F.col("ratio"))
-    scored = union.join(index.entries.select("entry", "match"), "entry").withColumn("score", score).filter(F.col("score") >= index.cut)
-    return scored.join(texts.select(column, "query"), "query").select(column, "match", "score")
+    scored = reduce(DataFrame.unionByName, found).join(index.entries.select("entry", "match"), "entry").withColumn("score", score)
+    return scored.filter(F.col("score") >= index.cut).join(asked.select(column, "query"), "query").select(column, "match", "score")
 
 
 def fuzzy_best(queries: DataFrame, query_col: str, entries: DataFrame, entry_col: str, cut: float) -> DataFrame:

@@ -59,8 +59,8 @@ def test_edit_pairs_lose_nothing(spark):
 def test_bits_bound_the_edits(spark):
     rng = random.Random(3)
     pairs = [(a, "".join(rng.choice(["", c, c, c, c + "x", "é", "😀"]) for c in a)) for a in words(20, 200, "aab😀", 1, 30)]
-    df = spark.createDataFrame(pairs, "a string, b string").withColumns({"ma": editjoin.marks(F.col("a")), "mb": editjoin.marks(F.col("b"))})
-    for r in df.select("a", "b", editjoin.fewest_edits(F.col("ma"), F.col("mb")).alias("least")).collect():
+    df = spark.createDataFrame(pairs, "a string, b string").withColumns({"ma": editjoin.marks("a"), "mb": editjoin.marks("b")})
+    for r in df.selectExpr("a", "b", editjoin.fewest_edits("ma", "mb") + " AS least").collect():
         assert r.least <= edit_distance(r.a, r.b)
 
 
@@ -71,8 +71,8 @@ def test_few_pairs_meet(spark):
     todo = editjoin._with_marks(pages.filter(F.col("url").startswith("https")).select(key.alias("query")), "query").cache()
     index = index_entries(pages.filter(F.col("url").startswith("http:")), "url", 0.75)
     every, met = todo.count() * index.entries.count(), 0
-    for floor, segments in index.segments:
-        pairs = editjoin.met_pairs(todo, segments, floor).cache()
+    for floor in index.floors:
+        pairs = editjoin.met_pairs(todo, index.at(floor), floor).cache()
         met += pairs.count()
         todo = todo.join(editjoin._rated(pairs, floor).select("query").distinct(), "query", "left_anti").cache()
     assert met < 0.05 * every and todo.count() < 20
@@ -84,7 +84,7 @@ def test_an_index_takes_more_entries(spark):
     grown = extend_index(index_entries(column(spark, right[::2], "e"), "e", 0.75), column(spark, right[1::2] + right[:9], "e"), "e")
     asked = column(spark, left, "q")
     assert rows(search(grown, asked, "q")) == rows(search(whole, asked, "q"))
-    held = {r.entry: r.n for r in grown.segments[-1][1].groupBy("entry").agg(F.count(F.lit(1)).alias("n")).collect()}
+    held = {r.entry: r.n for r in grown.at(0.75).groupBy("entry").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert sorted(held) == right and all(n <= len(t) for t, n in held.items())
 
 
