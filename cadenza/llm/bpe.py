@@ -1,11 +1,12 @@
 """Byte-level BPE over a corpus: every distinct word is merged once.
 
-Documents are cut into blocks of some megabytes. A block explodes into its distinct
-pre-tokens, numbered by how often they occur, and its documents' sequences of those numbers,
-which are the positions. The words of all blocks meet in one shuffle, by ranges of their
-hashes; there each distinct word is encoded once, and its ids go back to every block that
-holds it, where the documents are put together by position. Words, ids and sequences travel
-as compressed runs, one for a block and range. Decoding joins ids with the token-byte table.
+Documents are cut into blocks of some megabytes, the same ones in every scan. A block
+explodes into its distinct pre-tokens, numbered as they first occur, and its documents'
+sequences of those numbers, which are the positions. The words of all blocks meet in one
+shuffle, by ranges of their hashes; there each distinct word is encoded once, and its ids go
+back to every block that holds it, where the documents are put together by position. Words,
+ids and sequences travel as compressed runs, one for a block and range, and none of them is
+kept: words and sequences are cut in a scan each. Decoding joins ids with the token-byte table.
 """
 
 from __future__ import annotations
@@ -24,13 +25,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from cadenza.llm.common import stored, text_or_empty
+from cadenza.llm.common import text_or_empty
 
 BLOCK_BYTES = 24 << 20
-#: Ranges of word hashes: one task holds the distinct words of some of them at a time. Give
-#: more for more blocks; a range should stay below some hundred megabytes.
-RANGES = 256
+#: Text of a range of word hashes on average, the least and the most ranges: a block has a run of
+#: words for each, so there are to be fewer ranges than a block has words.
+RANGE_BYTES, LEAST_RANGES, MOST_RANGES = 64 << 20, 64, 1 << 13
+#: Words that a task remembers at a time; it starts anew beyond that, so its memory has a bound.
+KNOWN_WORDS = 1 << 21
 #: Tokens decoded at a time.
 DECODE_TOKENS = 1 << 18
 
@@ -92,10 +96,11 @@ def _split_words(packed: bytes) -> list[bytes]:
     return [data[a:b] for a, b in zip([4 + 4 * n, *ends[:-1].tolist()], ends.tolist())]
 
 
-def _blocks(id_type: T.DataType, pattern: str, ranges: int):
-    from pyspark.sql.pandas.types import to_arrow_type
+def _blocks(schema: pa.Schema, pattern: str, content):
+    """Cut a task's rows into blocks of whole documents; ``content`` makes the rows of each.
 
-    schema = pa.schema([("block", pa.int64()), ("number", pa.int32()), ("id", to_arrow_type(id_type)), ("words", pa.binary()), ("codes", pa.binary())])
+    A block is told by its task and its place there: scans of the same table cut alike.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
@@ -112,68 +117,65 @@ def _blocks(id_type: T.DataType, pattern: str, ranges: int):
                     size += int(sizes[to - 1]) - before
                 at = to
                 if at < batch.num_rows:
-                    yield from one_block(part + block, held, find)
+                    yield pa.RecordBatch.from_arrays(content(part + block, held, find), schema=schema)
                     held, size, block = [], 0, block + 1
         if held:
-            yield from one_block(part + block, held, find)
-
-    def one_block(block: int, rows: list[pa.RecordBatch], find) -> Iterator[pa.RecordBatch]:
-        numbers: dict[str, int] = defaultdict()
-        numbers.default_factory = numbers.__len__
-        texts = (t.as_py() or "" for r in rows for t in r.column(1))
-        sequences = [np.fromiter(map(numbers.__getitem__, find(t)), np.uint32) for t in texts]
-        words = [w.encode() for w in numbers]
+            yield pa.RecordBatch.from_arrays(content(part + block, held, find), schema=schema)
+
+    return cut
+
+
+def _block_sequences(block: int, rows: list[pa.RecordBatch], find) -> list[pa.Array]:
+    """The documents of a block, each as the numbers of its words."""
+    numbers: dict[str, int] = defaultdict()
+    numbers.default_factory = numbers.__len__
+    codes = [_planes(np.fromiter(map(numbers.__getitem__, find(t.as_py())), np.uint32)) for r in rows for t in r.column(1)]
+    return [pa.array(np.full(len(codes), block)), pa.concat_arrays([r.column(0) for r in rows]), pa.array(codes, pa.binary())]
+
+
+def _block_words(ranges: int):
+    def runs(block: int, rows: list[pa.RecordBatch], find) -> list[pa.Array]:
+        """The distinct words of a block and their numbers, a run for each range of hashes."""
+        seen: dict[str, None] = {}
+        for r in rows:
+            for t in r.column(1):
+                seen.update(dict.fromkeys(find(t.as_py())))
+        words = [w.encode() for w in seen]
         hashed = np.array([zlib.crc32(w) % ranges for w in words], np.int64)
-        often = np.bincount(np.concatenate([np.zeros(0, np.uint32), *sequences]), minlength=len(words))
-        rank = np.empty(len(words), np.uint32)
-        rank[np.argsort(-often, kind="stable")] = np.arange(len(words), dtype=np.uint32)
-        ids = pa.concat_arrays([r.column(0) for r in rows])
-        n = len(sequences)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(n, block)),
-                pa.array(np.arange(n, dtype=np.int32)),
-                ids,
-                pa.nulls(n, pa.binary()),
-                pa.array([_planes(rank[s]) for s in sequences], pa.binary()),
-            ],
-            schema=schema,
-        )
         order = np.argsort(hashed, kind="stable")
         at = np.searchsorted(hashed[order], np.arange(ranges + 1))
         some = [k for k in range(ranges) if at[k + 1] > at[k]]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(len(some), block)),
-                pa.array(some, pa.int32()),
-                pa.nulls(len(some), schema.field("id").type),
-                pa.array([_join_words([words[i] for i in order[at[k] : at[k + 1]]]) for k in some], pa.binary()),
-                pa.array([_planes(rank[order[at[k] : at[k + 1]]]) for k in some], pa.binary()),
-            ],
-            schema=schema,
-        )
+        return [
+            pa.array(np.full(len(some), block)),
+            pa.array(some, pa.int32()),
+            pa.array([_join_words([words[i] for i in order[at[k] : at[k + 1]]]) for k in some], pa.binary()),
+            pa.array([_planes(order[at[k] : at[k + 1]]) for k in some], pa.binary()),
+        ]
 
-    return cut
+    return runs
 
 
 def encode(
-    docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", ranges: int = RANGES
+    docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", ranges: int | None = None
 ) -> DataFrame:
     """One row per document: ``id`` and ``ids``, the token ids of its whole text.
 
     ``pattern`` cuts the text into pre-tokens, each is encoded by itself and there are no
-    special tokens. Null and empty texts have no ids. Rows that repeat an id come out as
-    often. An empty table gives an empty table. ``vocabulary`` must be readable at that path
-    on every executor.
+    special tokens. Null and empty texts have no ids. Rows that repeat an id or a text come
+    out as often, null ids too; further columns are not read. An empty table gives an empty
+    table. ``vocabulary`` must be readable at that path on every executor. ``ranges`` follows
+    the bytes of the texts unless given.
     """
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    id_type = rows.schema["id"].dataType
-    shape = T.StructType().add("block", "long").add("number", "integer").add("id", id_type).add("words", "binary").add("codes", "binary")
-    blocks = stored(rows.mapInArrow(_blocks(id_type, pattern, ranges), shape), "bpe-blocks")
-    sequences = blocks.filter(F.col("words").isNull()).select(F.col("block").alias("of"), F.col("number").alias("place"), "id", "codes")
-    uses = blocks.filter(F.col("words").isNotNull()).select(F.col("block").alias("part"), F.col("number").alias("range"), "words", "codes")
+    if ranges is None:
+        total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+        ranges = min(max(total // RANGE_BYTES, LEAST_RANGES), MOST_RANGES)
+    held = T.StructType().add("of", "long").add("id", rows.schema["id"].dataType).add("codes", "binary")
+    used = T.StructType().add("part", "long").add("range", "integer").add("words", "binary").add("codes", "binary")
+    sequences = rows.mapInArrow(_blocks(to_arrow_schema(held), pattern, _block_sequences), held)
+    uses = rows.mapInArrow(_blocks(to_arrow_schema(used), pattern, _block_words(ranges)), used)
     back = uses.repartition("range").sortWithinPartitions("range").mapInArrow(_encoder(vocabulary), "part long, codes binary, ids binary")
-    out = T.StructType().add("id", id_type).add("ids", T.ArrayType(T.IntegerType()))
+    out = T.StructType().add("id", rows.schema["id"].dataType).add("ids", T.ArrayType(T.IntegerType()))
     return sequences.groupBy("of").cogroup(back.groupBy("part")).applyInArrow(_assemble, out)
 
 
@@ -190,6 +192,8 @@ def _encoder(vocabulary: str):
                 ids, sizes = [], []
                 for word in _split_words(batch.column(2)[i].as_py()):
                     if (found := known.get(word)) is None:
+                        if len(known) >= KNOWN_WORDS:
+                            known.clear()
                         found = known[word] = merge_word(word, ranks)
                     ids += found
                     sizes.append(len(found))
@@ -242,8 +246,6 @@ def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFra
     The token-byte table has as many rows as the vocabulary, so each task holds it and joins
     by position. Null ids decode to no bytes; an id outside the table is an error.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     shape = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
     schema = to_arrow_schema(shape)
     at = encoded.columns.index(ids_col)

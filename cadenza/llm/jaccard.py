@@ -213,7 +213,10 @@ def _unlike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs of texts whose sets are similar; equal texts on the left follow each other."""
+    """The pairs of texts whose sets are similar; equal texts on the left follow each other.
+
+    What the hashes of shingles call similar is compared word by word.
+    """
     last, own = None, None
     for batch in batches:
         keep = np.zeros(batch.num_rows, bool)
@@ -221,8 +224,7 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if u != last:
                 last, own = u, _set_of(a.as_py())
             other = _set_of(b.as_py())
-            both = len(np.intersect1d(own, other, assume_unique=True))
-            keep[i] = 100 * both >= 75 * (len(own) + len(other) - both)
+            keep[i] = _linked(own, other) and _alike(a.as_py(), b.as_py())
         yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(keep)) for k in (0, 1)], ["u", "v"])
 
 
@@ -231,6 +233,28 @@ def _set_of(text: str) -> np.ndarray:
     return shingle_sets(data, np.array([0, len(data)]), SHINGLE)[0]
 
 
+def _linked(a: np.ndarray, b: np.ndarray) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= 75 * (len(a) + len(b) - both)
+
+
+def _alike(a: str, b: str) -> bool:
+    """Whether two texts link. Words are numbered as they are, so no hash takes part."""
+    numbers: dict[bytes, int] = {}
+    sets = []
+    for text in (a, b):
+        words = np.fromiter((numbers.setdefault(w, len(numbers)) for w in text.encode().lower().translate(_BLANKS).split(b" ") if w), np.int32)
+        if len(words) < SHINGLE:
+            words = np.concatenate([words, np.full(SHINGLE - len(words), -1, np.int32)])
+        shingles = np.lib.stride_tricks.sliding_window_view(words, SHINGLE)
+        sets.append(np.unique(np.ascontiguousarray(shingles).view(f"V{4 * SHINGLE}").ravel()))
+    return _linked(*sets)
+
+
+#: ASCII white space as blanks.
+_BLANKS = bytes(32 if 9 <= b <= 13 else b for b in range(256))
+
+
 def _plausible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     a, b = (sketches.select(F.col("node").alias(c), F.col("n_shingles").alias(f"{c}_n"), F.col("sketch").alias(f"{c}_s")) for c in "uv")
     fits = 4 * F.least("u_n", "v_n") >= 3 * F.greatest("u_n", "v_n")

@@ -21,18 +21,29 @@ RATIOS = ("symbols", "dup_lines", "repeats", "word_length")
 
 
 @dataclass(frozen=True)
-class Fences:
-    """Limits from quartiles: ``q3 + width * (q3 - q1)``, at least ``slack`` beyond ``q3``.
+class Fence:
+    """A limit from the sketch of a ratio: ``high + width * (high - low)``, both quantiles.
 
-    Word length has a lower limit too. A group with fewer than ``min_rows`` rows takes the
-    limits of its language, a small language those of the corpus.
+    Where they are equal, so that the sketch tells no spread, it is ``high + slack``. A
+    ``lower`` fence lies as far below ``low``.
     """
 
-    width: float = 3.0
-    symbols: float = 0.25
-    dup_lines: float = 0.5
-    repeats: float = 0.35
-    word_length: float = 2.0
+    low: float
+    high: float
+    width: float
+    slack: float
+    lower: bool = False
+
+
+@dataclass(frozen=True)
+class Fences:
+    """The fences of the four ratios. A group with fewer than ``min_rows`` rows that pass the
+    base rule takes the limits of its language, a small language those of the corpus."""
+
+    symbols: Fence = Fence(0.5, 0.9, 3.0, 0.25)
+    dup_lines: Fence = Fence(0.5, 0.98, 2.0, 0.5)
+    repeats: Fence = Fence(0.5, 0.95, 8.0, 0.35)
+    word_length: Fence = Fence(0.25, 0.75, 4.5, 2.0, lower=True)
     min_rows: int = 200
     sketch_k: int = 200
 
@@ -94,13 +105,22 @@ def ratios() -> dict[str, Column]:
     }
 
 
+def base_failed() -> Column:
+    """Under 50 words, or over half of the words in repeated three-word windows."""
+    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+
+
 def limits(measured: DataFrame, lang_col: str, source_col: str, fences: Fences) -> DataFrame:
-    """One row per language and source with its limits."""
+    """One row per language and source with its limits, and for each ratio whether a spread
+    in its sketch decided (``by_sketch_...``) or the slack.
+
+    The sketches hold the rows that pass the base rule; a group without any has the limits
+    of its language or of the corpus, and no limits where nothing passes.
+    """
     k = F.lit(fences.sketch_k)
-    values = ratios()
-    per_group = measured.groupBy(lang_col, source_col).agg(
-        F.count(F.lit(1)).alias("rows"), *[F.kll_sketch_agg_double(values[r], k).alias(r) for r in RATIOS]
-    )
+    passed, values = ~base_failed(), ratios()
+    sketch = lambda r: F.kll_sketch_agg_double(F.when(passed, values[r]), k).alias(r)
+    per_group = measured.groupBy(lang_col, source_col).agg(F.count(F.when(passed, 1)).alias("rows"), *[sketch(r) for r in RATIOS])
     merged = lambda prefix: [F.kll_merge_agg_double(r, k).alias(f"{prefix}_{r}") for r in RATIOS]
     per_lang = per_group.groupBy(F.col(lang_col).alias("__lang")).agg(F.sum("rows").alias("lang_rows"), *merged("lang"))
     corpus = per_group.agg(*merged("all")).first()  # four sketches of a few kilobytes
@@ -108,18 +128,18 @@ def limits(measured: DataFrame, lang_col: str, source_col: str, fences: Fences)
     g = g.withColumns({f"all_{r}": F.lit(corpus[f"all_{r}"]) for r in RATIOS})
     out = [F.col(lang_col), F.col(source_col)]
     for r in RATIOS:
-        sketch = (
+        chosen = (
             F.when(F.col("rows") >= fences.min_rows, F.col(r))
             .when(F.col("lang_rows") >= fences.min_rows, F.col(f"lang_{r}"))
             .otherwise(F.col(f"all_{r}"))
         )
-        g = g.withColumn(f"__s_{r}", sketch)
+        g, fence = g.withColumn(f"__s_{r}", chosen), getattr(fences, r)
         some = F.kll_sketch_get_n_double(f"__s_{r}") > 0
-        q1, q3 = (F.when(some, F.kll_sketch_get_quantile_double(f"__s_{r}", F.lit(q))) for q in (0.25, 0.75))
-        reach = F.greatest(fences.width * (q3 - q1), F.lit(getattr(fences, r)))
-        out.append((q3 + reach).alias(f"max_{r}"))
-        if r == "word_length":
-            out.append((q1 - reach).alias(f"min_{r}"))
+        low, high = (F.when(some, F.kll_sketch_get_quantile_double(f"__s_{r}", F.lit(q))) for q in (fence.low, fence.high))
+        reach = F.when(high > low, fence.width * (high - low)).otherwise(F.lit(fence.slack))
+        out += [(high + reach).alias(f"max_{r}"), (high > low).alias(f"by_sketch_{r}")]
+        if fence.lower:
+            out.append((low - reach).alias(f"min_{r}"))
     return g.select(*out)
 
 
@@ -136,7 +156,7 @@ def quality_rules(
 
     The base rule rejects under 50 words, or over half of the words in repeated three-word
     windows. What passes is rejected where one of its ratios lies beyond the limits of its
-    language and source. Null languages and sources are groups like any other; a text
+    language and source, which follow the quantiles of the rows that pass there. Null languages and sources are groups like any other; a text
     without words fails the base rule. Rows that repeat count as often as they occur. An
     empty table gives an empty table.
     """
@@ -148,8 +168,7 @@ def quality_rules(
     bounds = limits(measured, "__l", "__s", fences).select(
         F.col("__l").alias("__bl"), F.col("__s").alias("__bs"), *[f"max_{r}" for r in RATIOS], "min_word_length"
     )
-    # the lengths and rows of a group decide its limits, so they are taken where the base rule passes too
-    base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    base = base_failed()
     inside = F.lit(True)
     for r, value in ratios().items():
         inside = inside & F.coalesce(value <= F.col(f"max_{r}"), F.lit(True))

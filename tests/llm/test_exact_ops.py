@@ -1,11 +1,13 @@
 """Exact dedup, repeated strings, near copies, lines and rules against brute force."""
 
 import hashlib
+import os
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cadenza.llm import exact, jaccard, lines, rules, shards, suffixes
 from tests.llm.conftest import SCHEMA, as_rows
@@ -212,6 +214,18 @@ def test_rule_counts(docs, rows):
     assert not out.filter("kept and base_failed").count()
 
 
+def thue_morse(letters, n):
+    return "".join(letters[k.bit_count() & 1] for k in range(n))
+
+
+def test_words_made_to_collide_are_told_apart(spark):
+    """Thue-Morse words have the same value under any polynomial modulo a power of two."""
+    texts = [thue_morse("ab", 1024), thue_morse("ba", 1024), thue_morse("ab", 1024).upper(), "a b", "a  B"]
+    out = {r.id: r for r in jaccard.jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [out[i].component_id for i in range(5)] == [0, 1, 0, 3, 3]
+    assert jaccard._alike("x y z", "X\ty z") and not jaccard._alike(texts[0], texts[1]) and not jaccard._alike("a b c", "a b c d e")
+
+
 def test_rules_follow_their_group(spark):
     """A source whose documents all hold symbols has other limits than one without."""
     import random
@@ -232,6 +246,68 @@ def test_rules_follow_their_group(spark):
     assert all(v for k, v in kept.items() if k < 1000)
 
 
+def test_rules_against_exact_quantiles(spark):
+    """Groups that a sketch holds whole have the limits of their sorted ratios."""
+    import math
+    import random
+
+    from tests.llm.conftest import prose
+
+    rng = random.Random(12)
+    made = []
+    for i in range(360):
+        t = prose(rng, rng.choice([40, 60, 90, 200]))
+        if i % 9 == 0:
+            t = t.replace("the", "###")
+        if i % 11 == 0:
+            t += "\n" + "\n".join([prose(rng, 6)] * rng.randrange(2, 9))
+        if i % 13 == 0:
+            t = t.replace(" ", "longish ")
+        made.append((i, t, ["en", "de"][i % 2], f"s{i % 3}" if i % 30 else f"tiny{i}", len(t)))
+    fences = rules.Fences(min_rows=40)
+    out = {r.doc_id: r for r in rules.quality_rules(spark.createDataFrame(made, SCHEMA), fences=fences).collect()}
+
+    def ratios(r):
+        t = made[r.doc_id][1]
+        lines = sum(1 for x in t.split("\n") if WORD.search(x))
+        return r.n_symbols / r.n_words, r.n_dup_lines / lines, r.n_repeat_words / r.n_words, r.word_chars / r.n_words
+
+    def at(values, q):
+        return sorted(values)[max(0, math.ceil(q * len(values)) - 1)]
+
+    held = defaultdict(list)
+    for i, _, lang, source, _ in made:
+        if not out[i].base_failed:
+            for key_ in ((lang, source), lang, None):
+                held[key_].append(ratios(out[i]))
+    decided = 0
+    for i, _, lang, source, _ in made:
+        rows = next(held[k] for k in ((lang, source), lang, None) if len(held[k]) >= 40 or k is None)
+        inside = True
+        for value, name, column in zip(ratios(out[i]), rules.RATIOS, zip(*rows)):
+            f = getattr(fences, name)
+            low, high = at(column, f.low), at(column, f.high)
+            reach = f.width * (high - low) if high > low else f.slack
+            decided += high > low
+            inside &= value <= high + reach and (not f.lower or value >= low - reach)
+        assert out[i].kept == (inside and not out[i].base_failed)
+    assert decided > len(made) and 0 < sum(r.kept for r in out.values()) < sum(not r.base_failed for r in out.values())
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="needs the given tables")
+def test_sketches_decide_most_groups(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    measured = rules.measures(docs).cache()
+    bounds = rules.limits(measured, "lang", "source", rules.Fences()).collect()
+    large = {(r.lang, r.source) for r in measured.filter(~rules.base_failed()).groupBy("lang", "source").count().filter("count >= 200").collect()}
+    mine = [r for r in bounds if (r.lang, r.source) in large]
+    assert mine and all(2 * sum(r[f"by_sketch_{name}"] for r in mine) > len(mine) for name in ("dup_lines", "repeats", "word_length"))
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    judged = rules.quality_rules(docs).join(labels, "doc_id").filter("not base_failed")
+    share = {r.quality: r.kept for r in judged.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert share[1] > 0.98 and share[0] < 0.05
+
+
 def test_kd_shards(docs, rows):
     import zlib
 
