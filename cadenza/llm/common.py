@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.session import scratch_dir
@@ -22,9 +24,31 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    for paths in _listening:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_listening: list[list[str]] = []
+
+
+@contextmanager
+def listing(paths: list[str]) -> Iterator[None]:
+    """Adds to ``paths`` the folders of the tables that ``stored`` writes meanwhile."""
+    _listening.append(paths)
+    try:
+        yield
+    finally:
+        _listening.remove(paths)
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete these tables, which no later job may read: what was derived from them is written."""
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_or_empty(column: str = "text") -> Column:
     """The whole text, empty for null."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -97,7 +97,8 @@ def drop_boilerplate(
     without the white space around it; blank lines stay. Null texts stay null. Rows that
     repeat an id and a text lose the same lines, those that repeat an id with another
     text are told apart by their text; a null id comes first. Other columns pass through;
-    the input must not have ``n_removed_lines``. An empty table gives an empty table.
+    a column ``n_removed_lines`` of the input is replaced, all others keep their names. An
+    empty table gives an empty table.
     """
     tag = F.xxhash64(F.col(text_col))
     named = docs.select(F.col(id_col).alias("id"), tag.alias("tag"), F.col(text_col).alias("t"), F.col(site_col).alias("s"))
@@ -112,19 +113,17 @@ def drop_boilerplate(
         .groupBy(F.col("id").alias("__id"), F.col("tag").alias("__of"))
         .agg(F.array_sort(F.collect_set("place")).alias("__gone"))
     )
-    mark = docs.withColumn("__tag", tag)
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & F.col("__tag").eqNullSafe(F.col("__of"))
-    joined = mark.join(gone.hint("merge"), same, "left")
+    # a row travels as one struct, so that no name of its columns can clash
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "n_removed_lines"])
+    mark = docs.select(row.alias("row"), F.col(id_col).alias("id"), tag.alias("tag"))
+    same = F.col("id").eqNullSafe(F.col("__id")) & F.col("tag").eqNullSafe(F.col("__of"))
+    joined = mark.join(gone.hint("merge"), same, "left").withColumn("every", F.split(F.col("row")[text_col], "\n"))
     lost = F.coalesce("__gone", F.array().cast("array<int>"))
     # line 0 is item 1; a removed place is matched by its number, in one hashed set operation
-    every = F.split(F.col(text_col), "\n")
-    keep = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), lost)
-    text = F.when(F.size(lost) > 0, F.array_join(F.transform(keep, lambda i: F.get(F.col("__every"), i)), "\n"))
-    return (
-        joined.withColumn("__every", every)
-        .withColumn("__text", F.coalesce(text, F.col(text_col)))
-        .select(
-            *[(F.col("__text").alias(c) if c == text_col else F.col(f"`{c}`")) for c in docs.columns],
-            F.size(lost).cast("long").alias("n_removed_lines"),
-        )
+    keep = F.array_except(F.sequence(F.lit(0), F.size("every") - 1), lost)
+    old = F.col("row")[text_col]
+    text = F.when(F.size(lost) > 0, F.array_join(F.transform(keep, lambda i: F.get(F.col("every"), i)), "\n")).otherwise(old)
+    return joined.select(
+        *[(text if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns if c != "n_removed_lines"],
+        F.size(lost).cast("long").alias("n_removed_lines"),
     )

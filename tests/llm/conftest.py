@@ -80,7 +80,7 @@ def empty(spark):
 @pytest.fixture(scope="session")
 def crowded(docs):
     """With columns whose names operators use themselves."""
-    names = ["tag", "id", "node", "sig", "row", "size", "shard", "slot", "kept", "line", "word", "block", "rate", "copies", "rank"]
+    names = ["tag", "id", "node", "sig", "row", "size", "shard", "slot", "kept", "line", "word", "block", "rate", "copies", "rank", "n_removed_lines", "__tag", "__id", "__of", "__gone", "__every", "__text", "row", "every"]
     return docs.withColumns({c: F.lit(1) for c in names})
 
 
