@@ -200,7 +200,7 @@ def chart_entries_query(spark, folder):
 
 @query(
     "genre_pages",
-    oracle("SELECT event_type AS genre, CAST(event_id AS VARCHAR) AS item_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id, j) AS rank, user_id + j AS views FROM (SELECT *, unnest(range(2)) AS j FROM events)"),
+    oracle("SELECT event_type AS genre, CAST(event_id AS VARCHAR) AS item_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id, j) AS rank, user_id + j AS views, CASE WHEN event_id % 2 = 0 THEN event_id ELSE 0 END AS concurrents, event_id % 3 = 0 AS is_hot, 'e' || chr(769) || ' t' || CAST(event_id AS VARCHAR) AS title, 'n' || chr(771) || ' fi' AS artist FROM (SELECT *, unnest(range(2)) AS j FROM events)"),
 )
 def genre_pages(spark, folder):
     """Paged genre charts, a page of two items per event, to rows ranked over all pages."""
@@ -208,13 +208,14 @@ def genre_pages(spark, folder):
 
     def item(place):
         stats = F.struct(
-            F.lit(None).cast("bigint").alias("concurrents"), F.lit(None).cast("boolean").alias("hot"), (F.col("user_id") + place).alias("pageviews")
+            F.when(F.col("event_id") % 2 == 0, F.col("event_id")).alias("concurrents"), F.when(F.col("event_id") % 3 == 0, True).alias("hot"), (F.col("user_id") + place).alias("pageviews")
         )
-        about = F.struct(F.col("event_id").alias("id"), F.lit("é t").alias("full_title"), F.lit("a").alias("artist_names"), stats.alias("stats"))
+        title = F.concat(F.lit("é t"), F.col("event_id").cast("string"))
+        about = F.struct(F.col("event_id").alias("id"), title.alias("full_title"), F.lit("ñ ﬁ").alias("artist_names"), stats.alias("stats"))
         return F.struct(about.alias("item"))
 
     pages = t.events.select(F.col("event_type").alias("genre"), F.col("event_id").alias("page"), F.to_json(F.array(item(0), item(1))).alias("json"))
-    return genre_chart_rows(parsed(pages, "json", GENRE_ITEMS, "items")).select("genre", "item_id", "rank", "views")
+    return genre_chart_rows(parsed(pages, "json", GENRE_ITEMS, "items")).select("genre", "item_id", "rank", "views", "concurrents", "is_hot", "title", "artist")
 
 
 _TEXT = "CASE WHEN o_orderpriority = '5-LOW' THEN strftime(o_orderdate, '%Y') WHEN o_orderpriority = '1-URGENT' THEN strftime(o_orderdate, '%Y-%m') ELSE strftime(o_orderdate, '%Y-%m-%d') END"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cadenza.catalogue.domain import AS_OF, Tables, followers, song_streams, songs
+from cadenza.catalogue.domain import AS_OF, Tables, followers, points, song_streams, songs
 from cadenza.catalogue.registry import oracle, query
 from cadenza.functions.dates import back
 from cadenza.operators.keys import (
@@ -19,6 +19,7 @@ from cadenza.operators.keys import (
     with_fallback,
 )
 from cadenza.operators.reshape import attributes_to_columns, melt_columns, melt_dates, melt_series, pivot_dates
+from cadenza.operators.segments import previous_row
 from cadenza.operators.timegrid import densify, lagged
 
 DAYS = [back(AS_OF, i) for i in range(14)]
@@ -241,3 +242,14 @@ def day_lags(spark, folder):
         "account", "date", F.round(F.col("followers") - F.col("__d"), 6).alias("day_gain"),
         F.round(F.col("followers") - F.col("__w"), 6).alias("week_gain"),
     )
+
+
+@query(
+    "previous_row",
+    oracle(
+        "SELECT account, CAST(date AS VARCHAR) AS date, gained, events, lag(gained) OVER w AS prev_gained, lag(events) OVER w AS prev_events FROM points WINDOW w AS (PARTITION BY account ORDER BY date)"
+    ),
+)
+def previous_row_query(spark, folder):
+    """Each account's day beside the one before, scanned in segments."""
+    return previous_row(points(Tables(spark, folder)), ["account"], "date", ["gained", "events"])

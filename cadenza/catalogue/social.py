@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from cadenza.catalogue.domain import EVENTS_AS_OF, MODEL_EDGES, Tables, followers, gain_model, song_stats
-from cadenza.catalogue.registry import cte, oracle, query, rounded
+from cadenza.catalogue.registry import cte, oracle, query, rounded, sql_ratio
 from cadenza.functions.dates import back
 from cadenza.operators.binned import build_model, fit_model, lookup_bin
 from cadenza.operators.keys import rank_per_key, top_per_key
@@ -63,11 +63,11 @@ def binned_model(spark, folder):
     return build_model(followers(t), "followers", "gained", MODEL_EDGES).withColumns(rounded("mean", "std"))
 
 
-@query("binned_fit", oracle("SELECT account, CAST(date AS VARCHAR) AS date, followers, gained, round(mean, 6) AS mean, round(z, 6) AS z_score FROM f", v="SELECT f.account, f.date, f.followers, p.gained FROM followers f JOIN points p USING (account, date)", f=_fit("followers", "gained", "v")))
+@query("binned_fit", oracle("SELECT account, CAST(date AS VARCHAR) AS date, followers, gained, round(mean, 6) AS mean, round(std, 6) AS std, round(z, 6) AS z_score FROM f", v="SELECT f.account, f.date, f.followers, p.gained FROM followers f JOIN points p USING (account, date)", f=_fit("followers", "gained", "v")))
 def binned_fit(spark, folder):
     t = Tables(spark, folder)
     out = fit_model(followers(t).drop("events"), gain_model(t), "followers", "gained")
-    return out.drop("std").withColumns(rounded("mean", "z_score"))
+    return out.withColumns(rounded("mean", "std", "z_score"))
 
 
 @query(
@@ -141,7 +141,7 @@ def follower_gain_video(spark, folder):
     "follower_long_term",
     oracle(
         "SELECT b.account, round(b.six, 6) AS six_month_z_score, round(b.two, 6) AS fourteen_day_z_score, CAST(l.date AS VARCHAR) AS recent_date, CAST(floor(l.v) AS BIGINT) AS followers, "
-        "CAST(floor(l.v7) AS BIGINT) AS followers_7_days_ago, CAST(floor(l.gain) AS BIGINT) AS followers_gained, o.artist_id, o.artist, o.tw_streams, o.artist_id NOT IN (SELECT artist_id FROM earlier) AS is_new "
+        "CAST(floor(l.v7) AS BIGINT) AS followers_7_days_ago, CAST(floor(l.gain) AS BIGINT) AS followers_gained, round_even((l.v - l.v7) / nullif(l.v7, 0) * 100, 2) AS followers_pct_chg, o.artist_id, o.artist, o.tw_streams, o.artist_id NOT IN (SELECT artist_id FROM earlier) AS is_new "
         "FROM best b JOIN (SELECT account, max(date) AS date, max_by(v, date) AS v, max_by(v7, date) AS v7, max_by(gain, date) AS gain FROM week GROUP BY 1) l ON l.account = b.account JOIN owner o ON o.account = b.account",
         raw=_window(186),
         pts="SELECT * FROM raw WHERE account IN (SELECT account FROM raw GROUP BY 1 HAVING count(*) > 4)",
@@ -158,7 +158,7 @@ def follower_long_term(spark, folder):
     out = long_term_growth(
         followers(t).select("account", "date", "followers"), owner_rows(t), gain_model(t), earlier(t), "account", "followers", E
     )
-    return out.drop("followers_pct_chg").withColumns(rounded("six_month_z_score", "fourteen_day_z_score"))
+    return out.withColumns(rounded("six_month_z_score", "fourteen_day_z_score"))
 
 
 @query(
@@ -184,25 +184,25 @@ def viral_growth_query(spark, folder):
     return out.withColumns(rounded("z_score"))
 
 
-_PCT = "(CAST(t.{0} AS DOUBLE) / l.{0} - 1) * 100"
+def _risen(column: str) -> str:
+    return f"({sql_ratio(f't.{column}', f'l.{column}')} - 1) * 100"
 
 
 @query(
     "snapshot_growth",
     oracle(
         "SELECT t.account, t.followers AS tw_followers, l.followers AS lw_followers, t.gained AS tw_gained, l.gained AS lw_gained, "
-        f"round({_PCT.format('followers')}, 6) AS followers_pct_chg, round({_PCT.format('gained')}, 6) AS gained_pct_chg "
-        f"FROM s t JOIN s l ON l.account = t.account AND l.date = DATE '{back(E, 10)}' WHERE t.date = DATE '{back(E, 3)}' AND t.followers >= 1500 AND l.followers <> 0 AND l.gained > 0 AND t.gained > 0 "
-        f"AND ({_PCT.format('followers')} > 15 OR {_PCT.format('gained')} > 15) AND t.account NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0)",
+        f"round({_risen('followers')}, 6) AS followers_pct_chg, round({_risen('gained')}, 6) AS gained_pct_chg "
+        f"FROM s t JOIN s l ON l.account = t.account AND l.date = DATE '{back(E, 10)}' WHERE t.date = DATE '{back(E, 3)}' AND t.followers >= 1500 AND l.followers <> 0 "
+        f"AND (coalesce({_risen('followers')} > 15, false) OR coalesce({_risen('gained')} > 15, false)) AND t.account NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0)",
         s="SELECT f.account, f.date, f.followers, p.gained FROM followers f JOIN points p USING (account, date)",
     ),
 )
 def snapshot_growth_query(spark, folder):
-    """Two measures three and ten days back; accounts of signed suppliers drop out."""
+    """Two measures three and ten days back, days without gains included; accounts of signed suppliers drop out."""
     t = Tables(spark, folder)
     known = t.supplier.select(F.col("s_suppkey").alias("account"), (F.col("s_acctbal") < 0).alias("signed"))
-    stats = followers(t).filter(F.col("gained") > 0)
-    out = snapshot_growth(stats, known, "account", E, floor=1500, lead="followers", others=("gained",))
+    out = snapshot_growth(followers(t), known, "account", E, floor=1500, lead="followers", others=("gained",))
     return out.drop("signed").withColumns(rounded("followers_pct_chg", "gained_pct_chg"))
 
 
@@ -302,21 +302,21 @@ def rank_change_country(spark, folder):
 
 
 _CITY_OUT = (
-    "SELECT c.*, length(c.city) AS market_rank, true AS national_chart, l.label, coalesce(EXISTS (SELECT 1 FROM part x WHERE x.p_size = 2 AND x.p_brand = 'Brand#3' AND contains(l.label, split_part(x.p_name, ' ', 1))), false) AS signed "
+    "SELECT c.*, length(c.city) AS market_rank, c.track_id IN (SELECT n.track_id FROM nation_chart n WHERE n.date = DATE '" + str(back(E, 2)) + "' AND n.rank <= 40) AS national_chart, l.label, coalesce(EXISTS (SELECT 1 FROM part x WHERE x.p_size = 2 AND x.p_brand = 'Brand#3' AND contains(l.label, split_part(x.p_name, ' ', 1))), false) AS signed "
     "FROM c LEFT JOIN lab l ON l.track_id = c.track_id"
 )
 _LAB = "SELECT track_id, label FROM (SELECT CAST(p_size AS BIGINT) AS track_id, p_name AS label, row_number() OVER (PARTITION BY p_size ORDER BY p_retailprice DESC, p_name) AS k FROM part) WHERE k = 1"
-_CITY_ALL = {"city_chart": _CITY, "lab": _LAB}
+_CITY_ALL = {"city_chart": _CITY, "nation_chart": _NATION, "lab": _LAB}
 
 
 def _city(t: Tables):
     chart = track_chart(t, True)
-    now = chart.filter(F.col("date") == F.lit(back(E, 2)))
+    national = track_chart(t, False).filter((F.col("date") == F.lit(back(E, 2))) & (F.col("rank") <= 40))
     markets = t.events.select(F.col("event_type").alias("city")).distinct().withColumn("market_rank", F.length("city"))
     labels_of = t.part.select(F.col("p_size").cast("bigint").alias("track_id"), F.col("p_name").alias("label"), F.col("p_retailprice").alias("popularity"))
     few = (F.col("p_size") == 2) & (F.col("p_brand") == "Brand#3")
     listed = t.part.filter(few).select(F.upper(F.substring_index("p_name", " ", 1)).alias("label"))
-    return city_changes(chart, now, markets, labels_of, listed, E)
+    return city_changes(chart, national, markets, labels_of, listed, E)
 
 
 @query("rank_change_city", oracle(_CITY_OUT, **_CITY_ALL, c=_changes("city_chart", ["track_id", "city"])))

@@ -1,5 +1,6 @@
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cadenza.operators.binned import above, build_model, fit_model, lookup_bin
@@ -118,3 +119,21 @@ def test_build_model(spark):
 def test_above_needs_a_bin(spark):
     df = spark.createDataFrame([(10.0, 1.0, 2.0), (5.0, 1.0, 2.0), (9.0, None, None)], "g double, mean double, std double")
     assert rows(above(df, "g", 2.0), "g") == [(10.0,)]
+
+
+def test_previous_row_in_segments(spark):
+    """The same as a window over the whole series, also where one key holds most rows."""
+    import random
+
+    from cadenza.operators.segments import _SEGMENT, previous_row, segmented
+
+    rng = random.Random(3)
+    data = [("hot", d, rng.choice([None, *range(9)]), d) for d in range(900)] + [(k, d, rng.randrange(9), d) for k in ["a", "b", None] for d in rng.sample(range(90), 40)]
+    data += [("a", None, 5, None), ("one", 3, 4, 3)]
+    df = spark.createDataFrame(data, "k string, d int, v int, w int").repartition(5)
+    w = Window.partitionBy("k").orderBy(F.col("d").asc_nulls_first())
+    want = df.withColumns({"prev_v": F.lag("v").over(w), "prev_w": F.lag("w").over(w)})
+    assert rows(previous_row(df, ["k"], "d", ["v", "w"])) == rows(want)
+    held = [r["count"] for r in segmented(df, ["k"], "d").groupBy(_SEGMENT).count().collect()]
+    assert len(held) >= 3 and max(held) < 0.5 * len(data)
+    assert previous_row(df.filter("false"), ["k"], "d", ["v"]).count() == 0

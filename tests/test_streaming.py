@@ -99,3 +99,38 @@ def test_stream_and_batch_follow_the_same_rule_and_late_editions_are_left_out(sp
         want[day] = (r.should_notify, r.last_appearance_in_top_20, r.last_appearance_in_top_100)
         state = spark.createDataFrame([r], state.schema)
     assert got == want
+
+
+def test_streaks_as_a_stream(spark, tmp_path):
+    """Edition by edition the same as from table to table; leavers leave no state, late editions no row."""
+    import datetime as dt
+    import json
+
+    from cadenza.operators.charts import next_streaks
+    from cadenza.streaming.streaks import STORE, streak_stream, use_keyed_timers
+
+    before = spark.conf.get(STORE[0])
+    use_keyed_timers(spark)
+    day = dt.datetime(2024, 1, 1)
+    charts = [["a", "b", "c"], ["a", "c"], ["b"], ["b", "c"], ["c"], ["c"]]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    try:
+        stored = spark.createDataFrame([], "k string, streak int")
+        got = []
+        for i, keys in enumerate(charts):
+            late = [{"k": "c", "edition": str(day)}] if i == 5 else []
+            (folder / f"{i}.json").write_text("\n".join(json.dumps(x) for x in [{"k": k, "edition": str(day + dt.timedelta(i))} for k in keys] + late))
+            source = spark.readStream.schema("k string, edition timestamp").json(str(folder))
+            out = streak_stream(source, "k").writeStream.format("parquet").option("path", str(tmp_path / "out"))
+            out.option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+            got = [(r.k, r.edition, r.streak) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+            counts = spark.createDataFrame([(k, 1) for k in keys], "k string, n int")
+            stored = spark.createDataFrame(next_streaks(counts, stored, "k", "n", "streak").collect(), "k string, streak int")
+            now = {(r.k, day + dt.timedelta(i), r.streak) for r in stored.collect()}
+            assert now == {g for g in got if g[1] == day + dt.timedelta(i)}
+        assert len(got) == sum(map(len, charts))
+        held = spark.read.format("statestore").option("stateVarName", "held").load(str(tmp_path / "state"))
+        assert [r.key[0] for r in held.collect()] == ["c"]
+    finally:
+        spark.conf.set(STORE[0], before)
