@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -21,34 +22,30 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
-def _ms(edition: dt.datetime) -> int:
-    return int(edition.timestamp() * 1000)
-
-
 class Streaks(StatefulProcessor):
     """Rows of one key, one for each edition that it is on."""
 
-    def __init__(self, key: str, step: dt.timedelta):
-        self.key, self.step = key, step
+    def __init__(self, key: str, step_ms: int):
+        self.key, self.step = key, step_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getValueState("held", "edition timestamp, streak int")
+        self.held = handle.getValueState("held", "ms long, streak int")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         last, streak = self.held.get() if self.held.exists() else (None, 0)
         before = last
-        for edition in sorted({r["edition"] for r in rows}):
-            if last is not None and edition <= last:
+        for ms in sorted({r["ms"] for r in rows}):
+            if last is not None and ms <= last:
                 continue  # late, or read twice
-            streak = streak + 1 if last is not None and edition - last == self.step else 1
-            last = edition
-            yield Row(**{self.key: key[0], "edition": edition, "streak": streak})
+            streak = streak + 1 if last is not None and ms - last == self.step else 1
+            last = ms
+            yield Row(**{self.key: key[0], "ms": ms, "streak": streak})
         if last is not None and last != before:
             if before is not None:
-                self.handle.deleteTimer(_ms(before + self.step))
+                self.handle.deleteTimer(before + self.step)
             self.held.update((last, streak))
-            self.handle.registerTimer(_ms(last + self.step))
+            self.handle.registerTimer(last + self.step)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         """The next edition is known and the key was not on it."""
@@ -67,13 +64,14 @@ def streak_stream(entries: DataFrame, key: str, step: dt.timedelta = dt.timedelt
     taken in order; one that is not newer than the last one of its key is left out.
     """
     kind = dict(entries.dtypes)[key]
-    watched = entries.select(key, "edition").withWatermark("edition", "0 seconds")
-    return watched.groupBy(key).transformWithState(
-        statefulProcessor=Streaks(key, step),
-        outputStructType=f"{key} {kind}, edition timestamp, streak int",
+    watched = entries.select(key, "edition", F.unix_millis("edition").alias("ms")).withWatermark("edition", "0 seconds")
+    out = watched.groupBy(key).transformWithState(
+        statefulProcessor=Streaks(key, int(step.total_seconds() * 1000)),
+        outputStructType=f"{key} {kind}, ms long, streak int",
         outputMode="Append",
         timeMode="EventTime",
     )
+    return out.select(key, F.timestamp_millis("ms").alias("edition"), "streak")
 
 
 def use_keyed_timers(spark: SparkSession) -> None:
