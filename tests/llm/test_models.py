@@ -166,6 +166,25 @@ def test_stages_handle_odd_tables(spark, docs, empty, crowded, tmp_path):
                 assert out.columns == corpus_pipeline.COLUMNS
 
 
+def test_scratch_tables_are_listed_and_deleted(spark):
+    import os
+
+    from cadenza.llm.common import listing, release, stored
+
+    paths, other = [], []
+    with listing(paths):
+        kept = stored(spark.range(5), "listed")
+        with listing(other):
+            stored(spark.range(3), "listed-too")
+    outside = stored(spark.range(2), "unlisted")
+    assert kept.count() == 5 and len(paths) == 2 and len(other) == 1
+    folders = [p.removeprefix("file:") for p in paths]
+    assert all(map(os.path.isdir, folders))
+    release(spark, paths)
+    assert paths == [] and not any(map(os.path.isdir, folders)) and outside.count() == 2
+    release(spark, other)  # what is gone already is no error
+
+
 def test_near_duplicate_stage_keeps_one_of_each_group(spark, docs, rows):
     from tests.llm.test_exact_ops import brute_components
 
