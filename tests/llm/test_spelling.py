@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from cadenza.llm import queries, spelling
-from tests.llm.conftest import SCHEMA, as_rows
+from tests.llm.conftest import as_rows
 
 WORDS = "word string, n long"
 
