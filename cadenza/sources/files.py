@@ -54,8 +54,13 @@ def parse_mapping(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Lines with more fields than their header are dropped, shorter ones padded with nulls,
     repeats of the header left out. A file that lacks a column is an error.
+
+    Lines are dealt by their place, so that what a task sorts later does not follow the size of
+    a file or of a split of it. A join on the file would gather each file in one task; headers
+    are one row for a file, so they are broadcast.
     """
     clean = lines.select("file", ORDINAL, F.translate("value", '\\"', "").alias("line")).filter(F.length("line") > 0)
+    clean = clean.hint("rebalance", F.col(ORDINAL))
     headers = clean.groupBy("file").agg(F.min_by("line", ORDINAL).alias("header"))
     names = F.split("header", "\t")
     places = [F.array_position(names, F.lit(c)) for c in columns]
@@ -63,7 +68,7 @@ def parse_mapping(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
     checked = F.when(missing == "", F.array(*places)).otherwise(F.raise_error(F.concat(F.lit("missing in "), "file", F.lit(": "), missing)))
     known = headers.select("file", "header", F.size(names).alias("width"), checked.alias("places"))
     fields = F.split("line", "\t")
-    held = clean.join(known, "file").filter((F.col("line") != F.col("header")) & (F.size(fields) <= F.col("width")))
+    held = clean.join(F.broadcast(known), "file").filter((F.col("line") != F.col("header")) & (F.size(fields) <= F.col("width")))
     return held.select(*[_field(fields, F.col("places")[i] - 1).alias(c) for i, c in enumerate(columns)], ORDINAL)
 
 

@@ -117,6 +117,21 @@ def test_mapping_files(spark, tmp_path):
     assert rows(mapping_songs(read_mapping(spark, str(tmp_path / "s.txt"), ["UnifiedSongid", "ISRC", "UnifiedSong Title", "ISRC Release Date"]), RUN)) == [("1", "X", "", RUN)]
 
 
+def test_lines_of_one_mapping_file_are_spread(spark, tmp_path):
+    (tmp_path / "m.txt").write_text("UnifiedSongID\tUnified Artist ID\tUnified Collection ID\n" + "".join(f"{i}\t{i % 7}\t{i % 11}\n" for i in range(20000)))
+    ids = ["UnifiedSongID", "Unified Artist ID", "Unified Collection ID"]
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        held = read_mapping(spark, str(tmp_path / "m.txt"), ids).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(r["count"] for r in held) == 20000 and max(r["count"] for r in held) < 10000
+
+
 def test_mapping_files_follow_their_own_headers(spark, tmp_path):
     (tmp_path / "1.txt").write_text("A\tB\n1\t2\n")
     (tmp_path / "2.txt").write_text("B\tC\tA\n4\tx\t3\n5\n")
