@@ -26,7 +26,8 @@ from cadenza.session import materialise
 
 GRAM_SIZES = (3, 2)  # fixed values: tried in this order
 #: Ratios that are tried before an asked-for one well below: most texts have a nearer entry, at less cost.
-NEARER = (0.82,)
+#: The more entries there are, the nearer the nearest; at a high ratio few others are met beside it.
+NEARER = (0.92, 0.89, 0.86, 0.82)
 #: Segments beyond ``d + 1``, so that the most common ones need not be looked up.
 SPARE = 2
 #: 64-bit words of the bits of a text.
@@ -268,7 +269,7 @@ def search(index: EntryIndex, queries: DataFrame, column: str) -> DataFrame:
         pairs = _rated(met_pairs(todo, index.at(floor), floor), floor).join(todo.select("query", "strange"), "query")
         best = materialise(_best(_valid(pairs)), "edit-best")
         found.append(best)
-        todo = todo.join(best.select("query"), "query", "left_anti")
+        todo = materialise(todo.join(best.select("query"), "query", "left_anti"), "edit-todo")
     found.append(_by_bonus(todo, index))
     score = F.col("ratio") + substring_bonus(F.col("query"), F.col("entry"), F.col("ratio"))
     scored = reduce(DataFrame.unionByName, found).join(index.entries.select("entry", "match"), "entry").withColumn("score", score)

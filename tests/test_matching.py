@@ -78,6 +78,21 @@ def test_few_pairs_meet(spark):
     assert met < 0.05 * every and todo.count() < 20
 
 
+def test_near_entries_are_found_before_far_ones(spark):
+    """Texts that are alike by their common parts: where a near entry exists, the others are not met."""
+    rng = random.Random(4)
+    hosts = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(6)) for _ in range(40)]
+    plain = [f"http{rng.choice(hosts)}examplecomen{rng.randrange(10**4)}utmsourcefeed" for _ in range(800)]
+    asked = column(spark, [p.replace("http", "https") for p in plain[:400]], "query")
+    todo = editjoin._with_marks(asked, "query").cache()
+    index, met = index_entries(column(spark, plain, "e"), "e", 0.75), 0
+    for floor in index.floors:
+        pairs = editjoin.met_pairs(todo, index.at(floor), floor).cache()
+        met += pairs.count()
+        todo = todo.join(editjoin._rated(pairs, floor).select("query").distinct(), "query", "left_anti").cache()
+    assert todo.count() == 0 and met < 5 * 400
+
+
 def test_an_index_takes_more_entries(spark):
     left, right = words(5, 60, "abcd", 3, 10), words(6, 200, "abcd", 3, 10)
     whole = index_entries(column(spark, right, "e"), "e", 0.75)
