@@ -20,6 +20,8 @@ from cadenza.session import materialise
 
 #: Neither toxic documents nor what the first stage left of the low ones is to stay.
 WEIGHTS = {"clean": 1.0, "toxic": 0.0, "low": 0.0}
+#: The languages of the clean documents are mixed to their sizes to this power, so that small ones count more.
+EVENED = 0.7
 #: A passage that a few sources share is boilerplate; lines of few words are common by chance.
 SPREAD = lines.Spread(long_sites=3)
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -80,14 +82,35 @@ def _key(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("null"))
 
 
+def _language(lang: Column) -> Column:
+    return F.concat(F.lit("clean "), F.coalesce(lang, F.lit("und")))
+
+
+def language_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labelled domains, the clean one by language."""
+    of = docs.select("doc_id", "lang").distinct()
+    domain = F.when(F.col("domain") == "clean", _language(F.col("lang"))).otherwise(F.col("domain"))
+    return labels.join(of, "doc_id").select("doc_id", domain.alias("domain"))
+
+
+def language_weights(docs: DataFrame) -> dict[str, float]:
+    """Target weights: the largest language keeps its size, the others come nearer to it."""
+    sizes = docs.groupBy(_language(F.col("lang")).alias("domain")).agg(F.sum(F.octet_length("text")).alias("size")).collect()
+    others = {domain: weight for domain, weight in WEIGHTS.items() if domain != "clean"}
+    return {r["domain"]: WEIGHTS["clean"] * float(r["size"] or 0) ** EVENED for r in sizes} | others
+
+
 @_stage
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as its fitted rate says: tokens meet the target weights.
 
-    Documents that are toxic or low for the most part go, all others stay.
+    Documents that are toxic or low for the most part go, all others stay; those of smaller
+    languages are repeated until the tokens of the languages meet ``language_weights``.
     """
-    mixed = mixing.mix(docs.select("doc_id", "text"), queries.label_domains(spark, sf_dir), WEIGHTS)
-    copies = mixed.select("id", "tag", "copies").distinct()
+    labels = language_domains(docs, queries.label_domains(spark, sf_dir))
+    mixed = mixing.mix(docs.select("doc_id", "text"), labels, language_weights(docs))
+    # the fit may take a rate of the largest language a little below 1: that is no reason to drop a document
+    copies = mixed.select("id", "tag", F.when(F.col("rate") > 0, F.greatest("copies", F.lit(1))).otherwise(F.col("copies")).alias("copies")).distinct()
     tagged = docs.select(*COLUMNS).withColumn("__tag", F.xxhash64("text"))
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("__tag") == F.col("tag"))
     taken = tagged.join(copies.hint("merge"), same).filter("copies > 0")

@@ -155,6 +155,22 @@ def test_toxic_documents_leave_the_pipeline(spark):
     assert left.filter("toxic = 0").select("doc_id").distinct().count() >= 0.99 * clean
 
 
+def test_mixture_stage_evens_out_languages(spark, tmp_path):
+    """The fitted rates decide what goes on: a small language is repeated, the largest stays as it is."""
+    rng = random.Random(12)
+    stock = {lang: ["".join(rng.choice(letters) for _ in range(6)) for _ in range(60)] for lang, letters in (("aa", "abcdefgh"), ("bb", "pqrstuvw"))}
+    rows = []
+    for i in range(400):
+        lang = "bb" if i % 10 == 0 else "aa"
+        text = " ".join(rng.choice(stock[lang]) for _ in range(80))
+        rows.append((i, text, lang, "s", len(text)))
+    table = spark.createDataFrame(rows, SCHEMA)
+    table.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic")).write.parquet(f"{tmp_path}/labels.parquet")
+    out = {r["lang"]: r["count"] for r in corpus_pipeline.mixture(spark, table, str(tmp_path)).groupBy("lang").count().collect()}
+    want = 360 * (40 / 360) ** corpus_pipeline.EVENED
+    assert out["aa"] >= 356 and abs(out["bb"] - want) < 0.15 * want
+
+
 def test_stages_handle_odd_tables(spark, docs, empty, crowded, tmp_path):
     docs.select("doc_id").filter("doc_id is not null").select("doc_id", F.lit(1).alias("quality"), (F.col("doc_id") % 2).cast("int").alias("toxic")).write.parquet(f"{tmp_path}/labels.parquet")
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
