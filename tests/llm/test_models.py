@@ -155,6 +155,22 @@ def test_toxic_documents_leave_the_pipeline(spark):
     assert left.filter("toxic = 0").select("doc_id").distinct().count() >= 0.99 * clean
 
 
+def test_memory_of_the_votes_follows_the_chunk():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(1)
+    stock = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choice(stock) for _ in range(300)) for _ in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["tag", "text"])
+    tracemalloc.start()
+    rows = sum(out.num_rows for out in weak._vote_rows(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(texts) and peak < 25e6
+
+
 def test_mixture_stage_evens_out_languages(spark, tmp_path):
     """The fitted rates decide what goes on: a small language is repeated, the largest stays as it is."""
     rng = random.Random(12)
