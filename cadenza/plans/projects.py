@@ -63,7 +63,8 @@ def project_daily(links: DataFrame, streams: DataFrame, as_of: dt.date, days: in
     """Daily streams per collection over the trailing days. ``links`` must be distinct."""
     recent = streams.filter(F.col("date") > F.lit(back(as_of, days)))
     daily = recent.groupBy("song_id", "date").agg(F.sum("streams").alias("streams"))
-    return daily.join(links, "song_id").groupBy("collection_id", "date").agg(F.sum("streams").alias("streams"))
+    # a few days a song: as the hashed side of the join, the links stream by and are not sorted
+    return links.join(daily.hint("shuffle_hash"), "song_id").groupBy("collection_id", "date").agg(F.sum("streams").alias("streams"))
 
 
 def project_weekly(links: DataFrame, stats: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from cadenza.plans.genres import entity_genres, genre_stats, long_term_genre_ran
 from cadenza.functions.dates import months_back
 from cadenza.plans.growth import eight_week_growth, genre_set_growth, indie_long_term, roots_long_term
 from cadenza.plans.momentum import acceleration_metrics, acceleration_rule, momentum_metrics, momentum_rule
+from cadenza.plans.projects import project_daily
 from cadenza.plans.ranks import RANK_CAPS, rank_improvement
 from cadenza.plans.rollups import ex_home, territory_daily, worldwide
 from cadenza.plans.social import AUDIO_RULE, PHOTO_RULE, VIDEO_RULE, GainRule, follower_gain_chart, snapshot_growth, weekly_gains
@@ -286,3 +287,22 @@ def test_cache_songs_adds_only_missing_ones(spark):
     albums = spark.createDataFrame([("al", "n", "c", "l", "u")], "album_id string, album_name string, copyrights string, label string, upc string")
     features = spark.createDataFrame([("t2", 4)], "id string, key int")
     assert rows(cache_songs(cache, songs, tracks, albums, features)) == [(1, "t1", 0), (2, "t3", 0)]
+
+
+def plan_without_broadcast(spark, make):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = make()
+        return rows(out), out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_project_daily_does_not_sort_the_links(spark):
+    links = spark.createDataFrame([(1, 10), (2, 10), (1, 11), (3, 12), (None, 13)], "song_id int, collection_id int")
+    streams = [(1, NOW, 5), (1, NOW, 2), (2, NOW, 1), (1, D(2024, 3, 9), 4), (3, D(2024, 2, 1), 9), (None, NOW, 8)]
+    streams = spark.createDataFrame(streams, "song_id int, date date, streams long")
+    got, plan = plan_without_broadcast(spark, lambda: project_daily(links, streams, NOW))
+    assert got == [(10, D(2024, 3, 9), 4), (10, NOW, 8), (11, D(2024, 3, 9), 4), (11, NOW, 7)]
+    assert "ShuffledHashJoin" in plan and "Sort " not in plan
