@@ -115,13 +115,15 @@ def value_counts(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def keep_keys(df: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+def keep_keys(df: DataFrame, wanted: DataFrame, keys: Sequence[str], hashed: bool = False) -> DataFrame:
     """Rows of ``df`` whose key is in ``wanted``.
 
     An inner join with the distinct keys, not a semi join: Catalyst pushes a semi join
     below an aggregation, and then the raw rows of a hot key are shuffled unsummed.
+    ``hashed`` keeps the distinct keys of a task in a hash table instead of sorting both sides.
     """
-    return df.join(wanted.select(*keys).distinct(), list(keys))
+    keep = wanted.select(*keys).distinct()
+    return df.join(keep.hint("shuffle_hash") if hashed else keep, list(keys))
 
 
 def not_in(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:

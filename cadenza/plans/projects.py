@@ -54,7 +54,8 @@ def project_images(projects: DataFrame, links: DataFrame, images: DataFrame) ->
     ``links`` is (song_id, collection_id) per track, ``images`` is (song_id, image).
     """
     bare = projects.filter(F.col("image").isNull())
-    used = keep_keys(links, bare, ["collection_id"]).join(images.filter(present("image")), "song_id")
+    # hashed, so that the links stream by and are not sorted beside the counts of the images
+    used = keep_keys(links, bare, ["collection_id"], hashed=True).join(images.filter(present("image")), "song_id")
     best = mode_per_key(used, ["collection_id"], "image")
     return patch(projects, best, ["collection_id"], ["image"])
 

@@ -11,7 +11,7 @@ from cadenza.plans.genres import entity_genres, genre_stats, long_term_genre_ran
 from cadenza.functions.dates import months_back
 from cadenza.plans.growth import eight_week_growth, genre_set_growth, indie_long_term, roots_long_term
 from cadenza.plans.momentum import acceleration_metrics, acceleration_rule, momentum_metrics, momentum_rule
-from cadenza.plans.projects import project_daily
+from cadenza.plans.projects import project_daily, project_images
 from cadenza.plans.ranks import RANK_CAPS, rank_improvement
 from cadenza.plans.rollups import ex_home, territory_daily, worldwide
 from cadenza.plans.social import AUDIO_RULE, PHOTO_RULE, VIDEO_RULE, GainRule, follower_gain_chart, snapshot_growth, weekly_gains
@@ -306,3 +306,14 @@ def test_project_daily_does_not_sort_the_links(spark):
     got, plan = plan_without_broadcast(spark, lambda: project_daily(links, streams, NOW))
     assert got == [(10, D(2024, 3, 9), 4), (10, NOW, 8), (11, D(2024, 3, 9), 4), (11, NOW, 7)]
     assert "ShuffledHashJoin" in plan and "Sort " not in plan
+
+
+def test_project_images_does_not_sort_the_links(spark):
+    projects = spark.createDataFrame([(10, None), (11, None), (12, "cover"), (13, None), (None, None)], "collection_id int, image string")
+    links = [(1, 10), (2, 10), (3, 10), (3, 10), (1, 11), (4, 11), (1, 12), (1, None), (None, 13)]
+    links = spark.createDataFrame(links, "song_id int, collection_id int")
+    images = spark.createDataFrame([(1, "b"), (2, "b"), (3, "a"), (4, ""), (None, "c")], "song_id int, image string")
+    got, plan = plan_without_broadcast(spark, lambda: project_images(projects, links, images))
+    assert got == [(10, "a"), (11, "b"), (12, "cover"), (13, None), (None, None)]
+    # one sorted join less: only songs and the patched projects are sorted
+    assert plan.count("ShuffledHashJoin") == 1 and plan.count("SortMergeJoin") == 2
