@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from cadenza.llm.common import text_or_empty
+from cadenza.llm.common import give_back, giving_back, text_or_empty
 
 BLOCK_BYTES = 24 << 20
 #: Text of a range of word hashes on average, the least and the most ranges: a block has a run of
@@ -122,7 +122,7 @@ def _blocks(schema: pa.Schema, pattern: str, content):
         if held:
             yield pa.RecordBatch.from_arrays(content(part + block, held, find), schema=schema)
 
-    return cut
+    return giving_back(cut)
 
 
 def _block_sequences(block: int, rows: list[pa.RecordBatch], find) -> list[pa.Array]:
@@ -204,7 +204,7 @@ def _encoder(vocabulary: str):
                     [batch.column(0).slice(i, 1), batch.column(3).slice(i, 1), pa.array([joined], pa.binary())], ["part", "codes", "ids"]
                 )
 
-    return run
+    return giving_back(run)
 
 
 def _word_ids(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -237,6 +237,8 @@ def _assemble(sequences: pa.Table, words: pa.Table) -> pa.Table:
         values.append(_gather(flat, starts[own], lengths[own]))
         ends.append(ends[-1] + len(values[-1]))
     lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(values), pa.int32()))
+    del values, flat, ids
+    give_back()
     return pa.table({"id": sequences.column("id"), "ids": lists})
 
 
@@ -271,4 +273,4 @@ def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFra
                 texts.append(b"".join(pieces))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], schema=schema)
 
-    return encoded.mapInArrow(run, shape)
+    return encoded.mapInArrow(giving_back(run), shape)

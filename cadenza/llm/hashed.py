@@ -13,6 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
+from cadenza.llm.common import giving_back
 from cadenza.llm.grams import BYTE_ANY_CASE, Spans, chunks, word_spans
 
 BITS = 16
@@ -86,7 +87,7 @@ def feature_rows(text: str, *keep: str, extra=None):
                     columns.append(pa.array([s.tobytes() for s in signs], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, [*keep, "shown", *(["extra"] if extra else [])])
 
-    return run
+    return giving_back(run)
 
 
 def fit_linear(

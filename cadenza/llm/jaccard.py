@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadenza.llm.common import stored
+from cadenza.llm.common import giving_back, stored
 from cadenza.llm.grams import _mixed, chunks, shingle_sets
 
 SHINGLE = 5
@@ -260,7 +260,7 @@ def _plausible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     fits = 4 * F.least("u_n", "v_n") >= 3 * F.greatest("u_n", "v_n")
     sizes = pairs.join(a.drop("u_s").hint("merge"), "u").join(b.hint("merge"), "v").filter(fits)
     both = sizes.join(a.select("u", "u_s").hint("merge"), "u").select("u", "v", "u_n", "v_n", "u_s", "v_s")
-    return stored(both.mapInArrow(_unlike, "u long, v long"), "jaccard-pairs")
+    return stored(both.mapInArrow(giving_back(_unlike), "u long, v long"), "jaccard-pairs")
 
 
 def _texts_of(pairs: DataFrame, of: DataFrame, rows: DataFrame) -> DataFrame:
@@ -284,7 +284,7 @@ def _texts_of(pairs: DataFrame, of: DataFrame, rows: DataFrame) -> DataFrame:
             slot = np.mod(batch.column(0).to_numpy(), FILTER_BITS)
             yield batch.filter(pa.array((held.value[slot >> 3] >> (slot & 7) & 1).astype(bool)))
 
-    picked = rows.select("tag", "text").mapInArrow(pick, "tag long, text string").groupBy("tag").agg(F.min("text").alias("text"))
+    picked = rows.select("tag", "text").mapInArrow(giving_back(pick), "tag long, text string").groupBy("tag").agg(F.min("text").alias("text"))
     return stored(picked.join(reps.hint("merge"), "tag").select("node", "text"), "jaccard-texts")
 
 
@@ -292,7 +292,7 @@ def _verified(pairs: DataFrame, of: DataFrame, rows: DataFrame) -> DataFrame:
     texts = _texts_of(pairs, of, rows)
     a, b = (texts.select(F.col("node").alias(c), F.col("text").alias(f"{c}_text")) for c in "uv")
     both = pairs.join(a.hint("merge"), "u").join(b.hint("merge"), "v").select("u", "v", "u_text", "v_text")
-    return stored(both.sortWithinPartitions("u").mapInArrow(_similar, "u long, v long"), "jaccard-links")
+    return stored(both.sortWithinPartitions("u").mapInArrow(giving_back(_similar), "u long, v long"), "jaccard-links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -330,11 +330,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     id_type = rows.schema["id"].dataType
     shape = T.StructType().add("id", id_type).add("tag", "long").add("n_shingles", "long").add("node", "long").add("sketch", "binary")
     shape.add("often", T.ArrayType(T.StructType().add("feature", "long").add("times", "long")))
-    of = stored(rows.mapInArrow(_nodes, shape), "jaccard-sets")
+    of = stored(rows.mapInArrow(giving_back(_nodes), shape), "jaccard-sets")
     frequent = frequent_features(of)
-    emitted = rows.select("text").mapInArrow(_signature_rows(frequent), "sig long, salt int, node long")
+    emitted = rows.select("text").mapInArrow(giving_back(_signature_rows(frequent)), "sig long, salt int, node long")
     dealt = emitted.repartition("sig", "salt").sortWithinPartitions("sig", "node")
-    shared = stored(dealt.mapInArrow(_shared, "sig long, node long, leader long, hot boolean"), "jaccard-shared")
+    shared = stored(dealt.mapInArrow(giving_back(_shared), "sig long, node long, leader long, hot boolean"), "jaccard-shared")
     links = _links(shared, of, rows)
     root = components(links)
     least = of.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("id").alias("least"))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadenza.llm.common import stored
+from cadenza.llm.common import giving_back, stored
 from cadenza.llm.grams import BYTE_ANY_CASE, Spans, chunks, word_spans
 from cadenza.llm.hashed import Linear, feature_rows, fit_linear, softmax
 
@@ -106,7 +106,7 @@ def find_marks(texts: DataFrame, names: Sequence[str], settings: Settings) -> Ma
     A scorer over all features of a long text hardly sees the one word that tells.
     """
     size = {r["domain"]: r["count"] for r in texts.groupBy("domain").count().collect()}
-    shows = texts.select("domain", "text").mapInArrow(_word_rows, "domain string, word long")
+    shows = texts.select("domain", "text").mapInArrow(giving_back(_word_rows), "domain string, word long")
     counts = shows.groupBy("word").agg(*[F.sum((F.col("domain") == n).cast("long")).alias(f"n{k}") for k, n in enumerate(names)])
     total, every = sum(F.col(f"n{k}") for k in range(len(names))), sum(size.values())
     mark = F.lit(None).cast("int")
@@ -165,7 +165,7 @@ def posteriors(docs: DataFrame, names: Sequence[str], model: Linear, marks: Mark
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, p.size + 1, len(names), dtype=np.int32)), pa.array(p.ravel()))
                 yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array(tokens), lists], ["id", "tag", "n_tokens", "posterior"])
 
-    return rows.mapInArrow(run, shape)
+    return rows.mapInArrow(giving_back(run), shape)
 
 
 def rates(posterior: np.ndarray, history: np.ndarray, settings: Settings) -> np.ndarray:
@@ -207,7 +207,7 @@ def _totals(held: DataFrame, out: np.ndarray, history: np.ndarray, settings: Set
             total += (rates(p, history, settings) * (n * belongs(p, out))[:, None]).T @ p
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(2 * width, dtype=np.int32)), pa.array(total.ravel())], ["cell", "held"])
 
-    parts = held.select("n_tokens", "posterior").mapInArrow(run, "cell int, held double")
+    parts = held.select("n_tokens", "posterior").mapInArrow(giving_back(run), "cell int, held double")
     sums = {r["cell"]: r["held"] for r in parts.groupBy("cell").agg(F.sum("held").alias("held")).collect()}
     return np.array([sums.get(k, 0.0) for k in range(2 * width)]).reshape(2, width)
 
@@ -276,7 +276,7 @@ def mix(
             rate = rates(p, history, settings)[:, 0] * belongs(p, out)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)], [f.name for f in shape])
 
-    rated = held.mapInArrow(run, shape)
+    rated = held.mapInArrow(giving_back(run), shape)
     drawn = F.pmod(F.xxhash64(F.lit("copies"), "id", "tag"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = F.floor("rate") + F.when(drawn < F.col("rate") - F.floor("rate"), 1).otherwise(0)
     posterior = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), "posterior")

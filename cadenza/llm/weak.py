@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadenza.llm.common import stored
+from cadenza.llm.common import giving_back, stored
 from cadenza.llm.grams import BYTE_ANY_CASE, SPACE, Spans, chunks, word_spans
 from cadenza.llm.hashed import Linear, feature_rows, fit_linear, softmax
 
@@ -191,7 +191,7 @@ def fit(docs: DataFrame, id_col: str, text_col: str, settings: Settings = Settin
     there are as many.
     """
     tagged = docs.filter(F.length(F.trim(text_col)) > 0).select(F.xxhash64(text_col).alias("tag"), F.col(text_col).alias("text"))
-    cast = stored(tagged.mapInArrow(_vote_rows, "tag long, votes int"), "weak-votes")
+    cast = stored(tagged.mapInArrow(giving_back(_vote_rows), "tag long, votes int"), "weak-votes")
     counted = cast.groupBy("votes").count().collect()
     if not counted:
         return None
@@ -237,4 +237,4 @@ def classify(
                 good = np.where(solid[offsets[1:]] > solid[offsets[:-1]], good, 0.0)
                 yield pa.RecordBatch.from_arrays([*piece.columns[: len(names)], pa.array(good)], [*names, "quality"])
 
-    return rows.mapInArrow(run, shape).withColumn("kept", F.col("quality") >= settings.threshold)
+    return rows.mapInArrow(giving_back(run), shape).withColumn("kept", F.col("quality") >= settings.threshold)

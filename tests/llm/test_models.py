@@ -171,6 +171,23 @@ def test_memory_of_the_votes_follows_the_chunk():
     assert rows == len(texts) and peak < 25e6
 
 
+def test_kernels_give_memory_back_at_their_end(monkeypatch):
+    import pyarrow as pa
+
+    from cadenza.llm import common, hashed
+
+    times = []
+    monkeypatch.setattr(common, "give_back", lambda: times.append(1))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["some words", None])], ["tag", "text"])
+    for kernel in (common.giving_back(weak._vote_rows), hashed.feature_rows("text", "tag")):
+        times.clear()
+        tags = []
+        for out in kernel(iter([batch, batch])):
+            assert not times
+            tags += out.column(0).to_pylist()
+        assert tags == [1, 2, 1, 2] and times == [1]
+
+
 def test_mixture_stage_evens_out_languages(spark, tmp_path):
     """The fitted rates decide what goes on: a small language is repeated, the largest stays as it is."""
     rng = random.Random(12)
