@@ -3,18 +3,18 @@
 A document is the set of its distinct five-word shingles. Two sets with similarity t = 3/4
 or more differ in at most (|r| + |s|) / 7 elements, so if the feature domain is cut into
 partitions, all but that many of a set's partitions hold the same elements in both. The
-partitions are those of a size band; sets near the upper end of a band also enumerate those
-of the next. Signatures are the contents of single partitions, taken in one order of all
-partitions; the first k + 1 of them, k being the number of differences allowed, must meet
-those of any similar set. Frequent features are partitions of their own at the end of the order,
-where most sets never get; which ones count as frequent decides the layout, never the
-result.
-
-Signatures that two sets share give candidates. Every set is first compared with the first
-member of its buckets; what these links leave apart is then compared pair by pair, in
-buckets of at most ``BUCKET`` members. Larger buckets serve only sets that have too few
-signatures outside of them. A candidate must pass a bound on its differences, taken from
-counts of features by range; those that do are verified on whole texts.
+partitions are as fine as the features: a signature is one feature, taken in one order of all
+of them; the first k + 1 of a set, k being the number of differences allowed, must meet
+those of any similar set. Frequent features come last in the order, where most sets never
+get; which ones count as frequent decides the order, never the result.
+
+Signatures that two sets share give candidates. Sets are first compared with the first
+member of a bucket, in a large one with the member that is in most large ones; what these
+links leave apart is then compared pair by pair, in buckets of at most ``BUCKET`` members.
+Larger buckets serve only sets that have too few signatures outside of them, and pairs that
+could be similar without their infrequent features, none of which they share there. A
+candidate must pass a bound on its differences, taken from counts of features by range;
+those that do are verified on whole texts.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +38,8 @@ BUCKET = 32
 OFTEN, FREQUENT, MOST_FREQUENT = 3, 24, 1 << 19
 #: Of the signatures that decide, one in SPARE is enumerated beyond them.
 SPARE = 16
+#: A set is first compared with the leader of buckets that it shares so many signatures with.
+MEETINGS = 3
 #: A frequent feature's bucket is dealt to so many tasks.
 SALTS = 256
 
@@ -45,7 +47,6 @@ SALTS = 256
 FILTER_BITS = 1 << 23
 
 _U = np.uint64
-_FIRST_BAND = 32
 #: Signatures are cut to 48 bits; a chance meeting is one more candidate.
 _CUT = _U(16)
 
@@ -61,38 +62,19 @@ def allowed(size: int) -> int:
     return (size + 4 * size // 3) // 7
 
 
-def bands(size: int) -> list[int]:
-    """Size bands whose partitions a set enumerates, by the power of four of their upper end."""
-    band, top = 0, _FIRST_BAND
-    while size > top:
-        band, top = band + 1, top * 4
-    return [band] if 4 * size // 3 <= top else [band, band + 1]
-
-
 def signatures(own: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Signatures of one set, whether each is of a frequent feature, and how many of a band decide.
+    """Signatures of one set, whether each is of a frequent feature, and how many of them decide.
 
-    ``own`` and ``frequent`` are ascending; partitions are ranges of feature hashes.
+    ``own`` and ``frequent`` are ascending.
     """
     at = np.searchsorted(frequent, own)
     at[at == len(frequent)] = 0
     common = frequent[at] == own if len(frequent) else np.zeros(len(own), bool)
-    rare, hot = own[~common], own[common]
     need = allowed(len(own)) + 1
     most = need + 2 + need // SPARE
-    found, flags = [], []
-    with np.errstate(over="ignore"):
-        for band in bands(len(own)):
-            shift = _U(32 if band == 0 else 64 - (6 + 2 * band))
-            part = rare >> shift
-            first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(rare) else np.zeros(0, np.int64)
-            first, stop = first[:most], (first[most] if len(first) > most else len(rare))
-            held = np.add.reduceat(_mixed(rare[:stop]), first) if len(first) else np.zeros(0, _U)
-            rest = hot[: most - len(first)]
-            salt = _U(band + 1) * _U(0xD6E8FEB86659FD93)
-            found += [_mixed(held ^ salt) >> _CUT, _mixed(_mixed(rest ^ salt) + _U(7)) >> _CUT]
-            flags += [np.zeros(len(held), bool), np.ones(len(rest), bool)]
-    return np.concatenate(found), np.concatenate(flags), need
+    rare = own[~common][:most]
+    hot = own[common][: most - len(rare)]
+    return np.concatenate([rare, hot]) >> _CUT, np.arange(len(rare) + len(hot)) >= len(rare), need
 
 
 def sketch_of(own: np.ndarray) -> np.ndarray:
@@ -172,13 +154,13 @@ def _signature_rows(frequent: np.ndarray):
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by signature and node: one of each, where two nodes share the signature,
-    with the first node of its bucket.
+    with the first node of its bucket and the place in it.
 
     Buckets of frequent features are dealt to several tasks, pass whole and have a first
     node in each.
     """
-    names = ["sig", "node", "leader", "hot"]
-    held = None  # the last row: whether it belongs to the signature before it, and its leader
+    names = ["sig", "node", "leader", "place", "hot"]
+    held = None  # the last row: whether it belongs to the signature before it, its leader and place
     for batch in batches:
         sig, salt, node = (batch.column(i).to_numpy() for i in range(3))
         if not len(sig):
@@ -190,17 +172,58 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         same = sig[1:] == sig[:-1]
         before = np.concatenate([[held is not None and held[3]], same])
         first = np.concatenate([[True], ~same])
-        leader = node[first]
+        bucket = np.cumsum(first) - 1
+        leader, start = node[first], np.flatnonzero(first)
         if held is not None:
-            leader[0] = held[4]
-        leader = leader[np.cumsum(first) - 1]
+            leader[0], start[0] = held[4], -held[5]
+        leader, place = leader[bucket], np.arange(len(sig)) - start[bucket]
         keep = before | np.concatenate([same, [False]]) | (salt >= 0)
-        held = sig[-1], salt[-1], node[-1], bool(before[-1]), leader[-1]
+        held = sig[-1], salt[-1], node[-1], bool(before[-1]), leader[-1], int(place[-1])
         keep[-1] = False
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (sig, node, leader, salt >= 0)], names)
+        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (sig, node, leader, place.astype(np.int32), salt >= 0)], names)
     if held is not None and (held[3] or held[1] >= 0):
         last = [pa.array([int(x)], pa.int64()) for x in (held[0], held[2], held[4])]
-        yield pa.RecordBatch.from_arrays([*last, pa.array([bool(held[1] >= 0)])], names)
+        yield pa.RecordBatch.from_arrays([*last, pa.array([held[5]], pa.int32()), pa.array([bool(held[1] >= 0)])], names)
+
+
+def _meeting(most: int):
+    """Of rows (sig, node, root, size, slack) sorted by signature and node: the pairs within a
+    bucket of at most ``most`` members that are of about one size and in different components,
+    and the smaller slack of the two."""
+
+    def pairs(rows: list[np.ndarray]) -> pa.RecordBatch:
+        sig, node, root, size, slack = rows
+        start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+        members = np.diff(np.concatenate([start, [len(sig)]]))
+        few = np.repeat((members > 1) & (members <= most), members)
+        sig, node, root, size, slack = (x[few] for x in rows)
+        found = []
+        for d in range(1, most):
+            a = np.flatnonzero(sig[d:] == sig[:-d])
+            if not len(a):
+                break
+            b = a + d
+            fits = (root[a] != root[b]) & (4 * size[a] >= 3 * size[b]) & (4 * size[b] >= 3 * size[a])
+            found.append((node[a[fits]], node[b[fits]], np.minimum(slack[a[fits]], slack[b[fits]])))
+        columns = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, np.int64)] * 3
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["u", "v", "x"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # rows of the last bucket; of a large one no more than tell that it is large
+        for batch in batches:
+            rows = [c.to_numpy() for c in batch.columns]
+            if not len(rows[0]):
+                continue
+            if held is not None:
+                rows = [np.concatenate(x) for x in zip(held, rows)]
+            last = int(np.searchsorted(rows[0], rows[0][-1]))
+            held = [x[last : last + most + 1].copy() for x in rows]
+            if last:
+                yield pairs([x[:last] for x in rows])
+        if held is not None:
+            yield pairs(held)
+
+    return run
 
 
 def _unlike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,7 +357,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     frequent = frequent_features(of)
     emitted = rows.select("text").mapInArrow(giving_back(_signature_rows(frequent)), "sig long, salt int, node long")
     dealt = emitted.repartition("sig", "salt").sortWithinPartitions("sig", "node")
-    shared = stored(dealt.mapInArrow(giving_back(_shared), "sig long, node long, leader long, hot boolean"), "jaccard-shared")
+    shared = stored(dealt.mapInArrow(giving_back(_shared), "sig long, node long, leader long, place int, hot boolean"), "jaccard-shared")
     links = _links(shared, of, rows)
     root = components(links)
     least = of.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("id").alias("least"))
@@ -350,65 +373,112 @@ def _links(shared: DataFrame, of: DataFrame, rows: DataFrame) -> DataFrame:
     """The verified links among sets that share a signature, enough to connect all that are similar."""
     sketches = of.filter(F.col("node").isNotNull()).groupBy("node").agg(F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch"))
     sketches = stored(sketches, "jaccard-sketches")
-    # a bucket of a frequent feature has several first members: they meet the smallest of them
-    firsts = shared.filter("hot").select("sig", "leader").distinct()
-    lowest = firsts.groupBy("sig").agg(F.min("leader").alias("u"))
-    across = firsts.join(lowest, "sig").select("u", F.col("leader").alias("v"))
-    star = shared.select(F.col("leader").alias("u"), F.col("node").alias("v")).unionByName(across).filter("u <> v").distinct()
-    star = stored(star, "jaccard-star")
+    rare, hot = shared.filter("not hot"), shared.filter("hot")
+    many = hot.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BUCKET).select("sig")
+    many = many.unionByName(rare.filter(F.col("place") == BUCKET).select("sig"))
+    many = stored(many, "jaccard-many")
+    crowded = stored(shared.select("sig", "node", "hot").join(many, "sig"), "jaccard-crowded")
+    star = _star(rare, crowded)
     likely = _plausible(star, sketches)
     one = likely.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
     first = _verified(stored(one, "jaccard-first"), of, rows)
     root = components(first)
     rest = _rooted(_rooted(likely, root, "u", "ru"), root, "v", "rv").filter("ru <> rv").select("u", "v")
     linked = first.unionByName(_verified(stored(rest, "jaccard-rest"), of, rows))
-    root = components(linked)
+    state = _state(sketches, hot, crowded, components(linked))
+    few = rare.select("sig", "node").unionByName(hot.select("sig", "node").join(many, "sig", "left_anti"))
+    few = few.join(state.select("node", "root", "size", "slack").hint("merge"), "node").select("sig", "node", "root", "size", "slack")
+    met = few.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(giving_back(_meeting(BUCKET)), "u long, v long, x long")
     # a set whose signatures in large buckets are no more than its spare ones is found without
     # them, and shares as many others with any similar set as are left over, and one
-    members = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("members"))
-    crowd = (F.col("members") > BUCKET).cast("long")
-    placed = shared.select("sig", "node").join(members, "sig").withColumn("hot", F.sum(crowd).over(Window.partitionBy("node")))
-    spare = sketches.select("node", F.col("n_shingles").alias("size"), _spare("n_shingles").alias("spare"))
-    placed = _rooted(placed.join(spare.hint("merge"), "node"), root, "node", "root")
-    left = F.greatest(F.col("spare") - F.col("hot"), F.lit(0))
-    placed = stored(placed.select("sig", "node", "root", "size", "members", left.alias("slack"), (F.col("hot") > F.col("spare")).alias("lacks")), "jaccard-placed")
-    spans = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("sig")
-    open_ = placed.join(spans, "sig")
-    small, crowded = open_.filter(F.col("members") <= BUCKET), open_.filter(F.col("members") > BUCKET)
-    a = small.select("sig", F.col("node").alias("u"), F.col("root").alias("ru"), F.col("size").alias("nu"), F.col("slack").alias("su"))
-    b = small.select("sig", F.col("node").alias("v"), F.col("root").alias("rv"), F.col("size").alias("nv"), F.col("slack").alias("sv"))
-    met = a.join(b, "sig").filter("u < v and ru <> rv and 4 * nu >= 3 * nv and 4 * nv >= 3 * nu")
-    met = met.groupBy("u", "v").agg(F.count(F.lit(1)).alias("n"), F.max(F.least("su", "sv")).alias("x"))
-    near = met.filter("n > x").select("u", "v")
-    far = _across(crowded.filter("lacks"), crowded)
+    near = met.groupBy("u", "v").agg(F.count(F.lit(1)).alias("n"), F.max("x").alias("x")).filter("n > x").select("u", "v")
+    placed = crowded.select("sig", "node", (F.row_number().over(Window.partitionBy("node").orderBy("hot", "sig")) - 1).alias("place"))
+    far = _across(placed.join(state.drop("slack").hint("merge"), "node"))
     far = far.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     tested = star.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     cross = stored(near.unionByName(far).distinct().join(tested, ["u", "v"], "left_anti"), "jaccard-cross")
     return linked.unionByName(_verified(_plausible(cross, sketches), of, rows))
 
 
+def _star(rare: DataFrame, crowded: DataFrame) -> DataFrame:
+    """Pairs to compare first: the first member of a bucket beside those that meet it often, and
+    in a large bucket the member that has most sets in its large buckets beside all others.
+
+    Which pairs these are decides how soon sets are connected, never the result.
+    """
+    often = rare.select(F.col("leader").alias("u"), F.col("node").alias("v")).filter("u <> v")
+    often = often.groupBy("u", "v").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= MEETINGS).select("u", "v")
+    members = crowded.groupBy("sig").agg(F.count(F.lit(1)).alias("members"))
+    weight = crowded.join(members, "sig").groupBy("node").agg(F.sum("members").alias("weight"))
+    centre = crowded.join(weight, "node").groupBy("sig").agg(F.max(F.struct("weight", "node")).alias("centre"))
+    around = crowded.join(centre, "sig").select(F.col("centre.node").alias("u"), F.col("node").alias("v")).filter("u <> v")
+    return stored(often.unionByName(around).distinct(), "jaccard-star")
+
+
+def _state(sketches: DataFrame, hot: DataFrame, crowded: DataFrame, root: DataFrame) -> DataFrame:
+    """For each set ``node``, ``root``, ``size`` and what its signatures leave open.
+
+    ``slack``: how many in large buckets it can spare yet; ``lacks``: whether there are more than
+    that. ``common``: features that it may share with a set that it meets in large buckets only.
+    Where a set has a signature of a frequent feature, all its infrequent ones are enumerated, so
+    two such sets share none of those outside of large buckets; ``open`` are sets without one.
+    """
+    hots = hot.groupBy("node").agg(F.count(F.lit(1)).alias("hots"))
+    crowds = crowded.groupBy("node").agg(F.count(F.lit(1)).alias("crowds"), F.sum((~F.col("hot")).cast("long")).alias("rare_crowds"))
+    # large buckets hold few of all sets; what is not in one gets nulls
+    held = hots.join(crowds, "node", "full")
+    held = sketches.select("node", F.col("n_shingles").alias("size")).join(held.hint("merge"), "node", "left")
+    held = _rooted(held, root, "node", "root").fillna(0, ["hots", "crowds", "rare_crowds"])
+    need, spare = _need("size"), _spare("size")
+    rare = need + spare - F.col("hots") - F.col("rare_crowds")
+    out = held.select(
+        "node", "root", "size",
+        F.greatest(spare - F.col("crowds"), F.lit(0)).alias("slack"),
+        (F.col("crowds") > spare).alias("lacks"),
+        # two features of a set may have one signature
+        (F.col("size") - F.greatest(rare - 1, F.lit(0))).alias("common"),
+        (F.col("hots") == 0).alias("open"),
+    )
+    return stored(out, "jaccard-state")
+
+
 def _rooted(df: DataFrame, root: DataFrame, column: str, name: str) -> DataFrame:
     """``df`` with the component of a node, itself where no link reaches it."""
     known = root.select(F.col("node").alias(column), F.col("root").alias("__r"))
     return df.join(known, column, "left").withColumn(name, F.coalesce("__r", column)).drop("__r")
 
 
-def _across(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Members of a bucket beside those of about their size in another component; components
-    meet first, so members of one never do."""
+def _across(rows: DataFrame) -> DataFrame:
+    """Pairs in large buckets, one of which lacks signatures outside: sets of about one size in
+    different components that can have enough in common.
+
+    Sets that share a signature outside of large buckets are found there. Similar ones have
+    3/7 of their sizes in common, so both need as many ``common`` features, 3/4 of their own size
+    at least. Of their signatures in large buckets, in order, the first that they share has no
+    more before it in either set than can be spared: they meet there or in few others. Components
+    meet first, so members of one never do.
+    """
+    rows = rows.withColumn("common", F.when(F.col("open"), F.col("common")).otherwise(F.col("common") - F.col("place")))
+    enough = "4 * {hi_u} >= 3 * {lo_v} and 4 * {hi_v} >= 3 * {lo_u} and (lacks_u or lacks_v) and (open_u or open_v or 7 * least(common_u, common_v) >= 3 * ({lo_u} + {lo_v}))"
+    some = rows.filter("open or 4 * common >= 3 * size")
 
     def parts(df: DataFrame, c: str) -> DataFrame:
-        return df.groupBy("sig", F.col("root").alias(f"r{c}")).agg(F.min("size").alias(f"lo_{c}"), F.max("size").alias(f"hi_{c}"))
+        found = [F.min("size").alias(f"lo_{c}"), F.max("size").alias(f"hi_{c}"), *(F.max(k).alias(f"{k}_{c}") for k in ("lacks", "open", "common"))]
+        return df.groupBy("sig", F.col("root").alias(f"r{c}")).agg(*found)
+
+    def members(df: DataFrame, c: str) -> DataFrame:
+        return df.select("sig", F.col("node").alias(c), F.col("root").alias(f"r{c}"), *(F.col(k).alias(f"{k}_{c}") for k in ("size", "lacks", "open", "common")))
+
+    apart = parts(some, "u").join(parts(rows, "v"), "sig").filter("ru <> rv and " + enough.format(hi_u="hi_u", lo_u="lo_u", hi_v="hi_v", lo_v="lo_v"))
+    met = members(some, "u").join(apart.select("sig", "ru", "rv"), ["sig", "ru"]).join(members(rows, "v"), ["sig", "rv"])
+    return met.filter(enough.format(hi_u="size_u", lo_u="size_u", hi_v="size_v", lo_v="size_v")).select("u", "v")
+
 
-    apart = parts(left, "u").join(parts(right, "v"), "sig").filter("ru <> rv and 4 * hi_u >= 3 * lo_v and 4 * hi_v >= 3 * lo_u")
-    a = left.select("sig", F.col("node").alias("u"), F.col("root").alias("ru"), F.col("size").alias("nu"))
-    b = right.select("sig", F.col("node").alias("v"), F.col("root").alias("rv"), F.col("size").alias("nv"))
-    met = a.join(apart.select("sig", "ru", "rv"), ["sig", "ru"]).join(b, ["sig", "rv"])
-    return met.filter("4 * nu >= 3 * nv and 4 * nv >= 3 * nu").select("u", "v")
+def _need(size: str) -> Column:
+    """Signatures of a set that decide."""
+    return F.floor((F.col(size) + F.floor(4 * F.col(size) / 3)) / 7) + 1
 
 
-def _spare(size: str):
+def _spare(size: str) -> Column:
     """Signatures that a set enumerates beyond those that decide; a small one has few features."""
-    n = F.col(size)
-    need = F.floor((n + F.floor(4 * n / 3)) / 7) + 1
-    return F.least(2 + F.floor(need / SPARE), n - need)
+    return F.least(2 + F.floor(_need(size) / SPARE), F.col(size) - _need(size))

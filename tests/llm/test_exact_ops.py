@@ -142,6 +142,31 @@ def test_jaccard_components_in_large_buckets(spark, monkeypatch):
     assert as_rows(jaccard.jaccard_components(df), "id", "n_shingles", "component_id") == brute_components(rows)
 
 
+def test_jaccard_of_near_copies_compares_few_pairs(spark, monkeypatch):
+    """Near copies of a text, of which most are too far from it and from each other to link."""
+    import random
+
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(150)]
+    rows = [[0, " ".join(base)]]
+    for i in range(1, 240):
+        w = list(base)
+        for at in rng.sample(range(0, 150, 5), rng.choice([2, 3, 4, 5, 6, 8, 9, 10])):
+            w[at] = f"x{i}_{at}"
+        rows.append([i, " ".join(w)])
+    compared, plain = {}, jaccard.stored
+
+    def counting(df, label):
+        out = plain(df, label)
+        compared[label] = compared.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", counting)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert as_rows(jaccard.jaccard_components(df), "id", "n_shingles", "component_id") == brute_components(rows)
+    assert compared["jaccard-star"] + compared["jaccard-cross"] < 8 * len(rows), compared
+
+
 def test_signatures_meet():
     """Any two similar sets share one of the signatures that decide."""
     rng = np.random.default_rng(3)
