@@ -1,12 +1,12 @@
 """Byte-level BPE over a corpus: every distinct word is merged once.
 
-Documents are cut into blocks of some megabytes, the same ones in every scan. A block
-explodes into its distinct pre-tokens, numbered as they first occur, and its documents'
-sequences of those numbers, which are the positions. The words of all blocks meet in one
-shuffle, by ranges of their hashes; there each distinct word is encoded once, and its ids go
-back to every block that holds it, where the documents are put together by position. Words,
+Documents are cut into blocks of some megabytes. A block explodes into its distinct
+pre-tokens, numbered as they first occur, and its documents' sequences of those numbers, which
+are the positions. One scan cuts both and one shuffle deals both: sequences by their block, the
+words of all blocks by ranges of their hashes. There each distinct word is encoded once, and its
+ids go back to every block that holds it, where the documents are put together by position. Words,
 ids and sequences travel as compressed runs, one for a block and range, and none of them is
-kept: words and sequences are cut in a scan each. Decoding joins ids with the token-byte table.
+stored. Decoding joins ids with the token-byte table.
 """
 
 from __future__ import annotations
@@ -96,16 +96,22 @@ def _split_words(packed: bytes) -> list[bytes]:
     return [data[a:b] for a, b in zip([4 + 4 * n, *ends[:-1].tolist()], ends.tolist())]
 
 
-def _blocks(schema: pa.Schema, pattern: str, content):
-    """Cut a task's rows into blocks of whole documents; ``content`` makes the rows of each.
+def _blocks(schema: pa.Schema, pattern: str, ranges: int):
+    """Cut a task's rows into blocks of whole documents, and texts into words, once.
 
-    A block is told by its task and its place there: scans of the same table cut alike.
+    The documents of a block go on as the numbers of its words, under the block's own number;
+    a block is told by its task and its place there. Its distinct words go on when it is full, a
+    run for each range of hashes, under the range's: -1 and down, as no block has.
     """
 
+    def documents(block: int, rows: pa.RecordBatch, numbers: dict[str, int], find) -> pa.RecordBatch:
+        codes = [_planes(np.fromiter(map(numbers.__getitem__, find(t.as_py())), np.uint32)) for t in rows.column(1)]
+        none = [pa.nulls(len(codes), schema.field(c).type) for c in ("part", "words")]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), block)), rows.column(0), *none, pa.array(codes, pa.binary())], schema=schema)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
-        part, block = TaskContext.get().partitionId() << 32, 0
-        held, size = [], 0
+        block, numbers, held, size = TaskContext.get().partitionId() << 32, _numbering(), 0, 0
         for batch in batches:
             sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
             at = 0
@@ -113,46 +119,41 @@ def _blocks(schema: pa.Schema, pattern: str, content):
                 before = int(sizes[at - 1]) if at else 0
                 to = max(at + (not held), int(np.searchsorted(sizes, before + BLOCK_BYTES - size, side="right")))
                 if to > at:
-                    held.append(batch.slice(at, to - at))
+                    yield documents(block, batch.slice(at, to - at), numbers, find)
+                    held += to - at
                     size += int(sizes[to - 1]) - before
                 at = to
                 if at < batch.num_rows:
-                    yield pa.RecordBatch.from_arrays(content(part + block, held, find), schema=schema)
-                    held, size, block = [], 0, block + 1
+                    yield _block_words(schema, block, numbers, ranges)
+                    block, numbers, held, size = block + 1, _numbering(), 0, 0
         if held:
-            yield pa.RecordBatch.from_arrays(content(part + block, held, find), schema=schema)
+            yield _block_words(schema, block, numbers, ranges)
 
     return giving_back(cut)
 
 
-def _block_sequences(block: int, rows: list[pa.RecordBatch], find) -> list[pa.Array]:
-    """The documents of a block, each as the numbers of its words."""
+def _numbering() -> dict[str, int]:
+    """Numbers what it is asked for, as it first occurs."""
     numbers: dict[str, int] = defaultdict()
     numbers.default_factory = numbers.__len__
-    codes = [_planes(np.fromiter(map(numbers.__getitem__, find(t.as_py())), np.uint32)) for r in rows for t in r.column(1)]
-    return [pa.array(np.full(len(codes), block)), pa.concat_arrays([r.column(0) for r in rows]), pa.array(codes, pa.binary())]
-
-
-def _block_words(ranges: int):
-    def runs(block: int, rows: list[pa.RecordBatch], find) -> list[pa.Array]:
-        """The distinct words of a block and their numbers, a run for each range of hashes."""
-        seen: dict[str, None] = {}
-        for r in rows:
-            for t in r.column(1):
-                seen.update(dict.fromkeys(find(t.as_py())))
-        words = [w.encode() for w in seen]
-        hashed = np.array([zlib.crc32(w) % ranges for w in words], np.int64)
-        order = np.argsort(hashed, kind="stable")
-        at = np.searchsorted(hashed[order], np.arange(ranges + 1))
-        some = [k for k in range(ranges) if at[k + 1] > at[k]]
-        return [
-            pa.array(np.full(len(some), block)),
-            pa.array(some, pa.int32()),
-            pa.array([_join_words([words[i] for i in order[at[k] : at[k + 1]]]) for k in some], pa.binary()),
-            pa.array([_planes(order[at[k] : at[k + 1]]) for k in some], pa.binary()),
-        ]
-
-    return runs
+    return numbers
+
+
+def _block_words(schema: pa.Schema, block: int, numbers: dict[str, int], ranges: int) -> pa.RecordBatch:
+    """The distinct words of a block and their numbers, a run for each range of hashes."""
+    words = [w.encode() for w in numbers]
+    hashed = np.array([zlib.crc32(w) % ranges for w in words], np.int64)
+    order = np.argsort(hashed, kind="stable")
+    at = np.searchsorted(hashed[order], np.arange(ranges + 1))
+    some = [k for k in range(ranges) if at[k + 1] > at[k]]
+    columns = [
+        pa.array([-1 - k for k in some], pa.int64()),
+        pa.nulls(len(some), schema.field("id").type),
+        pa.array(np.full(len(some), block)),
+        pa.array([_join_words([words[i] for i in order[at[k] : at[k + 1]]]) for k in some], pa.binary()),
+        pa.array([_planes(order[at[k] : at[k + 1]]) for k in some], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
 def encode(
@@ -170,13 +171,12 @@ def encode(
     if ranges is None:
         total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
         ranges = min(max(total // RANGE_BYTES, LEAST_RANGES), MOST_RANGES)
-    held = T.StructType().add("of", "long").add("id", rows.schema["id"].dataType).add("codes", "binary")
-    used = T.StructType().add("part", "long").add("range", "integer").add("words", "binary").add("codes", "binary")
-    sequences = rows.mapInArrow(_blocks(to_arrow_schema(held), pattern, _block_sequences), held)
-    uses = rows.mapInArrow(_blocks(to_arrow_schema(used), pattern, _block_words(ranges)), used)
-    back = uses.repartition("range").sortWithinPartitions("range").mapInArrow(_encoder(vocabulary), "part long, codes binary, ids binary")
+    cut = T.StructType().add("key", "long").add("id", rows.schema["id"].dataType).add("part", "long").add("words", "binary").add("codes", "binary")
+    # one exchange that both readers share, so neither may filter or narrow it: each passes over the other's rows
+    dealt = rows.mapInArrow(_blocks(to_arrow_schema(cut), pattern, ranges), cut).repartition("key")
+    back = dealt.sortWithinPartitions("key").mapInArrow(_encoder(vocabulary), "part long, codes binary, ids binary")
     out = T.StructType().add("id", rows.schema["id"].dataType).add("ids", T.ArrayType(T.IntegerType()))
-    return sequences.groupBy("of").cogroup(back.groupBy("part")).applyInArrow(_assemble, out)
+    return dealt.groupBy("key").cogroup(back.groupBy("part")).applyInArrow(_assemble, out)
 
 
 def _encoder(vocabulary: str):
@@ -185,12 +185,13 @@ def _encoder(vocabulary: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, now, known = None, None, {}
         for batch in batches:
+            batch = batch.filter(batch.column(3).is_valid())
             ranks = ranks or read_ranks(vocabulary)
             for i in range(batch.num_rows):
-                if (own := batch.column(1)[i].as_py()) != now:
+                if (own := batch.column(0)[i].as_py()) != now:
                     now, known = own, {}
                 ids, sizes = [], []
-                for word in _split_words(batch.column(2)[i].as_py()):
+                for word in _split_words(batch.column(3)[i].as_py()):
                     if (found := known.get(word)) is None:
                         if len(known) >= KNOWN_WORDS:
                             known.clear()
@@ -201,7 +202,7 @@ def _encoder(vocabulary: str):
                 packed = _packed(n + np.array(sizes, np.uint32).tobytes()) , _planes(np.array(ids, np.uint32))
                 joined = np.array([len(packed[0])], np.uint32).tobytes() + packed[0] + packed[1]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, 1), batch.column(3).slice(i, 1), pa.array([joined], pa.binary())], ["part", "codes", "ids"]
+                    [batch.column(2).slice(i, 1), batch.column(4).slice(i, 1), pa.array([joined], pa.binary())], ["part", "codes", "ids"]
                 )
 
     return giving_back(run)
@@ -222,7 +223,8 @@ def _gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.n
 
 
 def _assemble(sequences: pa.Table, words: pa.Table) -> pa.Table:
-    """The documents of one block from their word numbers and the words' ids."""
+    """The documents of one block from their word numbers and the words' ids; none of a range."""
+    sequences = sequences.filter(pc.is_null(sequences.column("words")))
     numbers, sizes, ids = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
     for codes, packed in zip(words.column("codes"), words.column("ids")):
         numbers.append(_numbers(codes.as_py()))

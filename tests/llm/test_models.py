@@ -44,6 +44,18 @@ def test_bpe_round_trip(docs, rows, library, monkeypatch):
         assert got == want
 
 
+def test_bpe_cuts_each_text_once(spark, rows):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    table = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(3).select("doc_id", F.udf(seen, "string")("text").alias("text"))
+    out = bpe.encode(table, VOCABULARY, public_tokenizers.PATTERN, ranges=7).collect()
+    assert len(out) == len(rows) == read.value
+
+
 @needs_tables
 def test_languages_held_out(spark):
     docs = spark.read.parquet(f"{FOLDER.replace('0.001', '0.01')}/documents.parquet")
