@@ -223,7 +223,9 @@ def classify(
     """
     names = list(dict.fromkeys([id_col, *carry]))
     model = fit(docs, id_col, text_col, settings)
-    rows = docs.select(*[F.col(f"`{c}`") for c in names], F.col(text_col).alias("__text"))
+    # a text that is carried travels to the tasks once
+    text = text_col if text_col in names else "__text"
+    rows = docs.select(*[F.col(f"`{c}`") for c in names], *([F.col(text_col).alias(text)] if text not in names else []))
     if model is None:
         return rows.select(*names, F.lit(0.0).alias("quality"), F.lit(False).alias("kept"))
     scorer = model.scorer
@@ -231,7 +233,7 @@ def classify(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece, data, offsets in chunks(batch, "__text"):
+            for piece, data, offsets in chunks(batch, text):
                 good = softmax(scorer.logits(data, offsets, measure_bins(text_counts(data, offsets))))[:, 1]
                 solid = np.concatenate([[0], np.cumsum(~SPACE[data])])
                 good = np.where(solid[offsets[1:]] > solid[offsets[:-1]], good, 0.0)

@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -200,6 +201,32 @@ def test_kernels_give_memory_back_at_their_end(monkeypatch):
         assert tags == [1, 2, 1, 2] and times == [1]
 
 
+def test_idle_workers_hold_no_freed_memory():
+    """What numpy frees between live arrays goes back to the system too."""
+    from pathlib import Path
+
+    from cadenza.llm import common
+
+    def held():
+        return int(re.search(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) / 1024
+
+    arrays = [np.ones(8_000) for _ in range(2_400)]  # 64 KB each, below what the C library maps by itself
+    full, last = held(), arrays[-1]
+    del arrays
+    common.give_back()
+    assert held() < full - 100 and last.sum() == 8_000
+
+
+def test_carried_texts_travel_once(spark, docs):
+    """The text of a document goes to the scorer in one column, carried or not."""
+    carried = weak.classify(docs, carry=["text"])
+    plain = weak.classify(docs)
+    scan = re.search(r"MapInArrow run\((.*?)\)", carried._jdf.queryExecution().optimizedPlan().toString())[1]
+    assert scan.count("text") == 1, scan
+    assert as_rows(carried, "doc_id", "quality", "kept") == as_rows(plain, "doc_id", "quality", "kept")
+    assert as_rows(carried, "doc_id", "text") == as_rows(docs, "doc_id", "text")
+
+
 def test_mixture_stage_evens_out_languages(spark, tmp_path):
     """The fitted rates decide what goes on: a small language is repeated, the largest stays as it is."""
     rng = random.Random(12)
