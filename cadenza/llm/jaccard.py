@@ -12,9 +12,9 @@ Signatures that two sets share give candidates. Sets are first compared with the
 member of a bucket, in a large one with the member that is in most large ones; what these
 links leave apart is then compared pair by pair, in buckets of at most ``BUCKET`` members.
 Larger buckets serve only sets that have too few signatures outside of them, and pairs that
-could be similar without their infrequent features, none of which they share there. A
-candidate must pass a bound on its differences, taken from counts of features by range;
-those that do are verified on whole texts.
+could be similar without their infrequent features, none of which they share there; these
+are compared block by block. A candidate must pass a bound on its differences, taken from
+counts of features by range; those that do are verified on whole texts.
 """
 
 from __future__ import annotations
@@ -42,6 +42,8 @@ SPARE = 16
 MEETINGS = 3
 #: A frequent feature's bucket is dealt to so many tasks.
 SALTS = 256
+#: Members of a large bucket that a task compares with as many others; so many of them are laid out at a time.
+BLOCK, AT_ONCE = 1024, 64
 
 #: Bits of the filter that picks the texts to verify, whatever their number.
 FILTER_BITS = 1 << 23
@@ -393,8 +395,7 @@ def _links(shared: DataFrame, of: DataFrame, rows: DataFrame) -> DataFrame:
     # them, and shares as many others with any similar set as are left over, and one
     near = met.groupBy("u", "v").agg(F.count(F.lit(1)).alias("n"), F.max("x").alias("x")).filter("n > x").select("u", "v")
     placed = crowded.select("sig", "node", (F.row_number().over(Window.partitionBy("node").orderBy("hot", "sig")) - 1).alias("place"))
-    far = _across(placed.join(state.drop("slack").hint("merge"), "node"))
-    far = far.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    far = _across(placed.join(state.drop("slack").hint("merge"), "node"), sketches)
     tested = star.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     cross = stored(near.unionByName(far).distinct().join(tested, ["u", "v"], "left_anti"), "jaccard-cross")
     return linked.unionByName(_verified(_plausible(cross, sketches), of, rows))
@@ -448,30 +449,81 @@ def _rooted(df: DataFrame, root: DataFrame, column: str, name: str) -> DataFrame
     return df.join(known, column, "left").withColumn(name, F.coalesce("__r", column)).drop("__r")
 
 
-def _across(rows: DataFrame) -> DataFrame:
+def _across(rows: DataFrame, sketches: DataFrame) -> DataFrame:
     """Pairs in large buckets, one of which lacks signatures outside: sets of about one size in
-    different components that can have enough in common.
+    different components that can have enough in common and whose counts are alike.
 
     Sets that share a signature outside of large buckets are found there. Similar ones have
     3/7 of their sizes in common, so both need as many ``common`` features, 3/4 of their own size
     at least. Of their signatures in large buckets, in order, the first that they share has no
     more before it in either set than can be spared: they meet there or in few others. Components
     meet first, so members of one never do.
-    """
-    rows = rows.withColumn("common", F.when(F.col("open"), F.col("common")).otherwise(F.col("common") - F.col("place")))
-    enough = "4 * {hi_u} >= 3 * {lo_v} and 4 * {hi_v} >= 3 * {lo_u} and (lacks_u or lacks_v) and (open_u or open_v or 7 * least(common_u, common_v) >= 3 * ({lo_u} + {lo_v}))"
-    some = rows.filter("open or 4 * common >= 3 * size")
-
-    def parts(df: DataFrame, c: str) -> DataFrame:
-        found = [F.min("size").alias(f"lo_{c}"), F.max("size").alias(f"hi_{c}"), *(F.max(k).alias(f"{k}_{c}") for k in ("lacks", "open", "common"))]
-        return df.groupBy("sig", F.col("root").alias(f"r{c}")).agg(*found)
 
-    def members(df: DataFrame, c: str) -> DataFrame:
-        return df.select("sig", F.col("node").alias(c), F.col("root").alias(f"r{c}"), *(F.col(k).alias(f"{k}_{c}") for k in ("size", "lacks", "open", "common")))
-
-    apart = parts(some, "u").join(parts(rows, "v"), "sig").filter("ru <> rv and " + enough.format(hi_u="hi_u", lo_u="lo_u", hi_v="hi_v", lo_v="lo_v"))
-    met = members(some, "u").join(apart.select("sig", "ru", "rv"), ["sig", "ru"]).join(members(rows, "v"), ["sig", "rv"])
-    return met.filter(enough.format(hi_u="size_u", lo_u="size_u", hi_v="size_v", lo_v="size_v")).select("u", "v")
+    A bucket is cut into blocks, and two blocks are compared in one task, so a row is repeated
+    once for ``BLOCK`` members of its bucket and no pair is a row before its counts are alike.
+    """
+    rows = rows.withColumn("common", F.when(F.col("open"), F.col("common")).otherwise(F.col("common") - F.col("place"))).drop("place")
+    some = F.expr("open or 4 * common >= 3 * size")  # what is not meets only sets that are open
+    of = [F.max("open").alias("all"), F.max("lacks").alias("lack"), (F.min("root") < F.max("root")).alias("apart"), F.count(F.lit(1)).alias("n"), F.count_if(some).alias("some")]
+    buckets = rows.groupBy("sig").agg(*of).filter("lack and apart")
+    blocks = F.ceil(F.when(F.col("all"), F.col("n")).otherwise(F.col("some")) / F.lit(BLOCK)).cast("int")
+    met = rows.join(buckets.select("sig", "all", blocks.alias("blocks")), "sig").filter(F.col("all") | some)
+    met = met.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+    met = met.select("node", "sig", "low", "high", "own", "root", "size", "common", "lacks", "open").join(sketches.select("node", "sketch").hint("merge"), "node")
+    dealt = met.repartition("sig", "low", "high").sortWithinPartitions("sig", "low", "high")
+    return dealt.mapInArrow(giving_back(_met), "u long, v long")
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs within two blocks of a bucket, of rows sorted by these."""
+    held = None  # rows of the last two blocks
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+        keys = np.stack([rows.column(k).to_numpy() for k in ("sig", "low", "high")])
+        start = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1])
+        for a, b in zip(start, start[1:]):
+            yield from _alike_in(rows.slice(a, b - a))
+        held = rows.slice(start[-1])
+    if held is not None:
+        yield from _alike_in(held)
+
+
+def _alike_in(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The pairs of two blocks, or of one, that have enough in common and that their counts do not rule out."""
+    node, own, root, size, common, lacks, open_ = (rows.column(k).to_numpy() for k in ("node", "own", "root", "size", "common", "lacks", "open"))
+    two = rows.column("low")[0] != rows.column("high")[0]
+    sketch = [np.frombuffer(x.as_py(), np.uint8) for x in rows.column("sketch")]
+    width = np.array([len(x) for x in sketch])
+    for w in np.unique(width):
+        left = np.flatnonzero(width == w)
+        mine = np.stack([sketch[i] for i in left]).astype(np.int16)
+        # sets of about one size have as many ranges, or one twice as many
+        for wider in (w, 2 * w):
+            right = np.flatnonzero(width == wider)
+            if not len(right):
+                continue
+            theirs = mine if wider == w else np.stack([sketch[i] for i in right]).reshape(len(right), w, 2).sum(axis=2, dtype=np.int16)
+            for first in range(0, len(left), AT_ONCE):
+                a, b = left[first : first + AT_ONCE, None], right[None, :]
+                fits = (root[a] != root[b]) & (lacks[a] | lacks[b]) & (4 * size[a] >= 3 * size[b]) & (4 * size[b] >= 3 * size[a])
+                fits &= open_[a] | open_[b] | (7 * np.minimum(common[a], common[b]) >= 3 * (size[a] + size[b]))
+                if wider == w:
+                    fits &= a < b
+                if two:
+                    fits &= own[a] != own[b]
+                i, j = np.nonzero(fits)
+                i += first
+                step = max(1, (1 << 20) // w)
+                for k in range(0, len(i), step):
+                    x, y = i[k : k + step], j[k : k + step]
+                    apart = np.abs(mine[x] - theirs[y]).sum(axis=1, dtype=np.int64)
+                    x, y = left[x], right[y]
+                    near = 7 * apart <= size[x] + size[y]
+                    u, v = node[x[near]], node[y[near]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
 
 
 def _need(size: str) -> Column:

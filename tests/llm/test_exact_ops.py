@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,6 +168,71 @@ def test_jaccard_of_near_copies_compares_few_pairs(spark, monkeypatch):
     assert compared["jaccard-star"] + compared["jaccard-cross"] < 8 * len(rows), compared
 
 
+def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
+    """Near copies of which no two link: large buckets give no row for each pair, whatever the blocks."""
+    import random
+
+    rng = random.Random(17)
+    base = [f"b{i}" for i in range(150)]
+    rows = [[0, " ".join(base)]]
+    for i in range(1, 200):
+        w = list(base)
+        for at in rng.sample(range(0, 150, 5), rng.choice([4, 5, 5, 6, 6])):
+            w[at] = f"x{i}_{at}"
+        rows.append([i, " ".join(w)])
+    for i in range(40):  # what differs from the text in the same places links
+        w = rows[1 + i][1].split(" ")
+        w[148] = f"y{i}"
+        rows.append([1000 + i, " ".join(w)])
+    made, plain = [], jaccard._across
+
+    def counting(*given):
+        out = plain(*given)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "_across", counting)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = brute_components(rows)
+    for block in (1024, 50, 7):
+        monkeypatch.setattr(jaccard, "BLOCK", block, raising=False)
+        assert as_rows(jaccard.jaccard_components(df), "id", "n_shingles", "component_id") == expected
+    assert max(made) < 4 * len(rows), made
+
+
+def test_counts_are_compared_as_one_by_one():
+    """What a task says of two blocks, for sets of all sizes, is what the conditions say of each pair."""
+    rng = np.random.default_rng(9)
+    base = np.unique(rng.integers(0, 1 << 63, 700, dtype=np.uint64) * np.uint64(2))
+    sets = [np.sort(rng.choice(base, n, replace=False)) for n in rng.integers(20, 700, 120)]
+    sets += [np.delete(s, rng.choice(len(s), len(s) // 9, replace=False)) for s in sets]
+    n = len(sets)
+    size = np.array([len(s) for s in sets])
+    root, common = rng.integers(0, 60, n), size - rng.integers(0, size // 5)
+    lacks, open_, own = rng.random(n) < 0.4, rng.random(n) < 0.2, rng.integers(0, 2, n).astype(np.int32)
+    sketches = [jaccard.sketch_of(s) for s in sets]
+    for low, high in ((0, 0), (0, 1)):
+        found = set()
+        columns = {"node": np.arange(n), "sig": np.zeros(n, np.int64), "low": np.full(n, low), "high": np.full(n, high), "own": own if high else 0 * own,
+                   "root": root, "size": size, "common": common, "lacks": lacks, "open": open_}
+        batch = pa.RecordBatch.from_pydict({**columns, "sketch": [x.tobytes() for x in sketches]})
+        for out in jaccard._met(iter([batch.slice(0, 100), batch.slice(100)])):
+            pairs = list(zip(out.column("u").to_pylist(), out.column("v").to_pylist()))
+            assert not found & set(pairs)
+            found |= set(pairs)
+        expected = {
+            (i, j)
+            for i in range(n)
+            for j in range(i + 1, n)
+            if (not high or own[i] != own[j])
+            and root[i] != root[j]
+            and (lacks[i] or lacks[j])
+            and (open_[i] or open_[j] or 7 * min(common[i], common[j]) >= 3 * (size[i] + size[j]))
+            and jaccard.may_be_similar(sketches[i], sketches[j], int(size[i]), int(size[j]))
+        }
+        assert found == expected and expected
+
+
 def test_signatures_meet():
     """Any two similar sets share one of the signatures that decide."""
     rng = np.random.default_rng(3)
