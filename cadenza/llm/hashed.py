@@ -20,6 +20,8 @@ BITS = 16
 BUCKETS = 1 << BITS
 #: Documents whose features are laid out at a time.
 AT_ONCE = 64
+#: Features that a step of a fit lays out at a time, whole rows of them.
+FIT_AT_ONCE = 1 << 17
 
 
 def shown_buckets(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -101,27 +103,49 @@ def fit_linear(
 ) -> Linear:
     """Multinomial logistic regression on soft targets by full adaptive-gradient steps.
 
-    The rows are ordered by the caller, so the result is the same in every run.
+    The rows are ordered by the caller, so the result is the same in every run. Features are
+    kept as one number each and laid out ``FIT_AT_ONCE`` at a time; sums are taken in the order of
+    the rows, so the result does not depend on that number.
     """
     n, classes = target.shape
+    further = np.zeros((n, 0), np.int64) if extra is None else BUCKETS + extra.astype(np.int64)
+    known = np.zeros(BUCKETS + extra_size, bool)
+    for own in shown:
+        known[own] = True
+    known[further.ravel()] = True
+    used = np.flatnonzero(known)
+    rank = np.cumsum(known, dtype=np.int32) - np.int32(1)
     size = np.array([len(s) for s in shown])
-    row, bucket = np.repeat(np.arange(n), size), np.concatenate(shown).astype(np.int64)
-    value = np.repeat(1 / np.sqrt(np.maximum(size, 1)), size)
-    if extra is not None:
-        row = np.concatenate([row, np.repeat(np.arange(n), extra.shape[1])])
-        bucket = np.concatenate([bucket, BUCKETS + extra.ravel().astype(np.int64)])
-        value = np.concatenate([value, np.ones(extra.size)])
-    used, place = np.unique(bucket, return_inverse=True)
-    weights, bias = np.zeros((len(used), classes)), np.log(target.mean(axis=0) + 1e-6)
-    seen = np.full((len(used), classes), 1e-8)
+    ends = np.concatenate([[0], np.cumsum(size)])
+    place = np.empty(ends[-1], np.int32)
+    for own, a, b in zip(shown, ends, ends[1:]):
+        place[a:b] = rank[own]
+    further = rank[further].astype(np.intp)
+    scale = 1 / np.sqrt(np.maximum(size, 1))
+    cuts = [0]
+    while cuts[-1] < n:
+        cuts.append(max(cuts[-1] + 1, int(np.searchsorted(ends, ends[cuts[-1]] + FIT_AT_ONCE, "right")) - 1))
+    weights, bias = np.zeros((classes, len(used))), np.log(target.mean(axis=0) + 1e-6)
+    seen = np.full((classes, len(used)), 1e-8)
     for _ in range(rounds):
-        logits = np.stack([np.bincount(row, weights[place, c] * value, minlength=n) for c in range(classes)], axis=1) + bias
-        off = (softmax(logits) - target) / n
-        for c in range(classes):
-            gradient = np.bincount(place, off[row, c] * value, minlength=len(used)) + ridge * weights[:, c] / n
-            seen[:, c] += gradient**2
-            weights[:, c] -= rate * gradient / np.sqrt(seen[:, c])
+        gradient = np.zeros((classes, len(used)))
+        off = np.empty((n, classes))
+        for a, b in zip(cuts, cuts[1:]):
+            at = place[ends[a] : ends[b]].astype(np.intp)
+            doc, signs = np.repeat(np.arange(b - a), size[a:b]), np.repeat(np.arange(b - a), further.shape[1])
+            doc, value = np.concatenate([doc, signs]), np.repeat(scale[a:b], size[a:b])
+            logits = np.empty((b - a, classes))
+            for c in range(classes):
+                held = np.concatenate([weights[c][at] * value, weights[c][further[a:b].ravel()]])
+                logits[:, c] = np.bincount(doc, held, minlength=b - a)
+            off[a:b] = (softmax(logits + bias) - target[a:b]) / n
+            for c in range(classes):
+                np.add.at(gradient[c], at, np.repeat(off[a:b, c] * scale[a:b], size[a:b]))
+                np.add.at(gradient[c], further[a:b].ravel(), np.repeat(off[a:b, c], further.shape[1]))
+        gradient += ridge * weights / n
+        seen += gradient**2
+        weights -= rate * gradient / np.sqrt(seen)
         bias = bias - off.sum(axis=0)
     full = np.zeros((BUCKETS + extra_size, classes), np.float32)
-    full[used] = weights
+    full[used] = weights.T
     return Linear(full[:BUCKETS], full[BUCKETS:], bias)

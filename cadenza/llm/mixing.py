@@ -144,8 +144,8 @@ def fit_classifier(
     rows.sort(key=lambda r: (r["tag"], r["domain"]))
     target = np.array([[r["domain"] == n for n in names] for r in rows], float)
     shares = {r["domain"]: r["count"] for r in found.groupBy("domain").count().collect()}
-    signs = np.array([np.frombuffer(bytes(r["extra"]), np.int32) for r in rows])
-    model = fit_linear([np.frombuffer(bytes(r["shown"]), np.int32) for r in rows], target, signs, 2 * len(names), ridge=settings.ridge)
+    signs = np.array([np.frombuffer(r["extra"], np.int32) for r in rows])
+    model = fit_linear([np.frombuffer(r["shown"], np.int32) for r in rows], target, signs, 2 * len(names), ridge=settings.ridge)
     # the sample is even by domain where it can be; the prior is that of the labelled table
     sampled = target.sum(axis=0)
     model.bias = model.bias + np.log([shares[n] for n in names]) - np.log(sampled)

@@ -207,8 +207,8 @@ def fit(docs: DataFrame, id_col: str, text_col: str, settings: Settings = Settin
     extra = lambda data, offsets: measure_bins(text_counts(data, offsets))
     rows = texts.mapInArrow(feature_rows("text", "tag", "votes", extra=extra), "tag long, votes int, shown binary, extra binary").collect()
     rows.sort(key=lambda r: r["tag"])
-    shown = [np.frombuffer(bytes(r["shown"]), np.int32) for r in rows]
-    bins = np.array([np.frombuffer(bytes(r["extra"]), np.int32) for r in rows])
+    shown = [np.frombuffer(r["shown"], np.int32) for r in rows]
+    bins = np.array([np.frombuffer(r["extra"], np.int32) for r in rows])
     good = np.array([posterior[r["votes"]] for r in rows])
     return Quality(labels, fit_linear(shown, np.stack([1 - good, good], axis=1), bins, len(LABELLERS) * (len(BINS) + 1)))
 

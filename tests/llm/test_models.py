@@ -11,7 +11,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cadenza.llm import ORACLES, QUERIES, bpe, langid, mixing, weak
+from cadenza.llm import ORACLES, QUERIES, bpe, hashed, langid, mixing, weak
 from tests.llm.conftest import SCHEMA, as_rows, prose
 
 FOLDER = "/root/testdata/sf0.001"
@@ -184,6 +184,44 @@ def test_memory_of_the_votes_follows_the_chunk():
     assert rows == len(texts) and peak < 25e6
 
 
+def test_memory_of_a_fit_is_some_bytes_a_feature():
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    shown = [np.sort(rng.choice(hashed.BUCKETS, 3000, replace=False)).astype(np.int32) for _ in range(800)]
+    target = rng.dirichlet(np.ones(2), len(shown))
+    tracemalloc.start()
+    hashed.fit_linear(shown, target, rounds=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 18 * sum(map(len, shown)), peak
+
+
+def test_fit_is_that_of_whole_matrices(monkeypatch):
+    """Rows with nothing shown and further signs among them; the answer does not follow what is laid out at a time."""
+    rng = np.random.default_rng(3)
+    shown = [np.sort(rng.choice(400, int(k), replace=False)).astype(np.int32) for k in [0, 1, 300, *rng.integers(0, 60, 60)]]
+    n, classes = len(shown), 3
+    target, extra = rng.dirichlet(np.ones(classes), n), rng.integers(0, 4, (n, 2)) + [0, 4]
+    matrix = np.zeros((n, hashed.BUCKETS + 8))
+    for i, own in enumerate(shown):
+        matrix[i, own] = 1 / np.sqrt(max(len(own), 1))
+        matrix[i, hashed.BUCKETS + extra[i]] = 1
+    used = matrix.any(axis=0)
+    x, weights, bias, seen = matrix[:, used], np.zeros((used.sum(), classes)), np.log(target.mean(axis=0) + 1e-6), 1e-8
+    for _ in range(20):
+        off = (hashed.softmax(x @ weights + bias) - target) / n
+        gradient = x.T @ off + 0.05 * weights / n
+        seen = seen + gradient**2
+        weights, bias = weights - 0.5 * gradient / np.sqrt(seen), bias - off.sum(axis=0)
+    fits = []
+    for at_once in (1 << 17, 100, 1):
+        monkeypatch.setattr(hashed, "FIT_AT_ONCE", at_once, raising=False)
+        fits.append(hashed.fit_linear(shown, target, extra, 8, rounds=20, ridge=0.05))
+        assert np.array_equal(fits[-1].weights, fits[0].weights) and np.array_equal(fits[-1].extra, fits[0].extra)
+    assert np.allclose(np.concatenate([fits[0].weights, fits[0].extra])[used], weights, atol=1e-4) and np.allclose(fits[0].bias, bias)
+
+
 def test_kernels_give_memory_back_at_their_end(monkeypatch):
     import pyarrow as pa
 
@@ -205,7 +243,7 @@ def test_idle_workers_hold_no_freed_memory():
     """What numpy frees between live arrays goes back to the system too."""
     from pathlib import Path
 
-    from cadenza.llm import common
+    from cadenza.llm import common, hashed
 
     def held():
         return int(re.search(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) / 1024
