@@ -1,4 +1,4 @@
-"""Edit-distance joins by segments, with a stored index of the entries.
+"""Edit-distance joins by segments, and searches for the nearest entry in a stored index.
 
 An entry of ``m`` characters may be ``d`` edits away from a text at a given ratio. Cut into
 more than ``d`` segments, it leaves one untouched, and the text holds that segment near its
@@ -7,12 +7,14 @@ the places where each segment can lie, and the join is on one key of (ratio, len
 number, segment). A bit for each (character, occurrence) bounds the edits from below: it is
 part of the join condition, so only pairs that can be near leave the join.
 
+That finds all pairs. Texts that are much alike share their segments with most others, so a
+search, which asks for the best entry only, goes down a tree of the entries (``nearest``).
+
 The index is a table in the shared folder. More entries extend it; all searches share it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.text import match_key
 from cadenza.operators.keys import first_per_key
+from cadenza.operators.nearest import near_entries
 from cadenza.operators.winnow import containment_pairs
 from cadenza.session import materialise
 
@@ -146,8 +149,12 @@ def _with_marks(texts: DataFrame, column: str) -> DataFrame:
 def _rated(pairs: DataFrame, floor: float | str) -> DataFrame:
     """The ratio of each pair that reaches ``floor``; the distance is only followed as far as that allows."""
     longer = "greatest(length(query), length(entry))"
-    near = pairs.selectExpr("*", f"levenshtein(query, entry, {most_edits(longer, longer, floor)} + 1) AS edits").filter("edits >= 0")
-    return near.selectExpr("*", f"round(1 - edits / {longer}, 12) AS ratio").filter(f"ratio >= double({floor})").drop("edits")
+    return _with_ratio(pairs.selectExpr("*", f"levenshtein(query, entry, {most_edits(longer, longer, floor)} + 1) AS edits").filter("edits >= 0"), floor)
+
+
+def _with_ratio(pairs: DataFrame, floor: float | str) -> DataFrame:
+    longer = "greatest(length(query), length(entry))"
+    return pairs.selectExpr("*", f"round(1 - edits / {longer}, 12) AS ratio").filter(f"ratio >= double({floor})").drop("edits")
 
 
 # --- the index --------------------------------------------------------------------------
@@ -155,28 +162,22 @@ def _rated(pairs: DataFrame, floor: float | str) -> DataFrame:
 
 @dataclass(frozen=True)
 class EntryIndex:
-    """``entries`` has (entry, match, marks): match keys with the smallest text of each.
-    ``segments`` has the kept segments by ``floor``, for each ratio of ``floors``; ``grams`` the
-    3-grams that occur in entries."""
+    """``entries`` has (entry, match): match keys with the smallest text of each.
+    ``grams`` has the 3-grams that occur in entries. Searches try the ratios ``floors``."""
 
     cut: float
     floors: tuple[float, ...]
     entries: DataFrame
-    segments: DataFrame
     grams: DataFrame
 
     def at(self, floor: float) -> DataFrame:
-        return self.segments.filter(F.col("floor") == floor).drop("floor")
+        """The segments that the entries keep at a ratio of ``floor``, for a join of all pairs."""
+        return entry_segments(self.entries.select("entry", marks("entry").alias("marks")), floor)
 
 
 def _keyed_entries(entries: DataFrame, column: str) -> DataFrame:
     texts = entries.select(F.col(column).alias("match")).distinct().withColumn("entry", match_key(F.col("match")))
-    return texts.filter(F.length("entry") > 0).groupBy("entry").agg(F.min("match").alias("match")).withColumn("marks", marks("entry"))
-
-
-def _all_segments(entries: DataFrame, floors: Sequence[float]) -> DataFrame:
-    each = [entry_segments(entries, f).withColumn("floor", F.lit(f)) for f in floors]
-    return materialise(reduce(DataFrame.unionByName, each), "edit-segments")
+    return texts.filter(F.length("entry") > 0).groupBy("entry").agg(F.min("match").alias("match"))
 
 
 def _entry_grams(entries: DataFrame) -> DataFrame:
@@ -189,19 +190,18 @@ def index_entries(entries: DataFrame, column: str, cut: float) -> EntryIndex:
         raise ValueError("a cut of 0.5 or less matches anything that shares one gram")
     held = materialise(_keyed_entries(entries, column), "edit-entries")
     floors = (*(f for f in NEARER if f > cut + 0.05), cut)
-    return EntryIndex(cut, floors, held, _all_segments(held, floors), _entry_grams(held))
+    return EntryIndex(cut, floors, held, _entry_grams(held))
 
 
 def extend_index(index: EntryIndex, entries: DataFrame, column: str) -> EntryIndex:
-    """The index with more entries: only theirs are cut and written. A new text that shares its
-    key with an old one counts if it is smaller."""
+    """The index with more entries: only their grams are cut and written. A new text that shares
+    its key with an old one counts if it is smaller."""
     more = materialise(_keyed_entries(entries, column), "edit-entries")
     new = more.join(index.entries, "entry", "left_anti")
-    both = index.entries.unionByName(more).groupBy("entry").agg(F.min("match").alias("match"), F.first("marks").alias("marks"))
+    both = index.entries.unionByName(more).groupBy("entry").agg(F.min("match").alias("match"))
     return replace(
         index,
         entries=materialise(both, "edit-entries"),
-        segments=index.segments.unionByName(_all_segments(new, index.floors)),
         grams=index.grams.unionByName(_entry_grams(new)),
     )
 
@@ -238,12 +238,14 @@ def _by_bonus(todo: DataFrame, index: EntryIndex) -> DataFrame:
     """
     floor = 2 * index.cut - 1
     inside = containment_pairs(todo, "query", index.entries, "entry").filter(f"length(query) >= double({floor}) * length(entry) - {_EPS}")
-    shortest = _valid(inside.join(todo, "query")).groupBy("query", "marks", "strange").agg(F.min(F.length("entry")).alias("m"))
-    asked = materialise(shortest.selectExpr("query", "marks", "strange", "round(length(query) / m, 12) AS least"), "edit-inside")
+    shortest = _valid(inside.join(todo, "query")).groupBy("query", "strange").agg(F.min(F.length("entry")).alias("m"))
+    asked = materialise(shortest.withColumn("marks", marks("query")).selectExpr("query", "marks", "strange", "round(length(query) / m, 12) AS least"), "edit-inside")
+    # bits are much work to make, and mostly there is nothing to compare
+    marked = materialise(index.entries.select("entry", marks("entry").alias("marks")).filter(F.lit(not asked.isEmpty())), "edit-marks")
     parts = []
     for size, some in zip(GRAM_SIZES, (~F.col("strange"), F.col("strange")), strict=True):
         q = asked.filter(some).withColumn("gram", F.explode(F.array_distinct(padded_grams(F.col("query"), size)))).alias("q")
-        e = index.entries.select("entry", "marks", F.explode(F.array_distinct(padded_grams(F.col("entry"), size))).alias("gram")).alias("e")
+        e = marked.select("entry", "marks", F.explode(F.array_distinct(padded_grams(F.col("entry"), size))).alias("gram")).alias("e")
         may = F.expr("q.gram = e.gram AND " + _may_be_near("length(query)", "length(entry)", "q.marks", "e.marks", "least"))
         parts.append(q.join(e.hint("merge"), may).select("query", "entry", "least"))
     return _best(_rated(parts[0].unionByName(parts[1]).distinct(), "least"))
@@ -259,15 +261,14 @@ def search(index: EntryIndex, queries: DataFrame, column: str) -> DataFrame:
     texts = queries.select(F.col(column)).distinct().withColumn("query", match_key(F.col(column))).filter(F.length("query") > 0)
     grams = texts.select("query", F.explode(padded_grams(F.col("query"), GRAM_SIZES[0])).alias("gram")).distinct()
     known = grams.join(index.grams, "gram", "left_semi").select("query").distinct().withColumn("known", F.lit(True))
-    asked = texts.join(known, "query", "left").select(column, "query", marks("query").alias("marks"), F.col("known").isNull().alias("strange"))
+    asked = texts.join(known, "query", "left").select(column, "query", F.col("known").isNull().alias("strange"))
     asked = materialise(asked, "edit-queries")
-    todo = asked.select("query", "marks", "strange").dropDuplicates(["query"])
+    todo = asked.select("query", "strange").dropDuplicates(["query"])
     same = F.col("query") == F.col("entry")
     found = [todo.join(index.entries.select("entry"), same).select("query", "entry", F.lit(1.0).alias("ratio"))]
-    todo = todo.join(index.entries.select("entry"), same, "left_anti")
+    todo = materialise(todo.join(index.entries.select("entry"), same, "left_anti"), "edit-todo")
     for floor in index.floors:
-        pairs = _rated(met_pairs(todo, index.at(floor), floor), floor).join(todo.select("query", "strange"), "query")
-        best = materialise(_best(_valid(pairs)), "edit-best")
+        best = materialise(_best(_with_ratio(near_entries(todo, index.entries, floor), floor)), "edit-best")
         found.append(best)
         todo = materialise(todo.join(best.select("query"), "query", "left_anti"), "edit-todo")
     found.append(_by_bonus(todo, index))

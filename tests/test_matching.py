@@ -4,7 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from cadenza.functions.text import clean_artist, clean_name, clean_title, contains_any_word, indel_ratio, match_key, nfkd
-from cadenza.operators import editjoin, winnow
+from cadenza.operators import editjoin, nearest, winnow
 from cadenza.operators.editjoin import edit_pairs, extend_index, fuzzy_best, index_entries, search
 from cadenza.operators.labels import mark_by_name, newly_signed, signed_cascade, signed_cascade_songs, signed_patch
 from cadenza.operators.matching import first_stage, indel_pairs, pair_match, resolve_names, resolve_tracks
@@ -94,6 +94,68 @@ def test_near_entries_are_found_before_far_ones(spark):
     assert todo.count() == 0 and 4 * met < at_once, (met, at_once)
 
 
+def nearest_by_force(texts, entries, strange):
+    """For each text one minus its best ratio, and that entry."""
+    out = {}
+    for t, odd in zip(texts, strange):
+        near = [(1 - ratio_of(t, e), e) for e in entries if grams(t, 3) & grams(e, 3) or odd and grams(t, 2) & grams(e, 2)]
+        if near:
+            out[t] = min(near)
+    return out
+
+
+def test_a_tree_gives_the_nearest_entries(spark, monkeypatch):
+    rng = random.Random(14)
+    long_ = ["".join(rng.choice("abc") for _ in range(rng.randint(90, 130))) for _ in range(5)]
+    texts = sorted({*words(15, 60), *words(16, 30, "ab", 1, 25), *long_, "naïve", "ééé", "漢字kana", "a" * 40})
+    entries = sorted({*words(17, 60), *words(18, 30, "ab", 1, 25), *(t[:40] + t[44:] for t in long_), "naive", "漢字kan", "a" * 37 + "bcd"})
+    strange = [k % 3 == 0 for k in range(len(texts))]
+    nearest_ = nearest_by_force(texts, entries, strange)
+    for floor in (0.92, 0.75, 0.51):
+        want = {t: e for t, (away, e) in nearest_.items() if 1 - away >= floor}
+        for cells in (1 << 10, 1 << 21):  # in many pieces, and in one
+            monkeypatch.setattr(nearest, "CELLS", cells)
+            q, e, edits = nearest.best_of(entries, texts, strange, floor)
+            assert {texts[a]: entries[b] for a, b in zip(q, e)} == want and len(q) == len(want)
+            assert edits == [edit_distance(texts[a], entries[b]) for a, b in zip(q, e)]
+
+
+def test_blocks_of_texts_and_entries_meet_once(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "BLOCK", 100)
+    monkeypatch.setattr(nearest, "TEXTS", 20)
+    left, right = words(19, 80, "abcd", 3, 10), words(20, 150, "abcd", 3, 10)
+    found = nearest.near_entries(column(spark, left, "query").withColumn("strange", F.lit(False)), column(spark, right, "entry"), 0.7).collect()
+    best = {}
+    for r in found:
+        assert r.edits == edit_distance(r.query, r.entry)
+        best[r.query] = min(best.get(r.query, (1, "")), (1 - ratio_of(r.query, r.entry), r.entry))
+    assert best == {t: (away, e) for t, (away, e) in nearest_by_force(left, right, [False] * len(left)).items() if 1 - away >= 0.7}
+    assert len({(r.query, r.entry) for r in found}) == len(found) > len(best)
+
+
+def test_texts_share_the_rows_of_a_search(monkeypatch):
+    """On addresses that are much alike, a search at all its ratios follows fewer rows than there are pairs."""
+    rng = random.Random(21)
+    hosts = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(6)) for _ in range(30)]
+    made = lambda kind: sorted({f"{kind}{rng.choice(hosts)}examplecom{rng.choice(['en', 'de'])}{rng.randrange(10**5)}{rng.choice(['', 'html', 'top'])}" for _ in range(2000)})
+    left, right, rows_met = made("https"), made("http"), []
+    step = nearest._Descent._step
+    monkeypatch.setattr(nearest._Descent, "_step", lambda self, rows, at, char: (rows_met.append(rows.shape[1]), step(self, rows, at, char))[1])
+    todo = left
+    for floor in (*editjoin.NEARER, 0.75):
+        q, _, _ = nearest.best_of(right, todo, [False] * len(todo), floor)
+        todo = [t for k, t in enumerate(todo) if k not in set(q)]
+    assert not todo and sum(rows_met) < len(left) * len(right), sum(rows_met) / len(left) / len(right)
+
+
+def test_a_search_joins_no_segments(spark, monkeypatch):
+    """Segments of texts that are much alike meet in more rows than there are pairs."""
+    monkeypatch.setattr(editjoin, "met_pairs", None)
+    plain = [f"httpexamplecomen{k * 7919 % 10**6}html" for k in range(300)]
+    got = {r.q: r.match for r in fuzzy_best(column(spark, [p.replace("http", "https") for p in plain[::2]], "q"), "q", column(spark, plain, "e"), "e", 0.95).collect()}
+    assert got == {p.replace("http", "https"): p for p in plain[::2]}
+
+
 def test_an_index_takes_more_entries(spark):
     left, right = words(5, 60, "abcd", 3, 10), words(6, 200, "abcd", 3, 10)
     whole = index_entries(column(spark, right, "e"), "e", 0.75)
